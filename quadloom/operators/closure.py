@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from quadloom.session import materialize, scratch_path
 
+PAIRS = "x string, y string"
+
 
 def _compose(left: DataFrame, right: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """Pairs (x, z) with (x, y) on the left and (y, z) on the right."""
@@ -59,24 +61,35 @@ def transitive_closure(edges: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return read(found) if found else step
 
 
+# Edges followed per round of ``reachable``.
+HOPS = 3
+
+
 def reachable(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """Distinct pairs (x, y): ``y`` is one or more edges away from the seed ``x``.
 
-    ``seeds`` has a column ``x``.  Only what the seeds reach is computed; the
-    number of rounds is the longest distance from a seed.
+    ``seeds`` has a column ``x``.  Only what the seeds reach is computed.  A round
+    follows ``HOPS`` edges; only pairs first met at its last hop go on from there.
     """
     spark = edges.sparkSession
     root = scratch_path(spark, "reach")
     edges = materialize(edges.select("x", "y").distinct(), f"{root}/edges")
-    seeds = seeds.select("x").distinct()
-    frontier = materialize(seeds.join(edges, "x").select("x", "y").distinct(), f"{root}/round-0")
-    found = [f"{root}/round-0"]
-    while not frontier.isEmpty():
-        known = spark.read.schema(frontier.schema).parquet(*found)
+    start = seeds.select("x").distinct()
+    frontier = start.select("x", F.col("x").alias("y"))
+    found: list[str] = []
+    while True:
+        hops, at = [], frontier
+        for n in range(1, HOPS + 1):
+            at = _compose(at, edges, ())
+            hops.append(at.withColumn("hop", F.lit(n)))
+        new = reduce(DataFrame.union, hops).groupBy("x", "y").agg(F.min("hop").alias("hop"))
+        if found:
+            new = _without(new, spark.read.schema(PAIRS).parquet(*found), ())
         path = f"{root}/round-{len(found)}"
-        frontier = materialize(_without(_compose(frontier, edges, ()), known, ()), path)
+        frontier = materialize(new, path).where(F.col("hop") == HOPS).select("x", "y")
         found.append(path)
-    return spark.read.schema(frontier.schema).parquet(*found)
+        if frontier.isEmpty():
+            return spark.read.schema(PAIRS).parquet(*found)
 
 
 def with_identity(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -129,33 +129,37 @@ def page(df: DataFrame, keys: list[Column], start: int, length: int) -> DataFram
         return ordered
     if 0 < length and start - 1 + length <= TOP_N_LIMIT:
         return ordered.offset(start - 1).limit(length)
-    return _deep_page(ordered, start, length)
+    return _deep_page(df, keys, start, length)
 
 
-def _deep_page(ordered: DataFrame, start: int, length: int) -> DataFrame:
-    spark = ordered.sparkSession
+def with_positions(df: DataFrame, keys: list[Column], name: str = "position") -> DataFrame:
+    """The sorted rows with their place in the order, counted from 1.
+
+    The sorted rows are stored once with their partition and row number; the
+    partitions' sizes (one number each) turn these into places.
+    """
     row = F.monotonically_increasing_id()
     numbered = materialize(
-        ordered.withColumns(
+        df.orderBy(*keys).withColumns(
             {"part__": F.shiftright(row, 33), "row__": row.bitwiseAND(F.lit((1 << 33) - 1))}
         ),
-        scratch_path(spark, "page"),
+        scratch_path(df.sparkSession, "sorted"),
     )
-    # one row per partition of the sort
-    sizes = sorted((r["part__"], r["count"]) for r in numbered.groupBy("part__").count().collect())
-    last = None if length <= 0 else start - 1 + length
-    before, keep = 0, F.lit(False)
-    for part, size in sizes:
-        low, high = start - 1 - before, size if last is None else last - before
-        if low < size and high > 0:
-            cond = F.col("part__") == part
-            if low > 0:
-                cond = cond & (F.col("row__") >= low)
-            if high < size:
-                cond = cond & (F.col("row__") < high)
-            keep = keep | cond
+    before, starts = 0, []
+    for part, size in sorted((r["part__"], r["count"]) for r in numbered.groupBy("part__").count().collect()):
+        starts += [F.lit(part), F.lit(before)]
         before += size
-    return numbered.where(keep).orderBy("part__", "row__").drop("part__", "row__")
+    if not starts:
+        return df.limit(0).withColumn(name, F.lit(0).cast("long"))
+    place = F.element_at(F.create_map(*starts), F.col("part__")) + F.col("row__") + 1
+    return numbered.select(*df.columns, place.cast("long").alias(name))
+
+
+def _deep_page(df: DataFrame, keys: list[Column], start: int, length: int) -> DataFrame:
+    placed = with_positions(df, keys, "place__").where(F.col("place__") >= start)
+    if length > 0:
+        placed = placed.where(F.col("place__") < start + length)
+    return placed.orderBy("place__").drop("place__")
 
 
 def slice_(df: DataFrame, keys: list[Column], offset: int = 0, limit: int | None = None) -> DataFrame:

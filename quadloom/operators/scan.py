@@ -58,23 +58,32 @@ def has_statement(q: Quads, s=None, p=None, o=None, contexts=()) -> DataFrame:
 
 
 def non_empty(df: DataFrame) -> DataFrame:
-    """One row ``(result boolean)``: stops at the first row found."""
-    return df.select(F.lit(True).alias("x")).limit(1).agg((F.count("x") > 0).alias("result"))
+    """One row ``(result boolean)``.
+
+    Looks at once, at a few partitions first and at more only while nothing is
+    found; as a lazy plan every partition would have to be started.
+    """
+    found = not df.isEmpty()
+    return df.sparkSession.range(1).select(F.lit(found).alias("result"))
 
 
 def count_all(q: Quads) -> DataFrame:
     """One row ``(n long)``: all quads, each graph membership counted."""
-    return _counted(match(q)[0])
+    return _counted(q)
 
 
 def count_in(q: Quads, contexts) -> DataFrame:
     """One row ``(n long)``: quads in the listed graphs; an empty list means the default graph."""
     graphs = graph_list(contexts) or [V.DEFAULT_GRAPH]
+    if isinstance(q, TableQuads):
+        return _counted(q.limited(graphs=graphs))
     return _counted(match(q, graphs=graphs)[0])
 
 
-def _counted(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n"))
+def _counted(q: Quads) -> DataFrame:
+    if isinstance(q, TableQuads):
+        return q.graph_counts().agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
+    return q.agg(F.count(F.lit(1)).alias("n"))
 
 
 def is_empty(q: Quads) -> DataFrame:
@@ -84,7 +93,7 @@ def is_empty(q: Quads) -> DataFrame:
 
 def list_graphs(q: Quads, registered: DataFrame | None = None) -> DataFrame:
     """Distinct graph IRIs, the default graph included, plus registered empty ones."""
-    graphs = frame(q).select("g")
+    graphs = (q.graph_counts() if isinstance(q, TableQuads) else q).select("g")
     if registered is not None:
         graphs = graphs.union(registered.select("g"))
     return graphs.distinct().orderBy("g")
@@ -92,6 +101,8 @@ def list_graphs(q: Quads, registered: DataFrame | None = None) -> DataFrame:
 
 def count_per_graph(q: Quads) -> DataFrame:
     """``(g, n)`` for every graph."""
+    if isinstance(q, TableQuads):
+        return q.graph_counts()
     return frame(q).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
 
 

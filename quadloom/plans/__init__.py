@@ -1,6 +1,8 @@
 """Registered queries over the driver's tables."""
 
-from quadloom.plans import matching, scans
+from quadloom.plans import changing, inferring, matching, scans, shaping, storing, walking
 from quadloom.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "matching", "scans"]
+__all__ = [
+    "QUERIES", "SQL", "changing", "inferring", "matching", "scans", "shaping", "storing", "walking",
+]

@@ -212,17 +212,35 @@ class TableQuads:
     def graphs(self) -> list[str]:
         return sorted({b.graph for b in self.branches})
 
+    def _by_table(self) -> list[list[Branch]]:
+        groups: dict[int, list[Branch]] = {}
+        for b in self.branches:
+            groups.setdefault(id(b.table), []).append(b)
+        return list(groups.values())
+
+    def graph_counts(self) -> DataFrame:
+        """``(g, n)`` for graphs with quads; one pass and one row of counters per table."""
+        parts = []
+        for group in self._by_table():
+            counters = []
+            for b in group:
+                conds = ([b.where] if b.where else []) + [f"({b.sql()['o']}) is not null"]
+                n = f"count_if({' and '.join(f'({c})' for c in conds)})"
+                counters.append(f"named_struct('g', {sql_text(b.graph)}, 'n', {n})")
+            row = group[0].table.selectExpr(f"array({', '.join(counters)}) as counters")
+            parts.append(row.selectExpr("inline(counters)"))
+        if not parts:
+            return self.match()[0].groupBy("g").agg(F.count("s").alias("n"))
+        return reduce(DataFrame.union, parts).groupBy("g").agg(F.sum("n").alias("n")).where("n > 0")
+
     def stacked(self) -> DataFrame:
         """All quads in one pass per table, for writing them out.
 
         Reads each table once instead of once per predicate; use ``match`` for
         queries, where the per-predicate branches prune better.
         """
-        by_table: dict[int, list[Branch]] = {}
-        for b in self.branches:
-            by_table.setdefault(id(b.table), []).append(b)
         parts = []
-        for group in by_table.values():
+        for group in self._by_table():
             rows = []
             for b in group:
                 fields = ", ".join(f"'{c}', {e}" for c, e in b.sql().items())
