@@ -121,16 +121,14 @@ def is_valid_literal(o: Column | str, dt: Column | str, lang: Column | str) -> C
     """Lexical and range check of a literal; unknown datatypes are accepted."""
     o, dt, lang = _col(o), _col(dt), _col(lang)
     big = o.try_cast("decimal(38,0)")
-    ok = F.when(lang.isNotNull(), lang.rlike(LANG_FORM))
-    for name, (low, high) in V.INTEGER_RANGES.items():
-        in_range = F.lit(True)
-        if low is not None:
-            in_range = in_range & (big >= F.lit(str(low)).cast("decimal(38,0)"))
-        if high is not None:
-            in_range = in_range & (big <= F.lit(str(high)).cast("decimal(38,0)"))
-        ok = ok.when(dt == V.XSD + name, o.rlike(INTEGER_FORM) & in_range)
+    low, high = (
+        F.element_at(F.create_map(*[x for pair in limits for x in pair]), dt)
+        for limits in zip(*[_limits(name, *bounds) for name, bounds in V.INTEGER_RANGES.items()])
+    )
     return F.coalesce(
-        ok.when(dt == V.XSD_DECIMAL, o.rlike(DECIMAL_FORM))
+        F.when(lang.isNotNull(), lang.rlike(LANG_FORM))
+        .when(dt.isin(*V.INTEGER_TYPES), o.rlike(INTEGER_FORM) & big.between(low, high))
+        .when(dt == V.XSD_DECIMAL, o.rlike(DECIMAL_FORM))
         .when(dt.isin(V.XSD_DOUBLE, V.XSD_FLOAT), o.rlike(DOUBLE_FORM))
         .when(dt == V.XSD_BOOLEAN, o.isin("true", "false", "1", "0"))
         .when(dt.isin(*V.TIME_TYPES), time_value(o, dt).isNotNull())
@@ -139,6 +137,13 @@ def is_valid_literal(o: Column | str, dt: Column | str, lang: Column | str) -> C
     )
 
 
+def _limits(name: str, low: int | None, high: int | None):
+    """The lowest and highest value of an integer type, as (datatype, value) pairs."""
+    widest = 10**38 - 1
+    bounds = (-widest if low is None else low, widest if high is None else high)
+    return [(F.lit(V.XSD + name), F.lit(str(b)).cast("decimal(38,0)")) for b in bounds]
+
+
 def escape_literal(c: Column | str) -> Column:
     """Escape a lexical form for N-Triples / N-Quads output."""
     c = _col(c)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from quadloom import vocab as V
 from quadloom.model import OBJECT, TRIPLE_KEY, graph_list
 from quadloom.operators.closure import transitive_closure
-from quadloom.operators.scan import Quads, frame, match
+from quadloom.operators.scan import Quads, match
 from quadloom.session import materialize, scratch_path
 
 EQUIVALENT_PROPERTY = "EQUIVALENT_PROPERTY"
@@ -128,23 +128,33 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
     def node(direction: str, name: str) -> Column:
         return F.concat(F.lit(direction), F.col(name))
 
-    steps = []
+    def edges(kind: str, pairs: DataFrame, x: Column | str = "a", y: Column | str = "b") -> DataFrame:
+        x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+        return pairs.select(F.lit(kind).alias("kind"), *by, x.alias("x"), y.alias("y"))
+
+    steps = [edges("class", eq_class.union(sub_class))]
     for d, turned in ((FORWARD, BACKWARD), (BACKWARD, FORWARD)):
         for pairs, to in ((eq_prop.union(sub_prop), d), (inverse, turned)):
-            steps.append(pairs.select(*by, node(d, "a").alias("x"), node(to, "b").alias("y")))
-    closed = transitive_closure(reduce(DataFrame.union, steps), by).where(F.col("x").startswith(FORWARD))
-    properties = closed.select(
-        *by,
-        F.expr("substring(x, 2)").alias("p"),
-        F.expr("substring(y, 2)").alias("q"),
-        F.expr("substring(y, 1, 1)").alias("turn"),
-    ).where(~((F.col("p") == F.col("q")) & (F.col("turn") == FORWARD)))
-
-    class_edges = eq_class.union(sub_class).select(*by, F.col("a").alias("x"), F.col("b").alias("y"))
-    classes = (
-        transitive_closure(class_edges, by)
-        .where("x <> y")
-        .select(*by, F.col("x").alias("c"), F.col("y").alias("d"))
+            steps.append(edges("property", pairs, node(d, "a"), node(to, "b")))
+    declaring = {
+        V.SUB_PROPERTY_OF: sub_prop, V.SUB_CLASS_OF: sub_class,
+        V.EQUIVALENT_PROPERTY: eq_prop, V.EQUIVALENT_CLASS: eq_class,
+    }
+    steps += [edges(p, pairs) for p, pairs in declaring.items()]
+    # all declarations close in one loop, each kind by itself
+    closed = transitive_closure(reduce(DataFrame.union, steps), ("kind", *by))
+    properties = (
+        closed.where((F.col("kind") == "property") & F.col("x").startswith(FORWARD))
+        .select(
+            *by,
+            F.expr("substring(x, 2)").alias("p"),
+            F.expr("substring(y, 2)").alias("q"),
+            F.expr("substring(y, 1, 1)").alias("turn"),
+        )
+        .where(~((F.col("p") == F.col("q")) & (F.col("turn") == FORWARD)))
+    )
+    classes = closed.where("kind = 'class' and x <> y").select(
+        *by, F.col("x").alias("c"), F.col("y").alias("d")
     )
 
     # domains and ranges of every implied property apply to the property itself
@@ -182,19 +192,11 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
     )
     all_values = on.join(only, [*by, "r"])
 
-    triples = [
-        sub.select(*_iri_fact(by, "a", p, "b"))
-        for sub, p in ((eq_prop, V.EQUIVALENT_PROPERTY), (inverse, V.INVERSE_OF), (eq_class, V.EQUIVALENT_CLASS))
-    ]
-    for rule, edges, p in (
-        (SUBPROPERTY_OF, sub_prop, V.SUB_PROPERTY_OF),
-        (SUBCLASS_OF, sub_class, V.SUB_CLASS_OF),
-        (EQUIVALENT_PROPERTY, eq_prop, V.EQUIVALENT_PROPERTY),
-        (EQUIVALENT_CLASS, eq_class, V.EQUIVALENT_CLASS),
-    ):
-        if rule in rules:
-            pairs = transitive_closure(edges.select(*by, F.col("a").alias("x"), F.col("b").alias("y")), by)
-            triples.append(pairs.where("x <> y").select(*_iri_fact(by, "x", p, "y")))
+    # the declarations that follow: closed ones, and inverses read the other way
+    triples = closed.where(F.col("kind").isin(*declaring) & (F.col("x") != F.col("y"))).select(
+        *_iri_fact(by, "x", F.col("kind"), "y")
+    )
+    triples = triples.union(inverse.select(*_iri_fact(by, "a", V.INVERSE_OF, "b")))
 
     # one row decides whether facts can feed each other
     recursive = (
@@ -203,7 +205,7 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
         or not properties.where(F.col("p") == V.RDF_TYPE).isEmpty()
     )
     return Declarations(
-        by, properties, typing, classes, has_value, all_values, reduce(DataFrame.union, triples), recursive
+        by, properties, typing, classes, has_value, all_values, triples, recursive
     )
 
 
@@ -301,7 +303,7 @@ def infer(
     """
     rules = rules_of(rulesets, defaults)
     by = ("g",) if per_graph else ()
-    df = match(q, graphs=graph_list(contexts) or None)[0] if graph_list(contexts) else frame(q)
+    df = match(q, graphs=graph_list(contexts) or None)[0]
     known = df.select(*by, *FACT)
     if not rules:
         return known.limit(0)

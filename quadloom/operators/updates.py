@@ -5,7 +5,7 @@ Nothing is written here; ``sources.snapshots`` stores states as versions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -52,11 +52,6 @@ def only_new(base: DataFrame, new: DataFrame) -> DataFrame:
     return new.join(held, same(new, held, QUAD_KEY), "left_anti")
 
 
-def add_quads(base: DataFrame, new: DataFrame) -> DataFrame:
-    """Set union; ``base`` is a set already and is not made distinct again."""
-    return base.select(*QUAD_COLUMNS).union(only_new(base, new))
-
-
 # -- contexts ----------------------------------------------------------------------
 
 
@@ -91,55 +86,68 @@ def matches(s=None, p=None, o=None, contexts: Iterable = ()) -> Column:
 
 @dataclass(frozen=True)
 class Store:
-    """A set of quads and the graphs registered without content."""
+    """A set of quads, additions to it, and the graphs registered without content.
 
-    quads: DataFrame
+    ``base`` is a set; ``added`` is a bag that may repeat quads.  Additions are
+    merged when the state is read, once for any number of operations.
+    """
+
+    base: DataFrame
+    added: DataFrame | None = None
     registered: DataFrame | None = None
 
-    def _with(self, quads: DataFrame) -> Store:
-        return replace(self, quads=quads.select(*QUAD_COLUMNS))
+    @property
+    def quads(self) -> DataFrame:
+        """The state as a set of quads."""
+        base = self.base.select(*QUAD_COLUMNS)
+        return base if self.added is None else base.union(only_new(base, self.added))
+
+    def _each(self, change: Callable[[DataFrame], DataFrame]) -> Store:
+        """Apply a removal to the base and to the additions."""
+        added = None if self.added is None else change(self.added)
+        return replace(self, base=change(self.base), added=added)
 
     # statements
 
     def add(self, new: DataFrame, contexts: Iterable = ()) -> Store:
-        return self._with(add_quads(self.quads, in_contexts(new, contexts)))
+        new = in_contexts(new, contexts)
+        return replace(self, added=new if self.added is None else self.added.union(new))
 
     def insert_data(self, rows: Iterable[tuple]) -> Store:
         """INSERT DATA: constant quads, the default graph unless one is given."""
-        return self.add(statements(self.quads.sparkSession, rows))
+        return self.add(statements(self.base.sparkSession, rows))
 
     def delete_data(self, rows: Iterable[tuple]) -> Store:
         """DELETE DATA: exactly these quads; absent ones are ignored."""
-        return self.remove_statements(statements(self.quads.sparkSession, rows))
+        return self.remove_statements(statements(self.base.sparkSession, rows))
 
     def remove(self, s=None, p=None, o=None, contexts: Iterable = ()) -> Store:
         """Remove by pattern; no contexts removes from every graph."""
-        return self._with(self.quads.where(~matches(s, p, o, contexts)))
+        return self._each(lambda df: df.where(~matches(s, p, o, contexts)))
 
     def remove_statements(
         self, gone: DataFrame, contexts: Iterable = (), any_graph: bool = False
     ) -> Store:
         """Remove given quads from their own graph, from ``contexts``, or from all graphs."""
         if any_graph and not graph_list(contexts):
-            return self._with(without(self.quads, gone, QUAD_KEY[1:]))
-        return self._with(without(self.quads, in_contexts(gone, contexts)))
+            return self._each(lambda df: without(df, gone, QUAD_KEY[1:]))
+        return self._each(lambda df: without(df, in_contexts(gone, contexts)))
 
     def modify(self, where: Solutions, delete=(), insert=(), graph=None) -> Store:
         """DELETE/INSERT WHERE: both templates use the old state; deletes go first."""
-        quads = self.quads
+        store = self
         if delete:
-            quads = without(quads, instantiate(where, delete, graph))
+            store = store.remove_statements(instantiate(where, delete, graph))
         if insert:
-            quads = add_quads(quads, instantiate(where, insert, graph))
-        return self._with(quads)
+            store = store.add(instantiate(where, insert, graph))
+        return store
 
     # graphs
 
     def graph_exists(self, graph) -> bool:
-        g = graph_iri(graph)
-        if not self.quads.where(F.col("g") == g).isEmpty():
-            return True
-        return self.registered is not None and not self.registered.where(F.col("g") == g).isEmpty()
+        here = F.col("g") == graph_iri(graph)
+        places = [self.base, self.added, self.registered]
+        return any(df is not None and not df.where(here).isEmpty() for df in places)
 
     def _need(self, graph) -> None:
         if not self.graph_exists(graph):
@@ -148,33 +156,36 @@ class Store:
     def clear(self, contexts: Iterable | None = None) -> Store:
         """Clear everything, or the listed graphs; an empty list is the default graph."""
         if contexts is None:
-            return self._with(self.quads.limit(0))
+            return replace(self, base=self.base.where(F.lit(False)), added=None)
         graphs = graph_list(contexts) or [V.DEFAULT_GRAPH]
         for g in graphs:
             if g != V.DEFAULT_GRAPH:
                 self._need(g)
-        return self._with(self.quads.where(~F.col("g").isin(graphs)))
+        return self._each(lambda df: df.where(~F.col("g").isin(graphs)))
 
     def create_graph(self, graph) -> Store:
         g = graph_iri(graph)
         if self.graph_exists(g):
             raise ValueError(f"graph exists: {g}")
-        row = self.quads.sparkSession.createDataFrame([(g,)], "g string")
+        row = self.base.sparkSession.createDataFrame([(g,)], "g string")
         return replace(self, registered=row if self.registered is None else self.registered.union(row))
 
     def drop_graph(self, graph) -> Store:
-        g = graph_iri(graph)
-        self._need(g)
-        registered = None if self.registered is None else self.registered.where(F.col("g") != g)
-        return Store(self.quads.where(F.col("g") != g), registered)
+        self._need(graph)
+        other = F.col("g") != graph_iri(graph)
+        registered = None if self.registered is None else self.registered.where(other)
+        return replace(self._each(lambda df: df.where(other)), registered=registered)
 
     def add_graph(self, source, target) -> Store:
         """ADD source TO target."""
         self._need(source)
-        if graph_iri(source) == graph_iri(target):
-            return self
-        rows = self.quads.where(F.col("g") == graph_iri(source))
-        return self.add(rows, [target])
+        store = self
+        if graph_iri(source) != graph_iri(target):
+            here = F.col("g") == graph_iri(source)
+            for part in (self.base, self.added):
+                if part is not None:
+                    store = store.add(part.where(here), [target])
+        return store
 
     def copy_graph(self, source, target) -> Store:
         """COPY source TO target: the target becomes the source's content."""
@@ -182,8 +193,12 @@ class Store:
         self._need(a)
         if a == b:
             return self
-        copied = self.quads.where(F.col("g") == a).withColumn("g", F.lit(b)).select(*QUAD_COLUMNS)
-        return self._with(self.quads.where(F.col("g") != b).union(copied))
+
+        def copied(df: DataFrame) -> DataFrame:
+            here = F.when(F.col("g") == a, F.array(F.lit(a), F.lit(b))).otherwise(F.array("g"))
+            return df.where(F.col("g") != b).withColumn("g", F.explode(here)).select(*QUAD_COLUMNS)
+
+        return self._each(copied)
 
     def move_graph(self, source, target) -> Store:
         """MOVE source TO target."""
@@ -191,6 +206,5 @@ class Store:
         self._need(a)
         if a == b:
             return self
-        kept = self.quads.where(F.col("g") != b)
         moved = F.when(F.col("g") == a, F.lit(b)).otherwise(F.col("g"))
-        return self._with(kept.withColumn("g", moved))
+        return self._each(lambda df: df.where(F.col("g") != b).withColumn("g", moved).select(*QUAD_COLUMNS))

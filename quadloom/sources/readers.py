@@ -98,27 +98,42 @@ def parse_lines(lines: DataFrame, with_graph: bool = True) -> DataFrame:
     fields = F.split(
         F.regexp_replace("line", STATEMENT_FORM, f"$1{SEP}$2{SEP}$4{SEP}$3"), SEP, 4
     )
-    df = lines.withColumn("f", fields)
-    ok = F.size("f") == 4
     s, p, g, o = (F.get("f", F.lit(i)) for i in range(4))
-    is_lit = o.startswith('"')
-    suffix = F.when(is_lit, F.substring_index(o, '"', -1))
-    form = o.substr(F.lit(2), F.length(o) - F.length(suffix) - 2)
-    df = df.select(
-        *[c for c in df.columns if c != "f"],
-        _node(g).alias("g"),
-        _node(s).alias("s"),
-        _node(p).alias("p"),
-        F.when(is_lit, T.unescape(form)).otherwise(_node(o)).alias("o"),
-        F.when(is_lit, F.lit("lit")).otherwise(F.lit("iri")).alias("o_kind"),
-        F.when(suffix.startswith("^^"), _node(suffix.substr(F.lit(3), F.length(suffix)))).alias("o_dt"),
-        F.when(suffix.startswith("@"), suffix.substr(F.lit(2), F.length(suffix))).alias("o_lang"),
-        ok.alias("ok"),
-    )
+    df = computed_once(lines, f=fields)
+    df = computed_once(
+        df,
+        ok=F.size("f") == 4,
+        g=_node(g),
+        s=_node(s),
+        p=_node(p),
+        token=o,
+        suffix=F.when(o.startswith('"'), F.substring_index(o, '"', -1)),
+    ).drop("f")
+    token, suffix = F.col("token"), F.col("suffix")
+    is_lit = suffix.isNotNull()
+    form = token.substr(F.lit(2), F.length(token) - F.length(suffix) - 2)
+    df = computed_once(
+        df,
+        o=F.when(is_lit, T.unescape(form)).otherwise(_node(token)),
+        o_kind=F.when(is_lit, F.lit("lit")).otherwise(F.lit("iri")),
+        o_dt=F.when(suffix.startswith("^^"), _node(suffix.substr(F.lit(3), F.length(suffix)))),
+        o_lang=F.when(suffix.startswith("@"), suffix.substr(F.lit(2), F.length(suffix))),
+    ).drop("token", "suffix")
     problem = _literal_problem()
     if not with_graph:
         problem = F.when(F.col("g").isNotNull(), F.lit("unexpected graph")).otherwise(problem)
-    return df.withColumn("problem", F.when(~F.col("ok"), F.lit("malformed line")).otherwise(problem)).drop("ok")
+    problem = F.when(~F.col("ok"), F.lit("malformed line")).otherwise(problem)
+    return computed_once(df, problem=problem).drop("ok")
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters refer to as values.
+
+    A filter over plain computed columns would be moved below them and repeat
+    their expressions, here costly ones over whole texts, once per use.
+    """
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*df.columns, F.inline(F.array(row)))
 
 
 def _node(token: Column) -> Column:
@@ -159,10 +174,8 @@ def parse_rdfjson(docs: DataFrame) -> DataFrame:
         F.nullif("lang", F.lit("")).alias("o_lang"),
     ).where(F.col("bad") | F.col("s").isNotNull())
     missing = F.col("s").isNull() | F.col("p").isNull() | F.col("o").isNull()
-    return df.withColumn(
-        "problem",
-        F.when(F.col("bad") | missing, F.lit("malformed document")).otherwise(_literal_problem()),
-    ).drop("bad")
+    problem = F.when(F.col("bad") | missing, F.lit("malformed document")).otherwise(_literal_problem())
+    return computed_once(df, problem=problem).drop("bad")
 
 
 # -- documents with embedded triples ------------------------------------------------
@@ -173,7 +186,7 @@ def embedded_schema(element: str = "sem") -> str:
     e = element
     obj = "struct<_VALUE: string, _datatype: string, `_xml:lang`: string>"
     one = f"struct<`{e}:subject`: string, `{e}:predicate`: string, `{e}:object`: {obj}>"
-    return f"struct<`{e}:triples`: array<struct<`{e}:triple`: array<{one}>>>"
+    return f"struct<`{e}:triples`: array<struct<`{e}:triple`: array<{one}>>>>"
 
 
 def extract_embedded(

@@ -99,7 +99,7 @@ class SnapshotStore:
         """The version as an in-plan state for ``operators.updates``."""
         names = self.registered(version)
         graphs = self.spark.createDataFrame([(g,) for g in names], "g string") if names else None
-        return Store(self.read(version), graphs)
+        return Store(self.read(version), registered=graphs)
 
     # -- writing -----------------------------------------------------------------
 
