@@ -34,35 +34,40 @@ def _without(pairs: DataFrame, known: DataFrame, by: tuple[str, ...]) -> DataFra
 def transitive_closure(edges: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Distinct pairs (x, y) joined by a path of one or more edges, within each ``by``.
 
-    Round k knows the pairs at distance below 2^k (``known``) and exactly 2^k
-    (``step``).  Every pair is found once, at its shortest distance, so cycles end
-    by themselves and the number of rounds is logarithmic in the longest distance.
+    After round k all pairs up to distance 2^k are known and those at exactly 2^k
+    are marked ``far``.  The next round follows any known pair by a far one.  Every
+    pair is stored once, at its shortest distance, so cycles end by themselves and
+    the number of rounds is logarithmic in the longest distance.
     """
     spark = edges.sparkSession
     root = scratch_path(spark, "closure")
     cols = [*by, "x", "y"]
-    step = materialize(edges.select(*cols).distinct(), f"{root}/step-0")
-    schema, found, k = step.schema, [], 0
+    found = [f"{root}/round-0"]
+    last = materialize(edges.select(*cols).distinct().withColumn("far", F.lit(True)), found[0])
+    schema = last.schema
 
     def read(paths: list[str]) -> DataFrame:
         return spark.read.schema(schema).parquet(*paths)
 
-    while not step.isEmpty():
-        known = read(found) if found else None
-        found.append(f"{root}/step-{k}")
-        upto = read(found)
-        if known is not None:
-            longer = _without(_compose(known, step, by), upto, by)
-            longer.write.mode("overwrite").parquet(f"{root}/between-{k}")
-            found.append(f"{root}/between-{k}")
-            upto = read(found)
-        k += 1
-        step = materialize(_without(_compose(step, step, by), upto, by), f"{root}/step-{k}")
-    return read(found) if found else step
+    while True:
+        step = last.where("far")
+        if step.isEmpty():
+            return read(found).select(*cols)
+        left = last
+        if len(found) > 1:
+            left = left.union(read(found[:-1]).withColumn("far", F.lit(False)))
+        a = left.select(*by, F.col("x").alias("a_x"), F.col("y").alias("mid"), "far")
+        b = step.select(*by, F.col("x").alias("mid"), F.col("y").alias("b_y"))
+        longer = a.join(b, [*by, "mid"]).select(*by, F.col("a_x").alias("x"), F.col("b_y").alias("y"), "far")
+        # reached by a shorter way as well: not far
+        longer = longer.groupBy(*cols).agg(F.bool_and("far").alias("far"))
+        path = f"{root}/round-{len(found)}"
+        last = materialize(_without(longer, read(found), by).select(*cols, "far"), path)
+        found.append(path)
 
 
 # Edges followed per round of ``reachable``.
-HOPS = 3
+HOPS = 4
 
 
 def reachable(edges: DataFrame, seeds: DataFrame) -> DataFrame:

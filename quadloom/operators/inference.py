@@ -51,6 +51,9 @@ RULESETS = {
 }
 
 FACT = TRIPLE_KEY + ("o_num", "o_ts")
+
+# Most predicate names a filter lists.
+NAME_LIMIT = 1000
 FORWARD, BACKWARD = "f", "b"
 SUBJECT, OBJECT_POS = "s", "o"
 
@@ -75,7 +78,9 @@ class Declarations:
     has_value: DataFrame  # r, p, o, o_kind, o_dt, o_lang, o_num, o_ts
     all_values: DataFrame  # r, p, cls
     triples: DataFrame  # declarations implied by the declarations, as facts
-    recursive: bool
+    recursive: bool  # can new facts lead to more?
+    sources: set[str] | None  # predicates a rule starts from; None = any
+    targets: set[str] | None  # predicates a rule can give; None = any
 
 
 def _declared(schema: DataFrame, by: tuple[str, ...], predicate: str) -> DataFrame:
@@ -198,15 +203,26 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
     )
     triples = triples.union(inverse.select(*_iri_fact(by, "a", V.INVERSE_OF, "b")))
 
-    # one row decides whether facts can feed each other
-    recursive = (
-        not has_value.isEmpty()
-        or not all_values.isEmpty()
-        or not properties.where(F.col("p") == V.RDF_TYPE).isEmpty()
-    )
-    return Declarations(
-        by, properties, typing, classes, has_value, all_values, triples, recursive
-    )
+    roles = [
+        properties.select(F.lit("source").alias("role"), "p"),
+        properties.select(F.lit("target"), F.col("q")),
+        typing.select(F.lit("source"), F.col("p")),
+        classes.select(F.lit("class"), F.lit(V.RDF_TYPE)),
+        has_value.select(F.lit("loop"), F.col("p")),
+        all_values.select(F.lit("loop"), F.col("p")),
+    ]
+    # predicate names, a few of them; with too many nothing is narrowed down
+    named = reduce(DataFrame.union, roles).distinct().limit(NAME_LIMIT + 1).collect()
+    sources = targets = None
+    recursive = True
+    if len(named) <= NAME_LIMIT:
+        names = {role: {n for r, n in named if r == role} for role in ("source", "target", "class", "loop")}
+        recursive = bool(names["loop"]) or V.RDF_TYPE in names["source"]
+        sources = names["source"] | names["class"] | names["loop"]
+        if names["loop"]:
+            sources.add(V.RDF_TYPE)
+        targets = names["target"] | names["loop"] | {V.RDF_TYPE, *DECLARING}
+    return Declarations(by, properties, typing, classes, has_value, all_values, triples, recursive, sources, targets)
 
 
 def _flipped(by, p: Column) -> list[Column]:
@@ -315,19 +331,27 @@ def infer_with(known: DataFrame, d: Declarations) -> DataFrame:
     """Apply closed declarations to facts."""
     spark, by = known.sparkSession, d.by
     triples = d.triples.select(*by, *FACT)
+    # only these predicates are read and compared, not the whole data
+    fire = _with_predicates(known, d.sources)
+    held = _with_predicates(known, d.targets)
     if not d.recursive:
-        return _new_facts(_implied(known, known, d).union(triples), known, by)
+        return _new_facts(_implied(fire, fire, d).union(triples), held, by)
     root = scratch_path(spark, "infer")
     found = [f"{root}/round-0"]
-    delta = materialize(_new_facts(_implied(known, known, d).union(triples), known, by), found[0])
+    delta = materialize(_new_facts(_implied(fire, fire, d).union(triples), held, by), found[0])
     while not delta.isEmpty():
-        everything = known.union(spark.read.schema(delta.schema).parquet(*found))
+        inferred = spark.read.schema(delta.schema).parquet(*found)
+        derived = _implied(_with_predicates(delta, d.sources), fire.union(inferred), d)
         path = f"{root}/round-{len(found)}"
-        delta = materialize(_new_facts(_implied(delta, everything, d), everything, by), path)
+        delta = materialize(_new_facts(derived, held.union(inferred), by), path)
         found.append(path)
     return spark.read.schema(delta.schema).parquet(*found)
 
 
+def _with_predicates(facts: DataFrame, names: set[str] | None) -> DataFrame:
+    return facts if names is None else facts.where(F.col("p").isin(sorted(names)))
+
+
 def with_inferred(
     q: Quads,
     rulesets: Iterable[str | None] = (),

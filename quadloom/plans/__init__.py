@@ -1,8 +1,20 @@
 """Registered queries over the driver's tables."""
 
-from quadloom.plans import changing, inferring, matching, scans, shaping, storing, walking
+from quadloom.plans import (
+    changing,
+    computing,
+    documents,
+    flowing,
+    inferring,
+    matching,
+    scans,
+    shaping,
+    storing,
+    walking,
+)
 from quadloom.plans.registry import QUERIES, SQL
 
 __all__ = [
-    "QUERIES", "SQL", "changing", "inferring", "matching", "scans", "shaping", "storing", "walking",
+    "QUERIES", "SQL", "changing", "computing", "documents", "flowing", "inferring", "matching",
+    "scans", "shaping", "storing", "walking",
 ]

@@ -19,9 +19,8 @@ _COUNTS = "select g, count(*) as n from q group by g"
 
 
 def _store(spark, sf_dir, *graphs) -> Store:
-    """The named graphs as an updatable state."""
-    q = quads(spark, sf_dir)
-    return Store(q.limited(graphs=list(graphs)).df if graphs else q.df)
+    """The named graphs, stored, as an updatable state."""
+    return _snapshot(spark, sf_dir, *graphs).store()
 
 
 @query(quads_sql("customer", "vip") + _COUNTS)
@@ -68,8 +67,7 @@ select p, count(*) as n from q where not (s = 'urn:nation:3' and p = 'urn:p:name
 """)
 def delete_data_typed(spark, sf_dir):
     """DELETE DATA needs the exact term; without a graph it means the default graph."""
-    q = quads(spark, sf_dir).limited(graphs=[V.DEFAULT_GRAPH, G + "part"]).df
-    store = Store(q).delete_data(
+    store = _store(spark, sf_dir, V.DEFAULT_GRAPH, G + "part").delete_data(
         [
             ("urn:nation:3", P + "name", lit("NATION_3")),
             ("urn:nation:4", P + "name", lit("NATION_4", lang="en")),  # another term
@@ -157,7 +155,9 @@ def add_graph_create_drop(spark, sf_dir):
 
 def _snapshot(spark, sf_dir, *graphs) -> SnapshotStore:
     store = SnapshotStore(spark, scratch_path(spark, "store"))
-    store.replace(quads(spark, sf_dir).limited(graphs=list(graphs)).stacked())
+    q = quads(spark, sf_dir)
+    # the tables' keys make every graph a set, so nothing has to be made distinct
+    store.commit(adds=(q.limited(graphs=list(graphs)) if graphs else q).stacked())
     return store
 
 
