@@ -138,12 +138,20 @@ class Solutions:
 
     # -- combining -----------------------------------------------------------
 
-    def join(self, other: Solutions) -> Solutions:
-        """Inner join on the shared variables."""
+    def join(self, other: Solutions, spread: int = 1) -> Solutions:
+        """Inner join on the shared variables.
+
+        ``spread`` splits hot keys of this side over that many tasks; see ``_spread``.
+        Without it a skewed join is left to adaptive execution.
+        """
         left, right, shared = _align(self, other)
         sure = [v for v in shared if v not in left.maybe | right.maybe]
         if sure or not shared:
-            out = _join(left, right, shared, "inner") if sure else _product(left, right, outer=False)
+            out = (
+                _join(left, right, shared, "inner", spread=spread)
+                if sure
+                else _product(left, right, outer=False)
+            )
         else:
             out = reduce(
                 Solutions.union,
@@ -159,13 +167,15 @@ class Solutions:
         )
         return replace(out, maybe=maybe)
 
-    def optional(self, other: Solutions, condition: Column | None = None) -> Solutions:
+    def optional(
+        self, other: Solutions, condition: Column | None = None, spread: int = 1
+    ) -> Solutions:
         """Left join; ``condition`` is a FILTER inside the optional part."""
         left, right, shared = _align(self, other)
         sure = [v for v in shared if v not in left.maybe | right.maybe]
         maybe = left.maybe | (frozenset(right.vars) - frozenset(left.vars))
         if sure:
-            return replace(_join(left, right, shared, "left", condition), maybe=maybe)
+            return replace(_join(left, right, shared, "left", condition, spread), maybe=maybe)
         if condition is not None:
             raise ValueError("an optional part with a filter needs a shared variable that is always bound")
         if not shared:
@@ -275,10 +285,35 @@ def _renamed(sol: Solutions, names) -> tuple[DataFrame, Callable[[str], Column]]
     return df, lambda c: F.col(moved.get(c, c))
 
 
-def _join(left: Solutions, right: Solutions, shared, how: str, condition: Column | None = None) -> Solutions:
+def _spread(ldf: DataFrame, rdf: DataFrame, key: str, rkey: str, spread: int):
+    """Split the rows of hot left keys over ``spread`` shares; copy their right rows to each.
+
+    A key is hot when it holds more than 1/spread of the left rows, so there are
+    fewer than ``spread`` of them; that list is what is broadcast.  Shares come from
+    a hash of the row, so a task that runs again makes the same ones.
+    """
+    rows = ldf.agg(F.count(F.lit(1)).alias("n")).scalar()
+    hot = ldf.groupBy(F.col(key).alias("hot__")).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(hot.where(F.col("n") * spread > rows).select("hot__"))
+    is_hot = F.col("hot__").isNotNull()
+    share = F.when(is_hot, F.pmod(F.xxhash64(*ldf.columns), F.lit(spread))).otherwise(0)
+    shares = F.sequence(F.lit(0), F.when(is_hot, F.lit(spread - 1)).otherwise(F.lit(0)))
+    ldf = ldf.join(hot, F.col(key) == F.col("hot__"), "left").withColumn("l__share", share.cast("int"))
+    rdf = rdf.join(hot, F.col(rkey) == F.col("hot__"), "left").withColumn("r__share", F.explode(shares))
+    return ldf.drop("hot__"), rdf.drop("hot__")
+
+
+def _join(
+    left: Solutions, right: Solutions, shared, how: str, condition: Column | None = None, spread: int = 1
+) -> Solutions:
     rdf, rcol = _renamed(right, shared)
     ldf = left.df.select(*left._all_columns())
     cond = None
+    if spread > 1:
+        # the share belongs to a key that is always bound
+        key = next(v for v in shared if v not in left.maybe | right.maybe)
+        ldf, rdf = _spread(ldf, rdf, key, f"r__{key}", spread)
+        cond = F.col("l__share") == F.col("r__share")
     for v in shared:
         eq = F.col(v) == rcol(v)
         if v in left.terms and v in right.terms:

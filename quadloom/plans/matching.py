@@ -300,3 +300,26 @@ def bind_expr(spark, sf_dir):
     sol = bgp(quads(spark, sf_dir), [("?part", P + "size", "?size"), ("?part", P + "price", "?price")], graph=G + "part")
     bound = sol.bind("label", F.when(num("size") > 25, "large").otherwise("small"), dt="urn:label")
     return bound.select("part", "label", stock=F.round(num("price") * num("size"), 2))
+
+
+@query("""
+select 'urn:order:' || o_orderkey as o, 'urn:customer:' || o_custkey as c, c_name as name,
+c_mktsegment as segment from orders join customer on o_custkey = c_custkey
+""")
+def join_spread_hot_keys(spark, sf_dir):
+    """A customer with very many orders is split over several tasks."""
+    q = quads(spark, sf_dir)
+    orders = pattern(q, "?o", P + "placedBy", "?c", graph=G + "orders")
+    customers = bgp(q, [("?c", P + "name", "?name"), ("?c", P + "segment", "?segment")], graph=G + "customer")
+    return orders.join(customers, spread=16).select("o", "c", "name", "segment")
+
+
+@query("""
+select n_name as nation, 'urn:customer:' || c_custkey as c from nation left join customer
+on c_nationkey = n_nationkey and c_acctbal > 9500
+""")
+def optional_spread_hot_keys(spark, sf_dir):
+    q = quads(spark, sf_dir)
+    nations = pattern(q, "?n", P + "name", "?nation", from_=[None]).filter(var("n").startswith("urn:nation:"))
+    rich = bgp(q, [("?c", P + "inNation", "?n"), ("?c", P + "acctbal", "?b")], graph=G + "customer")
+    return nations.optional(rich.filter(num("b") > 9500), spread=16).select("nation", "c")
