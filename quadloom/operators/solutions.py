@@ -79,7 +79,10 @@ class Solutions:
         return self._with(self.df.where(condition))
 
     def project(self, *names: str) -> Solutions:
-        names = names or self.vars
+        """Keep the named variables, or all of them."""
+        return self._only(names or self.vars)
+
+    def _only(self, names) -> Solutions:
         keep = [c for v in names for c in self.columns_of(v)]
         return Solutions(
             self.df.select(*keep), tuple(names), self.terms & frozenset(names), self.maybe & frozenset(names)
@@ -275,7 +278,7 @@ def _align(left: Solutions, right: Solutions) -> tuple[Solutions, Solutions, lis
 
 
 def _drop_vars(sol: Solutions, names) -> Solutions:
-    return sol.project(*[v for v in sol.vars if v not in names])
+    return sol._only([v for v in sol.vars if v not in names])
 
 
 def _renamed(sol: Solutions, names) -> tuple[DataFrame, Callable[[str], Column]]:
@@ -387,7 +390,9 @@ def _product(left: Solutions, right: Solutions, outer: bool) -> Solutions:
             )
         small, big = (left, right)
     cols = small._all_columns()
-    packed = small.df.agg(F.collect_list(F.struct(*cols)).alias("rows"))
+    # solutions without variables still count
+    row = F.struct(*(cols or [F.lit(True).alias("unit__")]))
+    packed = small.df.agg(F.collect_list(row).alias("rows"))
     unpack = F.inline_outer if outer else F.inline
     df = big.df.select(*big._all_columns(), unpack(packed.scalar()))
     return Solutions(

@@ -28,7 +28,8 @@ from quadloom.model import QUAD_COLUMNS, QUAD_KEY, QUAD_SCHEMA, empty_quads, gra
 from quadloom.operators.updates import Store, distinct_quads, in_contexts, matches, only_new, without
 
 MANIFEST_SCHEMA = (
-    "version long, base long, dels boolean, cleared boolean, registered array<string>, batch long"
+    "version long, base long, dels boolean, cleared boolean, registered array<string>, "
+    "batches array<struct<stream: string, batch: long>>"
 )
 KEY_SCHEMA = ", ".join(f"{c} string" for c in QUAD_KEY)
 
@@ -44,7 +45,7 @@ class Manifest:
     dels: bool = False  # any removals since the base?
     cleared: bool = False  # any cleared graphs since the base?
     registered: tuple[str, ...] = ()
-    batch: int = -1  # last stream batch contained
+    batches: tuple[tuple[str, int], ...] = ()  # last batch contained, per stream
 
 
 class SnapshotStore:
@@ -67,10 +68,15 @@ class SnapshotStore:
         row = rows.orderBy(F.col("version").desc()).first()  # one small row per version
         if row is None:
             raise ValueError(f"no such version: {version}")
+        batches = tuple((b["stream"], b["batch"]) for b in row["batches"])
         return Manifest(
-            row["version"], row["base"], row["dels"], row["cleared"], tuple(row["registered"]), row["batch"]
+            row["version"], row["base"], row["dels"], row["cleared"], tuple(row["registered"]), batches
         )
 
+    def holds(self, stream: str, batch: int) -> bool:
+        """Has this batch of a stream been committed already?"""
+        return dict(self.manifest().batches).get(stream, -1) >= batch
+
     def _read(self, kind: str, schema: str, m: Manifest) -> DataFrame:
         df = self.spark.read.schema(schema + ", ver long").parquet(f"{self.path}/{kind}")
         return df.where(F.col("ver").between(m.base, m.version))
@@ -109,7 +115,7 @@ class SnapshotStore:
         dels: DataFrame | None = None,
         cleared: Iterable[str] = (),
         registered: Iterable[str] | None = None,
-        batch: int | None = None,
+        batch: tuple[str, int] | None = None,
         reset: bool = False,
     ) -> int:
         """Write the next version: clear, remove, then add.  Returns its number.
@@ -135,7 +141,7 @@ class SnapshotStore:
             dels is not None or (m.dels and not reset),
             bool(cleared) or (m.cleared and not reset),
             sorted(set(names)),
-            m.batch if batch is None else batch,
+            sorted({**dict(m.batches), **dict([batch] if batch else [])}.items()),
         )
         # refuses to overwrite: another writer got there first
         self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(
@@ -152,9 +158,9 @@ class SnapshotStore:
         # rebalance: few files per predicate, and a hot predicate is split over tasks
         adds.hint("rebalance", "p").write.mode("overwrite").partitionBy("p").parquet(target)
 
-    def add(self, new: DataFrame, contexts: Iterable = (), batch: int | None = None) -> int:
+    def add(self, new: DataFrame, contexts: Iterable = ()) -> int:
         """Set union as one version; appends only what is new."""
-        return self.commit(adds=only_new(self.read(), in_contexts(new, contexts)), batch=batch)
+        return self.commit(adds=only_new(self.read(), in_contexts(new, contexts)))
 
     def replace(self, quads: DataFrame) -> int:
         """A whole new content as the next version."""

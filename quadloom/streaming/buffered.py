@@ -9,7 +9,7 @@ batches; duplicates are found against the stored quads.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,8 +51,8 @@ def insert_stream(
     """Add a stream of quads to a store (set union)."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        if store.manifest().batch < batch_id:
-            store.commit(adds=only_new(store.read(), df), batch=batch_id)
+        if not store.holds(checkpoint, batch_id):
+            store.commit(adds=only_new(store.read(), df), batch=(checkpoint, batch_id))
 
     return _start(stream, batch, checkpoint, options)
 
@@ -67,7 +67,7 @@ def change_stream(
     """
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        if store.manifest().batch >= batch_id:
+        if store.holds(checkpoint, batch_id):
             return
         final = df.groupBy(*QUAD_KEY).agg(
             F.max_by("op", "seq").alias("op"), F.max("doc_id").alias("doc_id")
@@ -77,17 +77,36 @@ def change_stream(
         try:
             adds = with_values(final.where(F.col("op") == INSERT)).select(*QUAD_COLUMNS)
             dels = final.where(F.col("op") == DELETE).select(*QUAD_KEY)
-            store.commit(adds=only_new(store.read(), adds), dels=dels, batch=batch_id)
+            store.commit(adds=only_new(store.read(), adds), dels=dels, batch=(checkpoint, batch_id))
         finally:
             final.unpersist()
 
     return _start(stream, batch, checkpoint, options)
 
 
-def flush(query: StreamingQuery) -> None:
-    """Wait until everything that has arrived is stored; raises if the query failed."""
-    if query.isActive:
-        query.processAllAvailable()
-    query.awaitTermination(0)
-    if query.exception() is not None:
-        raise query.exception()
+class Buffer:
+    """A running buffered write that can be flushed on demand.
+
+    ``start`` is called with options and returns the running query, for example
+    ``lambda options: insert_stream(stream, store, checkpoint, options)``.
+    """
+
+    def __init__(self, start: Callable[[BufferOptions], StreamingQuery], options: BufferOptions):
+        self._start, self.options = start, options
+        self.query = start(options)
+
+    def flush(self) -> None:
+        """Store everything that has arrived; raises if the write failed.
+
+        A query that waits for its next interval cannot be hurried, so it is
+        replaced by one that drains the source from the same checkpoint.
+        """
+        self.stop()
+        self._start(replace(self.options, interval=None)).awaitTermination()
+        if self.options.interval is not None:
+            self.query = self._start(self.options)
+
+    def stop(self) -> None:
+        self.query.stop()
+        if self.query.exception() is not None:
+            raise self.query.exception()

@@ -21,7 +21,7 @@ ID, AD, G = "urn:id:", "urn:ad:", "urn:dirgraph"
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda t: [(x is not None, x) if x is not None else (False, "") for x in t])
 
 
 @pytest.fixture(scope="module")
