@@ -130,7 +130,7 @@ def _page(spark, sf_dir, start, length):
 
 @query("select c_name as name from customer where false")
 def empty_result(spark, sf_dir):
-    return pattern(quads(spark, sf_dir), "urn:customer:none", P + "name", "?name").select("name")
+    return pattern(quads(spark, sf_dir), "urn:customer:999999999999", P + "name", "?name").select("name")
 
 
 # -- aggregation -----------------------------------------------------------------
@@ -149,7 +149,7 @@ def count_bound(spark, sf_dir):
 @query("select count(*) as n, sum(x)::double as total from (select 0 as x where false)")
 def count_nothing(spark, sf_dir):
     """Without groups there is one row, also for no solutions."""
-    sol = pattern(quads(spark, sf_dir), "urn:customer:none", P + "acctbal", "?b")
+    sol = pattern(quads(spark, sf_dir), "urn:customer:999999999999", P + "acctbal", "?b")
     return A.group(sol, n=A.count("b"), total=A.max_num("b"))
 
 
