@@ -147,12 +147,12 @@ def with_positions(df: DataFrame, keys: list[Column], name: str = "position") ->
     )
     before, starts = 0, []
     for part, size in sorted((r["part__"], r["count"]) for r in numbered.groupBy("part__").count().collect()):
-        starts += [F.lit(part), F.lit(before)]
+        starts.append((part, before))
         before += size
-    if not starts:
-        return df.limit(0).withColumn(name, F.lit(0).cast("long"))
-    place = F.element_at(F.create_map(*starts), F.col("part__")) + F.col("row__") + 1
-    return numbered.select(*df.columns, place.cast("long").alias(name))
+    ahead = df.sparkSession.createDataFrame(starts, "part__ long, ahead__ long")
+    place = (F.col("ahead__") + F.col("row__") + 1).alias(name)
+    # one row per partition of the sort
+    return numbered.join(F.broadcast(ahead), "part__").select(*df.columns, place)
 
 
 def _deep_page(df: DataFrame, keys: list[Column], start: int, length: int) -> DataFrame:
