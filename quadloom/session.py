@@ -18,6 +18,9 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# The fallback folder of each local application; the setting itself cannot be changed at run time.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the recommended run-time settings to a session."""
@@ -29,17 +32,18 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the
-    other machines could not read it.
+    Only a local session may fall back to a temporary folder, one per
+    application: on a cluster the other machines could not read it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="quadloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="quadloom-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
