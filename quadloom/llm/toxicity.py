@@ -30,6 +30,7 @@ from quadloom.llm.learning import held_out, platt, sample, sigmoid
 POSITIVES, UNLABELLED, CHECKED = 4_000, 12_000, 8_000
 BUCKETS = 1 << 20  # of feature hashes
 FEATURES = 4_096  # features that are kept
+SURPLUS = 4.0  # deviations by which a feature is more frequent among positives
 LIMIT = 0.3
 CACHED = 200_000
 
@@ -80,15 +81,16 @@ def _csr(rows: list[np.ndarray], kept: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at[found], value[found]
 
 
-def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-3) -> Model:
+def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 600, rate: float = 0.1, decay: float = 0.02) -> Model:
     """Linear model of least non-negative positive-unlabelled risk (logistic loss)."""
     n_p, n_u = len(positive), len(unlabelled)
     in_p = np.bincount(np.concatenate(positive), minlength=BUCKETS)
     in_u = np.bincount(np.concatenate(unlabelled), minlength=BUCKETS) if n_u else np.zeros(BUCKETS)
-    # features more frequent among positives; a feature only they have reaches a lift of 1 / prior
-    lift = ((in_p + 0.1) / n_p) / ((in_u + 0.1 + prior) / max(1, n_u))
-    gain = np.where((in_p >= min(3, max(2, n_p // 20))) & (lift > 1.5), in_p * np.log(lift), 0.0)
-    kept = np.sort(np.argsort(-gain, kind="stable")[: min(FEATURES, int((gain > 0).sum()))])
+    # features clearly more frequent among positives than among all
+    expected = in_u * (n_p / max(1, n_u))
+    surplus = (in_p - expected) / np.sqrt(expected + 0.5)
+    clear = (in_p >= 3) & (surplus >= SURPLUS) & (in_p >= 2 * expected)
+    kept = np.sort(np.argsort(-np.where(clear, surplus, 0.0), kind="stable")[: min(FEATURES, int(clear.sum()))])
     p_at, p_value = _csr(positive, kept)
     u_at, u_value = _csr(unlabelled, kept)
     w, b = np.zeros(len(kept)), 0.0
