@@ -31,6 +31,7 @@ from quadloom.llm.common import column, cut, prepare
 
 TREES, BITS = 40, 24
 SHARE = 0.5
+LEAST = 256  # candidates, of every block that has as many
 BLOCK_ROWS = 16_384
 SEED = 11
 
@@ -54,27 +55,34 @@ class Forest:
 
     def candidates(self, queries: np.ndarray, share: float = SHARE) -> Iterator[np.ndarray]:
         """For each query the rows under the prefixes where the ascent ends."""
+        share = max(share, min(1.0, LEAST / len(self.ids)))
         codes = self._codes(queries @ self.axes)
         n, m = len(self.ids), len(queries)
-        level = np.full(m, 0)
-        ranges = np.zeros((2, self.trees, m), np.int64)
+        level = np.full(m, self.bits)
         open_ = np.ones(m, bool)
         for up in range(self.bits + 1):  # all trees give up one more bit
-            low = codes >> up << up
-            begin = np.stack([np.searchsorted(s, x) for s, x in zip(self.sorted, low)])
-            end = np.stack([np.searchsorted(s, x + (1 << up)) for s, x in zip(self.sorted, low)])
-            found = 1 - np.prod(1 - (end - begin) / n, axis=0)  # of independent trees
-            ranges[:, :, open_] = np.stack([begin, end])[:, :, open_]
-            level[open_] = up
+            begin, end = self._ranges(codes, up)
+            found = 1 - np.prod(1 - (end - begin) / n, axis=0)  # as if trees were independent: never too few bits
+            level[open_ & (found >= share)] = up
             open_ &= found < share
             if not open_.any():
                 break
         for q in range(m):
             mark = np.zeros(n, bool)
-            for t in range(self.trees):
-                mark[self.order[t, ranges[0, t, q] : ranges[1, t, q]]] = True
+            for up in range(int(level[q]), self.bits + 1):  # and more where they hold the same rows
+                begin, end = self._ranges(codes[:, q : q + 1], up)
+                for order, i, j in zip(self.order, begin[:, 0], end[:, 0]):
+                    mark[order[i:j]] = True
+                if np.count_nonzero(mark) >= share * n:
+                    break
             yield np.flatnonzero(mark)
 
+    def _ranges(self, codes: np.ndarray, up: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the prefixes without the last ``up`` bits begin and end in each tree."""
+        low = codes >> up << up
+        begin = np.stack([np.searchsorted(s, x) for s, x in zip(self.sorted, low)])
+        return begin, np.stack([np.searchsorted(s, x + (1 << up)) for s, x in zip(self.sorted, low)])
+
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, share: float = SHARE) -> list[tuple[int, int, float]]:
         """(query, row, distance) of up to ``k`` nearest candidates with another id, in order of distance and id."""
         out = []

@@ -39,7 +39,7 @@ _KINDS = np.zeros(256, np.int64)
 for _kind, _bytes in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" \t\n\r\x0b\x0c", b".,;:", b"!?", b"|", b"%&$#*@^~+=<>{}[]\\/_`"), 1):
     _KINDS[list(_bytes)] = _kind
 _KINDS[128:] = 9
-TEXT_FEATURES = 17
+TEXT_FEATURES, METADATA_FEATURES = 17, 6
 
 
 def text_view(texts: list[str | None]) -> np.ndarray:
@@ -68,7 +68,7 @@ def text_view(texts: list[str | None]) -> np.ndarray:
 
 def metadata_view(langs: list, sources: list, sizes: list, texts: list[str | None]) -> np.ndarray:
     """Size and layout as numbers, then language and source as numbers of their own."""
-    out = np.zeros((len(texts), 6), np.float32)
+    out = np.zeros((len(texts), METADATA_FEATURES), np.float32)
     for row, (lang, source, size, text) in enumerate(zip(langs, sources, sizes, texts)):
         lines = text.count("\n") + 1 if text else 0
         out[row] = [
@@ -183,9 +183,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
         rows = given.join(chosen, "doc_id").select(*given.columns, "quality").mapInArrow(by_batch(work), "doc_id long, quality int, x array<float>")
         got = rows.dropDuplicates().orderBy("doc_id", "x").toArrow()  # bounded by the sample
-        x = np.array(got["x"].to_pylist(), np.float32).reshape(got.num_rows, -1)
-        if not len(x):
-            x = np.zeros((0, TEXT_FEATURES + 6), np.float32)
+        x = np.array(got["x"].to_pylist(), np.float32).reshape(got.num_rows, TEXT_FEATURES + METADATA_FEATURES)
         return [x[:, :TEXT_FEATURES], x[:, TEXT_FEATURES:]], np.array(got["quality"].to_pylist(), float)
 
     xs, y = drawn(sample(known.join(ids, "doc_id"), LABELLED))
