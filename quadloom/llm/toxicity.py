@@ -30,9 +30,10 @@ from quadloom.llm.learning import held_out, platt, sample, sigmoid
 POSITIVES, UNLABELLED, CHECKED = 4_000, 12_000, 8_000
 BUCKETS = 1 << 20  # of feature hashes
 FEATURES = 4_096  # features that are kept
+LEAST = 3  # positives that a kept feature has
 SURPLUS = 4.0  # deviations by which a feature is more frequent among positives
 LIMIT = 0.3
-CACHED = 200_000
+CACHED = 100_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _features: dict[str, tuple[int, ...]] = {}
@@ -89,7 +90,7 @@ def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     # features clearly more frequent among positives than among all
     expected = in_u * (n_p / max(1, n_u))
     surplus = (in_p - expected) / np.sqrt(expected + 0.5)
-    clear = (in_p >= 3) & (surplus >= SURPLUS) & (in_p >= 2 * expected)
+    clear = (in_p >= LEAST) & (surplus >= SURPLUS) & (in_p >= 2 * expected)
     kept = np.sort(np.argsort(-np.where(clear, surplus, 0.0), kind="stable")[: min(FEATURES, int(clear.sum()))])
     p_at, p_value = _csr(positive, kept)
     u_at, u_value = _csr(unlabelled, kept)
@@ -122,20 +123,25 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = given.where(~held_out(F.col("doc_id"))).select("doc_id").distinct()
 
-    def drawn(chosen: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+    def drawn(chosen: DataFrame, wanted: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
         def work(batch):
             found = features(column(batch, "text").to_pylist())
+            if wanted is not None:
+                found = [x[np.isin(x, wanted)] for x in found]
             return {"doc_id": column(batch, "doc_id"), "toxic": column(batch, "toxic"), "f": pa.array([x.tobytes() for x in found], pa.binary())}
 
         rows = given.join(chosen, "doc_id").select("doc_id", "text", "toxic").mapInArrow(by_batch(work), "doc_id long, toxic int, f binary")
-        got = rows.dropDuplicates(["doc_id", "f"]).orderBy("doc_id", "f").toArrow()  # bounded by the sample
-        return [np.frombuffer(x, np.int32) for x in got["f"].to_pylist()], np.array(got["toxic"].to_pylist(), float)
+        got = rows.toArrow()  # bounded by the sample
+        once = dict.fromkeys(sorted(zip(got["doc_id"].to_pylist(), got["f"].to_pylist(), got["toxic"].to_pylist())))
+        return [np.frombuffer(f, np.int32) for _, f, _ in once], np.array([y for _, _, y in once], float)
 
     positive, _ = drawn(sample(known.where("toxic = 1").join(ids, "doc_id"), POSITIVES))
     if not positive:
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0, blank=True)
-    unlabelled, _ = drawn(sample(ids.withColumn("toxic", F.lit(0)), UNLABELLED))
-    checked, y = drawn(sample(known.join(ids, "doc_id"), CHECKED))
+    # only features of some positives can be kept, so the others needn't be gathered
+    wanted = np.flatnonzero(np.bincount(np.concatenate(positive), minlength=BUCKETS) >= LEAST).astype(np.int32)
+    unlabelled, _ = drawn(sample(ids.withColumn("toxic", F.lit(0)), UNLABELLED), wanted)
+    checked, y = drawn(sample(known.join(ids, "doc_id"), CHECKED), wanted)
     model = learn(positive, unlabelled, float(np.clip(y.mean(), 0.001, 0.9)))
     model.slope, model.offset = platt(model.raw(checked), y)
     return model
