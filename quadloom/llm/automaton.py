@@ -26,7 +26,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 # Entries of each cache; a full one becomes the old one, and the old one goes. Results do not depend on it.
-CACHE = 150_000
+CACHE = 80_000
 PAIRS = 500_000  # pairs of labels that are kept
 LONG = 64  # bytes; longer words are taken one by one and not kept
 _FINAL = 256  # symbols: a byte within a word, or a byte that ends the word plus this

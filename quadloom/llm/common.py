@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from quadloom.session import materialize, scratch_path, tune
 
 # Bounds of one Arrow batch, so that a task's Python memory does not depend on the lengths of texts.
-BATCH_ROWS = 2000
-BATCH_BYTES = "16m"
+BATCH_ROWS = 500
+BATCH_BYTES = "8m"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -56,6 +56,7 @@ def by_batch(
             if batch.num_rows:
                 out = work(batch)
                 yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+        pa.default_memory_pool().release_unused()  # workers live on, next to the executor's heap
 
     return run
 
@@ -67,6 +68,7 @@ def filtered(docs: DataFrame, keeps: Callable[[pa.RecordBatch], pa.Array]) -> Da
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(keeps(batch))
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -42,8 +42,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65_535
 # Five deviations of the estimate at the threshold.
 MARGIN = 5 * (0.75 * 0.25 / REGISTERS) ** 0.5
 # Bounds of a part of a cluster: classes, and shingles of all of them.
-PART_SETS, PART_SHINGLES = 1000, 1_000_000
-CACHED = 100_000
+PART_SETS, PART_SHINGLES = 1000, 500_000
+CACHED = 50_000
 
 _rng = np.random.default_rng(7)
 _MIX = _rng.integers(0, 1 << 63, WORDS, np.uint64) * np.uint64(2) + np.uint64(1)

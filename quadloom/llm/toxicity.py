@@ -33,7 +33,7 @@ FEATURES = 4_096  # features that are kept
 LEAST = 3  # positives that a kept feature has
 SURPLUS = 4.0  # deviations by which a feature is more frequent among positives
 LIMIT = 0.3
-CACHED = 100_000
+CACHED = 50_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _features: dict[str, tuple[int, ...]] = {}
@@ -127,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         def work(batch):
             found = features(column(batch, "text").to_pylist())
             if wanted is not None:
-                found = [x[np.isin(x, wanted)] for x in found]
+                found = [x[wanted[x]] for x in found]
             return {"doc_id": column(batch, "doc_id"), "toxic": column(batch, "toxic"), "f": pa.array([x.tobytes() for x in found], pa.binary())}
 
         rows = given.join(chosen, "doc_id").select("doc_id", "text", "toxic").mapInArrow(by_batch(work), "doc_id long, toxic int, f binary")
@@ -139,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not positive:
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0, blank=True)
     # only features of some positives can be kept, so the others needn't be gathered
-    wanted = np.flatnonzero(np.bincount(np.concatenate(positive), minlength=BUCKETS) >= LEAST).astype(np.int32)
+    wanted = np.bincount(np.concatenate(positive), minlength=BUCKETS) >= LEAST
     unlabelled, _ = drawn(sample(ids.withColumn("toxic", F.lit(0)), UNLABELLED), wanted)
     checked, y = drawn(sample(known.join(ids, "doc_id"), CHECKED), wanted)
     model = learn(positive, unlabelled, float(np.clip(y.mean(), 0.001, 0.9)))
