@@ -92,6 +92,11 @@ DATETIME_FORM = (
     r"(?:Z|[+-][0-9]{2}:[0-9]{2})?$"
 )
 LANG_FORM = r"^[A-Za-z]{1,8}(?:-[A-Za-z0-9]{1,8})*$"
+ZONE_RANGE = r"[0-9]{2}(?:Z|[+-](?:0[0-9]|1[0-3]):[0-5][0-9]|[+-]14:00)?$"
+CLOCK_RANGE = (
+    r"T(?:(?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:\.[0-9]+)?|24:00:00(?:\.0+)?)"
+    r"(?:Z|[+-](?:0[0-9]|1[0-3]):[0-5][0-9]|[+-]14:00)?$"
+)
 ZONE_FORM = r"(?:Z|[+-][0-9]{2}:[0-9]{2})$"
 
 
@@ -120,28 +125,47 @@ def time_value(o: Column | str, dt: Column | str) -> Column:
 def is_valid_literal(o: Column | str, dt: Column | str, lang: Column | str) -> Column:
     """Lexical and range check of a literal; unknown datatypes are accepted."""
     o, dt, lang = _col(o), _col(dt), _col(lang)
-    big = o.try_cast("decimal(38,0)")
-    low, high = (
-        F.element_at(F.create_map(*[x for pair in limits for x in pair]), dt)
-        for limits in zip(*[_limits(name, *bounds) for name, bounds in V.INTEGER_RANGES.items()])
-    )
+    in_range = F.lit(True)
+    for name, (low, high) in V.INTEGER_RANGES.items():
+        in_range = F.when(dt == V.XSD + name, _within(o, low, high)).otherwise(in_range)
     return F.coalesce(
         F.when(lang.isNotNull(), lang.rlike(LANG_FORM))
-        .when(dt.isin(*V.INTEGER_TYPES), o.rlike(INTEGER_FORM) & big.between(low, high))
+        .when(dt.isin(*V.INTEGER_TYPES), o.rlike(INTEGER_FORM) & in_range)
         .when(dt == V.XSD_DECIMAL, o.rlike(DECIMAL_FORM))
         .when(dt.isin(V.XSD_DOUBLE, V.XSD_FLOAT), o.rlike(DOUBLE_FORM))
         .when(dt == V.XSD_BOOLEAN, o.isin("true", "false", "1", "0"))
-        .when(dt.isin(*V.TIME_TYPES), time_value(o, dt).isNotNull())
+        .when(dt == V.XSD_DATE, o.rlike(DATE_FORM) & o.rlike(ZONE_RANGE) & _in_calendar(o))
+        .when(dt == V.XSD_DATETIME, o.rlike(DATETIME_FORM) & o.rlike(CLOCK_RANGE) & _in_calendar(o))
         .otherwise(True),
         F.lit(False),
     )
 
 
-def _limits(name: str, low: int | None, high: int | None):
-    """The lowest and highest value of an integer type, as (datatype, value) pairs."""
-    widest = 10**38 - 1
-    bounds = (-widest if low is None else low, widest if high is None else high)
-    return [(F.lit(V.XSD + name), F.lit(str(b)).cast("decimal(38,0)")) for b in bounds]
+def _within(o: Column, low: int | None, high: int | None) -> Column:
+    """Is an integer of any length within bounds?  Digits are compared by number, then as text."""
+    digits = F.regexp_replace(o, "^[+-]?0*", "")
+    negative = o.startswith("-") & (digits != "")
+
+    def at_most(bound: int) -> Column:
+        text = str(abs(bound)) if bound else ""
+        return (F.length(digits) < len(text)) | ((F.length(digits) == len(text)) & (digits <= text))
+
+    def at_least(bound: int) -> Column:
+        return ~at_most(abs(bound) - 1)
+
+    out = F.lit(True)
+    if high is not None:
+        out = out & (negative | at_most(high) if high >= 0 else negative & at_least(high))
+    if low is not None:
+        out = out & (~negative | at_most(low) if low <= 0 else ~negative & at_least(low))
+    return out
+
+
+def _in_calendar(o: Column) -> Column:
+    """Does the day exist?  The calendar repeats every 400 years, so any year will do that ends alike."""
+    parts = F.regexp_extract(o, r"^-?[0-9]*([0-9]{4})-[0-9]{2}-[0-9]{2}", 1).try_cast("int")
+    day = F.regexp_extract(o, r"^-?[0-9]+(-[0-9]{2}-[0-9]{2})", 1)
+    return F.concat((2000 + parts % 400).cast("string"), day).try_cast("date").isNotNull()
 
 
 def escape_literal(c: Column | str) -> Column:
@@ -155,6 +179,18 @@ def escape_literal(c: Column | str) -> Column:
     return c
 
 
+def escape_iri(c: Column | str) -> Column:
+    """Escape what an IRI may not hold in N-Triples / N-Quads."""
+    c = _col(c)
+    # The characters that the grammar excludes.
+    bad = "[\\x00-\\x20<>\"{}|^`\\\\]"
+    coded = F.transform(
+        F.split(c, ""),
+        lambda x: F.when(x.rlike(bad), F.concat(F.lit("\\u"), F.lpad(F.hex(F.ascii(x)), 4, "0"))).otherwise(x),
+    )
+    return F.when(c.rlike(bad), F.array_join(coded, "")).otherwise(c)
+
+
 def unescape(c: Column | str) -> Column:
     """Undo N-Triples escapes, including \\uXXXX and \\UXXXXXXXX."""
     c = _col(c)
@@ -183,10 +219,10 @@ def to_ntriples(o: Column | str, kind: Column | str, dt: Column | str, lang: Col
     o, kind, dt, lang = map(_col, (o, kind, dt, lang))
     quoted = F.concat(F.lit('"'), escape_literal(o), F.lit('"'))
     return (
-        F.when(kind == "iri", F.concat(F.lit("<"), o, F.lit(">")))
+        F.when(kind == "iri", F.concat(F.lit("<"), escape_iri(o), F.lit(">")))
         .when(lang.isNotNull(), F.concat(quoted, F.lit("@"), lang))
         .when(F.coalesce(dt, F.lit(V.XSD_STRING)) == V.XSD_STRING, quoted)
-        .otherwise(F.concat(quoted, F.lit("^^<"), dt, F.lit(">")))
+        .otherwise(F.concat(quoted, F.lit("^^<"), escape_iri(dt), F.lit(">")))
     )
 
 

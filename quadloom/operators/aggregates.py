@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from quadloom.operators.solutions import IDENTITY, Solutions, aux
 
-# Largest text one group may concatenate to; beyond it the query fails.
-GROUP_TEXT_LIMIT = 1 << 26
-
 
 def group(sol: Solutions, by: Iterable[str] = (), **aggregates: Column) -> DataFrame:
     """GROUP BY: one row per group, or a single row without ``by``."""
@@ -89,24 +86,10 @@ def sample(name: str) -> Column:
 def group_concat(
     sol: Solutions, by: Iterable[str], name: str, alias: str, separator: str = " ", distinct: bool = False
 ) -> DataFrame:
-    """GROUP_CONCAT in sorted order.
-
-    The result holds a whole group in one string, so a group's text is measured
-    first (a pre-aggregated sum) and the query fails beyond ``GROUP_TEXT_LIMIT``
-    instead of overloading a task.
-    """
+    """GROUP_CONCAT in sorted order: the result holds a whole group in one string."""
     by = list(by)
     rows = sol.project(*by, name)
     if distinct:
         rows = rows.distinct()
     df = rows.df.select(*by, F.col(name))
-    sizes = df.groupBy(*by).agg(F.sum(F.length(name) + len(separator)).alias("size"))
-    largest = sizes.agg(F.coalesce(F.max("size"), F.lit(0)).alias("size")).scalar()
-    fits = F.when(largest <= GROUP_TEXT_LIMIT, True).otherwise(
-        F.raise_error(F.lit("a group is too large for GROUP_CONCAT")).cast("boolean")
-    )
-    return (
-        df.where(fits)
-        .groupBy(*by)
-        .agg(F.array_join(F.array_sort(F.collect_list(name)), separator).alias(alias))
-    )
+    return df.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list(name)), separator).alias(alias))

@@ -17,8 +17,6 @@ from quadloom.session import materialize, scratch_path
 
 TRIPLE_COLUMNS = TRIPLE_KEY + ("o_num", "o_ts")
 
-# Rows a page may skip and keep with a top-n; deeper pages use stored positions.
-TOP_N_LIMIT = 100_000
 
 
 def ask(sol: Solutions | DataFrame) -> DataFrame:
@@ -115,19 +113,19 @@ def limit(sol: Solutions, n: int) -> Solutions:
     return sol._with(sol.df.limit(n))
 
 
-def page(df: DataFrame, keys: list[Column], start: int, length: int) -> DataFrame:
+def page(df: DataFrame, keys: list[Column], start: int, length: int, deep: bool = False) -> DataFrame:
     """Rows ``start`` (from 1) onwards in the order of ``keys``; length <= 0 means all.
 
-    ``keys`` must be a total order for pages to fit together.  A page near the
-    beginning is a top-n.  Deeper ones number the sorted rows once, so that no
-    task ever holds the rows to be skipped.
+    ``keys`` must be a total order for pages to fit together.  A page is a
+    top-n, which holds the rows to be skipped.  For ``deep`` pages, and those
+    without an end, the sorted rows are numbered once, and no task holds them.
     """
     if start < 1:
         raise ValueError("start counts from 1")
     ordered = df.orderBy(*keys)
     if start == 1 and length <= 0:
         return ordered
-    if 0 < length and start - 1 + length <= TOP_N_LIMIT:
+    if 0 < length and not deep:
         return ordered.offset(start - 1).limit(length)
     return _deep_page(df, keys, start, length)
 

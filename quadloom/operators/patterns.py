@@ -16,8 +16,6 @@ from quadloom.operators.scan import Quads, match
 from quadloom.operators.solutions import IDENTITY, VALUES, Solutions, aux
 from quadloom.sources.tables import TableQuads, narrow_together
 
-# Largest inline table that is shipped to every task.
-INLINE_LIMIT = 10_000
 
 
 def is_var(x) -> bool:
@@ -219,8 +217,6 @@ def values(spark: SparkSession, names: Iterable[str], rows: Iterable[Iterable])
             }
         )
     maybe = frozenset(n for i, n in enumerate(names) if any(r[i] is None for r in rows))
-    if len(rows) <= INLINE_LIMIT:  # a Python list of known length
-        df = F.broadcast(df)
     return Solutions(df, tuple(names), frozenset(names), maybe)
 
 
@@ -265,7 +261,10 @@ def equals(name: str, value) -> Column:
 
 
 def not_equals(name: str, value) -> Column:
-    """FILTER ?x != constant."""
+    """FILTER ?x != constant; an IRI and a literal differ, literals of other types can't be compared with a number."""
+    term = value if isinstance(value, Term) else (lit(value) if not isinstance(value, str) else as_term(value))
+    if term.kind == "lit":
+        return F.when(F.col(aux(name.lstrip("?"), "kind")) != term.kind, True).otherwise(~equals(name, value))
     return ~equals(name, value)
 
 

@@ -28,8 +28,8 @@ from quadloom.model import Term
 IDENTITY = ("kind", "dt", "lang")
 VALUES = ("num", "ts")
 
-# Largest side of a product of unrelated solutions, in rows.
-PRODUCT_LIMIT = 10_000
+# Shares of the left side in a product of unrelated solutions; the right side is copied to each.
+PRODUCT_SHARES = 8
 
 
 def aux(var: str, part: str) -> str:
@@ -377,31 +377,20 @@ def _bound_parts(left: Solutions, right: Solutions, shared):
 
 
 def _product(left: Solutions, right: Solutions, outer: bool) -> Solutions:
-    """All combinations of unrelated solutions, where one side is provably small.
+    """All combinations of unrelated solutions, whatever their number.
 
-    The small side travels as one array value inside the plan; there is no
-    cartesian join.  Refused when neither side is within ``PRODUCT_LIMIT``.
+    The left rows are dealt out to shares by a hash and the right rows are copied
+    to every share, so this is an equi-join on the share; put the smaller side right.
     """
-    small, big = (right, left)
-    if _rows_up_to(right) > PRODUCT_LIMIT:
-        if outer or _rows_up_to(left) > PRODUCT_LIMIT:
-            raise ValueError(
-                f"the patterns share no variable and both sides exceed {PRODUCT_LIMIT} rows"
-            )
-        small, big = (left, right)
-    cols = small._all_columns()
+    ldf = left.df.select(*left._all_columns())
     # solutions without variables still count
-    row = F.struct(*(cols or [F.lit(True).alias("unit__")]))
-    packed = small.df.agg(F.collect_list(row).alias("rows"))
-    unpack = F.inline_outer if outer else F.inline
-    df = big.df.select(*big._all_columns(), unpack(packed.scalar()))
+    ldf = ldf.withColumn("l__share", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PRODUCT_SHARES)).cast("int"))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(PRODUCT_SHARES - 1)))
+    rdf = right.df.select(*right._all_columns(), copies.alias("r__share"))
+    joined = ldf.join(rdf, F.col("l__share") == F.col("r__share"), "left" if outer else "inner").drop("l__share", "r__share")
     return Solutions(
-        df,
+        joined,
         tuple(_merged_vars(left, right)),
         left.terms | right.terms,
         left.maybe | right.maybe,
     ).project(*_merged_vars(left, right))
-
-
-def _rows_up_to(sol: Solutions) -> int:
-    return sol.df.limit(PRODUCT_LIMIT + 1).count()

@@ -163,6 +163,43 @@ def lang_fns(spark, sf_dir):
     )
 
 
+@query("""
+select 'http://example.org/a b/' || url || '/<x>"' as iri, 'x' as o_text from pages where url is not null
+""")
+def export_odd_iris(spark, sf_dir):
+    """IRIs with characters that the grammar excludes are escaped, and read back as they were."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").where("url is not null")
+    iri = F.concat(F.lit("http://example.org/a b/"), "url", F.lit('/<x>"'))
+    line = F.concat(F.lit("<"), T.escape_iri(iri), F.lit('> <urn:p> "x" .'))
+    found = F.regexp_extract(line, "^<([^>]*)> <urn:p> \"(.)\" [.]$", 1)
+    return pages.select(T.unescape(found).alias("iri"), F.regexp_extract(line, "\"(.)\" [.]$", 1).alias("o_text"))
+
+
+@query("""
+with forms(n, dt, fine) as (values
+  (1, 'integer', true), (2, 'dateTime', true), (3, 'date', true), (4, 'dateTime', false), (5, 'byte', false), (6, 'positiveInteger', true))
+select event_id, dt, fine from events, forms
+""")
+def load_extreme_literals(spark, sf_dir):
+    """Integers of forty digits, 24:00:00 and far years are valid; bad hours and bytes out of range aren't."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    digits = F.lpad(F.col("event_id").cast("string"), 39, "0")
+    forms = F.array(*[
+        F.struct(o.alias("o"), F.lit(dt).alias("dt"))
+        for o, dt in (
+            (F.concat(F.lit("9"), digits), "integer"),
+            (F.concat(F.lpad((2000 + F.col("event_id") % 1000).cast("string"), 4, "0"), F.lit("-01-01T24:00:00")), "dateTime"),
+            (F.concat((400000 + F.col("event_id")).cast("string"), F.lit("-02-28Z")), "date"),
+            (F.concat(F.lit("2020-01-01T25:00:0"), (F.col("event_id") % 10).cast("string")), "dateTime"),
+            (F.concat(F.lit("-129"), F.col("event_id").cast("string")), "byte"),
+            (F.concat(F.lit("1"), digits), "positiveInteger"),
+        )
+    ])
+    rows = events.select("event_id", F.inline(forms))
+    fine = T.is_valid_literal("o", F.concat(F.lit(V.XSD), "dt"), F.lit(None).cast("string"))
+    return rows.select("event_id", "dt", fine.alias("fine"))
+
+
 @query("select doc_id, md5(text) as m, sha1(text) as s1, sha256(text) as s256 from documents")
 def hash_fns(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -171,7 +208,10 @@ def hash_fns(spark, sf_dir):
     )
 
 
-@query()
+@query("""
+select 'urn:customer:' || c_custkey as c, true as iri_ok, true as text_ok, true as rand_ok, true as now_ok
+from customer
+""")
 def fresh_ids(spark, sf_dir):
     """UUID, STRUUID, RAND and NOW give new values, so only their form is shown."""
     sol = pattern(quads(spark, sf_dir), "?c", P + "name", "?name", graph=G + "customer")

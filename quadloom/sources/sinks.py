@@ -8,18 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom import vocab as V
-from quadloom.functions.terms import to_ntriples
+from quadloom.functions.terms import escape_iri, to_ntriples
 from quadloom.operators.solutions import Solutions, aux
 
 
 def nquads_lines(quads: DataFrame) -> DataFrame:
     """One N-Quads line per quad (column ``value``); no graph for the default graph."""
     obj = to_ntriples("o", "o_kind", "o_dt", "o_lang")
-    graph = F.when(F.col("g") != V.DEFAULT_GRAPH, F.concat(F.lit("<"), F.col("g"), F.lit(">")))
+    graph = F.when(F.col("g") != V.DEFAULT_GRAPH, F.concat(F.lit("<"), escape_iri("g"), F.lit(">")))
     line = F.concat_ws(
         " ",
-        F.concat(F.lit("<"), F.col("s"), F.lit(">")),
-        F.concat(F.lit("<"), F.col("p"), F.lit(">")),
+        F.concat(F.lit("<"), escape_iri("s"), F.lit(">")),
+        F.concat(F.lit("<"), escape_iri("p"), F.lit(">")),
         obj,
         graph,
         F.lit("."),
