@@ -54,11 +54,11 @@ def normalize(raw: DataFrame, base: str | None = None, scope: Column | None = No
     return with_values(df)
 
 
-def with_values(df: DataFrame) -> DataFrame:
-    """Add ``o_num`` / ``o_ts`` from the lexical form."""
+def with_values(df: DataFrame, *more: str) -> DataFrame:
+    """Add ``o_num`` / ``o_ts`` from the lexical form; of other columns only ``more`` are kept."""
     return df.withColumns(
         {"o_num": T.numeric_value("o", "o_dt"), "o_ts": T.time_value("o", "o_dt")}
-    ).select(*QUAD_COLUMNS)
+    ).select(*QUAD_COLUMNS, *more)
 
 
 def required(name: str) -> Column:

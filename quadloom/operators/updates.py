@@ -1,6 +1,6 @@
 """Set-semantic updates: every operation takes a state and returns a new one.
 
-Nothing is written here; ``sources.snapshots`` stores states as versions.
+Nothing is written here; ``sources.snapshots`` stores the changes.
 """
 
 from __future__ import annotations

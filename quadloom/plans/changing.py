@@ -1,19 +1,22 @@
-"""Registered queries: updates, graph management, stored versions and change sets."""
+"""Registered queries: updates, graph management, stored quads."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from quadloom import lit
 from quadloom import vocab as V
+from quadloom.functions.quad_columns import with_values
 from quadloom.model import QUAD_COLUMNS
 from quadloom.operators.patterns import bgp, num, pattern
 from quadloom.operators.scan import count_per_graph
-from quadloom.operators.updates import Store
+from quadloom.operators.updates import Store, in_contexts
 from quadloom.plans.mapping import G, P, quads
 from quadloom.plans.registry import plain, quads_sql, query
 from quadloom.session import scratch_path
-from quadloom.sources.snapshots import ChangeSet, SnapshotStore
+from quadloom.sources.snapshots import SnapshotStore, next_seq
 
 _COUNTS = "select g, count(*) as n from q group by g"
 
@@ -83,20 +86,20 @@ select 'urn:customer:' || c_custkey as s, 'urn:p:segment' as p,
 case when c_acctbal > 5000 then 'PRIVATE' else c_mktsegment end as o from customer
 """)
 def delete_insert_where(spark, sf_dir):
-    """Rich customers move to another segment: delete and insert from the old state."""
-    store = _store(spark, sf_dir, G + "customer")
+    """Rich customers move to another segment: delete and insert from the old state; only the change is written."""
+    store = _snapshot(spark, sf_dir, G + "customer")
     rich = bgp(
-        store.quads,
+        store.read(),
         [("?c", P + "acctbal", "?b"), ("?c", P + "segment", "?old")],
         graph=G + "customer",
     ).filter(num("b") > 5000)
-    changed = store.modify(
+    store.modify(
         rich,
         delete=[("?c", P + "segment", "?old")],
         insert=[("?c", P + "segment", lit("PRIVATE"))],
         graph=G + "customer",
     )
-    return changed.quads.where(F.col("p") == P + "segment").select("s", "p", "o")
+    return store.read(predicates=[P + "segment"]).select("s", "p", "o")
 
 
 @query("""
@@ -104,10 +107,10 @@ select 'urn:nation:' || c_nationkey as s, 'urn:p:hasVip' as p, 'urn:customer:' |
 from customer where c_acctbal > 5000
 """)
 def insert_where(spark, sf_dir):
-    store = _store(spark, sf_dir, G + "vip")
-    vips = pattern(store.quads, "?c", P + "inNation", "?n", graph=G + "vip")
-    changed = store.modify(vips, insert=[("?n", P + "hasVip", "?c")], graph="urn:g:derived")
-    return changed.quads.where(F.col("g") == "urn:g:derived").select("s", "p", "o")
+    store = _snapshot(spark, sf_dir, G + "vip")
+    vips = pattern(store.read(), "?c", P + "inNation", "?n", graph=G + "vip")
+    store.modify(vips, insert=[("?n", P + "hasVip", "?c")], graph="urn:g:derived")
+    return store.read().where(F.col("g") == "urn:g:derived").select("s", "p", "o")
 
 
 @query(quads_sql("customer", "supplier") + _COUNTS)
@@ -127,16 +130,18 @@ union all select 'urn:g:customer', count(*) from q where g = 'urn:g:supplier'
 """)
 def copy_graph(spark, sf_dir):
     """The target's old content is gone."""
-    store = _store(spark, sf_dir, G + "customer", G + "vip", G + "supplier")
-    return count_per_graph(store.copy_graph(G + "supplier", G + "customer").quads)
+    store = _snapshot(spark, sf_dir, G + "customer", G + "vip", G + "supplier")
+    store.copy_graph(G + "supplier", G + "customer")
+    return count_per_graph(store.read())
 
 
 @query(quads_sql("supplier", "vip") + """
 select case when g = 'urn:g:supplier' then 'urn:g:customer' else g end as g, count(*) as n from q group by 1
 """)
 def move_graph(spark, sf_dir):
-    store = _store(spark, sf_dir, G + "customer", G + "vip", G + "supplier")
-    return count_per_graph(store.move_graph(G + "supplier", G + "customer").quads)
+    store = _snapshot(spark, sf_dir, G + "customer", G + "vip", G + "supplier")
+    store.move_graph(G + "supplier", G + "customer")
+    return count_per_graph(store.read())
 
 
 @query(quads_sql("customer", "vip") + """
@@ -145,25 +150,28 @@ union all select 'urn:g:vip', count(*) from q where g = 'urn:g:vip'
 """)
 def add_graph_create_drop(spark, sf_dir):
     """ADD merges as a set; a created graph is listed, a dropped one is gone."""
-    store = _store(spark, sf_dir, G + "customer", G + "vip").create_graph("urn:g:both")
-    store = store.add_graph(G + "customer", "urn:g:both").add_graph(G + "vip", "urn:g:both")
-    return count_per_graph(store.drop_graph(G + "customer").quads)
+    store = _snapshot(spark, sf_dir, G + "customer", G + "vip")
+    store.create_graph("urn:g:both")
+    store.add_graph(G + "customer", "urn:g:both")
+    store.add_graph(G + "vip", "urn:g:both")
+    store.drop_graph(G + "customer")
+    return count_per_graph(store.read())
 
 
-# -- versions --------------------------------------------------------------------
+# -- stored quads --------------------------------------------------------------------
 
 
 def _snapshot(spark, sf_dir, *graphs) -> SnapshotStore:
     store = SnapshotStore(spark, scratch_path(spark, "store"))
     q = quads(spark, sf_dir)
     # the tables' keys make every graph a set, so nothing has to be made distinct
-    store.commit(adds=(q.limited(graphs=list(graphs)) if graphs else q).stacked())
+    store.write(adds=(q.limited(graphs=list(graphs)) if graphs else q).stacked())
     return store
 
 
 @query(quads_sql("customer", "vip", "supplier") + "select g, s, p, o_text, o_kind, o_num, o_time from q")
 def stored_quads_roundtrip(spark, sf_dir):
-    """Quads written as a version and read back."""
+    """Quads written and read back."""
     return plain(_snapshot(spark, sf_dir, G + "customer", G + "vip", G + "supplier").read())
 
 
@@ -172,8 +180,8 @@ select 'urn:part:' || p_partkey as part, p_name as name, p_brand as brand, p_siz
 from part where p_size > 40
 """)
 def stored_quads_star(spark, sf_dir):
-    """The same patterns over stored quads: one folder per predicate is read."""
-    q = _snapshot(spark, sf_dir, G + "part").read()
+    """The same patterns over stored quads: only the folders of these predicates are read."""
+    q = _snapshot(spark, sf_dir, G + "part").read(predicates=[P + "name", P + "brand", P + "size"])
     sol = bgp(q, [("?part", P + "name", "?name"), ("?part", P + "brand", "?brand"), ("?part", P + "size", "?size")], graph=G + "part")
     return sol.filter(num("size") > 40).select("part", "name", "brand", size=num("size"))
 
@@ -184,27 +192,24 @@ union all select g, s, p, o_text, o_kind, o_num, o_time from q where g = 'urn:g:
 union all select 'urn:g:new', s, p, o_text, o_kind, o_num, o_time from q where g = 'urn:g:supplier'
 """)
 def changeset_commit(spark, sf_dir):
-    """Staged removals, clears and additions, committed as one version."""
+    """Several removals, additions and a clear as one write."""
     store = _snapshot(spark, sf_dir, G + "customer", G + "vip")
-    extra = quads(spark, sf_dir).limited(graphs=[G + "supplier"]).df
-    name = store.read().where((F.col("g") == G + "customer") & (F.col("s") == "urn:customer:11") & (F.col("p") == P + "name"))
-    with ChangeSet(store) as change:
-        change.remove(p=P + "name", contexts=[G + "customer"])
-        change.remove(s="urn:customer:10")
-        change.add(name)  # removed above, added again
-        change.add(extra, ["urn:g:new"])
-        change.clear([G + "vip"])
+    old = store.read().where(F.col("g") == G + "customer")
+    extra = quads(spark, sf_dir).limited(graphs=[G + "supplier"]).stacked()
+    kept = old.where((F.col("s") == "urn:customer:11") & (F.col("p") == P + "name"))  # removed and added again
+    store.write(
+        adds=kept.union(in_contexts(extra, ["urn:g:new"])),
+        dels=old.where((F.col("p") == P + "name") | (F.col("s") == "urn:customer:10")),
+        clear=spark.createDataFrame([(G + "vip",)], "g string"),
+    )
     return plain(store.read())
 
 
 @query(quads_sql("customer", "vip") + "select g, s, p, o_text, o_kind, o_num, o_time from q")
 def changeset_rollback(spark, sf_dir):
-    """Rolled-back work leaves the version as it was."""
+    """Changes that are never written leave the stored quads as they were."""
     store = _snapshot(spark, sf_dir, G + "customer", G + "vip")
-    change = ChangeSet(store).begin()
-    change.remove(p=P + "name")
-    change.clear([G + "vip"])
-    change.rollback()
+    store.store().remove(p=P + "name").clear([G + "vip"])
     return plain(store.read())
 
 
@@ -215,13 +220,12 @@ union all select 'committed', count(*) from q where p <> 'urn:p:name'
 union all select 'first version', count(*) from q
 """)
 def changeset_isolation(spark, sf_dir):
-    """Staged work is seen by its own reads only, until it is committed."""
+    """A planned change is seen by its own reads only, until it is written; older states stay readable."""
     store = _snapshot(spark, sf_dir, G + "customer", G + "vip")
-    change = ChangeSet(store).begin()
-    change.remove(p=P + "name")
-    own, others = change.quads(), store.read()
-    change.commit()
-    views = {"own": own, "others": others, "committed": store.read(), "first version": store.read(version=1)}
+    before = next_seq()
+    own, others = store.store().remove(p=P + "name").quads, store.read()
+    store.remove(p=P + "name")
+    views = {"own": own, "others": others, "committed": store.read(), "first version": store.read(until=before)}
     out = None
     for name, df in views.items():
         row = df.select(*QUAD_COLUMNS).agg(F.count("s").alias("n")).select(F.lit(name).alias("view"), "n")
@@ -231,9 +235,32 @@ def changeset_isolation(spark, sf_dir):
 
 @query(quads_sql("customer", "vip") + "select g, count(*) as n from q where p <> 'urn:p:vip' group by g")
 def snapshot_compact(spark, sf_dir):
-    """Compaction rewrites the live quads; the content stays the same."""
+    """The live quads written to a new place; the content stays the same."""
     store = _snapshot(spark, sf_dir, G + "customer", G + "vip")
-    with ChangeSet(store) as change:
-        change.remove(p=P + "vip")
-    store.compact()
-    return count_per_graph(store.read())
+    store.remove(p=P + "vip")
+    fresh = SnapshotStore(spark, scratch_path(spark, "store"))
+    fresh.write(adds=store.read())
+    return count_per_graph(fresh.read())
+
+
+@query("""
+select 'urn:order:' || o_orderkey as s, o_orderpriority as o from orders
+""")
+def concurrent_adds(spark, sf_dir):
+    """Writers that know nothing of each other add slices of the orders at the same time, twice each; all is kept once."""
+    path = scratch_path(spark, "store")
+    orders = pattern(quads(spark, sf_dir), "?s", P + "priority", "?o", graph=G + "orders")
+    rows = orders.df.select("s", "o")
+    slices = [rows.where(F.pmod(F.xxhash64("s"), F.lit(4)) == i) for i in range(4)]
+
+    def writer(part):
+        new = part.select(
+            F.lit("urn:g:many").alias("g"), "s", F.lit(P + "priority").alias("p"), "o", F.lit("lit").alias("o_kind"),
+            F.lit(V.XSD_STRING).alias("o_dt"), F.lit(None).cast("string").alias("o_lang"),
+            F.lit(None).cast("string").alias("doc_id"),
+        )
+        return SnapshotStore(spark, path).add(with_values(new))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(writer, slices + slices))
+    return SnapshotStore(spark, path).read().select("s", "o")

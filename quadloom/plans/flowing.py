@@ -72,19 +72,20 @@ def stream_insert_delete(spark, sf_dir):
 
 @query("""
 select 'urn:event:' || event_id as s, 'urn:p:value' as p, value as num from events
-union all select 'urn:event:0', 'urn:p:kept', 1.0
+union all select 'urn:event:' || event_id, 'urn:p:kept', 1.0 from events
 """)
 def stream_into_existing(spark, sf_dir):
-    """A store that has content already; a second run over the same events adds nothing."""
+    """A store that holds some of the stream's quads, and others, already; a second run over the same events adds nothing."""
     events = _events(spark, sf_dir)
     subject = F.concat(F.lit("urn:event:"), F.col("event_id").cast("string"))
     stream = with_values(
         _quad(events, subject, F.lit(P + "value"), F.col("value").cast("string"), "lit", V.XSD_DOUBLE)
     )
     store = SnapshotStore(spark, scratch_path(spark, "events"))
-    batch = spark.read.schema(SCHEMAS["events"]).parquet(f"{sf_dir}/events.parquet").where("event_id = 0")
-    first = F.concat(F.lit("urn:event:"), F.col("event_id").cast("string"))
-    store.add(with_values(_quad(batch, first, F.lit(P + "kept"), F.lit("1"), "lit", V.XSD_INTEGER)))
+    batch = spark.read.schema(SCHEMAS["events"]).parquet(f"{sf_dir}/events.parquet")
+    held = _quad(batch.where("value >= 10"), subject, F.lit(P + "value"), F.col("value").cast("string"), "lit", V.XSD_DOUBLE)
+    kept = _quad(batch, subject, F.lit(P + "kept"), F.lit("1"), "lit", V.XSD_INTEGER)
+    store.add(with_values(held.union(kept)))
     for _ in range(2):
         insert_stream(stream, store, scratch_path(spark, "offsets")).awaitTermination()
     return store.read().select("s", "p", F.col("o_num").alias("num"))

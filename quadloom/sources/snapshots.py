@@ -1,292 +1,221 @@
-"""Stored quads as versions on a shared folder, and change sets over them.
-
-Layout under the store's path, all plain Parquet / JSON written by Spark:
-
-    adds/ver=N/p=...      quads added by version N
-    dels/ver=N            keys removed by version N
-    cleared/ver=N         graphs cleared by version N
-    manifest/ver=N        one row; its presence commits version N
-
-A commit writes only what changed.  A quad is live when no later version removed
-its key or cleared its graph.  ``compact`` rewrites the live quads as a new base.
-Versions are immutable, so readers of an older version are not disturbed.  One
-writer at a time: this is not a multi-writer transaction system.
+"""Stored quads: one folder of plain Parquet per write.
+
+    <path>/batch=B/op=O/ph=H/    O: add, del (keys), clear, drop or graph (names of graphs)
+                                 H: two hex digits of the md5 of the predicate
+
+Every write has its own folder and overwrites nothing else, so any number of
+writers may add at the same time, and a stream batch that is delivered again
+replaces its own folder.  Each row carries ``seq``, by default the time of its
+write in microseconds.  A quad is live when no removal of its key and no clearing
+of its graph has a higher ``seq``; at equal ``seq`` additions win.  The order of
+folders therefore doesn't matter, and the state up to any ``seq`` can be read.
+
+Each write is a set.  What several writes repeat is merged when it is read; a
+store of one write without removals is read without any shuffle.  Rows lie sorted
+by predicate and subject, so that row groups are skipped by their minima and
+maxima; ``read(predicates=...)`` opens the folders of these predicates only.
+
+A write is one Spark job; a reader that lists the files while that job publishes
+them may see part of it.  Removals by writers on several machines are ordered as
+their clocks are.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+import threading
+import time
+import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadloom import vocab as V
-from quadloom.functions.quad_columns import statements
 from quadloom.model import QUAD_COLUMNS, QUAD_KEY, QUAD_SCHEMA, empty_quads, graph_iri, graph_list, same
-from quadloom.operators.updates import Store, distinct_quads, in_contexts, matches, only_new, without
+from quadloom.operators.forms import instantiate
+from quadloom.operators.solutions import Solutions
+from quadloom.operators.updates import Store, distinct_quads, in_contexts, matches
 
-MANIFEST_SCHEMA = (
-    "version long, base long, dels boolean, cleared boolean, registered array<string>, "
-    "batches array<struct<stream: string, batch: long>>"
-)
-KEY_SCHEMA = ", ".join(f"{c} string" for c in QUAD_KEY)
+ADD, DEL, CLEAR, DROP, GRAPH = "add", "del", "clear", "drop", "graph"
+_ROW_SCHEMA = f"{QUAD_SCHEMA}, seq long, batch string, op string, ph string"
+_FOLDER = re.compile(r"/batch=([^/]+)/op=([^/]+)/")
 
+_clock = threading.Lock()
+_last = 0
 
-class TransactionError(RuntimeError):
-    """begin / commit / rollback in the wrong order, or use after close."""
 
+def next_seq() -> int:
+    """The time in microseconds, higher than any value given before in this process."""
+    global _last
+    with _clock:
+        _last = max(_last + 1, time.time_ns() // 1000)
+        return _last
 
-@dataclass(frozen=True)
-class Manifest:
-    version: int = 0
-    base: int = 1  # first version whose files still count
-    dels: bool = False  # any removals since the base?
-    cleared: bool = False  # any cleared graphs since the base?
-    registered: tuple[str, ...] = ()
-    batches: tuple[tuple[str, int], ...] = ()  # last batch contained, per stream
+
+def stream_batch(stream: str, batch: int) -> str:
+    """The folder name of a batch of a stream, the same whenever it is delivered."""
+    return f"{hashlib.md5(stream.encode()).hexdigest()}-{batch}"
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, path: str, partition_by_predicate: bool = True):
+    def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        # with thousands of predicates use one folder per version instead
-        self.partition_by_predicate = partition_by_predicate
 
     # -- reading -----------------------------------------------------------------
 
-    def manifest(self, version: int | None = None) -> Manifest:
+    def _rows(self, until: int | None) -> DataFrame | None:
         try:
-            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.path}/manifest/*")
+            rows = self.spark.read.schema(_ROW_SCHEMA).parquet(self.path)
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
-                return Manifest()
+                return None
             raise
-        if version is not None:
-            rows = rows.where(F.col("version") == version)
-        row = rows.orderBy(F.col("version").desc()).first()  # one small row per version
-        if row is None:
-            raise ValueError(f"no such version: {version}")
-        batches = tuple((b["stream"], b["batch"]) for b in row["batches"])
-        return Manifest(
-            row["version"], row["base"], row["dels"], row["cleared"], tuple(row["registered"]), batches
-        )
+        return rows if until is None else rows.where(F.col("seq") <= until)
 
-    def holds(self, stream: str, batch: int) -> bool:
-        """Has this batch of a stream been committed already?"""
-        return dict(self.manifest().batches).get(stream, -1) >= batch
-
-    def _read(self, kind: str, schema: str, m: Manifest) -> DataFrame:
-        df = self.spark.read.schema(schema + ", ver long").parquet(f"{self.path}/{kind}")
-        return df.where(F.col("ver").between(m.base, m.version))
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The live quads of a version (the latest one by default)."""
-        m = self.manifest(version)
-        if m.version < m.base:
+    def read(self, until: int | None = None, predicates: Iterable[str] | None = None) -> DataFrame:
+        """The live quads, of the state after the write ``until`` if it is given."""
+        rows = self._rows(until)
+        if rows is None:
             return empty_quads(self.spark)
-        live = self._read("adds", QUAD_SCHEMA, m)
-        if m.cleared:
-            gone = self._read("cleared", "g string", m)
-            gone = gone.groupBy(F.col("g").alias("cg")).agg(F.max("ver").alias("cver"))
-            live = live.join(gone, (F.col("g") == F.col("cg")) & (F.col("ver") < F.col("cver")), "left_anti")
-        if m.dels:
-            gone = self._read("dels", KEY_SCHEMA, m).groupBy(*QUAD_KEY).agg(F.max("ver").alias("dver"))
-            live = live.join(
-                gone, same(live, gone, QUAD_KEY) & (live["ver"] < gone["dver"]), "left_anti"
-            )
+        # the names of the files, which the scan lists anyway
+        folders = {m.groups() for f in rows.inputFiles() if (m := _FOLDER.search(f))}
+        ops = {op for _, op in folders}
+        live, dels = (rows.where(F.col("op") == op) for op in (ADD, DEL))
+        if predicates is not None:
+            names = list(predicates)
+            digits = sorted({hashlib.md5(p.encode()).hexdigest()[:2] for p in names})
+            chosen = F.col("ph").isin(digits) & F.col("p").isin(names)
+            live, dels = live.where(chosen), dels.where(chosen)
+        if ops & {CLEAR, DROP}:
+            gone = rows.where(F.col("op").isin(CLEAR, DROP))
+            gone = gone.groupBy(F.col("g").alias("cg")).agg(F.max("seq").alias("cseq"))
+            live = live.join(gone, (F.col("g") == F.col("cg")) & (F.col("seq") < F.col("cseq")), "left_anti")
+        if DEL in ops:
+            gone = dels.groupBy(*[F.col(c).alias(c) for c in QUAD_KEY]).agg(F.max("seq").alias("dseq"))
+            live = live.join(gone, same(live, gone, QUAD_KEY) & (live["seq"] < gone["dseq"]), "left_anti")
+        if sum(op == ADD for _, op in folders) > 1:
+            return distinct_quads(live)
         return live.select(*QUAD_COLUMNS)
 
-    def registered(self, version: int | None = None) -> list[str]:
-        return list(self.manifest(version).registered)
+    def registered(self, until: int | None = None) -> DataFrame:
+        """Graphs that were created and not dropped since (column ``g``)."""
+        rows = self._rows(until)
+        if rows is None:
+            return self.spark.createDataFrame([], "g string")
+        last = rows.where(F.col("op").isin(GRAPH, DROP)).groupBy("g").agg(F.max_by("op", "seq").alias("op"))
+        return last.where(F.col("op") == GRAPH).select("g")
 
-    def store(self, version: int | None = None) -> Store:
-        """The version as an in-plan state for ``operators.updates``."""
-        names = self.registered(version)
-        graphs = self.spark.createDataFrame([(g,) for g in names], "g string") if names else None
-        return Store(self.read(version), registered=graphs)
+    def store(self, until: int | None = None) -> Store:
+        """The stored quads as an in-plan state for ``operators.updates``."""
+        return Store(self.read(until), registered=self.registered(until))
 
     # -- writing -----------------------------------------------------------------
 
-    def commit(
+    def write(
         self,
         adds: DataFrame | None = None,
         dels: DataFrame | None = None,
-        cleared: Iterable[str] = (),
-        registered: Iterable[str] | None = None,
-        batch: tuple[str, int] | None = None,
-        reset: bool = False,
+        clear: DataFrame | None = None,
+        batch: str | None = None,
+        op: str = CLEAR,
     ) -> int:
-        """Write the next version: clear, remove, then add.  Returns its number.
+        """Clear graphs, remove keys, then add, as one folder.  Returns its ``seq``.
 
-        ``adds`` must be distinct and hold nothing that stays live.  Files of a
-        failed attempt are overwritten by the next one; only the manifest counts.
+        ``adds`` must be a set.  A column ``seq`` of ``adds`` or ``dels`` counts
+        instead of the time.  ``clear`` holds names of graphs (column ``g``);
+        ``op`` says what happens to them.  ``batch`` names the folder, a new one by
+        default.
         """
-        m = self.manifest()
-        n = m.version + 1
-        empty = empty_quads(self.spark)
-        self._write_adds(empty if adds is None else adds, n)
-        if dels is not None:
-            dels.select(*QUAD_KEY).distinct().write.mode("overwrite").parquet(f"{self.path}/dels/ver={n}")
-        cleared = sorted(set(cleared))
-        if cleared:
-            self.spark.createDataFrame([(g,) for g in cleared], "g string").coalesce(1).write.mode(
-                "overwrite"
-            ).parquet(f"{self.path}/cleared/ver={n}")
-        names = m.registered if registered is None else registered
-        row = (
-            n,
-            n if reset else m.base,
-            dels is not None or (m.dels and not reset),
-            bool(cleared) or (m.cleared and not reset),
-            sorted(set(names)),
-            sorted({**dict(m.batches), **dict([batch] if batch else [])}.items()),
-        )
-        # refuses to overwrite: another writer got there first
-        self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(
-            f"{self.path}/manifest/ver={n}"
-        )
-        return n
-
-    def _write_adds(self, adds: DataFrame, n: int) -> None:
-        target = f"{self.path}/adds/ver={n}"
-        adds = adds.select(*QUAD_COLUMNS)
-        if not self.partition_by_predicate:
-            adds.write.mode("overwrite").parquet(target)
-            return
-        # rebalance: few files per predicate, and a hot predicate is split over tasks
-        adds.hint("rebalance", "p").write.mode("overwrite").partitionBy("p").parquet(target)
+        seq = next_seq()
+        parts = []
+        for name, df, columns in ((ADD, adds, QUAD_COLUMNS), (DEL, dels, QUAD_KEY), (op, clear, ("g",))):
+            if df is None:
+                continue
+            own = F.col("seq").cast("long") if "seq" in df.columns else F.lit(seq)
+            rows = df.select(*columns, own.alias("seq"))
+            if name != ADD:
+                rows = rows.groupBy(*columns).agg(F.max("seq").alias("seq"))
+            parts.append(rows.withColumn("op", F.lit(name)))
+        if not parts:
+            return seq
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        digits = F.coalesce(F.substring(F.md5(F.col("p")), 1, 2), F.lit("-")) if "p" in rows.columns else F.lit("-")
+        # rebalance: few files per folder, and a hot predicate is split over tasks
+        rows = rows.withColumn("ph", digits).hint("rebalance", "op", "ph")
+        order = [c for c in ("op", "ph", "p", "s") if c in rows.columns]
+        target = f"{self.path}/batch={batch or uuid.uuid4().hex}"
+        rows.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("op", "ph").parquet(target)
+        return seq
+
+    def _graphs(self, names: Iterable[str]) -> DataFrame:
+        return self.spark.createDataFrame([(g,) for g in sorted(set(names))], "g string")
+
+    def add(self, new: DataFrame, contexts: Iterable = (), batch: str | None = None) -> int:
+        """Set union; writes nothing but the new rows and reads no stored ones."""
+        return self.write(adds=distinct_quads(in_contexts(new, contexts)), batch=batch)
+
+    def remove_statements(self, gone: DataFrame, contexts: Iterable = ()) -> int:
+        """Remove given quads from their own graph or from ``contexts``."""
+        return self.write(dels=in_contexts(gone, contexts))
 
-    def add(self, new: DataFrame, contexts: Iterable = ()) -> int:
-        """Set union as one version; appends only what is new."""
-        return self.commit(adds=only_new(self.read(), in_contexts(new, contexts)))
+    def remove(self, s=None, p=None, o=None, contexts: Iterable = ()) -> int:
+        """Remove by pattern; no contexts removes from every graph."""
+        return self.write(dels=self.read().where(matches(s, p, o, contexts)))
 
-    def replace(self, quads: DataFrame) -> int:
-        """A whole new content as the next version."""
-        return self.commit(adds=distinct_quads(quads), reset=True)
-
-    def compact(self) -> int:
-        """Rewrite the live quads, so that reads need no removal joins."""
-        return self.commit(adds=self.read(), reset=True)
-
-
-class ChangeSet:
-    """Staged changes over the latest version: seen by own reads, by others after commit."""
-
-    def __init__(self, store: SnapshotStore, isolation: str = "SNAPSHOT"):
-        if isolation.upper() != "SNAPSHOT":
-            raise ValueError("only snapshot isolation is supported")
-        self.store = store
-        self.open = True
-        self.active = False
-
-    def begin(self) -> ChangeSet:
-        self._check(active=False)
-        self.active = True
-        self.base_version = self.store.manifest().version
-        empty = empty_quads(self.store.spark)
-        self.base = self.store.read(self.base_version) if self.base_version else empty
-        self.names = set(self.store.registered())
-        self.cleared: set[str] = set()
-        self.all_cleared = False
-        self.adds: DataFrame | None = None
-        self.dels: DataFrame | None = None
-        return self
-
-    def _check(self, active: bool) -> None:
-        if not self.open:
-            raise TransactionError("the change set is closed")
-        if self.active != active:
-            raise TransactionError("no change set is active" if active else "a change set is already active")
-
-    def _kept_base(self) -> DataFrame:
-        if self.all_cleared:
-            return self.base.limit(0)
-        kept = self.base
-        if self.cleared:
-            kept = kept.where(~F.col("g").isin(sorted(self.cleared)))
-        return kept if self.dels is None else without(kept, self.dels)
-
-    def quads(self) -> DataFrame:
-        """The state this change set sees."""
-        if not self.active:
-            return self.store.read()
-        kept = self._kept_base()
-        return kept if self.adds is None else kept.union(self.adds)
-
-    def add(self, new: DataFrame, contexts: Iterable = ()) -> None:
-        self._check(active=True)
-        new = distinct_quads(in_contexts(new, contexts))
-        fresh = only_new(self.quads(), new)
-        self.adds = fresh if self.adds is None else self.adds.union(fresh)
-
-    def insert_data(self, rows: Iterable[tuple]) -> None:
-        self.add(statements(self.store.spark, rows))
-
-    def remove_statements(self, gone: DataFrame, contexts: Iterable = ()) -> None:
-        """Remove given quads from their own graph or from ``contexts``."""
-        self._check(active=True)
-        gone = in_contexts(gone, contexts).select(*QUAD_KEY).distinct()
-        if self.adds is not None:
-            self.adds = without(self.adds, gone)
-        self.dels = gone if self.dels is None else self.dels.union(gone)
-
-    def delete_data(self, rows: Iterable[tuple]) -> None:
-        self.remove_statements(statements(self.store.spark, rows))
-
-    def remove(self, s=None, p=None, o=None, contexts: Iterable = ()) -> None:
-        """Remove by pattern."""
-        self._check(active=True)
-        cond = matches(s, p, o, contexts)
-        gone = self._kept_base().where(cond).select(*QUAD_KEY)
-        if self.adds is not None:
-            self.adds = self.adds.where(~cond)
-        self.dels = gone if self.dels is None else self.dels.union(gone)
-
-    def clear(self, contexts: Iterable | None = None) -> None:
-        """Clear everything or the listed graphs; writes no row per quad."""
-        self._check(active=True)
-        if contexts is None:
-            self.all_cleared, self.adds, self.dels, self.names = True, None, None, set()
-            return
-        graphs = set(graph_list(contexts) or [V.DEFAULT_GRAPH])
-        self.cleared |= graphs
-        if self.adds is not None:
-            self.adds = self.adds.where(~F.col("g").isin(sorted(graphs)))
-
-    def create_graph(self, graph) -> None:
-        self._check(active=True)
-        self.names.add(graph_iri(graph))
-
-    def commit(self) -> int:
-        self._check(active=True)
-        latest = self.store.manifest().version
-        if latest != self.base_version:
-            raise TransactionError("the store has a newer version than this change set started from")
-        dels = None if self.all_cleared else self.dels
-        version = self.store.commit(
-            adds=self.adds,
-            dels=dels,
-            cleared=() if self.all_cleared else self.cleared,
-            registered=self.names,
-            reset=self.all_cleared,
+    def modify(self, where: Solutions, delete=(), insert=(), graph=None) -> int:
+        """DELETE/INSERT WHERE: writes the removed keys and the added quads only."""
+        return self.write(
+            adds=distinct_quads(instantiate(where, insert, graph)) if insert else None,
+            dels=instantiate(where, delete, graph) if delete else None,
         )
-        self.active = False
-        return version
-
-    def rollback(self) -> None:
-        self._check(active=True)
-        self.active = False
 
-    def close(self) -> None:
-        """Discard open work."""
-        self.active = False
-        self.open = False
+    def replace(self, quads: DataFrame) -> int:
+        """A whole new content."""
+        return self.write(adds=distinct_quads(quads), clear=self.read().select("g"))
 
-    def __enter__(self) -> ChangeSet:
-        return self.begin()
+    # -- graphs ------------------------------------------------------------------
 
-    def __exit__(self, kind, value, trace) -> None:
-        if self.active:
-            self.commit() if kind is None else self.rollback()
+    def clear(self, contexts: Iterable | None = None) -> int:
+        """Clear everything, or the listed graphs; one row per graph is written."""
+        if contexts is None:
+            return self.write(clear=self.read().select("g"))
+        graphs = graph_list(contexts) or [V.DEFAULT_GRAPH]
+        self.store().clear(graphs)  # raises for a graph that doesn't exist
+        return self.write(clear=self._graphs(graphs))
+
+    def create_graph(self, graph) -> int:
+        self.store().create_graph(graph)  # raises if it exists
+        return self.write(clear=self._graphs([graph_iri(graph)]), op=GRAPH)
+
+    def drop_graph(self, graph) -> int:
+        self.store().drop_graph(graph)  # raises if it doesn't exist
+        return self.write(clear=self._graphs([graph_iri(graph)]), op=DROP)
+
+    def _content(self, source, target) -> DataFrame:
+        state = self.store()
+        if not state.graph_exists(source):
+            state.drop_graph(source)  # raises
+        return state.quads.where(F.col("g") == graph_iri(source)).withColumn("g", F.lit(graph_iri(target)))
+
+    def add_graph(self, source, target) -> int:
+        """ADD source TO target: writes the copied quads."""
+        return self.write(adds=self._content(source, target))
+
+    def copy_graph(self, source, target) -> int:
+        """COPY source TO target: the target becomes the source's content."""
+        content = self._content(source, target)
+        if graph_iri(source) == graph_iri(target):
+            return self.write()
+        return self.write(adds=content, clear=self._graphs([graph_iri(target)]))
+
+    def move_graph(self, source, target) -> int:
+        """MOVE source TO target."""
+        content = self._content(source, target)
+        a, b = graph_iri(source), graph_iri(target)
+        if a == b:
+            return self.write()
+        return self.write(adds=content, clear=self._graphs([a, b]), op=DROP)

@@ -1,9 +1,9 @@
 """Buffered writes as Structured Streaming queries.
 
-Every micro-batch is one version of a ``SnapshotStore``: made distinct, cut down
-to what is new, appended.  The version's manifest names the batch, so a batch that
-is replayed after a failure is recognised and skipped.  No state is kept between
-batches; duplicates are found against the stored quads.
+Every micro-batch is made distinct and becomes one folder of a ``SnapshotStore``,
+named after the stream and the batch: a batch that is replayed after a failure
+replaces its own folder.  A batch reads nothing of what is stored, so its cost
+doesn't grow with the store; what batches repeat is merged when it is read.
 """
 
 from __future__ import annotations
@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quadloom.functions.quad_columns import with_values
-from quadloom.model import QUAD_COLUMNS, QUAD_KEY
-from quadloom.operators.updates import only_new
-from quadloom.sources.snapshots import SnapshotStore
+from quadloom.model import QUAD_KEY
+from quadloom.sources.snapshots import SnapshotStore, stream_batch
 
 INSERT, DELETE = "insert", "delete"
 
@@ -33,9 +32,11 @@ class BufferOptions:
 
     interval: str | None = None
     max_files: int | None = None
+    max_bytes: str | None = None  # a size such as "1g"
 
     def source_options(self) -> dict[str, str]:
-        return {} if self.max_files is None else {"maxFilesPerTrigger": str(self.max_files)}
+        limits = {"maxFilesPerTrigger": self.max_files, "maxBytesPerTrigger": self.max_bytes}
+        return {name: str(limit) for name, limit in limits.items() if limit is not None}
 
 
 def _start(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, options: BufferOptions):
@@ -51,8 +52,7 @@ def insert_stream(
     """Add a stream of quads to a store (set union)."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        if not store.holds(checkpoint, batch_id):
-            store.commit(adds=only_new(store.read(), df), batch=(checkpoint, batch_id))
+        store.add(df, batch=stream_batch(checkpoint, batch_id))
 
     return _start(stream, batch, checkpoint, options)
 
@@ -62,24 +62,18 @@ def change_stream(
 ) -> StreamingQuery:
     """Apply a stream of ``op`` ('insert' / 'delete') rows over quads, in ``seq`` order.
 
-    Within a batch the last operation on a quad wins, found by a pre-aggregated
-    maximum per quad.
+    The operation with the highest ``seq`` on a quad counts, whichever batch brings
+    it, and an insert before a delete of equal ``seq``.  Where other writers remove
+    quads of the same store, ``seq`` must be on their scale (microseconds since 1970).
     """
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        if store.holds(checkpoint, batch_id):
-            return
-        final = df.groupBy(*QUAD_KEY).agg(
-            F.max_by("op", "seq").alias("op"), F.max("doc_id").alias("doc_id")
-        )
-        # both outcomes are used; the batch is kept for the length of this call
-        final = final.persist()
-        try:
-            adds = with_values(final.where(F.col("op") == INSERT)).select(*QUAD_COLUMNS)
-            dels = final.where(F.col("op") == DELETE).select(*QUAD_KEY)
-            store.commit(adds=only_new(store.read(), adds), dels=dels, batch=(checkpoint, batch_id))
-        finally:
-            final.unpersist()
+        last = F.max(F.struct("seq", "op"))
+        final = df.groupBy(*QUAD_KEY).agg(last.alias("last"), F.max("doc_id").alias("doc_id"))
+        final = final.select(*QUAD_KEY, "doc_id", "last.seq", "last.op")
+        adds = with_values(final.where(F.col("op") == INSERT), "seq")
+        dels = final.where(F.col("op") == DELETE).select(*QUAD_KEY, "seq")
+        store.write(adds=adds, dels=dels, batch=stream_batch(checkpoint, batch_id))
 
     return _start(stream, batch, checkpoint, options)
 

@@ -9,7 +9,7 @@ from quadloom.functions.quad_columns import statements
 from quadloom.operators import scan as S
 from quadloom.operators.patterns import bgp, pattern
 from quadloom.operators.updates import Store, UnknownGraph, distinct_quads
-from quadloom.sources.snapshots import ChangeSet, SnapshotStore, TransactionError
+from quadloom.sources.snapshots import SnapshotStore, next_seq
 
 C5, C6 = "urn:c5", "urn:c6"
 
@@ -189,74 +189,74 @@ def test_constant_templates_with_an_unrelated_condition(spark):
 # -- versions ------------------------------------------------------------------------
 
 
-def test_versions_and_removals(spark, folder):
+def test_writes_and_removals(spark, folder):
     st = SnapshotStore(spark, folder)
-    assert st.read().count() == 0
-    st.add(statements(spark, four("a") + four("b", C5)))
-    st.add(statements(spark, four("a") + four("c", C6)))
-    assert st.read().count() == 12 and st.read(version=1).count() == 8
-    with ChangeSet(st) as change:
-        change.clear([C5])
-        change.delete_data([("urn:sa0", "urn:p", lit(0))])
-        change.insert_data([("urn:sb0", "urn:p", lit(0), C5)])
+    assert st.read().count() == 0 and st.registered().count() == 0
+    first = st.add(statements(spark, four("a") + four("b", C5)))
+    second = st.add(statements(spark, four("a") + four("c", C6)))
+    assert st.read().count() == 12 and st.read(until=first).count() == 8
+    st.clear([C5])
+    st.remove_statements(statements(spark, [("urn:sa0", "urn:p", lit(0))]))
+    st.add(statements(spark, [("urn:sb0", "urn:p", lit(0), C5)]))
     assert st.read().count() == 12 - 4 - 1 + 1
-    with ChangeSet(st) as change:
-        change.insert_data([("urn:sa0", "urn:p", lit(0))])
-    assert st.read().count() == 9
-    assert st.compact() == 5 and st.read().count() == 9
-    assert st.read(version=2).count() == 12
+    st.add(statements(spark, [("urn:sa0", "urn:p", lit(0))]))
+    assert st.read().count() == 9 and st.read(predicates=["urn:none"]).count() == 0
+    fresh = SnapshotStore(spark, folder + "-fresh")
+    fresh.write(adds=st.read())
+    assert fresh.read().count() == 9
+    assert "Exchange" not in fresh.read()._jdf.queryExecution().executedPlan().toString()
+    assert st.read(until=second).count() == 12
+    st.replace(statements(spark, four("z")))
+    assert st.read().count() == 4
+    with pytest.raises(UnknownGraph):
+        st.clear(["urn:unknown"])
+    st.clear()
+    assert st.read().count() == 0
 
 
-def test_change_set_isolation_and_order(spark, folder):
+def test_one_write_removes_before_it_adds(spark, folder):
     st = SnapshotStore(spark, folder)
-    change = ChangeSet(st)
-    with pytest.raises(TransactionError):
-        change.commit()
-    with pytest.raises(TransactionError):
-        change.rollback()
-    change.begin()
-    with pytest.raises(TransactionError):
-        change.begin()
-    change.insert_data([("urn:s", "urn:p", lit(1))])
-    assert (change.quads().count(), st.read().count()) == (1, 0)
-    change.rollback()
-    assert st.manifest().version == 0
-    change.begin()
-    change.insert_data([("urn:s", "urn:p", lit(i)) for i in range(3)])
-    change.delete_data([("urn:s", "urn:p", lit(0))])
-    assert change.quads().count() == 2
-    change.insert_data([("urn:s", "urn:p", lit(0))])
-    change.commit()
-    assert st.read().count() == 3
-    change.begin()
-    change.clear()
-    change.insert_data([("urn:t", "urn:p", lit(9))])
-    change.create_graph("urn:empty")
-    change.commit()
-    assert [r["s"] for r in st.read().collect()] == ["urn:t"] and st.registered() == ["urn:empty"]
-    change.close()
-    with pytest.raises(TransactionError):
-        change.begin()
-    with pytest.raises(ValueError):
-        ChangeSet(st, isolation="SERIALIZABLE")
+    quad = statements(spark, [("urn:s", "urn:p", lit(0))])
+    st.write(adds=quad, dels=quad)
+    assert st.read().count() == 1
+    st.write(dels=quad)
+    assert st.read().count() == 0 and st.read(until=next_seq()).count() == 0
 
 
-def test_a_stale_change_set_does_not_commit(spark, folder):
-    st = SnapshotStore(spark, folder)
-    change = ChangeSet(st).begin()
-    change.insert_data([("urn:s", "urn:p", lit(1))])
-    st.add(statements(spark, four("a")))
-    with pytest.raises(TransactionError):
-        change.commit()
+def test_interleaved_writers_lose_nothing(spark, folder):
+    one, two = SnapshotStore(spark, folder), SnapshotStore(spark, folder)
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [
+            pool.submit(st.add, statements(spark, [(f"urn:{name}{i}", "urn:p", lit(0)), ("urn:both", "urn:p", lit(0))]))
+            for i in range(3) for name, st in (("a", one), ("b", two))
+        ]
+        [j.result() for j in jobs]
+    assert one.read().count() == two.read().count() == 7
 
 
-def test_an_error_inside_a_change_set_rolls_back(spark, folder):
+def test_graphs_and_long_predicates(spark, folder):
     st = SnapshotStore(spark, folder)
-    with pytest.raises(ZeroDivisionError):
-        with ChangeSet(st) as change:
-            change.insert_data([("urn:s", "urn:p", lit(1))])
-            1 / 0
-    assert st.read().count() == 0
+    long = "urn:" + "p/" * 300
+    st.add(statements(spark, [("urn:s", long, lit(1), C5), ("urn:t", "urn:p", lit(1), C5), ("urn:t", "urn:p", lit(2), C6)]))
+    assert st.read(predicates=[long]).count() == 1
+    st.create_graph("urn:empty")
+    assert [r["g"] for r in st.registered().collect()] == ["urn:empty"]
+    st.copy_graph(C5, "urn:empty")
+    assert st.read().where(F.col("g") == "urn:empty").count() == 2
+    st.move_graph(C6, C5)
+    assert {(r["g"], r["s"]) for r in st.read().where("g <> 'urn:empty'").collect()} == {(C5, "urn:t")}
+    st.add_graph(C5, "urn:empty")
+    assert st.read().count() == 4
+    st.drop_graph("urn:empty")
+    assert st.read().count() == 1 and st.registered().count() == 0
+    with pytest.raises(UnknownGraph):
+        st.copy_graph("urn:empty", C5)
+    st.copy_graph(C5, C5)
+    where = bgp(st.read(), [("?s", "urn:p", "?o")])
+    st.modify(where, delete=[("?s", "urn:p", "?o")], insert=[("?s", "urn:q", "?o")], graph=C5)
+    assert [r["p"] for r in st.read().collect()] == ["urn:q"]
 
 
 def test_volume(spark):

@@ -15,7 +15,7 @@ from quadloom.operators.patterns import bgp, pattern
 from quadloom.operators.scan import has_statement
 from quadloom.session import scratch_path, shared_folder
 from quadloom.sources import readers, sinks
-from quadloom.sources.snapshots import SnapshotStore
+from quadloom.sources.snapshots import SnapshotStore, stream_batch
 from quadloom.streaming.buffered import DELETE, INSERT, Buffer, BufferOptions, change_stream, insert_stream
 
 G1, G = "urn:dirgraph1", "urn:dirgraph"
@@ -290,8 +290,8 @@ def test_insert_stream_is_idempotent(spark, tmp_path):
     for attempt in ("one", "two"):
         insert_stream(stream, store, str(tmp_path / attempt)).awaitTermination()
         assert store.read().count() == 5
-    # a batch that is delivered again is skipped, one of another stream is not
-    assert store.holds(str(tmp_path / "one"), 0) and not store.holds(str(tmp_path / "three"), 0)
+    # a batch that is delivered again replaces its folder
+    assert store.add(q.limit(0), batch=stream_batch(str(tmp_path / "two"), 0)) and store.read().count() == 5
     more = statements(spark, [("urn:t", "urn:p", lit(1))])
     more.write.parquet(str(tmp_path / "more"))
     other = spark.readStream.schema(q.schema).parquet(str(tmp_path / "more"))
@@ -315,6 +315,10 @@ def test_change_stream_applies_the_last_operation(spark, tmp_path):
     feed("b", [("y", DELETE, 6), ("x", INSERT, 7)])
     run().awaitTermination()
     assert {r["o"] for r in store.read().collect()} == {"x", "z"}
+    # late operations of lower order change nothing, and an insert wins a tie
+    feed("c", [("x", DELETE, 5), ("z", DELETE, 5)])
+    run().awaitTermination()
+    assert {r["o"] for r in store.read().collect()} == {"x", "z"}
 
 
 def test_flush_on_demand(spark, tmp_path):
