@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from quadloom import iri, lit
 from quadloom import vocab as V
-from quadloom.functions.quad_columns import statements
+from quadloom.functions.quad_columns import statements, with_values
 from quadloom.operators import inference as I
 from quadloom.operators.scan import count_per_graph
-from quadloom.plans.mapping import CLASS, G, P, quads, schema_rows
+from quadloom.plans.mapping import CLASS, G, P, quads, schema_rows, table
 from quadloom.plans.registry import query
 
 _TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
@@ -106,16 +106,24 @@ def infer_has_value(spark, sf_dir):
 @query("""
 select distinct 'urn:turn:' || b.conv_id || '-' || b.turn as s, 'urn:class:Thread' as o
 from conversations a join conversations b on a.conv_id = b.conv_id and b.turn > a.turn
-where a.conv_id = 0 and a.turn = 0
+where a.turn = 0
 """)
 def infer_all_values_from(spark, sf_dir):
-    """Everything after a thread's first turn belongs to the thread: repeats to a fixpoint."""
+    """Everything after the first turn of any conversation belongs to a thread: repeats to a fixpoint."""
     extra = [
         (CLASS + "Thread", V.ON_PROPERTY, P + "next"),
         (CLASS + "Thread", V.ALL_VALUES_FROM, CLASS + "Thread"),
-        ("urn:turn:0-0", V.RDF_TYPE, CLASS + "Thread"),
     ]
-    new = I.infer(_facts(spark, sf_dir, G + "conv", extra=extra), ["ALL_VALUES_FROM"])
+    first = table(spark, sf_dir, "conversations").where("turn = 0").select(
+        F.lit(V.DEFAULT_GRAPH).alias("g"),
+        F.concat(F.lit("urn:turn:"), F.col("conv_id").cast("string"), F.lit("-0")).alias("s"),
+        F.lit(V.RDF_TYPE).alias("p"),
+        F.lit(CLASS + "Thread").alias("o"),
+        F.lit("iri").alias("o_kind"),
+        *[F.lit(None).cast("string").alias(c) for c in ("o_dt", "o_lang", "doc_id")],
+    )
+    facts = _facts(spark, sf_dir, G + "conv", extra=extra).union(with_values(first))
+    new = I.infer(facts, ["ALL_VALUES_FROM"])
     return new.where(F.col("p") == V.RDF_TYPE).select("s", "o")
 
 
