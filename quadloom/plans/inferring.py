@@ -37,10 +37,21 @@ select 'urn:class:' || c as s, 'urn:class:' || d as o from {_SUPERS}
 except select * from (values ('urn:class:PROMO','urn:class:ECONOMY'),('urn:class:ECONOMY','urn:class:CATALOG'),
 ('urn:class:SMALL','urn:class:SIZED'),('urn:class:MEDIUM','urn:class:SIZED'),('urn:class:LARGE','urn:class:SIZED'),
 ('urn:class:SIZED','urn:class:THING'),('urn:class:CATALOG','urn:class:THING'),('urn:class:STANDARD','urn:class:THING'))
+union all (select 'urn:brand:' || p_brand, 'urn:class:' || d from part join {_SUPERS} on p_type = c
+except select 'urn:brand:' || p_brand, 'urn:class:' || p_type from part)
 """)
 def infer_subclass_declarations(spark, sf_dir):
-    """The implied subclass declarations themselves."""
-    new = I.infer(_facts(spark, sf_dir, G + "part"), ["RDFS"])
+    """The implied subclass declarations themselves: every brand is declared below the types of its parts."""
+    brands = table(spark, sf_dir, "part").select(
+        F.lit(V.DEFAULT_GRAPH).alias("g"),
+        F.concat(F.lit("urn:brand:"), "p_brand").alias("s"),
+        F.lit(V.SUB_CLASS_OF).alias("p"),
+        F.concat(F.lit(CLASS), "p_type").alias("o"),
+        F.lit("iri").alias("o_kind"),
+        *[F.lit(None).cast("string").alias(c) for c in ("o_dt", "o_lang", "doc_id")],
+    )
+    facts = _facts(spark, sf_dir, G + "part").union(with_values(brands.distinct()))
+    new = I.infer(facts, ["RDFS"])
     return new.where(F.col("p") == V.SUB_CLASS_OF).select("s", "o")
 
 
