@@ -12,6 +12,8 @@ The declarations (few) are closed first: which property implies which, in which
 direction, and which class implies which.  The data (many) is then joined once
 with these small closed tables.  Only hasValue and allValuesFrom can feed each
 other through the data; they repeat on newly found facts until nothing is new.
+When the rules can give declarations themselves (a property below
+``subClassOf``), closing and joining repeat until no declaration is new.
 """
 
 from __future__ import annotations
@@ -52,8 +54,9 @@ RULESETS = {
 
 FACT = TRIPLE_KEY + ("o_num", "o_ts")
 
-# Most predicate names a filter lists.
-NAME_LIMIT = 1000
+# Predicates are narrowed down by the share of their hash, so that what a filter
+# lists is bounded, however many properties are declared.
+SHARES = 4096
 FORWARD, BACKWARD = "f", "b"
 SUBJECT, OBJECT_POS = "s", "o"
 
@@ -79,8 +82,9 @@ class Declarations:
     all_values: DataFrame  # r, p, cls
     triples: DataFrame  # declarations implied by the declarations, as facts
     recursive: bool  # can new facts lead to more?
-    sources: set[str] | None  # predicates a rule starts from; None = any
-    targets: set[str] | None  # predicates a rule can give; None = any
+    again: bool  # can rules give declarations, or start from them?
+    sources: list[int]  # shares of the predicates a rule starts from
+    targets: list[int]  # shares of the predicates a rule can give
 
 
 def _declared(schema: DataFrame, by: tuple[str, ...], predicate: str) -> DataFrame:
@@ -211,18 +215,30 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
         has_value.select(F.lit("loop"), F.col("p")),
         all_values.select(F.lit("loop"), F.col("p")),
     ]
-    # predicate names, a few of them; with too many nothing is narrowed down
-    named = reduce(DataFrame.union, roles).distinct().limit(NAME_LIMIT + 1).collect()
-    sources = targets = None
-    recursive = True
-    if len(named) <= NAME_LIMIT:
-        names = {role: {n for r, n in named if r == role} for role in ("source", "target", "class", "loop")}
-        recursive = bool(names["loop"]) or V.RDF_TYPE in names["source"]
-        sources = names["source"] | names["class"] | names["loop"]
-        if names["loop"]:
-            sources.add(V.RDF_TYPE)
-        targets = names["target"] | names["loop"] | {V.RDF_TYPE, *DECLARING}
-    return Declarations(by, properties, typing, classes, has_value, all_values, triples, recursive, sources, targets)
+    named = reduce(DataFrame.union, roles).where("p is not null")
+    is_declaring = F.col("p").isin(*DECLARING)
+    loop = (F.col("role") == "loop") | ((F.col("role") == "source") & (F.col("p") == V.RDF_TYPE))
+    # one row of bounded size
+    row = named.agg(
+        F.collect_set(F.when(F.col("role").isin("source", "class", "loop"), share("p"))).alias("sources"),
+        F.collect_set(F.when(F.col("role").isin("target", "loop"), share("p"))).alias("targets"),
+        F.coalesce(F.bool_or(loop), F.lit(False)).alias("recursive"),
+        F.coalesce(F.bool_or(F.col("role") == "loop"), F.lit(False)).alias("restrictions"),
+        F.coalesce(F.bool_or(is_declaring), F.lit(False)).alias("again"),
+        *[F.array_sort(F.array(*[share(F.lit(p)) for p in fixed])).alias(name)
+          for name, fixed in (("type_", [V.RDF_TYPE]), ("fixed", [V.RDF_TYPE, *DECLARING]))],
+    ).first()
+    sources = sorted({*row["sources"], *(row["type_"] if row["restrictions"] else ())})
+    targets = sorted({*row["targets"], *row["fixed"]})
+    return Declarations(
+        by, properties, typing, classes, has_value, all_values, triples,
+        row["recursive"], row["again"], sources, targets,
+    )
+
+
+def share(p: Column | str) -> Column:
+    """The share a predicate falls into; for a constant predicate it is a constant, too."""
+    return F.pmod(F.xxhash64(p), F.lit(SHARES)).cast("int")
 
 
 def _flipped(by, p: Column) -> list[Column]:
@@ -324,7 +340,21 @@ def infer(
     if not rules:
         return known.limit(0)
     d = close_declarations(known, rules, by)
-    return infer_with(known, d)
+    if not d.again:
+        return infer_with(known, d)
+    spark = known.sparkSession
+    root = scratch_path(spark, "declared")
+    found: list[str] = []
+    while True:
+        # what was found before counts as known, so that rounds have no facts in common
+        state = known if not found else known.union(spark.read.schema(new.schema).parquet(*found))
+        if found:
+            d = close_declarations(state, rules, by)
+        path = f"{root}/round-{len(found)}"
+        new = materialize(infer_with(state, d), path)
+        found.append(path)
+        if new.where(F.col("p").isin(*DECLARING)).isEmpty():
+            return spark.read.schema(new.schema).parquet(*found)
 
 
 def infer_with(known: DataFrame, d: Declarations) -> DataFrame:
@@ -348,8 +378,9 @@ def infer_with(known: DataFrame, d: Declarations) -> DataFrame:
     return spark.read.schema(delta.schema).parquet(*found)
 
 
-def _with_predicates(facts: DataFrame, names: set[str] | None) -> DataFrame:
-    return facts if names is None else facts.where(F.col("p").isin(sorted(names)))
+def _with_predicates(facts: DataFrame, shares: list[int]) -> DataFrame:
+    """Facts whose predicate falls into one of the shares: all that matter, few others."""
+    return facts.where(share("p").isin(shares))
 
 
 def with_inferred(

@@ -172,3 +172,23 @@ def infer_switched_off(spark, sf_dir):
     """Without inferred statements the rulesets do not matter."""
     facts = _facts(spark, sf_dir, G + "supplier")
     return count_per_graph(I.with_inferred(facts, ["RDFS_PLUS_FULL"], include_inferred=False))
+
+
+@query("""
+select distinct 'urn:part:' || a.p_partkey as s, 'urn:brand:' || b.p_brand as o
+from part a join (select distinct p_type, p_brand from part) b on a.p_type = b.p_type
+""")
+def infer_declared_by_rule(spark, sf_dir):
+    """A property below subClassOf declares: every type of part is a kind of the brands that it is sold under."""
+    kinds = table(spark, sf_dir, "part").select(
+        F.lit(V.DEFAULT_GRAPH).alias("g"),
+        F.concat(F.lit(CLASS), "p_type").alias("s"),
+        F.lit(P + "kindOf").alias("p"),
+        F.concat(F.lit("urn:brand:"), "p_brand").alias("o"),
+        F.lit("iri").alias("o_kind"),
+        *[F.lit(None).cast("string").alias(c) for c in ("o_dt", "o_lang", "doc_id")],
+    )
+    parts = quads(spark, sf_dir).limited(graphs=[G + "part"]).df
+    rule = statements(spark, [(P + "kindOf", V.SUB_PROPERTY_OF, iri(V.SUB_CLASS_OF))])
+    new = I.infer(parts.union(with_values(kinds.distinct())).union(rule), ["RDFS"])
+    return new.where((F.col("p") == V.RDF_TYPE) & F.col("o").startswith("urn:brand:")).select("s", "o")
