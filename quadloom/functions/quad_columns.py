@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quadloom import vocab as V
 from quadloom.functions import terms as T
-from quadloom.model import QUAD_COLUMNS, QUAD_SCHEMA, Term, as_term, graph_iri
+from quadloom.model import QUAD_COLUMNS, QUAD_SCHEMA, Term, as_term, graph_iri, with_base
 
 
 def constant_object(term: Term) -> dict[str, Column]:
@@ -68,11 +68,11 @@ def required(name: str) -> Column:
     )
 
 
-def statements(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
-    """A few constant statements ``(s, p, o[, g])`` as quads."""
+def statements(spark: SparkSession, rows: Iterable[tuple], base: str | None = None) -> DataFrame:
+    """A few constant statements ``(s, p, o[, g])`` as quads; relative IRIs are resolved against ``base``."""
     data = []
     for row in rows:
-        s, p, o, *g = row
+        s, p, o, *g = (with_base(t, base) for t in row)
         if s is None or p is None or o is None:
             raise ValueError("subject, predicate and object must not be null")
         s, p, o = as_term(s), as_term(p), as_term(o)

@@ -16,6 +16,7 @@ Term identity is (o, o_kind, o_dt, o_lang), compared null-safe.  ``o_num`` and
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +57,52 @@ def iri(value: str) -> Term:
     return Term(value)
 
 
+_ABSOLUTE = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
+_BASE = re.compile(r"([A-Za-z][A-Za-z0-9+.-]*:)(//[^/?#]*)?([^?#]*)(\?[^#]*)?")
+
+
+def with_base(value, base: str | None):
+    """A constant IRI resolved against ``base``; variables, literals, paths and absolute IRIs stay as they are."""
+    if base is None or not isinstance(value, (str, Term)) or (isinstance(value, str) and value.startswith("?")):
+        return value
+    term = as_term(value)
+    if not term.is_iri or _ABSOLUTE.match(term.value):
+        return value
+    return Term(_resolved(term.value, base))
+
+
+def _resolved(ref: str, base: str) -> str:
+    """RFC 3986 section 5.2 for one reference, as ``terms.resolve_iri`` for a column."""
+    m = _BASE.match(base)
+    if m is None:
+        raise ValueError(f"base IRI is not absolute: {base!r}")
+    scheme, authority, path, query = (part or "" for part in m.groups())
+    ref_path = re.match("[^?#]*", ref)[0]
+    rest = ref[len(ref_path):]
+    if ref.startswith("//"):
+        return scheme + ref
+    if not ref_path:
+        return scheme + authority + path + (rest if rest.startswith("?") else query + rest)
+    if not ref_path.startswith("/"):
+        folder = path[: path.rfind("/") + 1] or ("/" if authority else "")
+        ref_path = folder + ref_path
+    return scheme + authority + _without_dots(ref_path) + rest
+
+
+def _without_dots(path: str) -> str:
+    if "/." not in path:
+        return path
+    kept: list[str] = []
+    segments = path.split("/")
+    for segment in segments:
+        if segment == "..":
+            del kept[max(1, len(kept) - 1):]
+        elif segment != ".":
+            kept.append(segment)
+    out = "/".join(kept)
+    return out + "/" if segments[-1] in (".", "..") and not out.endswith("/") else out
+
+
 def lit(value, dt: str | None = None, lang: str | None = None) -> Term:
     """A literal from a Python value; a plain string is an ``xsd:string``."""
     if value is None:

@@ -70,15 +70,19 @@ def transitive_closure(edges: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 HOPS = 4
 
 
-def reachable(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+def reachable(edges: DataFrame, seeds: DataFrame, copied: bool = True) -> DataFrame:
     """Distinct pairs (x, y): ``y`` is one or more edges away from the seed ``x``.
 
     ``seeds`` has a column ``x``.  Only what the seeds reach is computed.  A round
     follows ``HOPS`` edges; only pairs first met at its last hop go on from there.
+    The edges are read at every hop: ``copied`` says whether they are written once
+    before (right when they come from joins) or read where they are.
     """
     spark = edges.sparkSession
     root = scratch_path(spark, "reach")
-    edges = materialize(edges.select("x", "y").distinct(), f"{root}/edges")
+    edges = edges.select("x", "y")
+    if copied:
+        edges = materialize(edges, f"{root}/edges")
     start = seeds.select("x").distinct()
     frontier = start.select("x", F.col("x").alias("y"))
     found: list[str] = []

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quadloom import vocab as V
 from quadloom.functions.quad_columns import constant_object
 from quadloom.model import TRIPLE_KEY, as_term, graph_iri
-from quadloom.operators.patterns import is_var
+from quadloom.operators.patterns import _based, is_var
 from quadloom.operators.scan import Quads, match, non_empty
 from quadloom.operators.solutions import IDENTITY, VALUES, Solutions, aux
 from quadloom.session import materialize, scratch_path
@@ -24,13 +24,17 @@ def ask(sol: Solutions | DataFrame) -> DataFrame:
     return non_empty(sol.df if isinstance(sol, Solutions) else sol)
 
 
-def instantiate(sol: Solutions, templates: Iterable[tuple], graph=None) -> DataFrame:
-    """Quads from templates ``(s, p, o[, g])``; rows with an unbound or illegal slot are skipped."""
+def instantiate(sol: Solutions, templates: Iterable[tuple], graph=None, base: str | None = None) -> DataFrame:
+    """Quads from templates ``(s, p, o[, g])``; rows with an unbound or illegal slot are skipped.
+
+    Relative IRIs are resolved against ``base``.
+    """
     parts = []
     for t in templates:
         s, p, o = t[:3]
         g = t[3] if len(t) > 3 else graph
         p = V.RDF_TYPE if p == "a" else p
+        s, p, o, g = _based((s, p, o, g), base)
         df, keep = sol.df, F.lit(True)
         cols = {}
         for slot, x in (("g", g), ("s", s), ("p", p)):
@@ -63,15 +67,15 @@ def instantiate(sol: Solutions, templates: Iterable[tuple], graph=None) -> DataF
     return out
 
 
-def construct(sol: Solutions, templates: Iterable[tuple]) -> DataFrame:
+def construct(sol: Solutions, templates: Iterable[tuple], base: str | None = None) -> DataFrame:
     """CONSTRUCT: the set of triples the templates give."""
-    return instantiate(sol, templates).select(*TRIPLE_COLUMNS).dropDuplicates(list(TRIPLE_KEY))
+    return instantiate(sol, templates, base=base).select(*TRIPLE_COLUMNS).dropDuplicates(list(TRIPLE_KEY))
 
 
-def describe(q: Quads, *resources) -> DataFrame:
+def describe(q: Quads, *resources, base: str | None = None) -> DataFrame:
     """DESCRIBE <iri> ...: the triples with the resource as subject, over all graphs."""
     out = None
-    for r in resources:
+    for r in _based(resources, base):
         df, one_graph = match(q, s=r)
         df = df.select(*TRIPLE_COLUMNS)
         if not one_graph:

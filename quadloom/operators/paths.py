@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quadloom import vocab as V
 from quadloom.functions.terms import numeric_value, time_value
-from quadloom.model import Term, as_term
+from quadloom.model import Term, as_term, with_base
 from quadloom.operators.closure import reachable, transitive_closure, with_identity
 from quadloom.operators.scan import Quads, match
 
@@ -105,6 +105,35 @@ def not_in(*forward, backward: tuple = ()) -> Path:
     return Alternative(ahead, back) if forward else back
 
 
+def based(path: Path, base: str | None) -> Path:
+    """The path with relative IRIs resolved."""
+    if base is None:
+        return path
+    if isinstance(path, Link):
+        return Link(as_term(with_base(path.predicate, base)).value)
+    if isinstance(path, NotIn):
+        return NotIn(tuple(as_term(with_base(p, base)).value for p in path.predicates))
+    if isinstance(path, Inverse):
+        return Inverse(based(path.path, base))
+    if isinstance(path, Repeat):
+        return Repeat(based(path.path, base), path.zero, path.many)
+    return type(path)(based(path.first, base), based(path.second, base))
+
+
+def walks(path) -> bool:
+    """Does the path begin by repeating a step any number of times?"""
+    if isinstance(path, Sequence):
+        return walks(path.first)
+    return isinstance(path, Repeat) and path.many
+
+
+def _plain(path: Path) -> bool:
+    """Is a step of the path read from the quads without a join?"""
+    if isinstance(path, Alternative):
+        return _plain(path.first) and _plain(path.second)
+    return isinstance(path, (Link, NotIn)) or (isinstance(path, Inverse) and _plain(path.path))
+
+
 # -- evaluation ------------------------------------------------------------------
 
 
@@ -154,8 +183,13 @@ def evaluate(
     start: Term | None = None,
     end: Term | None = None,
     merge: bool = True,
+    seeds: DataFrame | None = None,
 ) -> DataFrame:
-    """All pairs of the path, or those with a fixed start and/or end."""
+    """All pairs of the path, or those with a fixed start and/or end.
+
+    ``seeds`` are keys ``x`` of the starts that matter, if the path walks from its
+    start; other pairs may be left out then.
+    """
     if isinstance(path, (Link, NotIn)):
         p = path.predicate if isinstance(path, Link) else None
         df, one_graph = match(q, start, p, end, graphs)
@@ -167,7 +201,7 @@ def evaluate(
     if isinstance(path, Inverse):
         return _swapped(evaluate(q, path.path, graphs, end, start, merge))
     if isinstance(path, Sequence):
-        first = evaluate(q, path.first, graphs, start, None, merge)
+        first = evaluate(q, path.first, graphs, start, None, merge, seeds)
         second = evaluate(q, path.second, graphs, None, end, merge)
         literal = _literal_ends(path.first)[1] and _literal_ends(path.second)[0]
         return _chained(first, second, literal)
@@ -175,7 +209,7 @@ def evaluate(
         return evaluate(q, path.first, graphs, start, end, merge).union(
             evaluate(q, path.second, graphs, start, end, merge)
         )
-    return _repeated(q, path, graphs, start, end)
+    return _repeated(q, path, graphs, start, end, seeds)
 
 
 def _chained(first: DataFrame, second: DataFrame, literal: bool) -> DataFrame:
@@ -197,8 +231,9 @@ def _chained(first: DataFrame, second: DataFrame, literal: bool) -> DataFrame:
     return left.join(right, cond).select(*["x" + p for p in PARTS], *["y" + p for p in PARTS])
 
 
-def _repeated(q: Quads, path: Repeat, graphs, start, end) -> DataFrame:
+def _repeated(q: Quads, path: Repeat, graphs, start, end, seeds: DataFrame | None = None) -> DataFrame:
     spark = match(q)[0].sparkSession
+    copied = not _plain(path.path)
     if not path.many:
         pairs = _keys(evaluate(q, path.path, graphs, start, end, merge=False)).distinct()
     elif start is not None or end is not None:
@@ -207,11 +242,13 @@ def _repeated(q: Quads, path: Repeat, graphs, start, end) -> DataFrame:
         seed = start if start is not None else end
         if start is None:
             step = step.select(F.col("y").alias("x"), F.col("x").alias("y"))
-        pairs = reachable(step, spark.range(1).select(_constant_key(seed).alias("x")))
+        pairs = reachable(step, spark.range(1).select(_constant_key(seed).alias("x")), copied)
         if start is None:
             pairs = pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))
         elif end is not None:
             pairs = pairs.where(F.col("y") == _constant_key(end))
+    elif seeds is not None:
+        pairs = reachable(_keys(evaluate(q, path.path, graphs, merge=False)), seeds, copied)
     else:
         pairs = transitive_closure(_keys(evaluate(q, path.path, graphs, merge=False)))
     if path.zero:
@@ -251,6 +288,12 @@ def _key(prefix: str) -> Column:
     return F.when(F.col(prefix + "_kind") == "iri", F.concat(F.lit("I"), F.col(prefix))).otherwise(literal)
 
 
+def seed_keys(df: DataFrame, name: str) -> DataFrame:
+    """The values of a variable with all its term columns, as keys."""
+    parts = df.select(*[F.col(name if not part else f"{name}_{part}").alias("x" + part) for part in PARTS[:4]])
+    return parts.select(_key("x").alias("x")).distinct()
+
+
 def _constant_key(term: Term) -> Column:
     if term.is_iri:
         return F.lit("I" + term.value)

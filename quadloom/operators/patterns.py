@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadloom import vocab as V
 from quadloom.functions.quad_columns import constant_object
 from quadloom.functions.terms import numeric_value, time_value
-from quadloom.model import Term, as_term, graph_list, lit
+from quadloom.model import Term, as_term, graph_list, lit, with_base
 from quadloom.operators import paths
 from quadloom.operators.scan import Quads, match
 from quadloom.operators.solutions import IDENTITY, VALUES, Solutions, aux
@@ -31,6 +31,8 @@ def pattern(
     from_: Iterable | None = None,
     from_named: Iterable | None = None,
     merge: bool = True,
+    base: str | None = None,
+    seeds: DataFrame | None = None,
 ) -> Solutions:
     """Solutions of one triple pattern.
 
@@ -42,14 +44,20 @@ def pattern(
     The union over several graphs removes triples present in more than one of
     them.  ``merge=False`` skips that; it is right when the caller knows that
     no triple repeats, or drops duplicate solutions later anyway.
+
+    Relative IRIs are resolved against ``base``; an IRI that was resolved against
+    another base before stays as it is.  ``seeds`` (a column ``x`` of term keys)
+    limits where a repeated path starts from.
     """
-    graphs = _dataset(graph, from_, from_named)
     if p == "a":
         p = V.RDF_TYPE
+    s, p, o, graph = _based((s, p, o, graph), base)
+    from_, from_named = (None if c is None else _based(_listed(c), base) for c in (from_, from_named))
+    graphs = _dataset(graph, from_, from_named)
     if isinstance(p, paths.Path):
         if is_var(graph):
             raise ValueError("a property path needs a fixed graph or the default dataset")
-        return _path_solutions(q, s, p, o, graphs, merge)
+        return _path_solutions(q, s, p, o, graphs, merge, seeds)
 
     const = {k: (None if is_var(t) else as_term(t)) for k, t in (("s", s), ("p", p), ("o", o))}
     df, one_graph = match(q, const["s"], const["p"], const["o"], graphs)
@@ -86,10 +94,19 @@ def pattern(
     return sol
 
 
-def _path_solutions(q: Quads, s, path, o, graphs, merge: bool) -> Solutions:
+def _listed(contexts) -> list:
+    return [contexts] if isinstance(contexts, (str, Term)) else list(contexts)
+
+
+def _based(terms: Iterable, base: str | None) -> list:
+    """Terms of a pattern or template with relative IRIs resolved, those within paths as well."""
+    return [paths.based(t, base) if isinstance(t, paths.Path) else with_base(t, base) for t in terms]
+
+
+def _path_solutions(q: Quads, s, path, o, graphs, merge: bool, seeds: DataFrame | None = None) -> Solutions:
     start = None if is_var(s) else as_term(s)
     end = None if is_var(o) else as_term(o)
-    pairs = paths.evaluate(q, path, graphs, start, end, merge)
+    pairs = paths.evaluate(q, path, graphs, start, end, merge, seeds)
     if is_var(s) and s == o:
         same = F.lit(True)
         for part in ("", "_kind"):
@@ -115,6 +132,7 @@ def bgp(
     from_named: Iterable | None = None,
     bindings: Mapping[str, Term | str] | None = None,
     merge: bool = True,
+    base: str | None = None,
 ) -> Solutions:
     """A basic graph pattern: triple patterns joined on their shared variables.
 
@@ -123,9 +141,16 @@ def bgp(
     while a connected one is left.  Which join algorithm runs is Catalyst's choice.
 
     ``bindings`` fixes variables before matching; a name no pattern uses has no
-    effect.  A bound variable still appears in the result.
+    effect.  A bound variable still appears in the result.  Relative IRIs are
+    resolved against ``base``.
+
+    A path that repeats (``+``, ``*``) is walked from the subjects that the patterns
+    before it have found, if they bind its start.
     """
-    bound = {k.lstrip("?"): as_term(v) for k, v in (bindings or {}).items()}
+    bound = {k.lstrip("?"): as_term(with_base(as_term(v), base)) for k, v in (bindings or {}).items()}
+    patterns = [_based([V.RDF_TYPE if t == "a" and i == 1 else t for i, t in enumerate(pt)], base) for pt in patterns]
+    graph, = _based([graph], base)
+    from_, from_named = (None if c is None else _based(_listed(c), base) for c in (from_, from_named))
 
     def fix(t):
         return bound.get(t[1:], t) if is_var(t) else t
@@ -148,18 +173,24 @@ def bgp(
     if isinstance(q, TableQuads):
         views = _narrowed(q, todo, graphs)
 
-    def solve(pt) -> Solutions:
+    def solve(pt, seeds: DataFrame | None = None) -> Solutions:
         return pattern(
-            views.get(pt, q), *pt, graph=graph, from_=from_, from_named=from_named, merge=merge
+            views.get(pt, q), *pt, graph=graph, from_=from_, from_named=from_named, merge=merge, seeds=seeds
         )
 
+    def seeds_of(pt) -> DataFrame | None:
+        if sol is None or not (paths.walks(pt[1]) and is_var(pt[0]) and pt[0][1:] in known):
+            return None
+        return paths.seed_keys(sol.as_terms([pt[0][1:]]).df, pt[0][1:])
+
     sol = None
     known: set[str] = set()
     while todo:
         connected = [pt for pt in todo if variables(pt) & known] or todo
-        pt = min(connected, key=lambda pt: (len(variables(pt) - known), todo.index(pt)))
+        # what walks comes last, unless its start or end is fixed
+        pt = min(connected, key=lambda pt: (paths.walks(pt[1]) and is_var(pt[0]) and is_var(pt[2]), len(variables(pt) - known), todo.index(pt)))
         todo.remove(pt)
-        part = solve(pt)
+        part = solve(pt, seeds_of(pt))
         sol = part if sol is None else sol.join(part)
         known |= variables(pt)
     if sol is None:

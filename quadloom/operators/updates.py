@@ -113,13 +113,13 @@ class Store:
         new = in_contexts(new, contexts)
         return replace(self, added=new if self.added is None else self.added.union(new))
 
-    def insert_data(self, rows: Iterable[tuple]) -> Store:
+    def insert_data(self, rows: Iterable[tuple], base: str | None = None) -> Store:
         """INSERT DATA: constant quads, the default graph unless one is given."""
-        return self.add(statements(self.base.sparkSession, rows))
+        return self.add(statements(self.base.sparkSession, rows, base))
 
-    def delete_data(self, rows: Iterable[tuple]) -> Store:
+    def delete_data(self, rows: Iterable[tuple], base: str | None = None) -> Store:
         """DELETE DATA: exactly these quads; absent ones are ignored."""
-        return self.remove_statements(statements(self.base.sparkSession, rows))
+        return self.remove_statements(statements(self.base.sparkSession, rows, base))
 
     def remove(self, s=None, p=None, o=None, contexts: Iterable = ()) -> Store:
         """Remove by pattern; no contexts removes from every graph."""
@@ -133,13 +133,13 @@ class Store:
             return self._each(lambda df: without(df, gone, QUAD_KEY[1:]))
         return self._each(lambda df: without(df, in_contexts(gone, contexts)))
 
-    def modify(self, where: Solutions, delete=(), insert=(), graph=None) -> Store:
+    def modify(self, where: Solutions, delete=(), insert=(), graph=None, base: str | None = None) -> Store:
         """DELETE/INSERT WHERE: both templates use the old state; deletes go first."""
         store = self
         if delete:
-            store = store.remove_statements(instantiate(where, delete, graph))
+            store = store.remove_statements(instantiate(where, delete, graph, base))
         if insert:
-            store = store.add(instantiate(where, insert, graph))
+            store = store.add(instantiate(where, insert, graph, base))
         return store
 
     # graphs

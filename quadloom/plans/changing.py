@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from quadloom import lit
 from quadloom import vocab as V
-from quadloom.functions.quad_columns import with_values
-from quadloom.model import QUAD_COLUMNS
+from quadloom.functions.quad_columns import statements, with_values
+from quadloom.model import QUAD_COLUMNS, with_base
 from quadloom.operators.patterns import bgp, num, pattern
 from quadloom.operators.scan import count_per_graph
 from quadloom.operators.updates import Store, in_contexts
@@ -264,3 +264,20 @@ def concurrent_adds(spark, sf_dir):
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(writer, slices + slices))
     return SnapshotStore(spark, path).read().select("s", "o")
+
+
+@query("""
+select 'http://example.org/app/done#' || o_orderkey as s, 'http://example.org/p/by' as p, 'urn:customer:' || o_custkey as o
+from orders where o_orderstatus = 'F'
+union all select 'http://example.org/app/run', 'http://example.com/own', 'http://example.org/x'
+""")
+def update_relative_iris(spark, sf_dir):
+    """Relative IRIs in templates and data are resolved against the base; an IRI with its own base keeps it."""
+    base = "http://example.org/app/now"
+    store = _snapshot(spark, sf_dir, G + "orders")
+    done = bgp(store.read(), [("?o", P + "status", lit("F")), ("?o", P + "placedBy", "?c")], graph=G + "orders")
+    named = done.bind("d", F.concat(F.lit("http://example.org/app/done#"), F.substring("o", 11, 20)))
+    store.modify(named, insert=[("?d", "../p/by", "?c", "out")], base=base)
+    own = with_base("own", "http://example.com/")
+    store.add(statements(spark, [("run", own, "/x", "out")], base))
+    return store.read().where(F.col("g") == "http://example.org/app/out").select("s", "p", "o")

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom import lit
+from quadloom.operators import paths
+from quadloom.operators.forms import instantiate
 from quadloom.operators.patterns import bgp, equals, iri_in, not_equals, num, pattern, ts, values, var
 from quadloom.operators.solutions import Solutions
+from quadloom.operators.updates import distinct_quads
 from quadloom.plans.mapping import G, P, quads
 from quadloom.plans.registry import query, time_text
 
@@ -323,3 +326,26 @@ def optional_spread_hot_keys(spark, sf_dir):
     nations = pattern(q, "?n", P + "name", "?nation", from_=[None]).filter(var("n").startswith("urn:nation:"))
     rich = bgp(q, [("?c", P + "inNation", "?n"), ("?c", P + "acctbal", "?b")], graph=G + "customer")
     return nations.optional(rich.filter(num("b") > 9500), spread=16).select("nation", "c")
+
+
+@query("""
+select 'urn:customer:' || c_custkey as c, n_name as nation
+from customer join nation on c_nationkey = n_nationkey where c_mktsegment = 'BUILDING'
+""")
+def bgp_relative_iris(spark, sf_dir):
+    """Relative IRIs in patterns, paths and graphs are resolved against the base of the query."""
+    q = quads(spark, sf_dir)
+    base = "http://example.org/shop/terms#all"
+    facts = bgp(
+        q, [("?c", P + "segment", "?seg"), ("?c", P + "inNation", "?n"), ("?n", P + "name", "?name")],
+        from_=[G + "customer", None],
+    )
+    templates = [("?c", "#segment", "?seg"), ("?c", "#in", "?n"), ("?n", "../name", "?name")]
+    shop = distinct_quads(instantiate(facts, templates, "graphs/one", base))
+    sol = bgp(
+        shop,
+        [("?c", "http://example.org/shop/terms#segment", lit("BUILDING")), ("?c", paths.seq("#in", "/name"), "?nation")],
+        graph="/shop/graphs/./one",
+        base=base,
+    )
+    return sol.select("c", "nation")

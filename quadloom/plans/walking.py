@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quadloom import lit
 from quadloom.operators.closure import reachable
 from quadloom.operators.paths import alt, inverse, not_in, optional_step, plus, seq, star
-from quadloom.operators.patterns import pattern
+from quadloom.operators.patterns import bgp, pattern
 from quadloom.plans.mapping import G, P, quads
 from quadloom.plans.registry import query
 
@@ -137,3 +138,14 @@ def path_plus_from_seeds(spark, sf_dir):
     edges = pattern(q, "?x", NEXT, "?y", graph=G + "conv").select("x", "y")
     firsts = edges.join(edges.select(F.col("y").alias("x")), "x", "left_anti").select("x")
     return reachable(edges, firsts)
+
+
+@query("""
+select 'urn:turn:' || a.conv_id || '-' || a.turn as x, 'urn:turn:' || b.conv_id || '-' || b.turn as y
+from conversations a join conversations b on a.conv_id = b.conv_id and a.turn < b.turn
+where a.role = 'system'
+""")
+def path_plus_joined(spark, sf_dir):
+    """The turns that follow a system turn: walked from those that the role pattern finds."""
+    sol = bgp(quads(spark, sf_dir), [("?x", plus(NEXT), "?y"), ("?x", P + "role", lit("system"))], graph=G + "conv")
+    return sol.select("x", "y")

@@ -166,11 +166,11 @@ class SnapshotStore:
         """Remove by pattern; no contexts removes from every graph."""
         return self.write(dels=self.read().where(matches(s, p, o, contexts)))
 
-    def modify(self, where: Solutions, delete=(), insert=(), graph=None) -> int:
+    def modify(self, where: Solutions, delete=(), insert=(), graph=None, base: str | None = None) -> int:
         """DELETE/INSERT WHERE: writes the removed keys and the added quads only."""
         return self.write(
-            adds=distinct_quads(instantiate(where, insert, graph)) if insert else None,
-            dels=instantiate(where, delete, graph) if delete else None,
+            adds=distinct_quads(instantiate(where, insert, graph, base)) if insert else None,
+            dels=instantiate(where, delete, graph, base) if delete else None,
         )
 
     def replace(self, quads: DataFrame) -> int:
