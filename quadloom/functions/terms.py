@@ -108,6 +108,30 @@ def numeric_value(o: Column | str, dt: Column | str) -> Column:
     )
 
 
+def exact_parts(o: Column | str, dt: Column | str) -> Column:
+    """An integer or decimal of any length as (negative, size = (digits, whole, fraction)); else null.
+
+    Sizes compare as their values do, and equal values have equal parts.
+    """
+    o, dt = _col(o), _col(dt)
+    whole = F.regexp_extract(o, r"^[+-]?0*([0-9]*)", 1)
+    fraction = F.regexp_extract(o, r"\.([0-9]*?)0*$", 1)
+    size = F.struct(F.length(whole).alias("digits"), whole.alias("whole"), fraction.alias("fraction"))
+    negative = o.startswith("-") & ((whole != "") | (fraction != ""))
+    return F.when(
+        dt.isin(*V.EXACT_TYPES) & o.rlike(DECIMAL_FORM), F.struct(negative.alias("negative"), size.alias("size"))
+    )
+
+
+def exact_less(a: Column, b: Column) -> Column:
+    """Is one number less than another?  Both as ``exact_parts``."""
+    return (
+        F.when(a["negative"] != b["negative"], a["negative"])
+        .when(a["negative"], b["size"] < a["size"])
+        .otherwise(a["size"] < b["size"])
+    )
+
+
 def time_value(o: Column | str, dt: Column | str) -> Column:
     """Value of a date or dateTime literal in UTC; a missing zone means UTC."""
     o, dt = _col(o), _col(dt)

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quadloom import vocab as V
 from quadloom.operators.solutions import IDENTITY, Solutions, aux
 
 
@@ -54,6 +55,69 @@ def avg(name: str) -> Column:
     return F.when(_all_numeric(name), F.coalesce(F.avg(F.col(aux(name, "num"))), F.lit(0.0)))
 
 
+def sum_term(name: str) -> Column:
+    """SUM(?x) as a term (o, o_dt) of the promoted type: integer, decimal, or double.
+
+    Integers and decimals add up exactly, in any order; the result is unbound when
+    a value is not a number, or when an exact one needs more digits than a Spark
+    decimal holds (38, or 20 before and 18 after the point beside decimals).
+    """
+    text, dt, number = F.col(name), F.col(aux(name, "dt")), F.col(aux(name, "num"))
+    whole, exact = dt.isin(*V.INTEGER_TYPES), dt.isin(*V.EXACT_TYPES)
+    n = F.count(number)
+
+    def total(kind: Column, decimal: str) -> Column:
+        value = F.when(kind, text.try_cast(decimal))
+        zero = F.lit(0).cast(decimal)
+        return F.when(F.count(value) == n, F.when(n == 0, zero).otherwise(F.try_sum(value)))
+
+    # a cast to text may give an exponent
+    point = F.translate(F.format_number(total(exact & text.rlike(_FEW_DIGITS), "decimal(38,18)"), 18), ",", "")
+    trimmed = F.regexp_replace(point, r"\.?0+$", "")
+    all_whole = F.count(F.when(whole, number)) == n
+    all_exact = F.count(F.when(exact, number)) == n
+    value = (
+        F.when(all_whole, total(whole, "decimal(38,0)").cast("string"))
+        .when(all_exact, trimmed)
+        .otherwise(F.sum(number).cast("string"))
+    )
+    kind = F.when(all_whole, V.XSD_INTEGER).when(all_exact, V.XSD_DECIMAL).otherwise(V.XSD_DOUBLE)
+    return F.when(
+        _all_numeric(name) & value.isNotNull(), F.struct(value.alias("o"), kind.alias("o_dt"))
+    )
+
+
+# Texts of decimals that lose nothing in 18 places.
+_FEW_DIGITS = r"^[+-]?[0-9]*(?:\.[0-9]{0,18}0*)?$"
+
+
+def _term(name: str) -> Column:
+    return F.struct(F.col(name).alias("o"), *[F.col(aux(name, p)).alias("o_" + p) for p in IDENTITY])
+
+
+def _by_value(name: str) -> Column:
+    """Numbers by value, then exactly; null for other terms, which aggregates pass over."""
+    number = F.col(aux(name, "num"))
+    return F.when(number.isNotNull(), F.struct(number, F.col(name).try_cast("decimal(38,18)"), F.col(name)))
+
+
+def min_term(name: str) -> Column:
+    """MIN(?x) over numbers as a whole term: form, kind, datatype, language."""
+    return F.min_by(_term(name), _by_value(name))
+
+
+def max_term(name: str) -> Column:
+    """MAX(?x) over numbers as a whole term: form, kind, datatype, language."""
+    return F.max_by(_term(name), _by_value(name))
+
+
+def sample_term(sol: Solutions, name: str) -> Column:
+    """SAMPLE(?x) as a whole term; the least, so that reruns agree."""
+    if name not in sol.terms:
+        raise ValueError(f"variable {name} holds IRIs only: use sample")
+    return F.min(F.when(F.col(name).isNotNull(), _term(name)))
+
+
 def min_num(name: str) -> Column:
     return F.min(F.col(aux(name, "num")))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quadloom import vocab as V
 from quadloom.functions.quad_columns import constant_object
-from quadloom.functions.terms import numeric_value, time_value
+from quadloom.functions.terms import exact_less, exact_parts, numeric_value, time_value
 from quadloom.model import Term, as_term, graph_list, lit, with_base
 from quadloom.operators import paths
 from quadloom.operators.scan import Quads, match
@@ -285,12 +285,50 @@ def equals(name: str, value) -> Column:
     if term.kind == "lit":
         c = constant_object(term)
         if term.dt in V.NUMERIC_TYPES:
-            return num(name) == c["o_num"]
+            # integers and decimals by all their digits, unless a float takes part
+            as_double = num(name) == c["o_num"]
+            if term.dt not in V.EXACT_TYPES:
+                return as_double
+            dt = F.col(aux(name.lstrip("?"), "dt"))
+            digits = dt.isin(*V.EXACT_TYPES) & ((dt == V.XSD_DECIMAL) | (F.abs(num(name)) >= float(2**53)))
+            return as_double & F.when(digits, _exact(name) == exact_parts(c["o"], c["o_dt"])).otherwise(True)
         if term.dt in V.TIME_TYPES:
             return ts(name) == c["o_ts"]
     return same_term(name, term)
 
 
+def _exact(name: str) -> Column:
+    name = name.lstrip("?")
+    return exact_parts(name, aux(name, "dt"))
+
+
+def _number(value) -> tuple[Term, dict[str, Column]]:
+    term = value if isinstance(value, Term) else lit(value)
+    if term.dt not in V.NUMERIC_TYPES:
+        raise ValueError(f"not a number: {value!r}")
+    return term, constant_object(term)
+
+
+def less_than(name: str, value) -> Column:
+    """FILTER ?x < number: integers and decimals by all their digits, floats as doubles."""
+    term, c = _number(value)
+    as_double = num(name) < c["o_num"]
+    if term.dt not in V.EXACT_TYPES:
+        return as_double
+    both = F.col(aux(name.lstrip("?"), "dt")).isin(*V.EXACT_TYPES)
+    return F.when(both, exact_less(_exact(name), exact_parts(c["o"], c["o_dt"]))).otherwise(as_double)
+
+
+def greater_than(name: str, value) -> Column:
+    """FILTER ?x > number: integers and decimals by all their digits, floats as doubles."""
+    term, c = _number(value)
+    as_double = num(name) > c["o_num"]
+    if term.dt not in V.EXACT_TYPES:
+        return as_double
+    both = F.col(aux(name.lstrip("?"), "dt")).isin(*V.EXACT_TYPES)
+    return F.when(both, exact_less(exact_parts(c["o"], c["o_dt"]), _exact(name))).otherwise(as_double)
+
+
 def not_equals(name: str, value) -> Column:
     """FILTER ?x != constant; an IRI and a literal differ, literals of other types can't be compared with a number."""
     term = value if isinstance(value, Term) else (lit(value) if not isinstance(value, str) else as_term(value))

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom import lit
+from quadloom import vocab as V
+from quadloom.functions.quad_columns import with_values
 from quadloom.operators import paths
 from quadloom.operators.forms import instantiate
-from quadloom.operators.patterns import bgp, equals, iri_in, not_equals, num, pattern, ts, values, var
+from quadloom.operators.patterns import (
+    bgp, equals, greater_than, iri_in, less_than, not_equals, num, pattern, ts, values, var,
+)
 from quadloom.operators.solutions import Solutions
 from quadloom.operators.updates import distinct_quads
-from quadloom.plans.mapping import G, P, quads
+from quadloom.plans.mapping import G, P, quads, table
 from quadloom.plans.registry import query, time_text
 
 
@@ -349,3 +353,41 @@ def bgp_relative_iris(spark, sf_dir):
         base=base,
     )
     return sol.select("c", "nation")
+
+
+def _big_numbers(spark, sf_dir):
+    """Order numbers beyond 2^53, where neighbours are one double."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    rows = orders.select(
+        F.lit(G + "big").alias("g"),
+        F.concat(F.lit("urn:order:"), F.col("o_orderkey").cast("string")).alias("s"),
+        F.lit(P + "number").alias("p"),
+        (F.lit(2**53) + F.col("o_orderkey")).cast("string").alias("o"),
+        F.lit("lit").alias("o_kind"),
+        F.lit(V.XSD_INTEGER).alias("o_dt"),
+        *[F.lit(None).cast("string").alias(c) for c in ("o_lang", "doc_id")],
+    )
+    return pattern(with_values(rows), "?s", P + "number", "?n", graph=G + "big")
+
+
+@query("""
+select 'urn:order:' || o_orderkey as s, o_orderkey = 33 as same, o_orderkey <> 33 as other, o_orderkey < 33 as less, o_orderkey > 33 as more
+from orders
+""")
+def filter_eq_big_integer(spark, sf_dir):
+    """Integers compare by all their digits."""
+    number, sol = 2**53 + 33, _big_numbers(spark, sf_dir)
+    return sol.select(
+        "s", same=equals("n", number), other=not_equals("n", number),
+        less=less_than("n", number), more=greater_than("n", number),
+    )
+
+
+@query("""
+select 'urn:part:' || p_partkey as part, p_size::varchar as v from part where p_size <> 15
+union all select 'urn:part:' || p_partkey, 'urn:class:' || p_type from part
+""")
+def filter_ne_mixed(spark, sf_dir):
+    """An IRI differs from any number, so it passes the test."""
+    sol = pattern(quads(spark, sf_dir), "?part", paths.alt(P + "size", "a"), "?v", graph=G + "part")
+    return sol.filter(not_equals("v", 15)).select("part", "v")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom import lit
+from quadloom import vocab as V
 from quadloom.operators import aggregates as A
 from quadloom.operators import forms
 from quadloom.operators.patterns import bgp, num, pattern
-from quadloom.plans.mapping import CLASS, G, P, quads
+from quadloom.operators.solutions import Solutions
+from quadloom.plans.mapping import CLASS, G, P, quads, table
 from quadloom.plans.registry import plain, quads_sql, query, time_text
 
 
@@ -226,3 +228,28 @@ from orders group by 1
 def group_concat(spark, sf_dir):
     sol = bgp(quads(spark, sf_dir), [("?o", P + "priority", "?priority"), ("?o", P + "status", "?status")], graph=G + "orders")
     return A.group_concat(sol, ["priority"], "status", "statuses", ", ", distinct=True)
+
+
+@query("""
+with x as (select l_returnflag as flag, cast(l_extendedprice as decimal(18,2)) as price, cast(l_quantity as bigint) as quantity from lineitem)
+select flag, regexp_replace(sum(price)::varchar, '[.]?0+$', '') as total, 'http://www.w3.org/2001/XMLSchema#decimal' as total_type,
+sum(quantity)::varchar as units, 'http://www.w3.org/2001/XMLSchema#integer' as units_type,
+min(price)::varchar as cheapest, max(price)::varchar as dearest from x group by flag
+""")
+def group_sum_exact(spark, sf_dir):
+    """Decimals and integers add up exactly and keep their type; the least and the greatest are whole terms."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("flag"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("price"),
+        F.col("l_quantity").cast("long").cast("string").alias("quantity"),
+    )
+    sol = Solutions(lines, ("flag",))
+    sol = sol.bind("p", F.col("price"), V.XSD_DECIMAL).bind("u", F.col("quantity"), V.XSD_INTEGER)
+    grouped = A.group(
+        sol, ["flag"], total=A.sum_term("p"), units=A.sum_term("u"), least=A.min_term("p"), most=A.max_term("p")
+    )
+    return grouped.select(
+        "flag", F.col("total.o").alias("total"), F.col("total.o_dt").alias("total_type"),
+        F.col("units.o").alias("units"), F.col("units.o_dt").alias("units_type"),
+        F.col("least.o").alias("cheapest"), F.col("most.o").alias("dearest"),
+    )

@@ -48,6 +48,7 @@ INTEGER_RANGES = {
 }
 INTEGER_TYPES = tuple(XSD + name for name in INTEGER_RANGES)
 NUMERIC_TYPES = INTEGER_TYPES + (XSD_DECIMAL, XSD_DOUBLE, XSD_FLOAT)
+EXACT_TYPES = INTEGER_TYPES + (XSD_DECIMAL,)
 TIME_TYPES = (XSD_DATE, XSD_DATETIME)
 
 # Reserved by this library.
