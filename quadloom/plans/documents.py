@@ -12,6 +12,8 @@ from quadloom.operators.patterns import bgp, num
 from quadloom.operators.scan import count_per_graph
 from quadloom.plans.mapping import G, P, quads, table
 from quadloom.plans.registry import plain, quads_sql, query
+from quadloom.session import scratch_path
+from quadloom.sources.snapshots import SnapshotStore
 
 # Buckets over the length of a text, as (from, below).
 SIZES = {"high": (2000, None), "medium": (500, 2000), "low": (None, 500)}
@@ -171,3 +173,28 @@ def perms_granted_on_write(spark, sf_dir):
 def perms_visible_counts(spark, sf_dir):
     visible = A.visible(quads(spark, sf_dir), _permissions(spark), ["manager"])
     return count_per_graph(visible)
+
+
+def _guarded(spark, sf_dir):
+    """Stored customers and suppliers: the first with grants of their own, the others with the store's."""
+    path = scratch_path(spark, "store")
+    store = SnapshotStore(spark, path, grants=[("buyer", "read")])
+    q = quads(spark, sf_dir)
+    store.add(q.limited(graphs=[G + "customer"]).df, grants=[("staff", "read"), ("staff", "update")])
+    store.add(q.limited(graphs=[G + "supplier"]).df)
+    return path
+
+
+@query("""
+select 'urn:g:customer' as g, 'staff' as role, c as capability from (select count(*) as n from customer), (values ('READ'), ('UPDATE')) t(c) where n > 0
+union all select 'urn:g:supplier', 'buyer', 'READ' from (select count(*) as n from supplier) where n > 0
+""")
+def perms_stored(spark, sf_dir):
+    """Permissions are kept with the stored quads: a write's own ones, or the store's."""
+    return SnapshotStore(spark, _guarded(spark, sf_dir)).permissions()
+
+
+@query(quads_sql("supplier") + "select g, s, p, o_text, o_kind, o_num, o_time from q")
+def perms_default(spark, sf_dir):
+    """A role sees the graphs that the store's default grants open to it, and no others."""
+    return plain(SnapshotStore(spark, _guarded(spark, sf_dir), roles=["buyer"]).visible())

@@ -18,6 +18,12 @@ maxima; ``read(predicates=...)`` opens the folders of these predicates only.
 A write is one Spark job; a reader that lists the files while that job publishes
 them may see part of it.  Removals by writers on several machines are ordered as
 their clocks are.
+
+Permissions lie beside the quads, in ``<path>-permissions``, one folder per write
+as well.  A store that is opened with ``roles`` refuses every write that touches a
+graph with permissions of which none lets these roles update; a graph without any
+is free.  Graphs that a write adds to get its grants, or those of the store, once
+the quads are written; a write that fails in between is to be repeated.
 """
 
 from __future__ import annotations
@@ -36,6 +42,7 @@ from pyspark.sql import functions as F
 
 from quadloom import vocab as V
 from quadloom.model import QUAD_COLUMNS, QUAD_KEY, QUAD_SCHEMA, empty_quads, graph_iri, graph_list, same
+from quadloom.operators import permissions as access
 from quadloom.operators.forms import instantiate
 from quadloom.operators.solutions import Solutions
 from quadloom.operators.updates import Store, distinct_quads, in_contexts, matches
@@ -62,8 +69,13 @@ def stream_batch(stream: str, batch: int) -> str:
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(
+        self, spark: SparkSession, path: str, roles: Iterable[str] | None = None, grants: Iterable[tuple] = ()
+    ):
+        """``roles`` limit what may be written; ``grants`` are (role, capability) for graphs that are written."""
         self.spark, self.path = spark, path.rstrip("/")
+        self.roles = None if roles is None else list(roles)
+        self.grants = list(grants)
 
     # -- reading -----------------------------------------------------------------
 
@@ -113,6 +125,37 @@ class SnapshotStore:
         """The stored quads as an in-plan state for ``operators.updates``."""
         return Store(self.read(until), registered=self.registered(until))
 
+    # -- permissions -------------------------------------------------------------
+
+    def permissions(self) -> DataFrame:
+        """All grants: (g, role, capability), each once."""
+        try:
+            rows = self.spark.read.schema(access.PERMISSION_SCHEMA).parquet(f"{self.path}-permissions")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return access.permissions(self.spark)
+            raise
+        return rows.select("g", "role", "capability").distinct()
+
+    def visible(self, until: int | None = None) -> DataFrame:
+        """The live quads in graphs that the store's roles may read."""
+        return access.visible(self.read(until), self.permissions(), self.roles or ())
+
+    def grant(self, perms: DataFrame, batch: str | None = None) -> None:
+        """Keep further permissions (g, role, capability)."""
+        target = f"{self.path}-permissions/batch={batch or uuid.uuid4().hex}"
+        perms.select("g", "role", "capability").distinct().write.mode("overwrite").parquet(target)
+
+    def _check(self, *changes: DataFrame | None) -> None:
+        """Raise unless the roles may update all graphs of a change that have permissions."""
+        if self.roles is None:
+            return
+        perms = self.permissions()
+        for change in changes:
+            if change is not None:
+                guarded = change.select("g").join(perms.select("g").distinct(), "g", "left_semi")
+                access.check_write(guarded, perms, self.roles)
+
     # -- writing -----------------------------------------------------------------
 
     def write(
@@ -122,14 +165,17 @@ class SnapshotStore:
         clear: DataFrame | None = None,
         batch: str | None = None,
         op: str = CLEAR,
+        grants: Iterable[tuple] | None = None,
     ) -> int:
         """Clear graphs, remove keys, then add, as one folder.  Returns its ``seq``.
 
         ``adds`` must be a set.  A column ``seq`` of ``adds`` or ``dels`` counts
         instead of the time.  ``clear`` holds names of graphs (column ``g``);
         ``op`` says what happens to them.  ``batch`` names the folder, a new one by
-        default.
+        default.  ``grants`` are (role, capability) for the graphs of ``adds``, by
+        default those of the store.
         """
+        self._check(adds, dels, clear)
         seq = next_seq()
         parts = []
         for name, df, columns in ((ADD, adds, QUAD_COLUMNS), (DEL, dels, QUAD_KEY), (op, clear, ("g",))):
@@ -147,16 +193,23 @@ class SnapshotStore:
         # rebalance: few files per folder, and a hot predicate is split over tasks
         rows = rows.withColumn("ph", digits).hint("rebalance", "op", "ph")
         order = [c for c in ("op", "ph", "p", "s") if c in rows.columns]
-        target = f"{self.path}/batch={batch or uuid.uuid4().hex}"
+        batch = batch or uuid.uuid4().hex
+        target = f"{self.path}/batch={batch}"
         rows.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("op", "ph").parquet(target)
+        given = self.grants if grants is None else list(grants)
+        if adds is not None and given:
+            written = self.spark.read.schema(_ROW_SCHEMA).parquet(target).where(F.col("op") == ADD)
+            self.grant(access.grant(access.permissions(self.spark), written, given), batch)
         return seq
 
     def _graphs(self, names: Iterable[str]) -> DataFrame:
         return self.spark.createDataFrame([(g,) for g in sorted(set(names))], "g string")
 
-    def add(self, new: DataFrame, contexts: Iterable = (), batch: str | None = None) -> int:
+    def add(
+        self, new: DataFrame, contexts: Iterable = (), batch: str | None = None, grants: Iterable[tuple] | None = None
+    ) -> int:
         """Set union; writes nothing but the new rows and reads no stored ones."""
-        return self.write(adds=distinct_quads(in_contexts(new, contexts)), batch=batch)
+        return self.write(adds=distinct_quads(in_contexts(new, contexts)), batch=batch, grants=grants)
 
     def remove_statements(self, gone: DataFrame, contexts: Iterable = ()) -> int:
         """Remove given quads from their own graph or from ``contexts``."""

@@ -12,8 +12,10 @@ from quadloom.operators import aggregates as A
 from quadloom.operators import inference as I
 from quadloom.operators import paths
 from quadloom.operators.forms import construct, describe
+from quadloom.operators.permissions import permissions
 from quadloom.operators.patterns import bgp, equals, less_than, pattern
 from quadloom.operators.updates import Store
+from quadloom.sources.snapshots import SnapshotStore
 
 REFS = ["g:h", "g", "./g", "g/", "/g", "g?y", "#s", "g#s", ";x", "", "..", "../", "../g", "../..", "../../g", "g/../h", "//h/x"]
 
@@ -142,3 +144,28 @@ def test_seeded_paths_give_the_same(spark, path):
     plain = pattern(q, "?x", path, "?y").join(pattern(q, "?x", "urn:start", lit(1)))
     found = sorted(map(tuple, seeded.select("x", "y").collect()))
     assert found == sorted(map(tuple, plain.select("x", "y").collect())) and found
+
+
+def test_writes_need_permission(spark, tmp_path):
+    path = str(tmp_path / "store")
+    one = statements(spark, [("urn:a", "urn:p", "urn:b", "urn:one")])
+    two = statements(spark, [("urn:a", "urn:p", "urn:c", "urn:two")])
+    owner = SnapshotStore(spark, path, roles=["owner"], grants=[("owner", "read"), ("owner", "update")])
+    assert owner.permissions().count() == 0
+    owner.add(one)
+    guest = SnapshotStore(spark, path, roles=["guest"])
+    for write in (
+        lambda: guest.add(one.union(two)), lambda: guest.remove(s="urn:a"), lambda: guest.clear(["urn:one"]),
+        lambda: guest.drop_graph("urn:one"), lambda: guest.move_graph("urn:one", "urn:two"),
+        lambda: guest.modify(pattern(guest.read(), "?s", "urn:p", "?o"), insert=[("?s", "urn:q", "?o")], graph="urn:one"),
+    ):
+        with pytest.raises(PermissionError):
+            write()
+    assert owner.read().count() == 1 and guest.visible().count() == 0
+    guest.add(two)  # a graph without permissions is free
+    owner.grant(permissions(spark, [("urn:one", "guest", "read"), ("urn:one", "guest", "update")]))
+    guest.remove(s="urn:a", contexts=["urn:one"])
+    assert [r.g for r in owner.read().collect()] == ["urn:two"]
+    assert {tuple(r) for r in owner.permissions().where("role = 'owner'").collect()} == {
+        ("urn:one", "owner", "READ"), ("urn:one", "owner", "UPDATE")
+    }
