@@ -5,6 +5,7 @@ each path the text and the punctuation per node are taken, without the share
 that is in links; both are smoothed over the nodes in page order, fused, and
 compared with a threshold.  Paths above it are content, and so are the other
 paths within the nearest element that holds them all: titles and short paragraphs.
+When the heaviest path is in an article or main element, only paths in such elements count.
 Elements that are never part of an article (by tag, role, class or id) are left out first.
 
 Tags may be left open and pages cut off; comments, scripts and tags that don't
@@ -17,6 +18,7 @@ import html
 import re
 import unicodedata
 from itertools import groupby
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -160,17 +162,16 @@ def main_text(page: str | None) -> str:
     content = {p for p, s in score.items() if s >= THRESHOLD * mean and s > 0}
     if not content:
         return ""
-    # an article, or else the nearest section that holds the best path and most of the content
-    best = max(content, key=lambda p: (weight[p], score[p]))
-    tags = [s.partition(".")[0] for s in best]
-    marked = [k for k, t in enumerate(tags) if t in ("article", "main")]
-    if marked:
-        holder = best[: marked[0] + 1]
+    # the nearest element that holds all content; of the articles only, when the best path is in one
+    mark = {p: next((k + 1 for k, s in enumerate(p) if s.partition(".")[0] in ("article", "main")), 0) for p in score}
+    if mark[max(content, key=lambda p: (weight[p], score[p]))]:
+        score = {p: s for p, s in score.items() if mark[p]}
+        holder = commonprefix([p[: mark[p]] for p in content if mark[p]])
     else:
-        total = sum(weight[p] for p in content)
-        inside = [best[: k + 1] for k, t in enumerate(tags) if t in SECTIONS and 2 * sum(weight[p] for p in content if p[: k + 1] == best[: k + 1]) > total]
-        holder = inside[-1] if inside else ()
-    return " ".join(t for p, t, k in found if p[: len(holder)] == holder and (p in content or 2 * k <= len(t)))
+        holder = commonprefix(list(content))
+        holder = holder[: max((k + 1 for k, s in enumerate(holder) if s.partition(".")[0] in SECTIONS), default=0)]
+    inside = {p for p in score if p[: len(holder)] == holder}
+    return " ".join(t for p, t, k in found if p in inside and (p in content or 2 * k <= len(t)))
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

@@ -258,6 +258,16 @@ def test_pages_without_an_article_element():
     assert html.main_text(page) == "Head " + ("Long text, with words. " * 20).strip() + " Short."
 
 
+def test_pages_of_several_sections():
+    intro, methods, results = ("Intro, some words. " * 16).strip(), ("Methods, more words. " * 140).strip(), ("Results, other words. " * 90).strip()
+    page = f"<body><div class=content><h1>Title</h1><section id=intro><p>{intro}</section><section id=methods><p>{methods}</section><section id=results><p>{results}</section></div></body>"
+    assert html.main_text(page) == f"Title {intro} {methods} {results}"
+    page = f"<body><nav><a href=a>Home</a></nav><div class=lead><p>{intro}</p></div><div class=body><p>{methods}</p><p>End.</p></div></body>"
+    assert html.main_text(page) == f"{intro} {methods} End."
+    page = f"<body><p>Not in them.</p><article id=a><p>{results}</p></article><article id=b><p>{methods}</p></article></body>"
+    assert html.main_text(page) == f"{results} {methods}"
+
+
 def test_pages_query(spark):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
     got = rows(QUERIES["op4_main_text"](spark, SF_DIR))
