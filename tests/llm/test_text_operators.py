@@ -268,6 +268,24 @@ def test_pages_of_several_sections():
     assert html.main_text(page) == f"{results} {methods}"
 
 
+def test_wrappers_with_names_of_what_surrounds_an_article():
+    text = ["Long text, with words. " * 20 + f"Part {i}." for i in range(4)]
+    body, around = "<h1>Head</h1>" + "".join(f"<p>{t}" for t in text), "<nav><a href=a>Home</a></nav><div class=sidebar><p>Side, words.</div>"
+    whole = " ".join(["Head", *text])
+    names = ("content has-sidebar", "page no-sidebar", "article-body with-comments", "main-content related", "social-policy")
+    for page in (f"<form>{around}<div>{body}</div></form>", *(f'<div class="{n}">{around}<div>{body}</div></div>' for n in names)):
+        assert html.main_text(f"<body>{page}<footer>All rights.</footer></body>") == whole
+    # nested, with a heading outside, and an article in a form next to more of other text
+    assert html.main_text(f'<form><main><h2>Top</h2><div class="content has-sidebar">{around}{body}</div></main></form>') == "Top " + whole
+    assert html.main_text(f"<form><article>{body}</article></form><div class=comments><p>{'Nice, really! ' * 300}</p></div>") == whole
+    # nothing else on the page; the head left open
+    assert html.main_text("<body><form><p>Only, this.</p></form></body>") == "Only, this."
+    assert html.main_text(f"<html><head><title>T</title><body><div>{body}</div></body></html>") == whole
+    # an article outside keeps long comments out, and a footer isn't the text of a page of links
+    assert html.main_text(f"<article>{body}</article><div class=comments>{'<p>Nice, really! A long, long comment.' * 300}</div>") == whole
+    assert html.main_text("<div>" + "<p><a href=a>Some page</a>" * 50 + "</div><footer><p>All rights.<p>Imprint.</footer>") == ""
+
+
 def test_pages_query(spark):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
     got = rows(QUERIES["op4_main_text"](spark, SF_DIR))
