@@ -28,8 +28,8 @@ from quadloom.model import Term
 IDENTITY = ("kind", "dt", "lang")
 VALUES = ("num", "ts")
 
-# Shares of the left side in a product of unrelated solutions; the right side is copied to each.
-PRODUCT_SHARES = 8
+# Fixed value: alike rows that are numbered at once, so that no array grows with their count.
+CHUNK = 1 << 16
 
 
 def aux(var: str, part: str) -> str:
@@ -141,11 +141,12 @@ class Solutions:
 
     # -- combining -----------------------------------------------------------
 
-    def join(self, other: Solutions, spread: int = 1) -> Solutions:
+    def join(self, other: Solutions, spread: int = 1, shares: int | None = None) -> Solutions:
         """Inner join on the shared variables.
 
         ``spread`` splits hot keys of this side over that many tasks; see ``_spread``.
-        Without it a skewed join is left to adaptive execution.
+        Without it a skewed join is left to adaptive execution.  ``shares`` is the number
+        of tasks for combinations of rows without a bound variable in common; see ``_product``.
         """
         left, right, shared = _align(self, other)
         sure = [v for v in shared if v not in left.maybe | right.maybe]
@@ -153,13 +154,13 @@ class Solutions:
             out = (
                 _join(left, right, shared, "inner", spread=spread)
                 if sure
-                else _product(left, right, outer=False)
+                else _product(left, right, outer=False, shares=shares)
             )
         else:
             out = reduce(
                 Solutions.union,
                 [
-                    _join(lp, rp, both, "inner") if both else _product(lp, rp, outer=False)
+                    _join(lp, rp, both, "inner") if both else _product(lp, rp, outer=False, shares=shares)
                     for lp, rp, both in _bound_parts(left, right, shared)
                 ],
             ).project(*_merged_vars(left, right))
@@ -171,7 +172,7 @@ class Solutions:
         return replace(out, maybe=maybe)
 
     def optional(
-        self, other: Solutions, condition: Column | None = None, spread: int = 1
+        self, other: Solutions, condition: Column | None = None, spread: int = 1, shares: int | None = None
     ) -> Solutions:
         """Left join; ``condition`` is a FILTER inside the optional part."""
         left, right, shared = _align(self, other)
@@ -182,12 +183,12 @@ class Solutions:
         if condition is not None:
             raise ValueError("an optional part with a filter needs a shared variable that is always bound")
         if not shared:
-            return replace(_product(left, right, outer=True), maybe=maybe)
+            return replace(_product(left, right, outer=True, shares=shares), maybe=maybe)
         if len(shared) > 1 or shared[0] in right.maybe:
             raise ValueError("an optional part must bind the variables it shares, or share a bound one")
         v = shared[0]
         bound = _join(left.filter(F.col(v).isNotNull()), right, shared, "left")
-        unbound = _product(_drop_vars(left.filter(F.col(v).isNull()), [v]), right, outer=True)
+        unbound = _product(_drop_vars(left.filter(F.col(v).isNull()), [v]), right, outer=True, shares=shares)
         return replace(bound.union(unbound).project(*_merged_vars(left, right)), maybe=maybe)
 
     def exists(self, other: Solutions) -> Solutions:
@@ -376,18 +377,51 @@ def _bound_parts(left: Solutions, right: Solutions, shared):
             yield l_part, r_part, both
 
 
-def _product(left: Solutions, right: Solutions, outer: bool) -> Solutions:
+def _numbered(df: DataFrame) -> DataFrame:
+    """The same rows with a running number ``copy__`` among those that are alike.
+
+    It comes from their count, not from an order, so a task that runs again gives the same ones.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n__")).where("n__ > 0")
+    chunks = counted.select("*", F.explode(F.sequence(F.lit(0), F.expr(f"(n__ - 1) div {CHUNK}"))).alias("chunk__"))
+    last = F.least(F.lit(CHUNK - 1), F.col("n__") - 1 - F.col("chunk__") * CHUNK)
+    within = F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("copy__")
+    return chunks.select(*df.columns, "chunk__", within).withColumn("copy__", F.col("chunk__") * CHUNK + F.col("copy__")).drop("chunk__")
+
+
+def _dealt(df: DataFrame, share: str, shares: int) -> DataFrame:
+    """The rows with a share each, alike rows evenly, by a hash of the row and its number."""
+    if shares == 1:
+        return df.withColumn(share, F.lit(0))
+    rows = _numbered(df)
+    return rows.withColumn(share, F.pmod(F.xxhash64(*rows.columns), F.lit(shares)).cast("int")).drop("copy__")
+
+
+def _size(df: DataFrame) -> float:
+    return float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _product(left: Solutions, right: Solutions, outer: bool, shares: int | None = None) -> Solutions:
     """All combinations of unrelated solutions, whatever their number.
 
-    The left rows are dealt out to shares by a hash and the right rows are copied
-    to every share, so this is an equi-join on the share; put the smaller side right.
+    Both sides are dealt out to shares, and copied to every share of the other side, so this
+    is an equi-join on pairs of shares: ``shares`` of them (the shuffle partitions by default).
+    How many belong to which side follows Catalyst's sizes, so that few rows are copied.
     """
     ldf = left.df.select(*left._all_columns())
-    # solutions without variables still count
-    ldf = ldf.withColumn("l__share", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PRODUCT_SHARES)).cast("int"))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(PRODUCT_SHARES - 1)))
-    rdf = right.df.select(*right._all_columns(), copies.alias("r__share"))
-    joined = ldf.join(rdf, F.col("l__share") == F.col("r__share"), "left" if outer else "inner").drop("l__share", "r__share")
+    rdf = right.df.select(*right._all_columns())
+    if outer:
+        # one row of nulls stands for a right side without rows
+        none = rdf.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rdf.schema])
+        rdf = rdf.union(none.where(~rdf.exists()))
+    shares = max(2, shares or int(rdf.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    of_left = round((shares * _size(ldf) / max(1.0, _size(rdf))) ** 0.5)
+    of_left = max(1, min(shares, of_left))
+    of_right = -(-shares // of_left)
+    ldf = _dealt(ldf, "l__left", of_left).withColumn("l__right", F.explode(F.sequence(F.lit(0), F.lit(of_right - 1))))
+    rdf = _dealt(rdf, "r__right", of_right).withColumn("r__left", F.explode(F.sequence(F.lit(0), F.lit(of_left - 1))))
+    same = (F.col("l__left") == F.col("r__left")) & (F.col("l__right") == F.col("r__right"))
+    joined = ldf.join(rdf, same).drop("l__left", "l__right", "r__left", "r__right")
     return Solutions(
         joined,
         tuple(_merged_vars(left, right)),

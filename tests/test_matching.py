@@ -140,6 +140,30 @@ def test_products_of_any_size(spark):
     assert not any("Cartesian" in s or "NestedLoop" in s for s in [plan(left.exists(left).df)])
 
 
+def test_products_do_not_depend_on_the_order_of_rows(spark):
+    frame = lambda v, n, k: Solutions(spark.range(n).selectExpr(f"cast(id % {k} as string) as {v}"), (v,))
+    left, right, none = frame("a", 3000, 2), frame("b", 40, 30), frame("b", 0, 1)
+    for shares in (1, 7, 64):
+        want = [(str(i % 2), str(j % 30)) for i in range(3000) for j in range(40)]
+        both = left.join(right, shares=shares).df
+        assert "monotonically_increasing_id" not in plan(both)
+        assert rows(both.select("a", "b")) == rows(spark.createDataFrame(want, "a string, b string"))
+        assert left.optional(right, shares=shares).df.count() == 120000
+        assert rows(left.optional(none, shares=shares).df.groupBy("a", "b").count()) == [("0", None, 1500), ("1", None, 1500)]
+        assert left.project().join(right, shares=shares).df.count() == 120000
+    # alike rows don't share a task; more tasks than eight
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = left.join(right).df.groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) > 20 and max(r["count"] for r in parts) < 20000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
