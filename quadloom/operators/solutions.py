@@ -144,7 +144,7 @@ class Solutions:
     def join(self, other: Solutions, spread: int = 1, shares: int | None = None) -> Solutions:
         """Inner join on the shared variables.
 
-        ``spread`` splits hot keys of this side over that many tasks; see ``_spread``.
+        ``spread`` splits hot keys of both sides over that many tasks; see ``_spread``.
         Without it a skewed join is left to adaptive execution.  ``shares`` is the number
         of tasks for combinations of rows without a bound variable in common; see ``_product``.
         """
@@ -289,22 +289,37 @@ def _renamed(sol: Solutions, names) -> tuple[DataFrame, Callable[[str], Column]]
     return df, lambda c: F.col(moved.get(c, c))
 
 
-def _spread(ldf: DataFrame, rdf: DataFrame, key: str, rkey: str, spread: int):
-    """Split the rows of hot left keys over ``spread`` shares; copy their right rows to each.
+def _hot(df: DataFrame, key: str, spread: int, flag: str) -> DataFrame:
+    """``df`` with a flag for rows whose key holds more than 1/spread of them: fewer than ``spread`` keys, which are broadcast."""
+    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    found = df.groupBy(F.col(key).alias("hot__")).agg(F.count(F.lit(1)).alias("n"))
+    return F.broadcast(found.where(F.col("n") * spread > rows).select("hot__", F.lit(True).alias(flag)))
 
-    A key is hot when it holds more than 1/spread of the left rows, so there are
-    fewer than ``spread`` of them; that list is what is broadcast.  Shares come from
-    a hash of the row, so a task that runs again makes the same ones.
+
+def _spread(ldf: DataFrame, rdf: DataFrame, key: str, rkey: str, spread: int, how: str):
+    """Split the rows of hot keys over ``spread`` shares; copy the other side's rows of the key to each.
+
+    Keys that are hot on the left are split there, in inner joins also those that are hot on
+    the right; a left join can't copy a left row to shares without matches.  Shares come from a
+    hash of the row and its number among alike ones, so a task that runs again makes the same ones.
     """
-    rows = ldf.agg(F.count(F.lit(1)).alias("n")).scalar()
-    hot = ldf.groupBy(F.col(key).alias("hot__")).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot.where(F.col("n") * spread > rows).select("hot__"))
-    is_hot = F.col("hot__").isNotNull()
-    share = F.when(is_hot, F.pmod(F.xxhash64(*ldf.columns), F.lit(spread))).otherwise(0)
-    shares = F.sequence(F.lit(0), F.when(is_hot, F.lit(spread - 1)).otherwise(F.lit(0)))
-    ldf = ldf.join(hot, F.col(key) == F.col("hot__"), "left").withColumn("l__share", share.cast("int"))
-    rdf = rdf.join(hot, F.col(rkey) == F.col("hot__"), "left").withColumn("r__share", F.explode(shares))
-    return ldf.drop("hot__"), rdf.drop("hot__")
+    hots = [(_hot(ldf, key, spread, "hot_left__"), "hot_left__", "l__share", "r__share")]
+    if how == "inner":
+        hots.append((_hot(rdf, rkey, spread, "hot_right__"), "hot_right__", "r__other", "l__other"))
+    for hot, flag, dealt, copied in hots:
+        own = dealt[0] == "l"
+        split, other = (ldf, rdf) if own else (rdf, ldf)
+        k, o = (key, rkey) if own else (rkey, key)
+        # one pass over the rows: a plan that reads a LIMIT twice may see other ones
+        split = _numbered(split).join(hot, F.col(k) == F.col("hot__"), "left").drop("hot__")
+        is_hot = F.col(flag).isNotNull()
+        share = F.pmod(F.xxhash64(*[c for c in split.columns if c != flag]), F.lit(spread)).cast("int")
+        split = split.withColumn(dealt, F.when(is_hot, share).otherwise(F.lit(0))).drop("copy__", flag)
+        other = other.join(hot, F.col(o) == F.col("hot__"), "left").drop("hot__")
+        shares = F.sequence(F.lit(0), F.when(is_hot, F.lit(spread - 1)).otherwise(F.lit(0)))
+        other = other.withColumn(copied, F.explode(shares)).drop(flag)
+        ldf, rdf = (split, other) if own else (other, split)
+    return ldf, rdf
 
 
 def _join(
@@ -316,8 +331,10 @@ def _join(
     if spread > 1:
         # the share belongs to a key that is always bound
         key = next(v for v in shared if v not in left.maybe | right.maybe)
-        ldf, rdf = _spread(ldf, rdf, key, f"r__{key}", spread)
+        ldf, rdf = _spread(ldf, rdf, key, f"r__{key}", spread, how)
         cond = F.col("l__share") == F.col("r__share")
+        if how == "inner":
+            cond = cond & (F.col("l__other") == F.col("r__other"))
     for v in shared:
         eq = F.col(v) == rcol(v)
         if v in left.terms and v in right.terms:

@@ -180,6 +180,23 @@ def test_spread_join_equals_plain_join(spark):
     assert rows(left.optional(right, spread=8).df) == rows(left.optional(right).df)
 
 
+def test_spread_deals_alike_rows_and_hot_right_keys(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bag = Solutions(spark.range(3000).selectExpr("if(id % 3 > 0, 'hot', concat('c', id)) as c"), ("c",))
+        few = Solutions(spark.createDataFrame([("hot", "n1"), ("c3", "n2")], "c string, name string"), ("c", "name"))
+        for join in (bag.join(few, spread=16), bag.optional(few, spread=16), few.join(bag, spread=16)):
+            found = join.df.where("c = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+            assert sum(r["count"] for r in found) == 2000 and len(found) > 4 and max(r["count"] for r in found) < 1000
+        assert rows(few.join(bag, spread=16).df.select("c", "name")) == rows(few.join(bag).df.select("c", "name"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_union_and_dataset_merge(spark):
     q = statements(spark, [("urn:a", "urn:p", lit(1), g) for g in ("urn:g1", "urn:g2", None)])
     assert pattern(q, "?s", "urn:p", "?o").df.count() == 1
