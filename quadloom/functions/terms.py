@@ -132,6 +132,19 @@ def exact_less(a: Column, b: Column) -> Column:
     )
 
 
+def exact_order(parts: Column) -> Column:
+    """A value that sorts as the numbers do, of ``exact_parts``; usable where only an ordering column is."""
+    size, negative = parts["size"], parts["negative"]
+    # of negative numbers the longer and the greater digits come first; ~ is after all digits
+    turned = lambda c: F.concat(F.translate(c, "0123456789", "9876543210"), F.lit("~"))
+    key = F.struct(
+        F.when(negative, -size["digits"] - 1).otherwise(size["digits"]).alias("digits"),
+        F.when(negative, turned(size["whole"])).otherwise(size["whole"]).alias("whole"),
+        F.when(negative, turned(size["fraction"])).otherwise(size["fraction"]).alias("fraction"),
+    )
+    return F.when(parts.isNotNull(), key)
+
+
 def time_value(o: Column | str, dt: Column | str) -> Column:
     """Value of a date or dateTime literal in UTC; a missing zone means UTC."""
     o, dt = _col(o), _col(dt)

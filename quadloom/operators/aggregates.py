@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadloom import vocab as V
+from quadloom.functions.terms import exact_order, exact_parts
 from quadloom.operators.solutions import IDENTITY, Solutions, aux
 
 
@@ -97,8 +98,14 @@ def _term(name: str) -> Column:
 
 def _by_value(name: str) -> Column:
     """Numbers by value, then exactly; null for other terms, which aggregates pass over."""
-    number = F.col(aux(name, "num"))
-    return F.when(number.isNotNull(), F.struct(number, F.col(name).try_cast("decimal(38,18)"), F.col(name)))
+    text, dt, number = F.col(name), F.col(aux(name, "dt")), F.col(aux(name, "num"))
+    exact = dt.isin(*V.EXACT_TYPES)
+    # an infinite double is beyond the integers that are too long for a double
+    beyond = F.when(exact | (F.abs(number) != float("inf")), 0).otherwise(F.signum(number).cast("int"))
+    # doubles of up to 20 digits as decimals; a cast to text may give an exponent
+    double = F.translate(F.format_number(text.try_cast("decimal(38,18)"), 18), ",", "")
+    parts = exact_parts(F.when(exact, text).otherwise(double), F.when(exact, dt).otherwise(F.lit(V.XSD_DECIMAL)))
+    return F.when(number.isNotNull(), F.struct(number, beyond, exact_order(parts), text))
 
 
 def min_term(name: str) -> Column:

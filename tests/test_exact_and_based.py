@@ -105,6 +105,21 @@ def test_least_and_greatest_terms(spark):
     assert (row.some.o, row.some.o_dt) == ("9.5", V.XSD_DECIMAL)  # the least form
 
 
+def test_least_and_greatest_terms_of_any_length(spark):
+    long = 10**24
+    groups = {
+        "negative": ([-long - 1, -long - 2, -long], -long - 2, -long),
+        "huge": ([-(10**400) - 1, -(10**400), 10**400 + 1, 10**400], -(10**400) - 1, 10**400 + 1),
+        "zeros": ([f"000{long + 2}", long + 3, f"0{long + 1}"], f"0{long + 1}", long + 3),
+        "places": (["-0.1234567890123456789", "-0.12345678901234567891", "-0.123456789012345678"], "-0.12345678901234567891", "-0.123456789012345678"),
+    }
+    term = lambda x: lit(str(x), V.XSD_DECIMAL if "." in str(x) else V.XSD_INTEGER)
+    data = [(f"urn:{g}", "urn:v", term(x)) for g, (xs, _, _) in groups.items() for x in xs]
+    sol = pattern(statements(spark, data), "?g", "urn:v", "?n")
+    found = A.group(sol, ["g"], least=A.min_term("n"), most=A.max_term("n")).collect()
+    assert {r.g[4:]: (r.least.o, r.most.o) for r in found} == {g: (str(a), str(b)) for g, (_, a, b) in groups.items()}
+
+
 def test_declarations_given_by_rules(spark):
     facts = statements(spark, [
         ("urn:kindOf", V.SUB_PROPERTY_OF, V.SUB_CLASS_OF), ("urn:Cat", "urn:kindOf", "urn:Animal"),
