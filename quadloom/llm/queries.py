@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadloom.llm import bpe, forest, html, lines, neardup, packing, quality, sketches, toxicity, urls
+from quadloom.llm import bpe, forest, html, lines, neardup, packing, phrases, quality, sketches, toxicity, urls, whitening
 from quadloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -82,11 +82,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.per_component(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_nearest, op3_packing, op4_main_text, op5_url_rules,
-        op6_fingerprints, op7_near_duplicates, op8_bpe, op9_quality, op10_toxicity,
+        op6_fingerprints, op7_near_duplicates, op8_bpe, op9_quality, op10_toxicity, op11_whitening, op13_phrases,
     )
 }
 
@@ -122,5 +130,36 @@ fitting as (
   from parts p left join rules r
     on (p.host = r.host or p.host like '%.' || r.host) and starts_with(p.path, r.path))
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fitting where n = 1
+""",
+    "op13_phrases": f"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?' || chr(10) || chr(11) || chr(12) || chr(13) || ']')) as piece
+  from documents),
+words as (select lang, list_filter(string_split_regex(piece, '[ ' || chr(9) || ']+'), lambda x: x <> '') as w from pieces),
+grams as (
+  select lang, 1 as k, unnest(w) as phrase from words
+  union all select lang, 2, unnest(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) from words
+  union all select lang, 3, unnest(list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) from words),
+f as (select lang, k, phrase, count(*) as f from grams group by all),
+totals as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+frequent as (select lang, k, phrase, string_split(phrase, ' ') as w, f from f where f >= 10),
+longer as (
+  select lang, phrase, max(f) as longer from (
+    select lang, w[1] || ' ' || w[2] as phrase, f from frequent where k = 3
+    union all select lang, w[2] || ' ' || w[3], f from frequent where k = 3) group by all),
+kept as (
+  select c.* from frequent c left join longer x on c.lang = x.lang and c.phrase = x.phrase and c.k = 2
+  where c.k > 1 and (x.longer is null or 100 * x.longer < 50 * c.f)),
+cuts as (
+  select lang, phrase, f as a, 1 as cut, w[1] as head, array_to_string(w[2:], ' ') as tail from kept
+  union all select lang, phrase, f, 2, w[1] || ' ' || w[2], w[3] from kept where k = 3),
+scored as (
+  select c.lang, c.phrase, c.a, c.cut, x.f as l, y.f as r,
+         ((1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f))::bigint as score
+  from cuts c join f x on c.lang = x.lang and c.head = x.phrase join f y on c.lang = y.lang and c.tail = y.phrase),
+lowest as (select * from (select *, row_number() over (partition by lang, phrase order by score, cut) as u from scored) where u = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
 """,
 }
