@@ -163,3 +163,43 @@ def among(numbers: np.ndarray, known: np.ndarray) -> np.ndarray:
     at = np.searchsorted(known, numbers)
     at[at == len(known)] = 0
     return known[at] == numbers
+
+
+def counted_batch(block: int, keys: np.ndarray, counts: np.ndarray, bins: int) -> pa.RecordBatch:
+    """A block's sorted numbers with their counts, dealt to bins; those that count one lie apart from the others."""
+    bounds = np.searchsorted(bin_of(keys, bins), np.arange(bins + 1, dtype=np.uint64))
+    rows = []
+    for k in np.flatnonzero(np.diff(bounds)).tolist():
+        key, count = keys[bounds[k] : bounds[k + 1]], counts[bounds[k] : bounds[k + 1]]
+        more = count > 1
+        single = key[~more]
+        rows.append((k, block, len(single).to_bytes(4, "little") + pack48(single) + pack48(key[more]) + count[more].astype("<u4").tobytes()))
+    return dealt_batch(rows)
+
+
+def frequent(dealt: DataFrame, min_count: int) -> DataFrame:
+    """(block, data): the numbers of each block that count at least ``min_count`` over all blocks."""
+
+    def work(numbers: list[int], held: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        keys, counts = [], []
+        for data in held:
+            single = int.from_bytes(data[:4], "little")
+            at = 4 + 6 * single
+            more = (len(data) - at) // 10
+            keys += [unpack48(data[4:at]), unpack48(data[at : at + 6 * more])]
+            counts += [np.ones(single, np.int64), np.frombuffer(data, "<u4", offset=at + 6 * more).astype(np.int64)]
+        sizes = [len(a) + len(b) for a, b in zip(keys[::2], keys[1::2])]
+        key, count = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(key)
+        ranked = key[order]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        often = np.add.reduceat(count[order], first) >= min_count
+        chosen = np.zeros(len(key), bool)
+        chosen[order] = np.repeat(often, np.diff(np.concatenate([first, [len(key)]])))
+        ends = np.cumsum(sizes)
+        for block, end, size in zip(numbers, ends.tolist(), sizes):
+            own = key[end - size : end][chosen[end - size : end]]
+            if len(own):
+                yield block, pack48(own)
+
+    return in_bins(dealt, work)

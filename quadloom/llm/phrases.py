@@ -130,16 +130,7 @@ def fingerprints(table: DataFrame, bins: int, max_words: int) -> DataFrame:
     """(bin, block, data): the distinct fingerprints of each block, those that occur once there apart from the others."""
 
     def dealt(block: int, numbers: list[np.ndarray]) -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(numbers), return_counts=True)
-        bounds = np.searchsorted(B.bin_of(keys, bins), np.arange(bins + 1, dtype=np.uint64))
-        rows = []
-        for k in np.flatnonzero(np.diff(bounds)).tolist():
-            key, count = keys[bounds[k] : bounds[k + 1]], counts[bounds[k] : bounds[k + 1]]
-            more = count > 1
-            single = key[~more]
-            data = len(single).to_bytes(4, "little") + B.pack48(single) + B.pack48(key[more]) + count[more].astype("<u4").tobytes()
-            rows.append((k, block, data))
-        return B.dealt_batch(rows)
+        return B.counted_batch(block, *np.unique(np.concatenate(numbers), return_counts=True), bins)
 
     def work(block: int, data: bytes) -> Iterator[pa.RecordBatch]:
         flat, begins, salts, _ = _read(data)
@@ -156,34 +147,6 @@ def fingerprints(table: DataFrame, bins: int, max_words: int) -> DataFrame:
     return table.select("block", "data").mapInArrow(B.over_rows(work, "block", "data"), B.DEALT)
 
 
-def frequent(dealt: DataFrame, min_count: int) -> DataFrame:
-    """(block, data): the fingerprints of each block that occur at least ``min_count`` times over all blocks."""
-
-    def work(numbers: list[int], held: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        keys, counts = [], []
-        for data in held:
-            single = int.from_bytes(data[:4], "little")
-            at = 4 + 6 * single
-            more = (len(data) - at) // 10
-            keys += [B.unpack48(data[4:at]), B.unpack48(data[at : at + 6 * more])]
-            counts += [np.ones(single, np.int64), np.frombuffer(data, "<u4", offset=at + 6 * more).astype(np.int64)]
-        sizes = [len(a) + len(b) for a, b in zip(keys[::2], keys[1::2])]
-        key, count = np.concatenate(keys), np.concatenate(counts)
-        order = np.argsort(key)
-        ranked = key[order]
-        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        often = np.add.reduceat(count[order], first) >= min_count
-        chosen = np.zeros(len(key), bool)
-        chosen[order] = np.repeat(often, np.diff(np.concatenate([first, [len(key)]])))
-        ends = np.cumsum(sizes)
-        for block, end, size in zip(numbers, ends.tolist(), sizes):
-            own = key[end - size : end][chosen[end - size : end]]
-            if len(own):
-                yield block, B.pack48(own)
-
-    return B.in_bins(dealt, work)
-
-
 def counted(table: DataFrame, answers: DataFrame, max_words: int) -> DataFrame:
     """lang, n_words, phrase, f per block: the texts of the frequent fingerprints; n_words 0 counts all words."""
 
@@ -230,7 +193,7 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int =
         F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang")
     )
     table = B.blocks(given, "phrase-blocks")
-    answers = cut(frequent(fingerprints(table, B.bins_for(table, BIN_BYTES), max_words), min_count), "frequent")
+    answers = cut(B.frequent(fingerprints(table, B.bins_for(table, BIN_BYTES), max_words), min_count), "frequent")
     return cut(counted(table, answers, max_words).where((F.col("f") >= min_count) | (F.col("n_words") == 0)), "phrases")
 
 

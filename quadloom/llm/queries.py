@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadloom.llm import bpe, forest, html, lines, neardup, packing, phrases, quality, sketches, toxicity, urls, whitening
+from quadloom.llm import bpe, forest, html, lines, neardup, packing, phrases, quality, repeats, sketches, toxicity, urls, whitening
 from quadloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -86,6 +86,13 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.per_component(whitening.whiten(table(spark, sf_dir, "embeddings")))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -94,7 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_nearest, op3_packing, op4_main_text, op5_url_rules,
-        op6_fingerprints, op7_near_duplicates, op8_bpe, op9_quality, op10_toxicity, op11_whitening, op13_phrases,
+        op6_fingerprints, op7_near_duplicates, op8_bpe, op9_quality, op10_toxicity, op11_whitening, op12_repeats, op13_phrases,
     )
 }
 
@@ -130,6 +137,26 @@ fitting as (
   from parts p left join rules r
     on (p.host = r.host or p.host like '%.' || r.host) and starts_with(p.path, r.path))
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fitting where n = 1
+""",
+    "op12_repeats": """
+with given as (select doc_id, hex(encode(coalesce(text, ''))) as hx from documents),
+strings as (select doc_id, unnest(range(0, (length(hx) // 2 - 49)::bigint)) as i, hx from given where length(hx) >= 100),
+keyed as (select doc_id, i, substr(hx, 2 * i + 1, 100) as s from strings),
+least as (select s, min(doc_id) as keeper from keyed group by s having count(*) > 1),
+hits as (select k.doc_id, k.i from keyed k join least l on k.s = l.s where l.keeper < k.doc_id),
+marked as (
+  select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 50 then 0 else 1 end as new from hits),
+numbered as (select doc_id, i, sum(new) over (partition by doc_id order by i) as span from marked),
+spans as (select doc_id, span, min(i) as head, max(i) + 50 as tail from numbered group by doc_id, span),
+gaps as (
+  select doc_id, span, head, tail, coalesce(lag(tail) over (partition by doc_id order by span), 0) as before from spans),
+cut as (
+  select g.doc_id, sum(tail - head)::bigint as n_removed, count(*) as n_spans,
+         string_agg(substr(hx, (2 * before + 1)::bigint, (2 * (head - before))::bigint), '' order by span) as kept, max(tail) as rest
+  from gaps g join given d on g.doc_id = d.doc_id group by g.doc_id)
+select d.doc_id, (length(hx) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+       sha256(unhex(coalesce(kept || substr(hx, (2 * rest + 1)::bigint), hx))) as kept_sha256
+from given d left join cut c on d.doc_id = c.doc_id
 """,
     "op13_phrases": f"""
 with pieces as (
