@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quadloom.operators.membership import given_by
 from quadloom.operators.scan import Quads, frame
 
 MATCH_ALL = "*"
@@ -74,12 +75,27 @@ def in_collections(names: Iterable[str], collections: str = "collections") -> Co
     return F.arrays_overlap(F.col(collections), F.array(*[F.lit(n) for n in names]))
 
 
-def constrain(q: Quads, documents: DataFrame, condition: Column | None) -> DataFrame:
-    """Quads of the documents that satisfy the condition; None means no constraint."""
+def constrain(
+    q: Quads, documents: DataFrame, condition: Column | None, members: DataFrame | None = None
+) -> DataFrame:
+    """Quads of the documents that satisfy the condition; None means no constraint.
+
+    ``members`` says which documents give a quad (``membership.members_of``); without it
+    every row belongs to its own ``doc_id`` only, which is right for rows as the documents
+    gave them, before they were merged into a set.
+    """
     df = frame(q)
     if condition is None:
         return df
-    ids = documents.where(condition).select(F.col("doc_id").cast("string").alias("match_id"))
+    return constrain_to(df, documents.where(condition), members)
+
+
+def constrain_to(q: Quads, documents: DataFrame, members: DataFrame | None = None) -> DataFrame:
+    """Quads of these documents (column ``doc_id``), such as a search in a text index finds."""
+    df = frame(q)
+    if members is not None:
+        return given_by(df, members, documents)
+    ids = documents.select(F.col("doc_id").cast("string").alias("match_id"))
     return df.join(ids, F.col("doc_id") == F.col("match_id"), "left_semi")
 
 
@@ -90,7 +106,8 @@ def constrained(
     default: Column | None = None,
     clear: bool = False,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    members: DataFrame | None = None,
 ) -> DataFrame:
     """The per-query constraint, else the default one, unless it is cleared; then a transform."""
-    df = constrain(q, documents, None if clear else condition if condition is not None else default)
+    df = constrain(q, documents, None if clear else condition if condition is not None else default, members)
     return df if transform is None else df.transform(transform)

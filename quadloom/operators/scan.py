@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from quadloom import vocab as V
 from quadloom.model import OBJECT, QUAD_COLUMNS, Term, as_term, default_graph_as_null, graph_list, term_equals
+from quadloom.sources.stored import StoredQuads
 from quadloom.sources.tables import TableQuads
 
-Quads = DataFrame | TableQuads
+Quads = DataFrame | TableQuads | StoredQuads
 
 
 def frame(q: Quads) -> DataFrame:
-    return q.df if isinstance(q, TableQuads) else q
+    return q.df if isinstance(q, (TableQuads, StoredQuads)) else q
 
 
 def match(
@@ -25,7 +26,7 @@ def match(
 ) -> tuple[DataFrame, bool]:
     """Quads with the given constants, and whether they come from one graph only."""
     s, p, o = (None if t is None else as_term(t) for t in (s, p, o))
-    if isinstance(q, TableQuads):
+    if isinstance(q, (TableQuads, StoredQuads)):
         if (s is not None and not s.is_iri) or (p is not None and not p.is_iri):
             return q.match()[0].where(F.lit(False)), True
         return q.match(s and s.value, p and p.value, o, graphs)
@@ -83,7 +84,7 @@ def count_in(q: Quads, contexts) -> DataFrame:
 def _counted(q: Quads) -> DataFrame:
     if isinstance(q, TableQuads):
         return q.graph_counts().agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
-    return q.agg(F.count(F.lit(1)).alias("n"))
+    return frame(q).agg(F.count(F.lit(1)).alias("n"))
 
 
 def is_empty(q: Quads) -> DataFrame:
@@ -93,7 +94,7 @@ def is_empty(q: Quads) -> DataFrame:
 
 def list_graphs(q: Quads, registered: DataFrame | None = None) -> DataFrame:
     """Distinct graph IRIs, the default graph included, plus registered empty ones."""
-    graphs = (q.graph_counts() if isinstance(q, TableQuads) else q).select("g")
+    graphs = (q.graph_counts() if isinstance(q, TableQuads) else frame(q)).select("g")
     if registered is not None:
         graphs = graphs.union(registered.select("g"))
     return graphs.distinct().orderBy("g")

@@ -16,6 +16,7 @@ from quadloom import vocab as V
 from quadloom.functions.quad_columns import statements
 from quadloom.model import OBJECT, QUAD_COLUMNS, QUAD_KEY, as_term, graph_iri, graph_list, same, term_equals
 from quadloom.operators.forms import instantiate
+from quadloom.operators.membership import members_of
 from quadloom.operators.solutions import Solutions
 
 
@@ -27,7 +28,9 @@ class UnknownGraph(ValueError):
 
 
 def distinct_quads(df: DataFrame) -> DataFrame:
-    return df.select(*QUAD_COLUMNS).dropDuplicates(list(QUAD_KEY))
+    """One row per quad, with the smallest of its documents; ``membership.members_of`` has them all."""
+    rest = [F.min(c).alias(c) for c in QUAD_COLUMNS if c not in QUAD_KEY]
+    return df.groupBy(*QUAD_KEY).agg(*rest).select(*QUAD_COLUMNS)
 
 
 def without(base: DataFrame, gone: DataFrame, key=QUAD_KEY) -> DataFrame:
@@ -102,6 +105,15 @@ class Store:
         base = self.base.select(*QUAD_COLUMNS)
         return base if self.added is None else base.union(only_new(base, self.added))
 
+    @property
+    def members(self) -> DataFrame:
+        """Which documents give the quads: (quad key, doc_id).
+
+        Quads of several documents come with further rows, one for each, among the additions.
+        """
+        base = self.base.select(*QUAD_COLUMNS)
+        return members_of(base if self.added is None else base.union(self.added.select(*QUAD_COLUMNS)))
+
     def _each(self, change: Callable[[DataFrame], DataFrame]) -> Store:
         """Apply a removal to the base and to the additions."""
         added = None if self.added is None else change(self.added)

@@ -8,6 +8,7 @@ from quadloom.plans import (
     inferring,
     matching,
     scans,
+    searching,
     shaping,
     storing,
     walking,
@@ -16,5 +17,5 @@ from quadloom.plans.registry import QUERIES, SQL
 
 __all__ = [
     "QUERIES", "SQL", "changing", "computing", "documents", "flowing", "inferring", "matching",
-    "scans", "shaping", "storing", "walking",
+    "scans", "searching", "shaping", "storing", "walking",
 ]

@@ -1,6 +1,6 @@
 """Stored quads: one folder of plain Parquet per write.
 
-    <path>/batch=B/op=O/ph=H/    O: add, del (keys), clear, drop or graph (names of graphs)
+    <path>/batch=B/op=O/ph=H/    O: add, doc, del (keys), clear, drop or graph (names of graphs)
                                  H: two hex digits of the md5 of the predicate
 
 Every write has its own folder and overwrites nothing else, so any number of
@@ -19,11 +19,20 @@ A write is one Spark job; a reader that lists the files while that job publishes
 them may see part of it.  Removals by writers on several machines are ordered as
 their clocks are.
 
+Which documents give a quad is kept as rows of their own (``op=doc``: key and
+doc_id), so no write and no merge forgets one; ``members`` reads them.
+
+Further copies of the rows may lie beside the store, in ``<path>-by-s`` and
+``<path>-by-o``, where H comes from the subject or the object and rows lie sorted by
+it: ``quads`` then opens one folder for a constant subject or object, and for a
+constant predicate one folder of the store itself.  Copies are written before the
+store's own rows.
+
 Permissions lie beside the quads, in ``<path>-permissions``, one folder per write
 as well.  A store that is opened with ``roles`` refuses every write that touches a
 graph with permissions of which none lets these roles update; a graph without any
-is free.  Graphs that a write adds to get its grants, or those of the store, once
-the quads are written; a write that fails in between is to be repeated.
+is free.  Graphs that a write adds to get its grants, or those of the store, before
+its quads are written; grants of a write that fails guard graphs without quads.
 """
 
 from __future__ import annotations
@@ -44,10 +53,13 @@ from quadloom import vocab as V
 from quadloom.model import QUAD_COLUMNS, QUAD_KEY, QUAD_SCHEMA, empty_quads, graph_iri, graph_list, same
 from quadloom.operators import permissions as access
 from quadloom.operators.forms import instantiate
+from quadloom.operators.membership import MEMBER, members_of
 from quadloom.operators.solutions import Solutions
 from quadloom.operators.updates import Store, distinct_quads, in_contexts, matches
+from quadloom.sources.stored import StoredQuads
 
-ADD, DEL, CLEAR, DROP, GRAPH = "add", "del", "clear", "drop", "graph"
+ADD, DOC, DEL, CLEAR, DROP, GRAPH = "add", "doc", "del", "clear", "drop", "graph"
+COPIES = ("s", "o")
 _ROW_SCHEMA = f"{QUAD_SCHEMA}, seq long, batch string, op string, ph string"
 _FOLDER = re.compile(r"/batch=([^/]+)/op=([^/]+)/")
 
@@ -68,39 +80,75 @@ def stream_batch(stream: str, batch: int) -> str:
     return f"{hashlib.md5(stream.encode()).hexdigest()}-{batch}"
 
 
+def _ops(rows: DataFrame) -> list[str]:
+    """The kind of each folder, from the names of the files, which the scan lists anyway."""
+    folders = {m.groups() for f in rows.inputFiles() if (m := _FOLDER.search(f))}
+    return [op for _, op in folders]
+
+
 class SnapshotStore:
     def __init__(
-        self, spark: SparkSession, path: str, roles: Iterable[str] | None = None, grants: Iterable[tuple] = ()
+        self,
+        spark: SparkSession,
+        path: str,
+        roles: Iterable[str] | None = None,
+        grants: Iterable[tuple] = (),
+        copies: Iterable[str] = (),
     ):
-        """``roles`` limit what may be written; ``grants`` are (role, capability) for graphs that are written."""
+        """``roles`` limit what may be written; ``grants`` are (role, capability) for graphs that are written.
+
+        ``copies`` are the further orders, "s" and "o"; the same ones for all writes of a store.
+        """
         self.spark, self.path = spark, path.rstrip("/")
+        self.copies = tuple(copies)
+        if not set(self.copies) <= set(COPIES):
+            raise ValueError(f"copies are {COPIES}: {self.copies}")
         self.roles = None if roles is None else list(roles)
         self.grants = list(grants)
 
     # -- reading -----------------------------------------------------------------
 
-    def _rows(self, until: int | None) -> DataFrame | None:
+    def _rows(self, until: int | None = None, copy: str | None = None) -> DataFrame | None:
         try:
-            rows = self.spark.read.schema(_ROW_SCHEMA).parquet(self.path)
+            rows = self.spark.read.schema(_ROW_SCHEMA).parquet(self._place(copy))
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
         return rows if until is None else rows.where(F.col("seq") <= until)
 
-    def read(self, until: int | None = None, predicates: Iterable[str] | None = None) -> DataFrame:
-        """The live quads, of the state after the write ``until`` if it is given."""
-        rows = self._rows(until)
+    def _place(self, copy: str | None = None) -> str:
+        return self.path if copy is None else f"{self.path}-by-{copy}"
+
+    def read(
+        self,
+        until: int | None = None,
+        predicates: Iterable[str] | None = None,
+        copy: str | None = None,
+        keys: Iterable[str] | None = None,
+    ) -> DataFrame:
+        """The live quads, of the state after the write ``until`` if it is given.
+
+        ``predicates`` opens the folders of these only; with ``copy`` ("s" or "o") the
+        ``keys`` are subjects or objects (IRIs or lexical forms) instead.
+        """
+        rows = self._rows(until, copy)
         if rows is None:
             return empty_quads(self.spark)
-        # the names of the files, which the scan lists anyway
-        folders = {m.groups() for f in rows.inputFiles() if (m := _FOLDER.search(f))}
-        ops = {op for _, op in folders}
-        live, dels = (rows.where(F.col("op") == op) for op in (ADD, DEL))
-        if predicates is not None:
-            names = list(predicates)
-            digits = sorted({hashlib.md5(p.encode()).hexdigest()[:2] for p in names})
-            chosen = F.col("ph").isin(digits) & F.col("p").isin(names)
+        slot, names = ("p", predicates) if copy is None else (copy, keys)
+        ops = _ops(rows)
+        live = self._live(rows, ADD, set(ops), slot, names)
+        if ops.count(ADD) > 1:
+            return distinct_quads(live)
+        return live.select(*QUAD_COLUMNS)
+
+    def _live(self, rows: DataFrame, op: str, ops: set[str], slot: str = "p", names: Iterable[str] | None = None) -> DataFrame:
+        """Rows of one kind that nothing later removes; of some keys only, if they are named."""
+        live, dels = (rows.where(F.col("op") == o) for o in (op, DEL))
+        if names is not None:
+            names = list(names)
+            digits = sorted({hashlib.md5(n.encode()).hexdigest()[:2] for n in names})
+            chosen = F.col("ph").isin(digits) & F.col(slot).isin(names)
             live, dels = live.where(chosen), dels.where(chosen)
         if ops & {CLEAR, DROP}:
             gone = rows.where(F.col("op").isin(CLEAR, DROP))
@@ -109,9 +157,18 @@ class SnapshotStore:
         if DEL in ops:
             gone = dels.groupBy(*[F.col(c).alias(c) for c in QUAD_KEY]).agg(F.max("seq").alias("dseq"))
             live = live.join(gone, same(live, gone, QUAD_KEY) & (live["seq"] < gone["dseq"]), "left_anti")
-        if sum(op == ADD for _, op in folders) > 1:
-            return distinct_quads(live)
-        return live.select(*QUAD_COLUMNS)
+        return live
+
+    def members(self, until: int | None = None) -> DataFrame:
+        """Which documents give the live quads: (quad key, doc_id)."""
+        rows = self._rows(until)
+        if rows is None:
+            return members_of(empty_quads(self.spark))
+        return members_of(self._live(rows, DOC, set(_ops(rows))))
+
+    def quads(self) -> StoredQuads:
+        """The live quads for patterns and scans, which open only the folders of their constants."""
+        return StoredQuads(self.read, self.copies)
 
     def registered(self, until: int | None = None) -> DataFrame:
         """Graphs that were created and not dropped since (column ``g``)."""
@@ -166,11 +223,12 @@ class SnapshotStore:
         batch: str | None = None,
         op: str = CLEAR,
         grants: Iterable[tuple] | None = None,
+        docs: DataFrame | None = None,
     ) -> int:
         """Clear graphs, remove keys, then add, as one folder.  Returns its ``seq``.
 
-        ``adds`` must be a set.  A column ``seq`` of ``adds`` or ``dels`` counts
-        instead of the time.  ``clear`` holds names of graphs (column ``g``);
+        ``adds`` must be a set; ``docs`` says which documents give its quads (quad key,
+        doc_id).  A column ``seq`` of ``adds``, ``dels`` or ``docs`` counts instead of the time.  ``clear`` holds names of graphs (column ``g``);
         ``op`` says what happens to them.  ``batch`` names the folder, a new one by
         default.  ``grants`` are (role, capability) for the graphs of ``adds``, by
         default those of the store.
@@ -178,7 +236,8 @@ class SnapshotStore:
         self._check(adds, dels, clear)
         seq = next_seq()
         parts = []
-        for name, df, columns in ((ADD, adds, QUAD_COLUMNS), (DEL, dels, QUAD_KEY), (op, clear, ("g",))):
+        kinds = ((ADD, adds, QUAD_COLUMNS), (DOC, docs, MEMBER), (DEL, dels, QUAD_KEY), (op, clear, ("g",)))
+        for name, df, columns in kinds:
             if df is None:
                 continue
             own = F.col("seq").cast("long") if "seq" in df.columns else F.lit(seq)
@@ -188,20 +247,24 @@ class SnapshotStore:
             parts.append(rows.withColumn("op", F.lit(name)))
         if not parts:
             return seq
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        digits = F.coalesce(F.substring(F.md5(F.col("p")), 1, 2), F.lit("-")) if "p" in rows.columns else F.lit("-")
-        # rebalance: few files per folder, and a hot predicate is split over tasks
-        rows = rows.withColumn("ph", digits).hint("rebalance", "op", "ph")
-        order = [c for c in ("op", "ph", "p", "s") if c in rows.columns]
         batch = batch or uuid.uuid4().hex
-        target = f"{self.path}/batch={batch}"
-        rows.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("op", "ph").parquet(target)
         given = self.grants if grants is None else list(grants)
         if adds is not None and given:
-            written = self.spark.read.schema(_ROW_SCHEMA).parquet(target).where(F.col("op") == ADD)
-            self.grant(access.grant(access.permissions(self.spark), written, given), batch)
+            self.grant(access.grant(access.permissions(self.spark), adds, given), batch)
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        for copy in (*self.copies, None):
+            some = rows if copy is None else rows.where(F.col("op") != DOC)
+            self._write_rows(some, copy or "p", f"{self._place(copy)}/batch={batch}")
         return seq
 
+    @staticmethod
+    def _write_rows(rows: DataFrame, slot: str, target: str) -> None:
+        digits = F.coalesce(F.substring(F.md5(F.col(slot)), 1, 2), F.lit("-")) if slot in rows.columns else F.lit("-")
+        # rebalance: few files per folder, and a hot key is split over tasks
+        rows = rows.withColumn("ph", digits).hint("rebalance", "op", "ph")
+        order = [c for c in ("op", "ph", slot, "s", "p") if c in rows.columns]
+        rows.sortWithinPartitions(*dict.fromkeys(order)).write.mode("overwrite").partitionBy("op", "ph").parquet(target)
+
     def _graphs(self, names: Iterable[str]) -> DataFrame:
         return self.spark.createDataFrame([(g,) for g in sorted(set(names))], "g string")
 
@@ -209,7 +272,8 @@ class SnapshotStore:
         self, new: DataFrame, contexts: Iterable = (), batch: str | None = None, grants: Iterable[tuple] | None = None
     ) -> int:
         """Set union; writes nothing but the new rows and reads no stored ones."""
-        return self.write(adds=distinct_quads(in_contexts(new, contexts)), batch=batch, grants=grants)
+        new = in_contexts(new, contexts)
+        return self.write(adds=distinct_quads(new), docs=members_of(new), batch=batch, grants=grants)
 
     def remove_statements(self, gone: DataFrame, contexts: Iterable = ()) -> int:
         """Remove given quads from their own graph or from ``contexts``."""
@@ -228,7 +292,7 @@ class SnapshotStore:
 
     def replace(self, quads: DataFrame) -> int:
         """A whole new content."""
-        return self.write(adds=distinct_quads(quads), clear=self.read().select("g"))
+        return self.write(adds=distinct_quads(quads), docs=members_of(quads), clear=self.read().select("g"))
 
     # -- graphs ------------------------------------------------------------------
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quadloom.functions.quad_columns import with_values
 from quadloom.model import QUAD_KEY
+from quadloom.operators.membership import MEMBER
 from quadloom.sources.snapshots import SnapshotStore, stream_batch
 
 INSERT, DELETE = "insert", "delete"
@@ -27,11 +28,13 @@ class BufferOptions:
     """When a buffer is flushed.
 
     ``interval`` is the time between flushes; None drains what is there and stops.
-    The size of a batch is limited where the stream is read (``source_options``).
+    The files or bytes of a batch are limited where the stream is read
+    (``source_options``); a batch of more than ``max_rows`` quads is written in parts.
     """
 
     interval: str | None = None
     max_files: int | None = None
+    max_rows: int | None = None
     max_bytes: str | None = None  # a size such as "1g"
 
     def source_options(self) -> dict[str, str]:
@@ -52,7 +55,8 @@ def insert_stream(
     """Add a stream of quads to a store (set union)."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        store.add(df, batch=stream_batch(checkpoint, batch_id))
+        for part, name in _parts(df, stream_batch(checkpoint, batch_id), options.max_rows):
+            store.add(part, batch=name)
 
     return _start(stream, batch, checkpoint, options)
 
@@ -63,21 +67,43 @@ def change_stream(
     """Apply a stream of ``op`` ('insert' / 'delete') rows over quads, in ``seq`` order.
 
     The operation with the highest ``seq`` on a quad counts, whichever batch brings
-    it, and an insert before a delete of equal ``seq``.  Where other writers remove
+    it, and an insert before a delete of equal ``seq``.  A quad that stays belongs to all
+    documents that inserted it since it was last removed.  Where other writers remove
     quads of the same store, ``seq`` must be on their scale (microseconds since 1970).
     """
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        last = F.max(F.struct("seq", "op"))
-        final = df.groupBy(*QUAD_KEY).agg(last.alias("last"), F.max("doc_id").alias("doc_id"))
-        final = final.select(*QUAD_KEY, "doc_id", "last.seq", "last.op")
-        adds = with_values(final.where(F.col("op") == INSERT), "seq")
-        dels = final.where(F.col("op") == DELETE).select(*QUAD_KEY, "seq")
-        store.write(adds=adds, dels=dels, batch=stream_batch(checkpoint, batch_id))
+        for part, name in _parts(df, stream_batch(checkpoint, batch_id), options.max_rows):
+            at = F.struct("seq", "op")
+            final = part.groupBy(*QUAD_KEY).agg(F.max(at).alias("last"), F.max_by("doc_id", at).alias("doc_id"))
+            final = final.select(*QUAD_KEY, "doc_id", "last.seq", "last.op")
+            adds = with_values(final.where(F.col("op") == INSERT), "seq")
+            dels = part.where(F.col("op") == DELETE).select(*QUAD_KEY, "seq")
+            docs = part.where((F.col("op") == INSERT) & F.col("doc_id").isNotNull()).select(*MEMBER, "seq")
+            store.write(adds=adds, dels=dels, docs=docs, batch=name)
 
     return _start(stream, batch, checkpoint, options)
 
 
+def _parts(df: DataFrame, name: str, max_rows: int | None):
+    """A batch, or parts of about ``max_rows`` rows each, with the folder that each is written to.
+
+    Parts are shares of the quads' hash, so a quad is in one part only, and a batch that
+    is delivered again has the same parts.
+    """
+    if max_rows is None:
+        yield df, name
+        return
+    held = df.persist()
+    try:
+        parts = max(1, -(-held.count() // max_rows))
+        for k in range(parts):
+            share = F.pmod(F.xxhash64(*QUAD_KEY), F.lit(parts)) == k
+            yield (held if parts == 1 else held.where(share)), f"{name}-{k}"
+    finally:
+        held.unpersist()
+
+
 class Buffer:
     """A running buffered write that can be flushed on demand.
 
