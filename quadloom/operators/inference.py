@@ -9,8 +9,9 @@ Rules come from the public W3C RDFS and OWL 2 RL rule tables:
     allValuesFrom                                  x type R, x p y  =>  y type C
 
 The declarations (few) are closed first: which property implies which, in which
-direction, and which class implies which.  The data (many) is then joined once
-with these small closed tables.  Only hasValue and allValuesFrom can feed each
+direction, and which class implies which; equivalent names are one there.  They are
+compiled into a table of one row per property or class with all that follows from it,
+and the data (many) is read once and expanded by that table.  Only hasValue and allValuesFrom can feed each
 other through the data; they repeat on newly found facts until nothing is new.
 When the rules can give declarations themselves (a property below
 ``subClassOf``), closing and joining repeat until no declaration is new.
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from quadloom import vocab as V
 from quadloom.model import OBJECT, TRIPLE_KEY, graph_list
 from quadloom.operators.closure import transitive_closure
+from quadloom.operators.groups import equivalence_groups
 from quadloom.operators.scan import Quads, match
 from quadloom.session import materialize, scratch_path
 
@@ -57,6 +59,8 @@ FACT = TRIPLE_KEY + ("o_num", "o_ts")
 # Predicates are narrowed down by the share of their hash, so that what a filter
 # lists is bounded, however many properties are declared.
 SHARES = 4096
+# What a rule is about, and what it gives (see ``Declarations``).
+PROPERTY, CLASS = "p", "c"
 FORWARD, BACKWARD = "f", "b"
 SUBJECT, OBJECT_POS = "s", "o"
 
@@ -70,19 +74,32 @@ def rules_of(rulesets: Iterable[str | None], defaults: Iterable[str | None] = ()
     return frozenset(rule for r in names for rule in RULESETS[r])
 
 
+# Rules of at most this many outcomes are sent to all tasks; more are joined, with every
+# predicate's facts dealt to SPLIT tasks.
+SENT = 100_000
+SPLIT = 32
+
+
 @dataclass(frozen=True)
 class Declarations:
-    """Closed declarations; every table carries the scope columns ``by``."""
+    """Closed and compiled declarations; every table carries the scope columns ``by``.
+
+    A rule has one row per property (kind 'p') or class (kind 'c') with all that follows
+    as an array of (out, name): a fact x p y gives x q y ('f') or y q x ('b'), and x ('s')
+    or y ('o') a class; a member of a class gets another one ('c').  A name stands for its
+    group of equivalent names, which ``members`` expands in the output only.
+    """
 
     by: tuple[str, ...]
-    properties: DataFrame  # p, q, turn: x p y implies x q y ('f') or y q x ('b')
-    typing: DataFrame  # p, at, cls: x p y implies that x ('s') or y ('o') is a cls
-    classes: DataFrame  # c, d: type c implies type d
+    rules: DataFrame  # kind, name, outs
+    members: DataFrame | None  # kind, rep, names
     has_value: DataFrame  # r, p, o, o_kind, o_dt, o_lang, o_num, o_ts
     all_values: DataFrame  # r, p, cls
     triples: DataFrame  # declarations implied by the declarations, as facts
     recursive: bool  # can new facts lead to more?
     again: bool  # can rules give declarations, or start from them?
+    gives_type: bool  # can a property rule give a class to something?
+    sent: bool  # are the rules small enough to be sent to all tasks?
     sources: list[int]  # shares of the predicates a rule starts from
     targets: list[int]  # shares of the predicates a rule can give
 
@@ -92,6 +109,10 @@ def _declared(schema: DataFrame, by: tuple[str, ...], predicate: str) -> DataFra
     return rows.select(*by, F.col("s").alias("a"), F.col("o").alias("b"))
 
 
+def _kind(kind: str, pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.lit(kind).alias("kind"), *pairs.columns)
+
+
 def _both_ways(pairs: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return pairs.union(pairs.select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
 
@@ -127,11 +148,32 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
     def declared(rule: str, predicate: str) -> DataFrame:
         return _declared(schema, by, predicate) if rule in rules else none
 
-    eq_prop = _both_ways(declared(EQUIVALENT_PROPERTY, V.EQUIVALENT_PROPERTY), by)
+    eq = _kind(PROPERTY, declared(EQUIVALENT_PROPERTY, V.EQUIVALENT_PROPERTY)).union(
+        _kind(CLASS, declared(EQUIVALENT_CLASS, V.EQUIVALENT_CLASS))
+    )
     sub_prop = declared(SUBPROPERTY_OF, V.SUB_PROPERTY_OF)
     inverse = _both_ways(declared(INVERSE_OF, V.INVERSE_OF), by)
-    eq_class = _both_ways(declared(EQUIVALENT_CLASS, V.EQUIVALENT_CLASS), by)
     sub_class = declared(SUBCLASS_OF, V.SUB_CLASS_OF)
+    typed = reduce(
+        DataFrame.union,
+        [
+            declared(rule, predicate).select(*by, F.col("a").alias("q"), F.lit(end).alias("end"), F.col("b").alias("cls"))
+            for rule, predicate, end in ((DOMAIN, V.DOMAIN, SUBJECT), (RANGE, V.RANGE, OBJECT_POS))
+        ],
+    )
+
+    # one representative stands for a group of equivalent names
+    groups = None
+    if rules & {EQUIVALENT_PROPERTY, EQUIVALENT_CLASS}:
+        groups = equivalence_groups(eq, ("kind", *by))
+        groups = None if groups.isEmpty() else groups
+
+    def rep(df: DataFrame, kind: str, *columns: str) -> DataFrame:
+        for c in columns if groups is not None else ():
+            names = groups.where(F.col("kind") == kind).select(*[F.col(b).alias(f"_{b}") for b in by], F.col("name").alias("_name"), "rep")
+            same_scope = reduce(lambda x, y: x & y, [F.col(b) == F.col(f"_{b}") for b in by], F.col(c) == F.col("_name"))
+            df = df.join(names, same_scope, "left").withColumn(c, F.coalesce("rep", c)).drop("_name", "rep", *[f"_{b}" for b in by])
+        return df
 
     # a node is a property read forwards or backwards; an inverse turns it round
     def node(direction: str, name: str) -> Column:
@@ -141,41 +183,28 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
         x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
         return pairs.select(F.lit(kind).alias("kind"), *by, x.alias("x"), y.alias("y"))
 
-    steps = [edges("class", eq_class.union(sub_class))]
+    steps = [edges("class", rep(sub_class, CLASS, "a", "b"))]
+    sub_reps, inverse_reps = rep(sub_prop, PROPERTY, "a", "b"), rep(inverse, PROPERTY, "a", "b")
     for d, turned in ((FORWARD, BACKWARD), (BACKWARD, FORWARD)):
-        for pairs, to in ((eq_prop.union(sub_prop), d), (inverse, turned)):
+        for pairs, to in ((sub_reps, d), (inverse_reps, turned)):
             steps.append(edges("property", pairs, node(d, "a"), node(to, "b")))
-    declaring = {
-        V.SUB_PROPERTY_OF: sub_prop, V.SUB_CLASS_OF: sub_class,
-        V.EQUIVALENT_PROPERTY: eq_prop, V.EQUIVALENT_CLASS: eq_class,
-    }
+    declaring = {V.SUB_PROPERTY_OF: sub_prop, V.SUB_CLASS_OF: sub_class}
     steps += [edges(p, pairs) for p, pairs in declaring.items()]
-    # all declarations close in one loop, each kind by itself
-    closed = transitive_closure(reduce(DataFrame.union, steps), ("kind", *by))
-    properties = (
-        closed.where((F.col("kind") == "property") & F.col("x").startswith(FORWARD))
-        .select(
-            *by,
-            F.expr("substring(x, 2)").alias("p"),
-            F.expr("substring(y, 2)").alias("q"),
-            F.expr("substring(y, 1, 1)").alias("turn"),
-        )
-        .where(~((F.col("p") == F.col("q")) & (F.col("turn") == FORWARD)))
-    )
-    classes = closed.where("kind = 'class' and x <> y").select(
-        *by, F.col("x").alias("c"), F.col("y").alias("d")
+    # all declarations close in one loop, each kind by itself; domains and ranges alone need none
+    linked = reduce(DataFrame.union, steps)
+    chained = rules & {SUBPROPERTY_OF, SUBCLASS_OF, INVERSE_OF}
+    closed = transitive_closure(linked, ("kind", *by)) if chained else linked.limit(0)
+    pairs = closed.where((F.col("kind") == "property") & F.col("x").startswith(FORWARD)).select(
+        *by,
+        F.expr("substring(x, 2)").alias("p"),
+        F.expr("substring(y, 2)").alias("q"),
+        F.expr("substring(y, 1, 1)").alias("turn"),
     )
+    properties = pairs.where(~((F.col("p") == F.col("q")) & (F.col("turn") == FORWARD)))
+    classes = closed.where("kind = 'class' and x <> y").select(*by, F.col("x").alias("c"), F.col("y").alias("d"))
 
     # domains and ranges of every implied property apply to the property itself
-    typed = (
-        declared(DOMAIN, V.DOMAIN)
-        .select(*by, F.col("a").alias("q"), F.lit(SUBJECT).alias("end"), F.col("b").alias("cls"))
-        .union(
-            declared(RANGE, V.RANGE).select(
-                *by, F.col("a").alias("q"), F.lit(OBJECT_POS).alias("end"), F.col("b").alias("cls")
-            )
-        )
-    )
+    typed = rep(rep(typed, PROPERTY, "q"), CLASS, "cls")
     own = typed.select(*by, F.col("q").alias("p"), F.col("end").alias("at"), "cls")
     implied = properties.join(typed, [*by, "q"]).select(
         *by,
@@ -192,6 +221,27 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
         )
     ).distinct()
 
+    # the rule table: what follows from each representative, on one row per name of its group
+    def outcome(kind: str, df: DataFrame, name: str, out: Column, to: str) -> DataFrame:
+        return df.select(F.lit(kind).alias("kind"), *by, F.col(name).alias("rep"), out.alias("out"), F.col(to).alias("to"))
+
+    outcomes = [
+        outcome(PROPERTY, properties, "p", F.col("turn"), "q"),
+        outcome(PROPERTY, typing, "p", F.col("at"), "cls"),
+        outcome(CLASS, classes, "c", F.lit(CLASS), "d"),
+    ]
+    if groups is not None:
+        alone = groups.select("kind", *by, "rep").distinct()
+        outcomes.append(alone.select("kind", *by, "rep", F.when(F.col("kind") == CLASS, CLASS).otherwise(FORWARD).alias("out"), F.col("rep").alias("to")))
+    outs = F.collect_set(F.struct("out", F.col("to").alias("name"))).alias("outs")
+    compiled = reduce(DataFrame.union, outcomes).groupBy("kind", *by, "rep").agg(outs)
+    members = None
+    if groups is not None:
+        compiled = compiled.join(groups, ["kind", *by, "rep"], "left").withColumn("rep", F.coalesce("name", "rep")).drop("name")
+        collected = groups.groupBy("kind", *by, "rep").agg(F.collect_list("name").alias("names"))
+        members = materialize(collected, scratch_path(spark, "members"))
+    compiled = materialize(compiled.select("kind", *by, F.col("rep").alias("name"), "outs"), scratch_path(spark, "rules"))
+
     on = _declared(schema, by, V.ON_PROPERTY).select(*by, F.col("a").alias("r"), F.col("b").alias("p"))
     value_rows = schema.where((F.col("p") == V.HAS_VALUE) & F.lit(HAS_VALUE in rules))
     values = value_rows.select(*by, F.col("s").alias("r"), *OBJECT, "o_num", "o_ts")
@@ -201,19 +251,27 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
     )
     all_values = on.join(only, [*by, "r"])
 
-    # the declarations that follow: closed ones, and inverses read the other way
+    # the declarations that follow: closed ones, inverses read the other way, and all pairs of a group
     triples = closed.where(F.col("kind").isin(*declaring) & (F.col("x") != F.col("y"))).select(
         *_iri_fact(by, "x", F.col("kind"), "y")
     )
     triples = triples.union(inverse.select(*_iri_fact(by, "a", V.INVERSE_OF, "b")))
-
+    if groups is not None:
+        others = members.withColumnRenamed("rep", "_rep")
+        paired = groups.join(others, [*(groups[c] == others[c] for c in ("kind", *by)), groups["rep"] == others["_rep"]])
+        paired = paired.select(groups["kind"], *[groups[b] for b in by], "name", F.explode("names").alias("other")).where("name <> other")
+        kind = F.when(F.col("kind") == CLASS, V.EQUIVALENT_CLASS).otherwise(V.EQUIVALENT_PROPERTY)
+        triples = triples.union(paired.select(*_iri_fact(by, "name", kind, "other")))
+
+    property_rules = compiled.where(F.col("kind") == PROPERTY)
+    given = property_rules.select("kind", *by, F.inline("outs")).where(F.col("out").isin(FORWARD, BACKWARD))
+    given = _expanded(given.withColumn("out", F.lit(FORWARD)), members, by, sent=False)
     roles = [
-        properties.select(F.lit("source").alias("role"), "p"),
-        properties.select(F.lit("target"), F.col("q")),
-        typing.select(F.lit("source"), F.col("p")),
-        classes.select(F.lit("class"), F.lit(V.RDF_TYPE)),
-        has_value.select(F.lit("loop"), F.col("p")),
-        all_values.select(F.lit("loop"), F.col("p")),
+        property_rules.select(F.lit("source").alias("role"), F.col("name").alias("p"), F.size("outs").alias("n")),
+        compiled.where(F.col("kind") == CLASS).select(F.lit("class"), F.lit(V.RDF_TYPE), F.size("outs")),
+        given.select(F.lit("target"), F.col("name"), F.lit(0)),
+        has_value.select(F.lit("loop"), F.col("p"), F.lit(1)),
+        all_values.select(F.lit("loop"), F.col("p"), F.lit(1)),
     ]
     named = reduce(DataFrame.union, roles).where("p is not null")
     is_declaring = F.col("p").isin(*DECLARING)
@@ -225,14 +283,16 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
         F.coalesce(F.bool_or(loop), F.lit(False)).alias("recursive"),
         F.coalesce(F.bool_or(F.col("role") == "loop"), F.lit(False)).alias("restrictions"),
         F.coalesce(F.bool_or(is_declaring), F.lit(False)).alias("again"),
+        F.coalesce(F.bool_or((F.col("role") == "target") & (F.col("p") == V.RDF_TYPE)), F.lit(False)).alias("gives_type"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         *[F.array_sort(F.array(*[share(F.lit(p)) for p in fixed])).alias(name)
           for name, fixed in (("type_", [V.RDF_TYPE]), ("fixed", [V.RDF_TYPE, *DECLARING]))],
     ).first()
     sources = sorted({*row["sources"], *(row["type_"] if row["restrictions"] else ())})
     targets = sorted({*row["targets"], *row["fixed"]})
     return Declarations(
-        by, properties, typing, classes, has_value, all_values, triples,
-        row["recursive"], row["again"], sources, targets,
+        by, compiled, members, has_value, all_values, triples,
+        row["recursive"], row["again"], row["gives_type"], row["n"] <= SENT, sources, targets,
     )
 
 
@@ -241,38 +301,78 @@ def share(p: Column | str) -> Column:
     return F.pmod(F.xxhash64(p), F.lit(SHARES)).cast("int")
 
 
-def _flipped(by, p: Column) -> list[Column]:
-    return _iri_fact(by, "o", p, "s")
+def _expanded(rows: DataFrame, members: DataFrame | None, by: tuple[str, ...], sent: bool) -> DataFrame:
+    """``name`` replaced by each name of its group; (out) says whether it is a property or a class."""
+    if members is None:
+        return rows
+    names = members.select(F.col("kind").alias("m_kind"), *[F.col(b).alias(f"m_{b}") for b in by], F.col("rep").alias("m_rep"), "names")
+    names = F.broadcast(names) if sent else names
+    kind = F.when(F.col("out").isin(FORWARD, BACKWARD), PROPERTY).otherwise(CLASS)
+    on = reduce(lambda x, y: x & y, [F.col(b) == F.col(f"m_{b}") for b in by], (F.col("name") == F.col("m_rep")) & (kind == F.col("m_kind")))
+    out = rows.join(names, on, "left").drop("m_kind", "m_rep", *[f"m_{b}" for b in by])
+    return out.withColumn("name", F.explode(F.coalesce("names", F.array("name")))).drop("names")
+
+
+def _fired(facts: DataFrame, d: Declarations, kinds: str = PROPERTY + CLASS) -> DataFrame:
+    """What the rule table gives for ``facts``, in one pass over them: facts with the column ``out``.
+
+    Rules that are small are sent to all tasks, so the facts stay where they are.  Otherwise
+    both are dealt by predicate (or class) and a share of the facts, the rules once for each.
+    """
+    by, is_type = list(d.by), (F.col("p") == V.RDF_TYPE) & (F.col("o_kind") == "iri")
+    rows, found = facts.select(*by, *FACT), []
+    if not d.sent:
+        rows = rows.withColumn("f_share", F.pmod(F.xxhash64("s", "o"), F.lit(SPLIT)))
+    for kind in kinds:
+        rules = d.rules.where(F.col("kind") == kind).select(
+            *[F.col(b).alias(f"{kind}_{b}") for b in by], F.col("name").alias(f"{kind}_name"), F.col("outs").alias(f"{kind}_outs")
+        )
+        on = F.col("p" if kind == PROPERTY else "o") == F.col(f"{kind}_name")
+        on = reduce(lambda x, y: x & y, [F.col(b) == F.col(f"{kind}_{b}") for b in by], on)
+        if kind == CLASS:
+            on = on & is_type
+        if d.sent:
+            rules = F.broadcast(rules)
+        else:
+            rules = rules.withColumn(f"{kind}_share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPLIT - 1).cast("long"))))
+            on = on & (F.col("f_share") == F.col(f"{kind}_share"))
+        rows = rows.join(rules, on, "left")
+        found.append(F.coalesce(f"{kind}_outs", F.array().cast("array<struct<out: string, name: string>>")))
+    all_outs = F.concat(*found) if len(found) > 1 else found[0]
+    rows = rows.select(*by, *FACT, all_outs.alias("outs")).where(F.size("outs") > 0).select(*by, *FACT, F.inline("outs"))
+    rows = rows.where(F.col("out").isin(FORWARD, SUBJECT, CLASS) | (F.col("o_kind") == "iri"))
+    rows = _expanded(rows, d.members, d.by, d.sent)
+    out, forward = F.col("out"), F.col("out") == FORWARD
+    subject = F.when(out.isin(BACKWARD, OBJECT_POS), F.col("o")).otherwise(F.col("s"))
+    predicate = F.when(out.isin(FORWARD, BACKWARD), F.col("name")).otherwise(V.RDF_TYPE)
+    obj = F.when(forward, F.col("o")).when(out == BACKWARD, F.col("s")).otherwise(F.col("name"))
+    return rows.select(
+        *by, subject.alias("s"), predicate.alias("p"), obj.alias("o"),
+        F.when(forward, F.col("o_kind")).otherwise("iri").alias("o_kind"),
+        *[F.when(forward, F.col(c)).alias(c) for c in ("o_dt", "o_lang", "o_num", "o_ts")],
+        "out",
+    )
 
 
 def _implied(facts: DataFrame, known: DataFrame, d: Declarations) -> DataFrame:
     """Facts that follow from ``facts`` (new) together with ``known`` (all)."""
     by, cols = list(d.by), [*d.by, *FACT]
+    is_type = (F.col("p") == V.RDF_TYPE) & (F.col("o_kind") == "iri")
 
     def on(*pairs: tuple[str, str]) -> Column:
         conds = [F.col(b) == F.col(f"decl_{b}") for b in by] + [F.col(x) == F.col(y) for x, y in pairs]
         return reduce(lambda x, y: x & y, conds)
 
     def decl(df: DataFrame, **names: str) -> DataFrame:
-        return df.select(*[F.col(b).alias(f"decl_{b}") for b in by], *[F.col(a).alias(b) for a, b in names.items()])
-
-    props = decl(d.properties, p="dp", q="dq", turn="turn")
-    joined = facts.join(props, on(("p", "dp")))
-    forward = joined.where(F.col("turn") == FORWARD).select(
-        *[F.col("dq").alias("p") if c == "p" else F.col(c) for c in cols]
-    )
-    backward = joined.where((F.col("turn") == BACKWARD) & (F.col("o_kind") == "iri")).select(
-        *_flipped(by, F.col("dq"))
-    )
-    edges = facts.select(*cols).union(forward).union(backward)
-
-    typing = decl(d.typing, p="dp", at="at", cls="cls")
-    ends = facts.join(typing, on(("p", "dp"))).where((F.col("at") == SUBJECT) | (F.col("o_kind") == "iri"))
-    typed = ends.select(
-        *_iri_fact(by, F.when(F.col("at") == SUBJECT, F.col("s")).otherwise(F.col("o")), V.RDF_TYPE, "cls")
-    )
-    types = edges.where((F.col("p") == V.RDF_TYPE) & (F.col("o_kind") == "iri"))
-    out = [forward, backward, typed]
+        rows = df.select(*[F.col(b).alias(f"decl_{b}") for b in by], *[F.col(a).alias(b) for a, b in names.items()])
+        return F.broadcast(rows) if d.sent else rows
+
+    fired = _fired(facts, d)
+    out = [fired]
+    moved = fired.where(F.col("out").isin(FORWARD, BACKWARD))
+    edges = facts.select(*cols).union(moved.select(*cols))
+    # classes that the class rules haven't seen yet
+    later = [moved.where(is_type).select(*cols)] if d.gives_type else []
     if d.recursive:
         hv = decl(d.has_value, r="r", p="dp", **{c: f"v_{c}" for c in (*OBJECT, "o_num", "o_ts")})
         same_value = (
@@ -281,15 +381,17 @@ def _implied(facts: DataFrame, known: DataFrame, d: Declarations) -> DataFrame:
             & F.col("o_dt").eqNullSafe(F.col("v_o_dt"))
             & F.col("o_lang").eqNullSafe(F.col("v_o_lang"))
         )
-        members = edges.join(hv, on(("p", "dp")) & same_value).select(*_iri_fact(by, "s", V.RDF_TYPE, "r"))
-        types = types.union(members)
-        out.append(members)
-    types = types.union(typed)
-    up = types.join(decl(d.classes, c="dc", d="dd"), on(("o", "dc")))
-    supers = up.select(*_iri_fact(by, "s", V.RDF_TYPE, "dd"))
-    out.append(supers)
+        found = edges.join(hv, on(("p", "dp")) & same_value).select(*_iri_fact(by, "s", V.RDF_TYPE, "r"))
+        later.append(found.select(*cols))
+        out.append(found)
+    if later:
+        supers = _fired(reduce(DataFrame.union, later), d, CLASS)
+        out.append(supers)
     if d.recursive:
-        all_types = types.union(supers)
+        classed = fired.where(F.col("out").isin(SUBJECT, OBJECT_POS, CLASS))
+        all_types = reduce(
+            DataFrame.union, [x.select(*cols) for x in (edges.where(is_type), classed, found, supers)]
+        )
         filled = all_types.join(hv, on(("o", "r"))).select(
             *[F.col(b) for b in by], F.col("s"), F.col("dp").alias("p"),
             *[F.col(f"v_{c}").alias(c) for c in (*OBJECT, "o_num", "o_ts")],
@@ -297,9 +399,7 @@ def _implied(facts: DataFrame, known: DataFrame, d: Declarations) -> DataFrame:
         av = decl(d.all_values, r="r", p="dp", cls="cls")
         restricted = all_types.join(av, on(("o", "r"))).select(*by, F.col("s").alias("x"), F.col("dp"), "cls")
         known_restricted = (
-            known.where((F.col("p") == V.RDF_TYPE) & (F.col("o_kind") == "iri"))
-            .join(av, on(("o", "r")))
-            .select(*by, F.col("s").alias("x"), F.col("dp"), "cls")
+            known.where(is_type).join(av, on(("o", "r"))).select(*by, F.col("s").alias("x"), F.col("dp"), "cls")
         )
         out.append(filled)
         for some_types, some_edges in ((restricted, known.select(*cols).union(edges)), (known_restricted, edges)):

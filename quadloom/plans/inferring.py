@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quadloom import iri, lit
@@ -192,3 +193,52 @@ def infer_declared_by_rule(spark, sf_dir):
     rule = statements(spark, [(P + "kindOf", V.SUB_PROPERTY_OF, iri(V.SUB_CLASS_OF))])
     new = I.infer(parts.union(with_values(kinds.distinct())).union(rule), ["RDFS"])
     return new.where((F.col("p") == V.RDF_TYPE) & F.col("o").startswith("urn:brand:")).select("s", "o")
+
+
+@query("""
+with brands as (select distinct p_brand as brand from part)
+select 'urn:part:' || p_partkey as s, 'urn:p:soldAs' || brand as p, p_name as o
+from part join brands on brand <> p_brand
+union all
+select 'urn:p:soldAs' || a.brand, 'http://www.w3.org/2002/07/owl#equivalentProperty', 'urn:p:soldAs' || b.brand
+from brands a join brands b on a.brand <> b.brand
+except select 'urn:p:soldAs' || brand, 'http://www.w3.org/2002/07/owl#equivalentProperty', 'urn:p:soldAs' || next_brand
+from (select brand, lead(brand) over (order by brand) as next_brand from brands) where next_brand is not null
+""")
+def infer_equivalent_chain(spark, sf_dir):
+    """A property per brand, each declared equivalent to the next one only: all of them mean the same."""
+    part = table(spark, sf_dir, "part")
+    brands = part.select("p_brand").distinct()
+    nulls = [F.lit(None).cast("string").alias(c) for c in ("o_dt", "o_lang", "doc_id")]
+    links = brands.withColumn("after", F.lead("p_brand").over(Window.orderBy("p_brand"))).where("after is not null")
+    links = links.select(
+        F.lit(V.DEFAULT_GRAPH).alias("g"), F.concat(F.lit(P + "soldAs"), "p_brand").alias("s"),
+        F.lit(V.EQUIVALENT_PROPERTY).alias("p"), F.concat(F.lit(P + "soldAs"), "after").alias("o"),
+        F.lit("iri").alias("o_kind"), *nulls,
+    )
+    sold = part.select(
+        F.lit(G + "part").alias("g"), F.concat(F.lit("urn:part:"), F.col("p_partkey").cast("string")).alias("s"),
+        F.concat(F.lit(P + "soldAs"), "p_brand").alias("p"), F.col("p_name").alias("o"), F.lit("lit").alias("o_kind"),
+        F.lit(V.XSD_STRING).alias("o_dt"), *nulls[1:],
+    )
+    return I.infer(with_values(links.union(sold)), ["EQUIVALENT_PROPERTY"]).select("s", "p", "o")
+
+
+@query("""
+with kinds as (select p_type as kind, row_number() over (order by p_type) as n from (select distinct p_type from part))
+select distinct 'urn:part:' || p_partkey as s, 'urn:class:' || b.kind as o
+from part join kinds a on p_type = a.kind join kinds b on a.n % 2 = b.n % 2 and a.kind <> b.kind
+""")
+def infer_equivalent_class_groups(spark, sf_dir):
+    """Types of parts in two groups of equivalent classes, each linked through its members."""
+    part = table(spark, sf_dir, "part")
+    kinds = part.select("p_type").distinct().withColumn("n", F.row_number().over(Window.orderBy("p_type")))
+    links = kinds.withColumn("after", F.lead("p_type", 2).over(Window.orderBy("n"))).where("after is not null")
+    links = links.select(
+        F.lit(V.DEFAULT_GRAPH).alias("g"), F.concat(F.lit(CLASS), "p_type").alias("s"),
+        F.lit(V.EQUIVALENT_CLASS).alias("p"), F.concat(F.lit(CLASS), "after").alias("o"), F.lit("iri").alias("o_kind"),
+        *[F.lit(None).cast("string").alias(c) for c in ("o_dt", "o_lang", "doc_id")],
+    )
+    parts = quads(spark, sf_dir).limited(graphs=[G + "part"]).df
+    new = I.infer(parts.union(with_values(links)), ["RDFS_PLUS"])
+    return new.where((F.col("p") == V.RDF_TYPE) & F.col("s").startswith("urn:part:")).select("s", "o")
