@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quadloom.llm.common import column, cut, partitions, prepare
 
-BLOCK_BYTES = 8 << 20  # of texts before compression; one longer text is a block of its own
+BLOCK_BYTES = 4 << 20  # of texts before compression; one longer text is a block of its own
 DEALT = "bin long, block long, data binary"
 ANSWERED = "block long, data binary"
 
