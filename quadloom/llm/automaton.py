@@ -25,16 +25,17 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-# Entries of each cache; a full one becomes the old one, and the old one goes. Results do not depend on it.
-CACHE = 80_000
+# Words whose ids are kept, and their bytes; beyond either all are forgotten. Results do not depend on it.
+CACHE, CACHE_BYTES = 300_000, 32 << 20
+AT_ONCE = 1 << 20  # characters of texts that are split together
 PAIRS = 500_000  # pairs of labels that are kept
-LONG = 64  # bytes; longer words are taken one by one and not kept
+LONG = 64  # bytes; longer words are taken one by one
 _FINAL = 256  # symbols: a byte within a word, or a byte that ends the word plus this
-# words of a lower-case ASCII chunk without white space, as the tokenizer's own pattern splits it
-_ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-# the same for chunks of ASCII and those Latin-1 letters that normalizing leaves alone
-_LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+# words of lower-case ASCII between white space, as the tokenizer's own pattern splits it
+_ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 \t\n\r\x0b\x0c]+")
+# the same for ASCII and those Latin-1 letters that normalizing leaves alone
+_LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ \t\n\r\x0b\x0c]+")
+_LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t\n\r\x0b\x0c]+")
 
 
 def byte_letters() -> list[str]:
@@ -112,9 +113,7 @@ class Automaton:
             self.labels[i] = token.encode()
         self._compile(model["vocab"], model["merges"], model["end_of_word_suffix"])
         self.pairs: dict[int, bool] = {}
-        self.words: dict[bytes, bytes] = {}
-        self.chunks: dict[bytes, bytes] = {}
-        self.old_chunks: dict[bytes, bytes] = {}
+        self._forget()
 
     def _compile(self, vocab: dict[str, int], merges: list, suffix: str) -> None:
         letters = byte_letters()
@@ -269,70 +268,85 @@ class Automaton:
             found[missing] = np.array(answers, np.int32)[np.searchsorted(new, pairs[missing])]
         return found == 1
 
-    def _words_of(self, chunk: bytes) -> list[bytes]:
-        if chunk.isascii():
-            return _ASCII.findall(chunk.lower())
-        text = chunk.decode()
+    def _forget(self) -> None:
+        """Empty the cache: the number of each word, and where its ids are in one flat array."""
+        self.index: dict[bytes | str, int] = {}
+        self.ends = np.zeros(1, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+        self.held = 0
+
+    def _words(self, text: str) -> list[bytes | str]:
+        """A text's words, lower case in UTF-8, or as strings where that saves encoding them."""
+        if text.isascii():
+            return _ASCII.findall(text.encode().lower())
         if _LATIN.fullmatch(text):
-            return [w.encode() for w in _LATIN_WORDS.findall(text.lower())]
-        return [bytes(map(self.byte_of.__getitem__, w)) for w, _ in self.split(self.normalize(text))]
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Put the ids of these pieces of text between ASCII white space into the cache."""
-        split = [self._words_of(c) for c in new]
-        words = {w for ws in split for w in ws}
-        known = {w: ids for w in words if (ids := self.words.get(w)) is not None}
-        if todo := [w for w in words if w not in known]:
-            known |= zip(todo, self.paths(todo))
-        if len(self.words) > CACHE:
-            self.words = {}
-        self.words |= ((w, known[w]) for w in known if len(w) <= LONG)
-        if len(self.chunks) > CACHE:
-            self.chunks, self.old_chunks = {}, self.chunks
-        self.chunks |= ((c, b"".join([known[w] for w in ws])) for c, ws in zip(new, split))
+            return _LATIN_WORDS.findall(text.lower())
+        words: list[bytes | str] = []
+        for chunk in text.encode().split():
+            if chunk.isascii():
+                words += _ASCII.findall(chunk.lower())
+            elif _LATIN.fullmatch(piece := chunk.decode()):
+                words += _LATIN_WORDS.findall(piece.lower())
+            else:
+                words += [bytes(map(self.byte_of.__getitem__, w)) for w, _ in self.split(self.normalize(piece))]
+        return words
+
+    def _learn(self, new: list[bytes | str]) -> None:
+        """Put the ids of these words into the cache."""
+        raw = [w if isinstance(w, bytes) else w.encode() for w in new]
+        ids = self.paths(raw)
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+        self.held += sum(map(len, raw))
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """``encode`` for some texts; their new words are looked up together."""
-        split, rows = [], []  # runs of chunks, and for each text its runs and special ids in order
+        """``encode`` for some texts; the words of about ``AT_ONCE`` characters are looked up together."""
+        out: list[bytes] = []
+        group: list[str | None] = []
+        size = 0
+        for text in texts:
+            group.append(text)
+            size += len(text or "")
+            if size >= AT_ONCE:
+                out += self._encoded(group)
+                group, size = [], 0
+        return out + self._encoded(group)
+
+    def _encoded(self, texts: list[str | None]) -> list[bytes]:
+        words: list[bytes | str] = []
+        rows, ends = [], [0]  # for each text its runs of words and special ids in order; where each run ends
         for text in texts:
             row: list[int | bytes] = []
             at = 0
             if text and "<" in text:
                 for m in self.special_at.finditer(text):
-                    row += [len(split), array("I", [self.special[m[0]]]).tobytes()]
-                    split.append(self._chunks(text[at : m.start()]))
+                    row += [len(ends), array("I", [self.special[m[0]]]).tobytes()]
+                    words += self._words(text[at : m.start()])
+                    ends.append(len(words))
                     at = m.end()
             if text:
-                row.append(len(split))
-                split.append(self._chunks(text[at:] if at else text))
+                row.append(len(ends))
+                words += self._words(text[at:] if at else text)
+                ends.append(len(words))
             rows.append(row)
-        new = set().union(*split)
-        new.difference_update(self.chunks)
-        again = [c for c in new if c in self.old_chunks]
-        self.chunks |= ((c, self.old_chunks[c]) for c in again)
-        new.difference_update(again)
-        if new:
+        if len(self.index) > CACHE or self.held > CACHE_BYTES:
+            self._forget()
+        if new := set(words).difference(self.index):
             self._learn(list(new))
-        ids = list(map(self._joined, split))
-        for c in new:
-            if len(c) > LONG:
-                self.chunks.pop(c, None)
-        return [b"".join([x if isinstance(x, bytes) else ids[x] for x in row]) for row in rows]
-
-    def _joined(self, run: list[bytes]) -> bytes:
-        try:
-            return b"".join(map(self.chunks.get, run))
-        except TypeError:  # the caches have just changed places
-            return b"".join([self.chunks[c] if c in self.chunks else self.old_chunks[c] for c in run])
-
-    @staticmethod
-    def _chunks(text: str) -> list[bytes]:
-        raw = text.encode()
-        return (raw.lower() if raw.isascii() else raw).split()
+        k = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        first = self.ends[k]
+        lengths = self.ends[k + 1] - first
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self.flat[np.arange(upto[-1]) + np.repeat(first - upto[:-1], lengths)].astype("<u4").tobytes()
+        stops = (4 * upto[ends]).tolist()
+        runs = [b"", *[ids[i:j] for i, j in zip(stops, stops[1:])]]
+        return [runs[row[0]] if len(row) == 1 else b"".join([x if isinstance(x, bytes) else runs[x] for x in row]) for row in rows]
 
     def decode(self, ids: bytes) -> bytes:
         """The labels of the arcs in UTF-8, as the library decodes without a decoder of its own."""

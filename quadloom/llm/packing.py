@@ -31,7 +31,7 @@ RANKED = 100_000
 # Steps of the least-squares fit; more leave fewer lengths to the residual packing.
 FIT_STEPS = 150
 # Shares of the fitted repeats that are tried; what a share leaves over is packed best-fit.
-SHARES = (1.0, 0.95, 0.8, 0.5, 0.2, 0.0)
+SHARES = (1.0, 0.95, 0.8, 0.5, 0.2)
 
 
 def pieces(docs: DataFrame, vocabulary: str, max_len: int = MAX_LEN, end_id: int = END_ID) -> DataFrame:
@@ -42,7 +42,8 @@ def pieces(docs: DataFrame, vocabulary: str, max_len: int = MAX_LEN, end_id: int
     def work(batch):
         encoded = [x + end for x in automaton(vocabulary).encode_all(column(batch, "text").to_pylist())]
         counts = [-(-len(x) // (4 * max_len)) for x in encoded]
-        cut_ = [(k, k * max_len, x[4 * k * max_len : 4 * (k + 1) * max_len]) for x, n in zip(encoded, counts) for k in range(n)]
+        views = map(memoryview, encoded)
+        cut_ = [(k, k * max_len, x[4 * k * max_len : 4 * (k + 1) * max_len]) for x, n in zip(views, counts) for k in range(n)]
         rows = np.repeat(np.arange(len(counts)), counts)
         return {
             "doc_id": column(batch, "doc_id").take(pa.array(rows)),
