@@ -17,7 +17,7 @@ loses its own lines.  Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadloom.llm.common import ascii_lower, cut, partitions, prepare
@@ -56,9 +56,11 @@ def shared_keys(found: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """h1, h2, n_docs and the document that keeps its lines, for the keys of enough documents."""
     ranges = partitions(found.sparkSession)
     dealt = found.select("h1", "h2", "doc_id", "pos").repartitionByRange(ranges, "h1", "h2", "doc_id")
-    streamed = dealt.sortWithinPartitions("h1", "h2", F.desc("doc_id"), "pos")
-    first = streamed.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("pos"))
-    counted = first.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    # equal (key, document) are in one range, so the rows stay where they are and are sorted there
+    in_order = Window.partitionBy("h1", "h2", "doc_id").orderBy("pos")
+    streamed = dealt.withColumn("first", F.lag("pos").over(in_order).isNull())
+    # partial counts of each range, added up by key
+    counted = streamed.groupBy("h1", "h2").agg(F.count(F.when(F.col("first"), 1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
     return counted.where(F.col("n_docs") >= min_docs)
 
 
@@ -91,10 +93,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     )
     joined = docs.join(maps, (F.col("doc_id") == F.col("_doc")) & (_version(F.col("text")) == F.col("_version")), "left")
     # all words up to the last one that has a dropped line, empty ones included
-    held = F.map_from_entries("_dropped")
-    dense = F.when(
-        F.col("_n").isNotNull(),
-        F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("_dropped", -1)["word"]), lambda w: F.coalesce(F.element_at(held, w), F.lit(0).cast("long"))),
+    dense = F.flatten(
+        F.transform(
+            "_dropped",
+            lambda x, i: F.concat(
+                F.array_repeat(F.lit(0).cast("long"), (x["word"] - F.when(i == 0, F.lit(0)).otherwise(F.get("_dropped", i - 1)["word"] + 1)).cast("int")),
+                F.array(x["bits"]),
+            ),
+        )
     )
     ready = joined.withColumn("_lines", F.when(F.col("_n").isNotNull(), lines_of(F.col("text")))).withColumn("_bits", dense)
     kept = F.expr(f"array_join(filter(_lines, (x, i) -> coalesce(get(_bits, int(i div {WORD})), 0L) & shiftleft(1L, int(i % {WORD})) = 0L), '\\n')")
