@@ -82,7 +82,7 @@ def test_whitening_is_what_the_plain_computation_gives(spark, by_count):
     r = np.random.default_rng(3)
     base = r.normal(size=(60, 6)).astype(np.float32)
     rows = [(i, base[i % 40 if i % 3 else 0].tolist()) for i in range(200)]
-    rows += [(200, None), (201, []), (202, [1.0, None, 1, 1, 1, 1]), (203, [float("nan")] + [0.0] * 5), (204, [float("inf")] + [0.0] * 5), (205, [0.0] * 6), (None, [0.5] * 6), (205, [0.0] * 6)]
+    rows += [(200, None), (201, []), (202, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (203, [float("nan")] + [0.0] * 5), (204, [float("inf")] + [0.0] * 5), (205, [0.0] * 6), (None, [0.5] * 6), (205, [0.0] * 6)]
     rows += [(206, [1.0, 2.0]), (207, [1e30] + [0.0] * 5), (208, [-0.0] * 6)]
     df = spark.createDataFrame([(i, v, "clash", 1, 1) for i, v in rows], VECTORS).repartition(5)
     out = whitening.whiten(df, most=3, by_count=by_count)
