@@ -7,13 +7,13 @@ columns cost nothing: Catalyst prunes them.
 
 Joins compare terms by identity.  A variable that may be unbound (it came from an
 optional part) matches anything when unbound; such a join is either an equi-join
-on the other shared variables with a residual test, or, when there is none, split
-by which variables are bound so that every part is still an equi-join.
+on the other shared variables with a residual test, or, when there is none, one
+equi-join on the sets of variables that rows bind and their values there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from functools import reduce
 from itertools import combinations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from quadloom.functions.quad_columns import constant_object
 from quadloom.functions.terms import numeric_value, time_value
 from quadloom.model import Term
+from quadloom.session import materialize, scratch_path
 
 IDENTITY = ("kind", "dt", "lang")
 VALUES = ("num", "ts")
@@ -32,6 +33,10 @@ VALUES = ("num", "ts")
 CHUNK = 1 << 16
 
 
+# Columns that a join by signature adds to either side.
+HELPERS = [f"{side}__{part}" for side in "lr" for part in ("mask", "set", "key", "own", "other")]
+
+
 def aux(var: str, part: str) -> str:
     return f"{var}__{part}"
 
@@ -157,13 +162,7 @@ class Solutions:
                 else _product(left, right, outer=False, shares=shares)
             )
         else:
-            out = reduce(
-                Solutions.union,
-                [
-                    _join(lp, rp, both, "inner") if both else _product(lp, rp, outer=False, shares=shares)
-                    for lp, rp, both in _bound_parts(left, right, shared)
-                ],
-            ).project(*_merged_vars(left, right))
+            out = _join_by_signature(left, right, shared, shares)
         maybe = (
             (left.maybe - frozenset(right.vars))
             | (right.maybe - frozenset(left.vars))
@@ -179,7 +178,9 @@ class Solutions:
         sure = [v for v in shared if v not in left.maybe | right.maybe]
         maybe = left.maybe | (frozenset(right.vars) - frozenset(left.vars))
         if sure:
-            return replace(_join(left, right, shared, "left", condition, spread), maybe=maybe)
+            if spread > 1:
+                return replace(_optional_spread(left, right, shared, sure[0], condition, spread), maybe=maybe)
+            return replace(_join(left, right, shared, "left", condition), maybe=maybe)
         if condition is not None:
             raise ValueError("an optional part with a filter needs a shared variable that is always bound")
         if not shared:
@@ -282,10 +283,11 @@ def _drop_vars(sol: Solutions, names) -> Solutions:
     return sol._only([v for v in sol.vars if v not in names])
 
 
-def _renamed(sol: Solutions, names) -> tuple[DataFrame, Callable[[str], Column]]:
-    """The frame with the columns of shared variables moved out of the way."""
+def _renamed(sol: Solutions, names, helpers: str = "") -> tuple[DataFrame, Callable[[str], Column]]:
+    """The frame with the columns of shared variables moved out of the way; ``helpers`` begins further ones to keep."""
     moved = {c: f"r__{c}" for v in names for c in sol.columns_of(v)}
-    df = sol.df.select(*[F.col(c).alias(moved.get(c, c)) for c in sol._all_columns()])
+    more = [c for c in sol.df.columns if c in HELPERS] if helpers else []
+    df = sol.df.select(*[F.col(c).alias(moved.get(c, c)) for c in sol._all_columns()], *more)
     return df, lambda c: F.col(moved.get(c, c))
 
 
@@ -300,7 +302,7 @@ def _spread(ldf: DataFrame, rdf: DataFrame, key: str, rkey: str, spread: int, ho
     """Split the rows of hot keys over ``spread`` shares; copy the other side's rows of the key to each.
 
     Keys that are hot on the left are split there, in inner joins also those that are hot on
-    the right; a left join can't copy a left row to shares without matches.  Shares come from a
+    the right (a left join sees none of those, see ``_optional_spread``).  Shares come from a
     hash of the row and its number among alike ones, so a task that runs again makes the same ones.
     """
     hots = [(_hot(ldf, key, spread, "hot_left__"), "hot_left__", "l__share", "r__share")]
@@ -322,11 +324,41 @@ def _spread(ldf: DataFrame, rdf: DataFrame, key: str, rkey: str, spread: int, ho
     return ldf, rdf
 
 
+def _optional_spread(left: Solutions, right: Solutions, shared, key: str, condition: Column | None, spread: int) -> Solutions:
+    """Left join whose hot keys are split on both sides.
+
+    Rows whose key is hot on the right are joined apart, as an inner join with shares of both
+    sides; those of them that found nothing are told by a row number, which is written once,
+    and come back without the optional part.
+    """
+    hot = _hot(right.df.select(F.col(key).alias("k__")), "k__", spread, "hot__flag")
+    ldf = left.df.select(*left._all_columns()).join(hot, F.col(key) == F.col("hot__"), "left").drop("hot__")
+    numbered = ldf.withColumn("row__", F.monotonically_increasing_id())
+    held = materialize(numbered, scratch_path(ldf.sparkSession, "optional"))
+    flag = F.col("hot__flag").isNotNull()
+    cold = replace(left, df=held.where(~flag))
+    rest = _join(cold, right, shared, "left", condition, spread)
+    hot_rows = held.where(flag)
+    numbered_left = replace(left, df=hot_rows, vars=(*left.vars, "row__"))
+    found = _join(numbered_left, right, shared, "inner", condition, spread)
+    none = hot_rows.join(found.df.select(F.col("row__").alias("found__")).distinct(), F.col("row__") == F.col("found__"), "left_anti")
+    alone = Solutions(none.select(*left._all_columns()), left.vars, left.terms, left.maybe)
+    merged = _merged_vars(left, right)
+    return rest.union(found.project(*merged)).union(alone).project(*merged)
+
+
 def _join(
-    left: Solutions, right: Solutions, shared, how: str, condition: Column | None = None, spread: int = 1
+    left: Solutions,
+    right: Solutions,
+    shared,
+    how: str,
+    condition: Column | None = None,
+    spread: int = 1,
+    keep: tuple[str, str] | None = None,
 ) -> Solutions:
-    rdf, rcol = _renamed(right, shared)
-    ldf = left.df.select(*left._all_columns())
+    """``keep`` names the prefixes of further columns of each side that the condition needs."""
+    rdf, rcol = _renamed(right, shared, "" if keep is None else f"{keep[1]}__")
+    ldf = left.df if keep is not None else left.df.select(*left._all_columns())
     cond = None
     if spread > 1:
         # the share belongs to a key that is always bound
@@ -382,16 +414,51 @@ def _by_bound(sol: Solutions, shared):
             yield closed + list(bound), replace(part, maybe=sol.maybe - frozenset(bound))
 
 
-def _bound_parts(left: Solutions, right: Solutions, shared):
-    """Pairs of parts with the shared variables both of them bind."""
-    rights = list(_by_bound(right, shared))
-    for l_bound, lp in _by_bound(left, shared):
-        for r_bound, rp in rights:
-            both = [v for v in shared if v in l_bound and v in r_bound]
-            l_part = _drop_vars(lp, [v for v in shared if v not in l_bound])
-            r_part = _drop_vars(rp, [v for v in shared if v not in r_bound])
-            # a variable bound on one side only keeps that side's value
-            yield l_part, r_part, both
+def _mask(prefix: Callable[[str], Column], shared) -> Column:
+    """Which of the shared variables are bound, as bits."""
+    bits = [F.when(prefix(v).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, v in enumerate(shared)]
+    return reduce(lambda a, b: a + b, bits)
+
+
+def _join_by_signature(left: Solutions, right: Solutions, shared, shares: int | None) -> Solutions:
+    """Inner join where every shared variable may be unbound: one equi-join, however many there are.
+
+    A row is copied to the sets of variables that it can be compared on, the subsets of those
+    it binds, and joins on the set and a hash of its values there.  Of all sets that two rows
+    have in common only the largest, what both bind, gives their solution.  Rows that bind
+    nothing in common are combined by shares, those of one set of bound variables with those
+    of a disjoint one.
+    """
+    masks = range(1 << len(shared))
+    sides = []
+    for sol, name in ((left, "l"), (right, "r")):
+        bound = _mask(F.col, shared)
+        df = sol.df.select(*sol._all_columns(), bound.alias(f"{name}__mask"))
+        held = []
+        for i, v in enumerate(shared):
+            # alike columns on both sides: a variable of terms on one side is widened on the other
+            values = [F.coalesce(F.col(c), F.lit("")) for c in sol.identity_of(v)]
+            held.append(F.when(F.col(f"{name}__set").bitwiseAND(1 << i) != 0, F.xxhash64(F.lit(i), *values)))
+        sets = F.expr(f"filter(array({', '.join(str(m) for m in masks if m)}), m -> m & {name}__mask = m)")
+        keyed = df.withColumn(f"{name}__set", F.explode(sets))
+        sides.append((df, keyed.withColumn(f"{name}__key", F.xxhash64(F.col(f"{name}__set"), *held))))
+    (ldf, lkeyed), (rdf, rkeyed) = sides
+    largest = F.col("l__set") == F.col("l__mask").bitwiseAND(F.col("r__mask"))
+    extra = (F.col("l__key") == F.col("r__key")) & (F.col("l__set") == F.col("r__set")) & largest
+    joined = _join(replace(left, df=lkeyed), replace(right, df=rkeyed), shared, "inner", extra, keep=("l", "r"))
+
+    # nothing in common: a row meets the sets of bound variables that are disjoint with its own
+    def apart(df: DataFrame, own: str, other: str) -> DataFrame:
+        bound = F.col(f"{own}__mask")
+        disjoint = F.filter(F.array(*[F.lit(m) for m in masks]), lambda m: m.bitwiseAND(bound) == 0)
+        return df.withColumn(f"{own}__other", F.explode(disjoint)).withColumnRenamed(f"{own}__mask", f"{own}__own")
+
+    same = (F.col("l__own") == F.col("r__other")) & (F.col("l__other") == F.col("r__own"))
+    loose = _product(
+        replace(left, df=apart(ldf, "l", "r")), replace(right, df=apart(rdf, "r", "l")), outer=False, shares=shares,
+        same=same, keep=True, shared=shared,
+    )
+    return joined.union(loose).project(*_merged_vars(left, right))
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -418,15 +485,26 @@ def _size(df: DataFrame) -> float:
     return float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _product(left: Solutions, right: Solutions, outer: bool, shares: int | None = None) -> Solutions:
+def _product(
+    left: Solutions,
+    right: Solutions,
+    outer: bool,
+    shares: int | None = None,
+    same: Column | None = None,
+    keep: bool = False,
+    shared: Iterable[str] = (),
+) -> Solutions:
     """All combinations of unrelated solutions, whatever their number.
 
+    ``same`` is a condition on helper columns, which ``keep`` keeps until then; of ``shared``
+    variables at most one side binds each.
+
     Both sides are dealt out to shares, and copied to every share of the other side, so this
     is an equi-join on pairs of shares: ``shares`` of them (the shuffle partitions by default).
     How many belong to which side follows Catalyst's sizes, so that few rows are copied.
     """
-    ldf = left.df.select(*left._all_columns())
-    rdf = right.df.select(*right._all_columns())
+    ldf = left.df if keep else left.df.select(*left._all_columns())
+    rdf, rcol = _renamed(right, shared, "r__" if keep else "")
     if outer:
         # one row of nulls stands for a right side without rows
         none = rdf.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rdf.schema])
@@ -437,10 +515,14 @@ def _product(left: Solutions, right: Solutions, outer: bool, shares: int | None
     of_right = -(-shares // of_left)
     ldf = _dealt(ldf, "l__left", of_left).withColumn("l__right", F.explode(F.sequence(F.lit(0), F.lit(of_right - 1))))
     rdf = _dealt(rdf, "r__right", of_right).withColumn("r__left", F.explode(F.sequence(F.lit(0), F.lit(of_left - 1))))
-    same = (F.col("l__left") == F.col("r__left")) & (F.col("l__right") == F.col("r__right"))
-    joined = ldf.join(rdf, same).drop("l__left", "l__right", "r__left", "r__right")
+    cell = (F.col("l__left") == F.col("r__left")) & (F.col("l__right") == F.col("r__right"))
+    joined = ldf.join(rdf, cell if same is None else cell & same)
+    out = []
+    for v in _merged_vars(left, right):
+        cols = left.columns_of(v) if v in left.vars else right.columns_of(v)
+        out += [F.when(F.col(v).isNotNull(), F.col(c)).otherwise(rcol(c)).alias(c) if v in shared else F.col(c) for c in cols]
     return Solutions(
-        joined,
+        joined.select(*out),
         tuple(_merged_vars(left, right)),
         left.terms | right.terms,
         left.maybe | right.maybe,

@@ -14,7 +14,7 @@ from quadloom.operators.patterns import (
 )
 from quadloom.operators.solutions import Solutions
 from quadloom.operators.updates import distinct_quads
-from quadloom.plans.mapping import G, P, quads, table
+from quadloom.plans.mapping import CLASS, G, P, quads, table
 from quadloom.plans.registry import query, time_text
 
 
@@ -391,3 +391,42 @@ def filter_ne_mixed(spark, sf_dir):
     """An IRI differs from any number, so it passes the test."""
     sol = pattern(quads(spark, sf_dir), "?part", paths.alt(P + "size", "a"), "?v", graph=G + "part")
     return sol.filter(not_equals("v", 15)).select("part", "v")
+
+
+@query("""
+select p.p_partkey as part, v.label as label from part p join
+(values (1, 'PROMO', 'Brand#12', null), (2, null, null, 10), (3, 'SMALL', null, 20), (4, null, 'Brand#34', 30), (5, null, null, null)) v(label, kind, brand, size)
+on (v.kind is null or p.p_retailprice <= 1000 or v.kind = p.p_type) and (v.brand is null or p.p_size <= 20 or v.brand = p.p_brand)
+and (v.size is null or p.p_partkey % 2 = 0 or v.size = p.p_size)
+""")
+def optional_three_open_joined(spark, sf_dir):
+    """Three variables that either side may leave unbound: one join by what both bind, one for rows with nothing in common."""
+    q = quads(spark, sf_dir)
+    g = G + "part"
+    base = pattern(q, "?part", P + "name", "?name", graph=g).project("part")
+    dear = bgp(q, [("?part", P + "price", "?price"), ("?part", V.RDF_TYPE, "?kind")], graph=g).filter(num("price") > 1000)
+    large = bgp(q, [("?part", P + "size", "?s"), ("?part", P + "brand", "?brand")], graph=g).filter(num("s") > 20)
+    odd = pattern(q, "?part", P + "size", "?size", graph=g).filter(F.regexp_extract("part", "([0-9]+)$", 1).cast("long") % 2 == 1)
+    parts = base.optional(dear.project("part", "kind")).optional(large.project("part", "brand")).optional(odd)
+    rows = [
+        [lit(1), CLASS + "PROMO", lit("Brand#12"), None], [lit(2), None, None, lit(10)], [lit(3), CLASS + "SMALL", None, lit(20)],
+        [lit(4), None, lit("Brand#34"), lit(30)], [lit(5), None, None, None],
+    ]
+    wanted = values(spark, ["label", "kind", "brand", "size"], rows)
+    found = parts.join(wanted)
+    return found.df.select(F.regexp_extract("part", "([0-9]+)$", 1).cast("long").alias("part"), F.col("label").cast("int").alias("label"))
+
+
+@query("""
+select 'urn:customer:' || c_custkey as c, o.o as o from customer
+left join (select o_custkey % 3 as k, 'urn:order:' || o_orderkey as o from orders where o_custkey % 3 = 1 and o_totalprice > 100000
+union all select 50, 'urn:order:' || o_orderkey from orders where o_orderkey % 100 = 0) o on o.k = c_custkey and c_acctbal > 0
+""")
+def optional_hot_right(spark, sf_dir):
+    """An optional part where nearly all rows have one key: customers keep their row where the filter leaves them nothing."""
+    orders = table(spark, sf_dir, "orders")
+    first = orders.where("o_custkey % 3 = 1 and o_totalprice > 100000").select(F.lit("urn:customer:1").alias("c"), F.concat(F.lit("urn:order:"), "o_orderkey").alias("o"))
+    second = orders.where("o_orderkey % 100 = 0").select(F.lit("urn:customer:50"), F.concat(F.lit("urn:order:"), "o_orderkey"))
+    part = Solutions(first.union(second), ("c", "o"))
+    customers = pattern(quads(spark, sf_dir), "?c", P + "acctbal", "?b", graph=G + "customer")
+    return customers.optional(part, num("b") > 0, spread=16).select("c", "o")

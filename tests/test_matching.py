@@ -336,3 +336,53 @@ def test_bind_keeps_language(spark):
     assert (row["up"], row["up__lang"], row["twice__num"], row["k"]) == ("LING", "zh", 8.0, "c")
     with pytest.raises(ValueError):
         sol.bind("up", F.lit("x"))
+
+
+def _plain_join(left, right, shared, others):
+    """Compatible rows, by hand."""
+    out = []
+    for a in left:
+        for b in right:
+            if all(a[v] is None or b[v] is None or a[v] == b[v] for v in shared):
+                out.append(tuple(a[v] if a[v] is not None else b[v] for v in shared) + (a[others[0]], b[others[1]]))
+    return sorted(out, key=str)
+
+
+def test_join_on_any_number_of_open_variables(spark):
+    """All ways to leave variables unbound on both sides, repeated rows included."""
+    r = random.Random(11)
+    for names in (["x"], ["x", "y"], ["x", "y", "z", "w"]):
+        sides = []
+        for tag in "lr":
+            rows_ = [{**{n: r.choice([None, "urn:1", "urn:2"]) for n in names}, tag: f"urn:{tag}{i % 9}"} for i in range(14)]
+            df = spark.createDataFrame([tuple(x.values()) for x in rows_], ", ".join(f"{n} string" for n in [*names, tag]))
+            sides.append((rows_, Solutions(df, (*names, tag), maybe=frozenset(names))))
+        (lrows, left), (rrows, right) = sides
+        got = left.join(right, shares=4)
+        assert sorted(map(tuple, got.select(*names, "l", "r").collect()), key=str) == _plain_join(lrows, rrows, names, "lr")
+        plan = got.df._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("Join " in line for line in plan.splitlines()) == 2
+
+
+def test_open_variables_of_terms(spark):
+    """Literals join by datatype and language, not by their text alone."""
+    left = values(spark, ["a", "b", "l"], [[lit("1"), None, lit("p")], [lit(1), "urn:x", lit("q")], [None, None, lit("s")]])
+    right = values(spark, ["a", "b", "m"], [[lit(1), None, lit("t")], [None, "urn:x", lit("u")], [lit("1", lang="en"), "urn:y", lit("v")]])
+    got = {(r["l"], r["m"], r["a"], r["b"]) for r in left.join(right).select("l", "m", "a", "b").collect()}
+    assert got == {("p", "u", "1", "urn:x"), ("q", "t", "1", "urn:x"), ("q", "u", "1", "urn:x"), ("s", "t", "1", None), ("s", "u", None, "urn:x"), ("s", "v", "1", "urn:y")}
+
+
+def test_optional_with_hot_keys_on_both_sides(spark):
+    r = random.Random(5)
+    lrows = [("urn:hot" if i % 3 == 0 else "urn:left" if i % 3 == 1 else f"urn:k{i}", f"urn:l{i % 50}", i % 7) for i in range(240)]
+    rrows = [("urn:hot" if i % 2 else f"urn:k{r.randrange(240)}", f"urn:r{i % 40}", i % 5) for i in range(200)]
+    ldf = spark.createDataFrame(lrows, "k string, l string, n long")
+    rdf = spark.createDataFrame(rrows, "k string, r string, m long")
+    left, right = Solutions(ldf, ("k", "l", "n")), Solutions(rdf, ("k", "r", "m"))
+    for condition, holds in ((None, lambda n, m: True), (F.col("n") < F.col("m"), lambda n, m: n < m)):
+        want = []
+        for k, l, n in lrows:
+            found = [(k, l, x) for k2, x, m in rrows if k == k2 and holds(n, m)]
+            want += found or [(k, l, None)]
+        got = left.optional(right, condition, spread=8).select("k", "l", "r")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
