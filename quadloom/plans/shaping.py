@@ -9,6 +9,7 @@ from quadloom import vocab as V
 from quadloom.operators import aggregates as A
 from quadloom.operators import forms
 from quadloom.operators.patterns import bgp, num, pattern
+from quadloom.operators.exact_sums import exact_sums
 from quadloom.operators.solutions import Solutions
 from quadloom.plans.mapping import CLASS, G, P, quads, table
 from quadloom.plans.registry import plain, quads_sql, query, time_text
@@ -253,3 +254,40 @@ def group_sum_exact(spark, sf_dir):
         F.col("units.o").alias("units"), F.col("units.o_dt").alias("units_type"),
         F.col("least.o").alias("cheapest"), F.col("most.o").alias("dearest"),
     )
+
+
+@query("""
+with x as (
+  select l_returnflag as flag, cast(l_orderkey as hugeint) * cast('100000000000000000000000000000' as hugeint) + l_partkey as low,
+         cast(l_extendedprice as decimal(18, 2)) as price, case when l_linenumber % 2 = 0 then -1 else 1 end as sign
+  from lineitem)
+select flag, count(*) as n, (sum(sign * low))::varchar as total, 'http://www.w3.org/2001/XMLSchema#integer' as total_type,
+       sum(sign * price)::varchar as price
+from x group by flag
+""")
+def group_sum_limbs(spark, sf_dir):
+    """Integers of 35 digits behind zeros, positive and negative ones, and decimals add up exactly."""
+    lines = table(spark, sf_dir, "lineitem")
+    sign = F.when(F.col("l_linenumber") % 2 == 0, "-").otherwise("")
+    low = F.lpad(F.col("l_partkey").cast("string"), 29, "0")
+    numbers = lines.select(
+        F.col("l_returnflag").alias("flag"),
+        # zeros in front change nothing
+        F.concat(sign, F.lit("0" * 20), F.col("l_orderkey").cast("string"), low).alias("long"),
+        F.concat(sign, F.col("l_extendedprice").cast("decimal(18,2)").cast("string")).alias("price"),
+    )
+    sol = Solutions(numbers, ("flag",)).bind("x", F.col("long"), V.XSD_INTEGER).bind("p", F.col("price"), V.XSD_DECIMAL)
+    longs = exact_sums(sol, ["flag"], "x").select("flag", "n", F.col("sum").alias("total"), F.col("sum_dt").alias("total_type"))
+    prices = exact_sums(sol, ["flag"], "p").select(F.col("flag").alias("_flag"), F.col("sum").try_cast("decimal(38,2)").cast("string").alias("price"))
+    return longs.join(prices, F.col("flag") == F.col("_flag")).drop("_flag")
+
+
+@query("""
+select l_returnflag as flag, trunc((sum(l_quantity)::hugeint * 1000000)::decimal(38, 0) / count(*)) / 1000000 as mean from lineitem group by l_returnflag
+""")
+def group_avg_exact(spark, sf_dir):
+    """Averages from exact sums, compared to six places."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_quantity").cast("long").cast("string").alias("q"))
+    sol = Solutions(lines, ("flag",)).bind("x", F.col("q"), V.XSD_INTEGER)
+    six = F.regexp_extract("avg", r"^-?[0-9]+(\.[0-9]{1,6})?", 0)
+    return exact_sums(sol, ["flag"], "x").select("flag", six.cast("double").alias("mean"))

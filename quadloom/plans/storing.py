@@ -230,3 +230,29 @@ def bulk_load(spark, sf_dir):
     sinks.write_parquet(quads(spark, sf_dir).stacked(), path)
     schema = "g string, s string, o string, o_kind string, p string"
     return count_per_graph(spark.read.schema(schema).parquet(path))
+
+
+@query("""
+select 'urn:customer:' || c_custkey as s, 'urn:p:name' as p, c_name as o from customer
+union all select 'urn:customer:' || c_custkey, 'urn:p:note', 'a "quoted" {brace} of ' || c_mktsegment || ', \\ and }' from customer
+union all select 'urn:customer:' || c_custkey, 'urn:p:inNation', 'urn:nation:' || c_nationkey from customer
+""")
+def read_rdfjson_large(spark, sf_dir):
+    """One RDF/JSON file with all customers, cut at its subjects by many tasks; strings with braces, quotes and backslashes."""
+    customers = table(spark, sf_dir, "customer")
+
+    def values(value, kind):
+        return F.array(F.struct(value.alias("value"), F.lit(kind).alias("type")))
+
+    note = F.concat(F.lit('a "quoted" {brace} of '), "c_mktsegment", F.lit(", \\ and }"))
+    predicates = F.create_map(
+        F.lit(P + "name"), values(F.col("c_name"), "literal"),
+        F.lit(P + "note"), values(note, "literal"),
+        F.lit(P + "inNation"), values(F.concat(F.lit("urn:nation:"), F.col("c_nationkey").cast("string")), "uri"),
+    )
+    member = F.concat(F.lit('"urn:customer:'), F.col("c_custkey").cast("string"), F.lit('" : '), F.to_json(predicates), F.lit(" ,"))
+    ends = spark.createDataFrame([(-1, "{"), (2**62, '"urn:nobody": {}\n}')], "n long, value string")
+    lines = customers.select(F.col("c_custkey").alias("n"), member.alias("value")).union(ends)
+    path = scratch_path(spark, "rdfjson")
+    lines.coalesce(1).sortWithinPartitions("n").select("value").write.text(path)
+    return readers.load(spark, path, "rdfjson").select("s", "p", "o")

@@ -16,6 +16,7 @@ from quadloom.functions import terms as T
 from quadloom.functions.quad_columns import normalize
 from quadloom.model import QUAD_COLUMNS
 from quadloom.operators.updates import in_contexts
+from quadloom.sources.json_subjects import subjects
 
 # Format names; quad formats carry their own graph.
 TRIPLE_FORMATS = ("ntriples", "rdfjson")
@@ -59,7 +60,9 @@ def load(
 
     Triples go to the given contexts (several make copies), or the default graph;
     for quad formats the contexts are ignored.  ``mode`` says what malformed lines
-    and literals do: fail the job, or be left out (see ``malformed``).
+    and literals do: fail the job, or be left out (see ``malformed``).  RDF/JSON is one
+    object per file, read in byte ranges and cut at its subjects, or with
+    ``multiline=False`` one object per line.
     """
     fmt = check_format(fmt)
     raw = _raw(spark, path, fmt, multiline)
@@ -85,7 +88,10 @@ def _raw(spark: SparkSession, path, fmt: str, multiline: bool) -> DataFrame:
     # blank-node labels are local to their file
     scope = F.sha1(F.input_file_name()).alias("scope")
     if fmt == "rdfjson":
-        lines = spark.read.text(path, wholetext=multiline).select(F.col("value").alias("line"), scope)
+        if multiline:
+            lines = subjects(spark, path).select("line", F.sha1("file").alias("scope"))
+        else:
+            lines = spark.read.text(path).select(F.col("value").alias("line"), scope)
         return parse_rdfjson(lines)
     lines = spark.read.text(path).select(F.col("value").alias("line"), scope)
     return parse_lines(lines, with_graph=fmt in QUAD_FORMATS)
@@ -159,7 +165,10 @@ def parse_rdfjson(docs: DataFrame) -> DataFrame:
     by_subject = parsed.select(
         "line", "scope", F.col("j").isNull().alias("bad"), F.explode_outer("j").alias("s", "ps")
     )
+    # a subject without predicates, or a predicate without values, says nothing
+    by_subject = by_subject.where(F.coalesce(F.size("ps") != 0, F.lit(True)))
     by_predicate = by_subject.select("line", "scope", "bad", "s", F.explode_outer("ps").alias("p", "os"))
+    by_predicate = by_predicate.where(F.coalesce(F.size("os") != 0, F.lit(True)))
     rows = by_predicate.select("line", "scope", "bad", "s", "p", F.inline_outer("os"))
     df = rows.select(
         "line",
