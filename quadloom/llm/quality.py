@@ -10,7 +10,7 @@ Learnt from: at most ``LABELLED`` labelled and ``POOL`` unlabelled documents, no
 of them held out, chosen by a hash of doc_id.  All texts are scored whole.  Nulls
 count as an empty text, an unknown language or source, and no length; missing
 metadata columns as null.  Without labels of both kinds all scores are 1.
-Repeated rows get the same score.
+Repeated rows get the same score; one row of each doc_id is learnt from.
 """
 
 from __future__ import annotations
@@ -182,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             return {"doc_id": column(batch, "doc_id"), "quality": column(batch, "quality"), "x": flat}
 
         rows = given.join(chosen, "doc_id").select(*given.columns, "quality").mapInArrow(by_batch(work), "doc_id long, quality int, x array<float>")
-        got = rows.dropDuplicates().orderBy("doc_id", "x").toArrow()  # bounded by the sample
+        # one row per document, however many rows have its id: bounded by the sample
+        got = rows.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).orderBy("doc_id").toArrow()
         x = np.array(got["x"].to_pylist(), np.float32).reshape(got.num_rows, TEXT_FEATURES + METADATA_FEATURES)
         return [x[:, :TEXT_FEATURES], x[:, TEXT_FEATURES:]], np.array(got["quality"].to_pylist(), float)
 

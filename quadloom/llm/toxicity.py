@@ -10,7 +10,7 @@ Learnt from: at most ``POSITIVES`` toxic, ``UNLABELLED`` unlabelled and
 ``CHECKED`` labelled documents, none of them held out, chosen by a hash of
 doc_id.  Of a document only its whole text counts.  Null and empty texts get the
 score of a text without any known word.  Without toxic examples all scores are 0.
-Repeated rows get the same score; other columns are left out.
+Repeated rows get the same score; one row of each doc_id is learnt from; other columns are left out.
 """
 
 from __future__ import annotations
@@ -131,8 +131,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             return {"doc_id": column(batch, "doc_id"), "toxic": column(batch, "toxic"), "f": pa.array([x.tobytes() for x in found], pa.binary())}
 
         rows = given.join(chosen, "doc_id").select("doc_id", "text", "toxic").mapInArrow(by_batch(work), "doc_id long, toxic int, f binary")
-        got = rows.toArrow()  # bounded by the sample
-        once = dict.fromkeys(sorted(zip(got["doc_id"].to_pylist(), got["f"].to_pylist(), got["toxic"].to_pylist())))
+        # one row per document, however many rows have its id: bounded by the sample
+        got = rows.groupBy("doc_id", "toxic").agg(F.min("f").alias("f")).toArrow()
+        once = sorted(zip(got["doc_id"].to_pylist(), got["f"].to_pylist(), got["toxic"].to_pylist()))
         return [np.frombuffer(f, np.int32) for _, f, _ in once], np.array([y for _, _, y in once], float)
 
     positive, _ = drawn(sample(known.where("toxic = 1").join(ids, "doc_id"), POSITIVES))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quadloom.llm import blocks, lines, phrases, repeats, whitening
+from quadloom.llm import blocks, lines, phrases, quality, repeats, toxicity, whitening
 from quadloom.llm.queries import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -332,3 +332,27 @@ def test_bitmaps_of_a_very_long_document(spark):
     assert [got[k]["n_dropped"] for k in range(3)] == [400, 400, 0]
     assert got[0]["text"] == "\n".join(x for x in rows[0][1].split("\n") if not x.startswith("a shared"))
     assert got[2]["text"] == rows[2][1]
+
+
+# -- classifiers: what they gather ---------------------------------------------------------
+
+
+def test_classifiers_gather_one_row_per_document(spark, monkeypatch):
+    """A doc_id on very many rows weighs no more than another one."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    first = labels.where("toxic = 1").select("doc_id").first()["doc_id"]
+    many = docs.limit(1).select(F.lit(first).alias("doc_id"), F.explode(F.sequence(F.lit(1), F.lit(3000))).alias("k"), "lang", "source", "n_chars")
+    crowded = docs.unionByName(many.select("doc_id", F.concat(F.lit("text number "), F.col("k").cast("string")).alias("text"), "lang", "source", "n_chars"))
+    gathered, gather = [], type(docs).toArrow
+
+    def counted(df):
+        table = gather(df)
+        gathered.append(table.num_rows)
+        return table
+
+    monkeypatch.setattr(type(docs), "toArrow", counted)
+    quality.train(crowded, labels)
+    toxicity.train(crowded, labels)
+    ids = docs.select("doc_id").distinct().count()
+    assert len(gathered) == 5 and max(gathered) <= ids
