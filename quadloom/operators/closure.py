@@ -70,35 +70,72 @@ def transitive_closure(edges: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 HOPS = 4
 
 
+class _Walk:
+    """What some seeds reach, a few edges further with every round; each pair is stored once."""
+
+    def __init__(self, edges: DataFrame, seeds: DataFrame, root: str):
+        self.edges, self.root, self.found = edges, root, []
+        start = seeds.select("x").distinct()
+        self.frontier = start.select("x", F.col("x").alias("y"))
+        self.spark = edges.sparkSession
+
+    def step(self) -> None:
+        """Follow ``HOPS`` edges; only pairs first met at the last one go on from there."""
+        hops, at = [], self.frontier
+        for n in range(1, HOPS + 1):
+            at = _compose(at, self.edges, ())
+            hops.append(at.withColumn("hop", F.lit(n)))
+        new = reduce(DataFrame.union, hops).groupBy("x", "y").agg(F.min("hop").alias("hop"))
+        if self.found:
+            new = _without(new, self.pairs(), ())
+        path = f"{self.root}/round-{len(self.found)}"
+        self.frontier = materialize(new, path).where(F.col("hop") == HOPS).select("x", "y")
+        self.found.append(path)
+
+    def pairs(self) -> DataFrame:
+        return self.spark.read.schema(PAIRS).parquet(*self.found)
+
+
 def reachable(edges: DataFrame, seeds: DataFrame, copied: bool = True) -> DataFrame:
     """Distinct pairs (x, y): ``y`` is one or more edges away from the seed ``x``.
 
-    ``seeds`` has a column ``x``.  Only what the seeds reach is computed.  A round
-    follows ``HOPS`` edges; only pairs first met at its last hop go on from there.
-    The edges are read at every hop: ``copied`` says whether they are written once
-    before (right when they come from joins) or read where they are.
+    ``seeds`` has a column ``x``.  Only what the seeds reach is computed, in rounds of
+    ``HOPS`` edges.  The edges are read at every hop: ``copied`` says whether they are
+    written once before (right when they come from joins) or read where they are.
     """
-    spark = edges.sparkSession
-    root = scratch_path(spark, "reach")
+    root = scratch_path(edges.sparkSession, "reach")
     edges = edges.select("x", "y")
-    if copied:
-        edges = materialize(edges, f"{root}/edges")
-    start = seeds.select("x").distinct()
-    frontier = start.select("x", F.col("x").alias("y"))
-    found: list[str] = []
+    walk = _Walk(materialize(edges, f"{root}/edges") if copied else edges, seeds, root)
     while True:
-        hops, at = [], frontier
-        for n in range(1, HOPS + 1):
-            at = _compose(at, edges, ())
-            hops.append(at.withColumn("hop", F.lit(n)))
-        new = reduce(DataFrame.union, hops).groupBy("x", "y").agg(F.min("hop").alias("hop"))
-        if found:
-            new = _without(new, spark.read.schema(PAIRS).parquet(*found), ())
-        path = f"{root}/round-{len(found)}"
-        frontier = materialize(new, path).where(F.col("hop") == HOPS).select("x", "y")
-        found.append(path)
-        if frontier.isEmpty():
-            return spark.read.schema(PAIRS).parquet(*found)
+        walk.step()
+        if walk.frontier.isEmpty():
+            return walk.pairs()
+
+
+def between(edges: DataFrame, starts: DataFrame, ends: DataFrame, copied: bool = True) -> DataFrame:
+    """Distinct pairs (x, y) of a start and an end (columns ``x``) that is one or more edges away.
+
+    Two walks, one along the edges from the starts and one against them from the ends; the
+    one whose frontier has fewer pairs goes on.  The first that has nowhere to go knows all
+    pairs, so the work follows the side that reaches less, whichever that is.
+    """
+    root = scratch_path(edges.sparkSession, "between")
+    edges = edges.select("x", "y")
+    edges = materialize(edges, f"{root}/edges") if copied else edges
+    starts, ends = (materialize(side.select("x").distinct(), f"{root}/{name}") for side, name in ((starts, "starts"), (ends, "ends")))
+    against = edges.select(F.col("y").alias("x"), F.col("x").alias("y"))
+    walks = [_Walk(edges, starts, f"{root}/from"), _Walk(against, ends, f"{root}/to")]
+    sizes = [walk.frontier.count() for walk in walks]
+    while all(sizes):
+        side = 0 if sizes[0] <= sizes[1] else 1
+        walks[side].step()
+        sizes[side] = walks[side].frontier.count()
+    forward = sizes[0] == 0
+    walk, others = (walks[0], ends) if forward else (walks[1], starts)
+    if not walk.found:
+        return starts.select("x", F.col("x").alias("y")).limit(0)
+    pairs = walk.pairs().join(others.select(F.col("x").alias("y")), "y", "left_semi")
+    return pairs.select("x", "y") if forward else pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))
 
 
 def with_identity(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quadloom import vocab as V
 from quadloom.functions.terms import numeric_value, time_value
 from quadloom.model import Term, as_term, with_base
-from quadloom.operators.closure import reachable, transitive_closure, with_identity
+from quadloom.operators.closure import between, reachable, transitive_closure, with_identity
 from quadloom.operators.scan import Quads, match
 
 PARTS = ("", "_kind", "_dt", "_lang", "_num", "_ts")
@@ -127,6 +127,13 @@ def walks(path) -> bool:
     return isinstance(path, Repeat) and path.many
 
 
+def walks_back(path) -> bool:
+    """Does the path end by repeating a step any number of times?"""
+    if isinstance(path, Sequence):
+        return walks_back(path.second)
+    return isinstance(path, Repeat) and path.many
+
+
 def _plain(path: Path) -> bool:
     """Is a step of the path read from the quads without a join?"""
     if isinstance(path, Alternative):
@@ -184,11 +191,13 @@ def evaluate(
     end: Term | None = None,
     merge: bool = True,
     seeds: DataFrame | None = None,
+    ends: DataFrame | None = None,
 ) -> DataFrame:
     """All pairs of the path, or those with a fixed start and/or end.
 
     ``seeds`` are keys ``x`` of the starts that matter, if the path walks from its
-    start; other pairs may be left out then.
+    start, and ``ends`` those of the ends, if it walks to its end; other pairs may be
+    left out then.
     """
     if isinstance(path, (Link, NotIn)):
         p = path.predicate if isinstance(path, Link) else None
@@ -202,14 +211,14 @@ def evaluate(
         return _swapped(evaluate(q, path.path, graphs, end, start, merge))
     if isinstance(path, Sequence):
         first = evaluate(q, path.first, graphs, start, None, merge, seeds)
-        second = evaluate(q, path.second, graphs, None, end, merge)
+        second = evaluate(q, path.second, graphs, None, end, merge, ends=ends)
         literal = _literal_ends(path.first)[1] and _literal_ends(path.second)[0]
         return _chained(first, second, literal)
     if isinstance(path, Alternative):
         return evaluate(q, path.first, graphs, start, end, merge).union(
             evaluate(q, path.second, graphs, start, end, merge)
         )
-    return _repeated(q, path, graphs, start, end, seeds)
+    return _repeated(q, path, graphs, start, end, seeds, ends)
 
 
 def _chained(first: DataFrame, second: DataFrame, literal: bool) -> DataFrame:
@@ -231,7 +240,9 @@ def _chained(first: DataFrame, second: DataFrame, literal: bool) -> DataFrame:
     return left.join(right, cond).select(*["x" + p for p in PARTS], *["y" + p for p in PARTS])
 
 
-def _repeated(q: Quads, path: Repeat, graphs, start, end, seeds: DataFrame | None = None) -> DataFrame:
+def _repeated(
+    q: Quads, path: Repeat, graphs, start, end, seeds: DataFrame | None = None, ends: DataFrame | None = None
+) -> DataFrame:
     spark = match(q)[0].sparkSession
     copied = not _plain(path.path)
     if not path.many:
@@ -247,8 +258,13 @@ def _repeated(q: Quads, path: Repeat, graphs, start, end, seeds: DataFrame | Non
             pairs = pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))
         elif end is not None:
             pairs = pairs.where(F.col("y") == _constant_key(end))
+    elif seeds is not None and ends is not None:
+        pairs = between(_keys(evaluate(q, path.path, graphs, merge=False)), seeds, ends, copied)
     elif seeds is not None:
         pairs = reachable(_keys(evaluate(q, path.path, graphs, merge=False)), seeds, copied)
+    elif ends is not None:
+        step = _keys(evaluate(q, path.path, graphs, merge=False)).select(F.col("y").alias("x"), F.col("x").alias("y"))
+        pairs = reachable(step, ends, copied).select(F.col("y").alias("x"), F.col("x").alias("y"))
     else:
         pairs = transitive_closure(_keys(evaluate(q, path.path, graphs, merge=False)))
     if path.zero:

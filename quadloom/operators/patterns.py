@@ -33,6 +33,7 @@ def pattern(
     merge: bool = True,
     base: str | None = None,
     seeds: DataFrame | None = None,
+    ends: DataFrame | None = None,
 ) -> Solutions:
     """Solutions of one triple pattern.
 
@@ -46,8 +47,8 @@ def pattern(
     no triple repeats, or drops duplicate solutions later anyway.
 
     Relative IRIs are resolved against ``base``; an IRI that was resolved against
-    another base before stays as it is.  ``seeds`` (a column ``x`` of term keys)
-    limits where a repeated path starts from.
+    another base before stays as it is.  ``seeds`` and ``ends`` (a column ``x`` of term
+    keys) limit where a repeated path starts from and where it ends.
     """
     if p == "a":
         p = V.RDF_TYPE
@@ -57,7 +58,7 @@ def pattern(
     if isinstance(p, paths.Path):
         if is_var(graph):
             raise ValueError("a property path needs a fixed graph or the default dataset")
-        return _path_solutions(q, s, p, o, graphs, merge, seeds)
+        return _path_solutions(q, s, p, o, graphs, merge, seeds, ends)
 
     const = {k: (None if is_var(t) else as_term(t)) for k, t in (("s", s), ("p", p), ("o", o))}
     df, one_graph = match(q, const["s"], const["p"], const["o"], graphs)
@@ -103,10 +104,12 @@ def _based(terms: Iterable, base: str | None) -> list:
     return [paths.based(t, base) if isinstance(t, paths.Path) else with_base(t, base) for t in terms]
 
 
-def _path_solutions(q: Quads, s, path, o, graphs, merge: bool, seeds: DataFrame | None = None) -> Solutions:
+def _path_solutions(
+    q: Quads, s, path, o, graphs, merge: bool, seeds: DataFrame | None = None, ends: DataFrame | None = None
+) -> Solutions:
     start = None if is_var(s) else as_term(s)
     end = None if is_var(o) else as_term(o)
-    pairs = paths.evaluate(q, path, graphs, start, end, merge, seeds)
+    pairs = paths.evaluate(q, path, graphs, start, end, merge, seeds, ends)
     if is_var(s) and s == o:
         same = F.lit(True)
         for part in ("", "_kind"):
@@ -145,7 +148,8 @@ def bgp(
     resolved against ``base``.
 
     A path that repeats (``+``, ``*``) is walked from the subjects that the patterns
-    before it have found, if they bind its start.
+    before it have found, if they bind its start, against its direction from what they
+    have found for its end, or from both sides.
     """
     bound = {k.lstrip("?"): as_term(with_base(as_term(v), base)) for k, v in (bindings or {}).items()}
     patterns = [_based([V.RDF_TYPE if t == "a" and i == 1 else t for i, t in enumerate(pt)], base) for pt in patterns]
@@ -173,15 +177,17 @@ def bgp(
     if isinstance(q, TableQuads):
         views = _narrowed(q, todo, graphs)
 
-    def solve(pt, seeds: DataFrame | None = None) -> Solutions:
+    def solve(pt, seeds: DataFrame | None = None, ends: DataFrame | None = None) -> Solutions:
         return pattern(
-            views.get(pt, q), *pt, graph=graph, from_=from_, from_named=from_named, merge=merge, seeds=seeds
+            views.get(pt, q), *pt, graph=graph, from_=from_, from_named=from_named, merge=merge, seeds=seeds, ends=ends
         )
 
-    def seeds_of(pt) -> DataFrame | None:
-        if sol is None or not (paths.walks(pt[1]) and is_var(pt[0]) and pt[0][1:] in known):
+    def keys_of(pt, slot: int, walked) -> DataFrame | None:
+        """What the patterns before have found for the start or the end of a path that repeats there."""
+        t = pt[slot]
+        if sol is None or not (walked(pt[1]) and is_var(t) and t[1:] in known):
             return None
-        return paths.seed_keys(sol.as_terms([pt[0][1:]]).df, pt[0][1:])
+        return paths.seed_keys(sol.as_terms([t[1:]]).df, t[1:])
 
     sol = None
     known: set[str] = set()
@@ -190,7 +196,7 @@ def bgp(
         # what walks comes last, unless its start or end is fixed
         pt = min(connected, key=lambda pt: (paths.walks(pt[1]) and is_var(pt[0]) and is_var(pt[2]), len(variables(pt) - known), todo.index(pt)))
         todo.remove(pt)
-        part = solve(pt, seeds_of(pt))
+        part = solve(pt, keys_of(pt, 0, paths.walks), keys_of(pt, 2, paths.walks_back))
         sol = part if sol is None else sol.join(part)
         known |= variables(pt)
     if sol is None:
@@ -229,10 +235,10 @@ def unit(q: Quads) -> Solutions:
     return Solutions(spark.range(1).select(F.lit(True).alias("unit__")), ())
 
 
-def values(spark: SparkSession, names: Iterable[str], rows: Iterable[Iterable]) -> Solutions:
-    """VALUES: inline solutions; None in a row is UNDEF (unbound)."""
+def values(spark: SparkSession, names: Iterable[str], rows: Iterable[Iterable], base: str | None = None) -> Solutions:
+    """VALUES: inline solutions; None in a row is UNDEF (unbound).  Relative IRIs are resolved against ``base``."""
     names = [n.lstrip("?") for n in names]
-    rows = [[None if v is None else as_term(v) for v in row] for row in rows]
+    rows = [[None if v is None else as_term(with_base(as_term(v), base)) for v in row] for row in rows]
     if len(rows) == 0 or any(len(r) != len(names) for r in rows):
         raise ValueError("VALUES needs rows as long as the variable list")
     data = [

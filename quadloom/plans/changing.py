@@ -281,3 +281,19 @@ def update_relative_iris(spark, sf_dir):
     own = with_base("own", "http://example.com/")
     store.add(statements(spark, [("run", own, "/x", "out")], base))
     return store.read().where(F.col("g") == "http://example.org/app/out").select("s", "p", "o")
+
+
+@query(quads_sql("supplier") + """
+select g, s, p, o_text, o_kind, o_num, o_time from q
+union all select 'urn:g:supplier', 'urn:supplier:new', 'urn:p:name', 'New', 'lit', null, null
+union all select 'urn:x-default-graph', 'urn:supplier:new', 'urn:p:rank', null, 'lit', 7.0, null
+""")
+def insert_data(spark, sf_dir):
+    """INSERT DATA: constant quads, of which some are there already."""
+    store = _store(spark, sf_dir, G + "supplier")
+    rows = [
+        ("urn:supplier:new", P + "name", lit("New"), G + "supplier"),
+        ("urn:supplier:new", P + "rank", lit(7)),
+        ("urn:supplier:new", P + "name", lit("New"), G + "supplier"),
+    ]
+    return plain(store.insert_data(rows).insert_data(rows[:1]).quads)

@@ -242,3 +242,20 @@ def infer_equivalent_class_groups(spark, sf_dir):
     parts = quads(spark, sf_dir).limited(graphs=[G + "part"]).df
     new = I.infer(parts.union(with_values(links)), ["RDFS_PLUS"])
     return new.where((F.col("p") == V.RDF_TYPE) & F.col("s").startswith("urn:part:")).select("s", "o")
+
+
+@query(f"""
+select 'default' as kind, count(*) as n from part join {_SUPERS} on p_type = c
+union all select 'both', (select count(*) from part join {_SUPERS} on p_type = c) + (select count(*) from part where p_size = 15)
+union all select 'none', 0
+""")
+def infer_default_rulesets(spark, sf_dir):
+    """Default rulesets hold beside those of a query; nulls among them count for nothing."""
+    extra = [(CLASS + "Fifteen", V.ON_PROPERTY, P + "size"), (CLASS + "Fifteen", V.HAS_VALUE, lit(15))]
+    facts = _facts(spark, sf_dir, G + "part", extra=extra)
+    runs = {"default": ([None], ["SUBCLASS_OF"]), "both": (["HAS_VALUE", None], ["SUBCLASS_OF", None]), "none": ([], [None])}
+    out = []
+    for kind, (own, defaults) in runs.items():
+        new = I.infer(facts, own, defaults).where((F.col("p") == V.RDF_TYPE) & F.col("s").startswith("urn:part:"))
+        out.append(new.agg(F.count("s").alias("n")).select(F.lit(kind).alias("kind"), "n"))
+    return out[0].union(out[1]).union(out[2])

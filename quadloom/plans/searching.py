@@ -12,7 +12,7 @@ from quadloom import vocab as V
 from quadloom.functions.quad_columns import with_values
 from quadloom.operators import constraints as C
 from quadloom.operators.membership import documents_per_quad
-from quadloom.operators.patterns import bgp, num
+from quadloom.operators.patterns import bgp, num, pattern
 from quadloom.operators.scan import scan
 from quadloom.operators.updates import Store, distinct_quads
 from quadloom.plans.documents import SIZES, _documents, _quads, _WORD
@@ -259,3 +259,17 @@ def stream_insert_limited(spark, sf_dir):
     store = SnapshotStore(spark, scratch_path(spark, "events"))
     insert_stream(with_values(rows), store, scratch_path(spark, "offsets"), BufferOptions(max_rows=20_000)).awaitTermination()
     return store.read().select("s", "o")
+
+
+@query("""
+select 'urn:order:' || o_orderkey as s, 'status' as kind, o_orderstatus as o from orders
+union all select distinct 'urn:customer:' || c_custkey, 'segment', c_mktsegment from customer
+""")
+def no_dataset_catalogued(spark, sf_dir):
+    """Patterns over all graphs of a store: the catalogue tells which predicate can repeat a triple in two graphs."""
+    store = SnapshotStore(spark, scratch_path(spark, "store"), catalogue=True)
+    for graph in ("orders", "customer", "vip"):
+        store.add(quads(spark, sf_dir).limited(graphs=[G + graph]).df)
+    q = store.quads()
+    found = [pattern(q, "?s", P + name, "?o").select("s", F.lit(name).alias("kind"), "o") for name in ("status", "segment")]
+    return found[0].union(found[1])

@@ -8,7 +8,7 @@ from quadloom import lit
 from quadloom import vocab as V
 from quadloom.operators import aggregates as A
 from quadloom.operators import forms
-from quadloom.operators.patterns import bgp, num, pattern
+from quadloom.operators.patterns import bgp, num, pattern, values
 from quadloom.operators.exact_sums import exact_sums
 from quadloom.operators.solutions import Solutions
 from quadloom.plans.mapping import CLASS, G, P, quads, table
@@ -291,3 +291,23 @@ def group_avg_exact(spark, sf_dir):
     sol = Solutions(lines, ("flag",)).bind("x", F.col("q"), V.XSD_INTEGER)
     six = F.regexp_extract("avg", r"^-?[0-9]+(\.[0-9]{1,6})?", 0)
     return exact_sums(sol, ["flag"], "x").select("flag", six.cast("double").alias("mean"))
+
+
+@query("""
+select 'urn:customer:' || c_custkey as c, c_name as name from customer order by c_name, c_custkey limit 40 offset 25
+""")
+def offset_limit(spark, sf_dir):
+    """OFFSET and LIMIT in the order of a name."""
+    sol = pattern(quads(spark, sf_dir), "?c", P + "name", "?name", graph=G + "customer")
+    return forms.slice_(sol.select("c", "name"), [F.col("name").asc(), F.col("c").asc()], 25, 40)
+
+
+@query("""
+select 'urn:customer:' || c_custkey as c, c_mktsegment as segment from customer where c_custkey in (1, 2, 3)
+""")
+def values_relative_iris(spark, sf_dir):
+    """Relative IRIs of inline data are resolved against the base."""
+    wanted = values(spark, ["c"], [["customers/1"], ["customers/2"], ["../shop/customers/3"]], base="http://example.org/shop/data")
+    keys = wanted.df.withColumn("c", F.regexp_replace("c", "^http://example.org/shop/customers/", "urn:customer:"))
+    sol = pattern(quads(spark, sf_dir), "?c", P + "segment", "?segment", graph=G + "customer")
+    return Solutions(keys.select("c"), ("c",)).join(sol).select("c", "segment")

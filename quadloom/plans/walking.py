@@ -149,3 +149,27 @@ def path_plus_joined(spark, sf_dir):
     """The turns that follow a system turn: walked from those that the role pattern finds."""
     sol = bgp(quads(spark, sf_dir), [("?x", plus(NEXT), "?y"), ("?x", P + "role", lit("system"))], graph=G + "conv")
     return sol.select("x", "y")
+
+
+@query("""
+select 'urn:turn:' || a.conv_id || '-' || a.turn as x, 'urn:turn:' || b.conv_id || '-' || b.turn as y
+from conversations a join conversations b on a.conv_id = b.conv_id and a.turn < b.turn
+where a.role = 'system' and b.role = 'assistant'
+""")
+def path_plus_between(spark, sf_dir):
+    """From the system turns to the assistant's: both ends come from other patterns, the side that reaches less is walked to its end."""
+    patterns = [("?x", plus(NEXT), "?y"), ("?x", P + "role", lit("system")), ("?y", P + "role", lit("assistant"))]
+    return bgp(quads(spark, sf_dir), patterns, graph=G + "conv").select("x", "y")
+
+
+@query("""
+select 'urn:turn:' || a.conv_id || '-' || a.turn as x, 'urn:turn:' || b.conv_id || '-' || b.turn as y
+from conversations a join conversations b on a.conv_id = b.conv_id and a.turn < b.turn where b.turn = 2
+""")
+def path_plus_to_seeds(spark, sf_dir):
+    """What leads to the third turns, which a path before found: walked against the direction of the path."""
+    q = quads(spark, sf_dir)
+    ends = pattern(q, "?y", inverse(NEXT), "?before", graph=G + "conv").filter(F.col("y").endswith("-2")).project("y")
+    steps = pattern(q, "?x", NEXT, "?y", graph=G + "conv").select("x", "y")
+    back = reachable(steps.select(F.col("y").alias("x"), F.col("x").alias("y")), ends.df.select(F.col("y").alias("x")))
+    return back.select(F.col("y").alias("x"), F.col("x").alias("y"))

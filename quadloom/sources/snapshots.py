@@ -28,6 +28,9 @@ it: ``quads`` then opens one folder for a constant subject or object, and for a
 constant predicate one folder of the store itself.  Copies are written before the
 store's own rows.
 
+Which graphs have which predicates may be kept in ``<path>-predicates``, written before
+the quads, so a pattern knows where merging graphs can't remove anything.
+
 Permissions lie beside the quads, in ``<path>-permissions``, one folder per write
 as well.  A store that is opened with ``roles`` refuses every write that touches a
 graph with permissions of which none lets these roles update; a graph without any
@@ -94,13 +97,15 @@ class SnapshotStore:
         roles: Iterable[str] | None = None,
         grants: Iterable[tuple] = (),
         copies: Iterable[str] = (),
+        catalogue: bool = False,
     ):
         """``roles`` limit what may be written; ``grants`` are (role, capability) for graphs that are written.
 
-        ``copies`` are the further orders, "s" and "o"; the same ones for all writes of a store.
+        ``copies`` are the further orders, "s" and "o", and ``catalogue`` says whether it is
+        kept which graphs have which predicates; both the same for all writes of a store.
         """
         self.spark, self.path = spark, path.rstrip("/")
-        self.copies = tuple(copies)
+        self.copies, self.catalogued = tuple(copies), catalogue
         if not set(self.copies) <= set(COPIES):
             raise ValueError(f"copies are {COPIES}: {self.copies}")
         self.roles = None if roles is None else list(roles)
@@ -168,7 +173,16 @@ class SnapshotStore:
 
     def quads(self) -> StoredQuads:
         """The live quads for patterns and scans, which open only the folders of their constants."""
-        return StoredQuads(self.read, self.copies)
+        return StoredQuads(self.read, self.copies, self.catalogue if self.catalogued else None)
+
+    def catalogue(self) -> DataFrame:
+        """(p, g): the graphs that have had quads of a predicate."""
+        try:
+            return self.spark.read.schema("p string, g string").parquet(f"{self.path}-predicates").distinct()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return self.spark.createDataFrame([], "p string, g string")
+            raise
 
     def registered(self, until: int | None = None) -> DataFrame:
         """Graphs that were created and not dropped since (column ``g``)."""
@@ -251,6 +265,8 @@ class SnapshotStore:
         given = self.grants if grants is None else list(grants)
         if adds is not None and given:
             self.grant(access.grant(access.permissions(self.spark), adds, given), batch)
+        if adds is not None and self.catalogued:
+            adds.select("p", "g").distinct().write.mode("overwrite").parquet(f"{self.path}-predicates/batch={batch}")
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         for copy in (*self.copies, None):
             some = rows if copy is None else rows.where(F.col("op") != DOC)

@@ -13,10 +13,15 @@ from quadloom.model import OBJECT, Term, term_equals
 
 @dataclass(frozen=True)
 class StoredQuads:
-    """``read(predicates=, copy=, keys=)`` gives stored quads; ``copies`` are the orders there are besides the predicate's."""
+    """``read(predicates=, copy=, keys=)`` gives stored quads; ``copies`` are the orders there are besides the predicate's.
+
+    ``catalogue`` (p, g) says in which graphs a predicate may be; with it a triple of a
+    predicate that only one graph has is known not to repeat in another one.
+    """
 
     read: Callable[..., DataFrame]
     copies: tuple[str, ...] = ()
+    catalogue: Callable[[], DataFrame] | None = None
 
     @property
     def df(self) -> DataFrame:
@@ -45,4 +50,15 @@ class StoredQuads:
             df = df.where(term_equals({c: F.col(c) for c in OBJECT}, o))
         if graphs is not None:
             df = df.where(F.col("g").isin(graphs))
-        return df, graphs is not None and len(graphs) == 1
+        return df, (graphs is not None and len(graphs) == 1) or self._in_one_graph(p, graphs)
+
+    def _in_one_graph(self, p: str | None, graphs: list[str] | None) -> bool:
+        """Does the catalogue leave no triple two graphs to be in?"""
+        if self.catalogue is None:
+            return False
+        pairs = self.catalogue()
+        if p is not None:
+            pairs = pairs.where(F.col("p") == p)
+        if graphs is not None:
+            pairs = pairs.where(F.col("g").isin(graphs))
+        return pairs.groupBy("p").agg(F.count_distinct("g").alias("n")).where("n > 1").isEmpty()
