@@ -162,12 +162,9 @@ def time_value(o: Column | str, dt: Column | str) -> Column:
 def is_valid_literal(o: Column | str, dt: Column | str, lang: Column | str) -> Column:
     """Lexical and range check of a literal; unknown datatypes are accepted."""
     o, dt, lang = _col(o), _col(dt), _col(lang)
-    in_range = F.lit(True)
-    for name, (low, high) in V.INTEGER_RANGES.items():
-        in_range = F.when(dt == V.XSD + name, _within(o, low, high)).otherwise(in_range)
     return F.coalesce(
         F.when(lang.isNotNull(), lang.rlike(LANG_FORM))
-        .when(dt.isin(*V.INTEGER_TYPES), o.rlike(INTEGER_FORM) & in_range)
+        .when(dt.isin(*V.INTEGER_TYPES), o.rlike(INTEGER_FORM) & _in_range(o, dt))
         .when(dt == V.XSD_DECIMAL, o.rlike(DECIMAL_FORM))
         .when(dt.isin(V.XSD_DOUBLE, V.XSD_FLOAT), o.rlike(DOUBLE_FORM))
         .when(dt == V.XSD_BOOLEAN, o.isin("true", "false", "1", "0"))
@@ -178,24 +175,37 @@ def is_valid_literal(o: Column | str, dt: Column | str, lang: Column | str) -> C
     )
 
 
-def _within(o: Column, low: int | None, high: int | None) -> Column:
-    """Is an integer of any length within bounds?  Digits are compared by number, then as text."""
+# Marks a sign that a datatype doesn't have.
+_NO_SUCH = "-"
+
+
+def _bounds() -> tuple[dict[str, str], dict[str, str], list[str]]:
+    """Of the bounded integer types: the digits of the greatest value, those of the least one, and the types without zero."""
+    most, least, without_zero = {}, {}, []
+    for name, (low, high) in V.INTEGER_RANGES.items():
+        dt = V.XSD + name
+        if high is not None:
+            most[dt] = _NO_SUCH if high < 0 else str(high) if high else ""
+        if low is not None:
+            least[dt] = _NO_SUCH if low >= 0 else str(-low)
+            if low > 0:
+                without_zero.append(dt)
+    return most, least, without_zero
+
+
+def _in_range(o: Column, dt: Column) -> Column:
+    """Is an integer of any length within the bounds of its datatype?  Digits are compared by number, then as text."""
     digits = F.regexp_replace(o, "^[+-]?0*", "")
     negative = o.startswith("-") & (digits != "")
+    most, least, without_zero = _bounds()
 
-    def at_most(bound: int) -> Column:
-        text = str(abs(bound)) if bound else ""
-        return (F.length(digits) < len(text)) | ((F.length(digits) == len(text)) & (digits <= text))
-
-    def at_least(bound: int) -> Column:
-        return ~at_most(abs(bound) - 1)
+    def bound(texts: dict[str, str]) -> Column:
+        return F.try_element_at(F.create_map(*[F.lit(x) for pair in texts.items() for x in pair]), dt)
 
-    out = F.lit(True)
-    if high is not None:
-        out = out & (negative | at_most(high) if high >= 0 else negative & at_least(high))
-    if low is not None:
-        out = out & (~negative | at_most(low) if low <= 0 else ~negative & at_least(low))
-    return out
+    limit = F.when(negative, bound(least)).otherwise(bound(most))
+    fits = (F.length(digits) < F.length(limit)) | ((F.length(digits) == F.length(limit)) & (digits <= limit))
+    in_bounds = limit.isNull() | ((limit != _NO_SUCH) & fits)
+    return in_bounds & ~((digits == "") & dt.isin(without_zero))
 
 
 def _in_calendar(o: Column) -> Column:

@@ -15,8 +15,8 @@ from quadloom.operators.scan import count_per_graph
 from quadloom.operators.updates import Store, in_contexts
 from quadloom.plans.mapping import G, P, quads
 from quadloom.plans.registry import plain, quads_sql, query
-from quadloom.session import scratch_path
-from quadloom.sources.snapshots import SnapshotStore, next_seq
+from quadloom.session import materialize, scratch_path
+from quadloom.sources.snapshots import SnapshotStore
 
 _COUNTS = "select g, count(*) as n from q group by g"
 
@@ -220,12 +220,12 @@ union all select 'committed', count(*) from q where p <> 'urn:p:name'
 union all select 'first version', count(*) from q
 """)
 def changeset_isolation(spark, sf_dir):
-    """A planned change is seen by its own reads only, until it is written; older states stay readable."""
+    """A planned change is seen by its own reads only, until it is written; a state that was written elsewhere stays."""
     store = _snapshot(spark, sf_dir, G + "customer", G + "vip")
-    before = next_seq()
+    kept = materialize(store.read(), scratch_path(spark, "kept"))
     own, others = store.store().remove(p=P + "name").quads, store.read()
     store.remove(p=P + "name")
-    views = {"own": own, "others": others, "committed": store.read(), "first version": store.read(until=before)}
+    views = {"own": own, "others": others, "committed": store.read(), "first version": kept}
     out = None
     for name, df in views.items():
         row = df.select(*QUAD_COLUMNS).agg(F.count("s").alias("n")).select(F.lit(name).alias("view"), "n")

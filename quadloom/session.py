@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +50,32 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/quadloom-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/quadloom-{label}-{uuid.uuid4().hex}"
+    for held in _HELD:
+        held.append(path)
+    return path
+
+
+# The intermediate folders of each open ``temporary`` block.
+_HELD: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate folders that are made inside, at the end.
+
+    Results that read them must be consumed, or written elsewhere, before.
+    """
+    held: list[str] = []
+    _HELD.append(held)
+    try:
+        yield
+    finally:
+        _HELD.remove(held)
+        hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in held:
+            place = hadoop.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:

@@ -8,7 +8,8 @@ writers may add at the same time, and a stream batch that is delivered again
 replaces its own folder.  Each row carries ``seq``, by default the time of its
 write in microseconds.  A quad is live when no removal of its key and no clearing
 of its graph has a higher ``seq``; at equal ``seq`` additions win.  The order of
-folders therefore doesn't matter, and the state up to any ``seq`` can be read.
+folders therefore doesn't matter.  There are no older versions to read: who needs a
+state again writes ``read()`` to a place of its own.
 
 Each write is a set.  What several writes repeat is merged when it is read; a
 store of one write without removals is read without any shuffle.  Rows lie sorted
@@ -113,31 +114,26 @@ class SnapshotStore:
 
     # -- reading -----------------------------------------------------------------
 
-    def _rows(self, until: int | None = None, copy: str | None = None) -> DataFrame | None:
+    def _rows(self, copy: str | None = None) -> DataFrame | None:
         try:
-            rows = self.spark.read.schema(_ROW_SCHEMA).parquet(self._place(copy))
+            return self.spark.read.schema(_ROW_SCHEMA).parquet(self._place(copy))
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return rows if until is None else rows.where(F.col("seq") <= until)
 
     def _place(self, copy: str | None = None) -> str:
         return self.path if copy is None else f"{self.path}-by-{copy}"
 
     def read(
-        self,
-        until: int | None = None,
-        predicates: Iterable[str] | None = None,
-        copy: str | None = None,
-        keys: Iterable[str] | None = None,
+        self, predicates: Iterable[str] | None = None, copy: str | None = None, keys: Iterable[str] | None = None
     ) -> DataFrame:
-        """The live quads, of the state after the write ``until`` if it is given.
+        """The live quads.
 
         ``predicates`` opens the folders of these only; with ``copy`` ("s" or "o") the
         ``keys`` are subjects or objects (IRIs or lexical forms) instead.
         """
-        rows = self._rows(until, copy)
+        rows = self._rows(copy)
         if rows is None:
             return empty_quads(self.spark)
         slot, names = ("p", predicates) if copy is None else (copy, keys)
@@ -164,9 +160,9 @@ class SnapshotStore:
             live = live.join(gone, same(live, gone, QUAD_KEY) & (live["seq"] < gone["dseq"]), "left_anti")
         return live
 
-    def members(self, until: int | None = None) -> DataFrame:
+    def members(self) -> DataFrame:
         """Which documents give the live quads: (quad key, doc_id)."""
-        rows = self._rows(until)
+        rows = self._rows()
         if rows is None:
             return members_of(empty_quads(self.spark))
         return members_of(self._live(rows, DOC, set(_ops(rows))))
@@ -184,17 +180,17 @@ class SnapshotStore:
                 return self.spark.createDataFrame([], "p string, g string")
             raise
 
-    def registered(self, until: int | None = None) -> DataFrame:
+    def registered(self) -> DataFrame:
         """Graphs that were created and not dropped since (column ``g``)."""
-        rows = self._rows(until)
+        rows = self._rows()
         if rows is None:
             return self.spark.createDataFrame([], "g string")
         last = rows.where(F.col("op").isin(GRAPH, DROP)).groupBy("g").agg(F.max_by("op", "seq").alias("op"))
         return last.where(F.col("op") == GRAPH).select("g")
 
-    def store(self, until: int | None = None) -> Store:
+    def store(self) -> Store:
         """The stored quads as an in-plan state for ``operators.updates``."""
-        return Store(self.read(until), registered=self.registered(until))
+        return Store(self.read(), registered=self.registered())
 
     # -- permissions -------------------------------------------------------------
 
@@ -208,9 +204,9 @@ class SnapshotStore:
             raise
         return rows.select("g", "role", "capability").distinct()
 
-    def visible(self, until: int | None = None) -> DataFrame:
+    def visible(self) -> DataFrame:
         """The live quads in graphs that the store's roles may read."""
-        return access.visible(self.read(until), self.permissions(), self.roles or ())
+        return access.visible(self.read(), self.permissions(), self.roles or ())
 
     def grant(self, perms: DataFrame, batch: str | None = None) -> None:
         """Keep further permissions (g, role, capability)."""
