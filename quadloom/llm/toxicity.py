@@ -34,6 +34,7 @@ LEAST = 3  # positives that a kept feature has
 SURPLUS = 4.0  # deviations by which a feature is more frequent among positives
 LIMIT = 0.3
 CACHED = 50_000
+AT_ONCE = 256  # rows whose features are handled together
 
 _WORD = re.compile(r"[^\W\d_]+")
 _features: dict[str, tuple[int, ...]] = {}
@@ -73,20 +74,30 @@ class Model:
 
 def _csr(rows: list[np.ndarray], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and positions in ``kept`` of the features that are kept."""
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    if not len(kept):
-        return at[:0], at[:0]
-    value = np.minimum(np.searchsorted(kept, flat), len(kept) - 1)
-    found = kept[value] == flat
-    return at[found], value[found]
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for s in range(0, len(rows) if len(kept) else 0, AT_ONCE):
+        some = rows[s : s + AT_ONCE]
+        flat = np.concatenate(some)
+        at = np.repeat(np.arange(s, s + len(some)), [len(r) for r in some])
+        value = np.minimum(np.searchsorted(kept, flat), len(kept) - 1)
+        found = kept[value] == flat
+        parts.append((at[found], value[found]))
+    at, value = (np.concatenate(x) for x in zip(*parts))
+    return at, value
+
+
+def _counts(rows: list[np.ndarray]) -> np.ndarray:
+    """How many rows have each feature."""
+    total = np.zeros(BUCKETS, np.int64)
+    for s in range(0, len(rows), AT_ONCE):
+        total += np.bincount(np.concatenate(rows[s : s + AT_ONCE]), minlength=BUCKETS)
+    return total
 
 
 def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 600, rate: float = 0.1, decay: float = 0.02) -> Model:
     """Linear model of least non-negative positive-unlabelled risk (logistic loss)."""
     n_p, n_u = len(positive), len(unlabelled)
-    in_p = np.bincount(np.concatenate(positive), minlength=BUCKETS)
-    in_u = np.bincount(np.concatenate(unlabelled), minlength=BUCKETS) if n_u else np.zeros(BUCKETS)
+    in_p, in_u = _counts(positive), _counts(unlabelled)
     # features clearly more frequent among positives than among all
     expected = in_u * (n_p / max(1, n_u))
     surplus = (in_p - expected) / np.sqrt(expected + 0.5)
@@ -133,14 +144,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         rows = given.join(chosen, "doc_id").select("doc_id", "text", "toxic").mapInArrow(by_batch(work), "doc_id long, toxic int, f binary")
         # one row per document, however many rows have its id: bounded by the sample
         got = rows.groupBy("doc_id", "toxic").agg(F.min("f").alias("f")).toArrow()
-        once = sorted(zip(got["doc_id"].to_pylist(), got["f"].to_pylist(), got["toxic"].to_pylist()))
-        return [np.frombuffer(f, np.int32) for _, f, _ in once], np.array([y for _, _, y in once], float)
+        order = np.argsort(np.array(got["doc_id"]), kind="stable")  # one label of each document
+        found = [np.frombuffer(got["f"][k].as_buffer(), np.int32) for k in order.tolist()]  # no copies
+        return found, np.array(got["toxic"], float)[order]
 
     positive, _ = drawn(sample(known.where("toxic = 1").join(ids, "doc_id"), POSITIVES))
     if not positive:
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0, blank=True)
     # only features of some positives can be kept, so the others needn't be gathered
-    wanted = np.bincount(np.concatenate(positive), minlength=BUCKETS) >= LEAST
+    wanted = _counts(positive) >= LEAST
     unlabelled, _ = drawn(sample(ids.withColumn("toxic", F.lit(0)), UNLABELLED), wanted)
     checked, y = drawn(sample(known.join(ids, "doc_id"), CHECKED), wanted)
     model = learn(positive, unlabelled, float(np.clip(y.mean(), 0.001, 0.9)))
