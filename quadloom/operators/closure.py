@@ -116,8 +116,8 @@ def between(edges: DataFrame, starts: DataFrame, ends: DataFrame, copied: bool =
     """Distinct pairs (x, y) of a start and an end (columns ``x``) that is one or more edges away.
 
     Two walks, one along the edges from the starts and one against them from the ends; the
-    one whose frontier has fewer pairs goes on.  The first that has nowhere to go knows all
-    pairs, so the work follows the side that reaches less, whichever that is.
+    one whose frontiers had fewer pairs so far goes on.  The first that has nowhere to go knows
+    all pairs, so the work follows the side that reaches less, whichever that is.
     """
     root = scratch_path(edges.sparkSession, "between")
     edges = edges.select("x", "y")
@@ -126,10 +126,12 @@ def between(edges: DataFrame, starts: DataFrame, ends: DataFrame, copied: bool =
     against = edges.select(F.col("y").alias("x"), F.col("x").alias("y"))
     walks = [_Walk(edges, starts, f"{root}/from"), _Walk(against, ends, f"{root}/to")]
     sizes = [walk.frontier.count() for walk in walks]
+    spent = list(sizes)
     while all(sizes):
-        side = 0 if sizes[0] <= sizes[1] else 1
+        side = 0 if spent[0] <= spent[1] else 1
         walks[side].step()
         sizes[side] = walks[side].frontier.count()
+        spent[side] += sizes[side]
     forward = sizes[0] == 0
     walk, others = (walks[0], ends) if forward else (walks[1], starts)
     if not walk.found:

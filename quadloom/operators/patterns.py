@@ -182,12 +182,25 @@ def bgp(
             views.get(pt, q), *pt, graph=graph, from_=from_, from_named=from_named, merge=merge, seeds=seeds, ends=ends
         )
 
-    def keys_of(pt, slot: int, walked) -> DataFrame | None:
-        """What the patterns before have found for the start or the end of a path that repeats there."""
+    def keys_of(found: Solutions | None, pt, slot: int, walked) -> DataFrame | None:
+        """What patterns have found for the start or the end of a path that repeats there."""
         t = pt[slot]
-        if sol is None or not (walked(pt[1]) and is_var(t) and t[1:] in known):
+        if found is None or not (walked(pt[1]) and is_var(t) and t[1:] in found.vars):
             return None
-        return paths.seed_keys(sol.as_terms([t[1:]]).df, t[1:])
+        return paths.seed_keys(found.as_terms([t[1:]]).df, t[1:])
+
+    def apart(t) -> Solutions | None:
+        """The patterns left that bind a variable and have nothing to do with those before, solved by themselves."""
+        if sol is None or not is_var(t) or t[1:] in known:
+            return None
+        names, found = {t[1:]}, None
+        while True:
+            fitting = [pt for pt in todo if not isinstance(pt[1], paths.Path) and variables(pt) & names and not variables(pt) & known]
+            if not fitting:
+                return found
+            todo.remove(fitting[0])
+            names |= variables(fitting[0])
+            found = solve(fitting[0]) if found is None else found.join(solve(fitting[0]))
 
     sol = None
     known: set[str] = set()
@@ -196,9 +209,18 @@ def bgp(
         # what walks comes last, unless its start or end is fixed
         pt = min(connected, key=lambda pt: (paths.walks(pt[1]) and is_var(pt[0]) and is_var(pt[2]), len(variables(pt) - known), todo.index(pt)))
         todo.remove(pt)
-        part = solve(pt, keys_of(pt, 0, paths.walks), keys_of(pt, 2, paths.walks_back))
-        sol = part if sol is None else sol.join(part)
-        known |= variables(pt)
+        # an end of a walk that other patterns bind is found first, so that the walk needn't go everywhere
+        sides = [apart(pt[i]) for i, walked in ((0, paths.walks), (2, paths.walks_back)) if walked(pt[1])]
+        sides = [side for side in (sol, *sides) if side is not None]
+        starts, ends = (
+            next((keys for side in sides if (keys := keys_of(side, pt, i, walked)) is not None), None)
+            for i, walked in ((0, paths.walks), (2, paths.walks_back))
+        )
+        part = solve(pt, starts, ends)
+        for side in sides:
+            part = side.join(part)
+        sol = part
+        known |= set(part.vars)
     if sol is None:
         sol = unit(q)
     for pt in ground:
