@@ -28,9 +28,26 @@ class UnknownGraph(ValueError):
 
 
 def distinct_quads(df: DataFrame) -> DataFrame:
-    """One row per quad, with the smallest of its documents; ``membership.members_of`` has them all."""
+    """One row per quad, with the smallest of its documents; ``membership.members_of`` has them all.
+
+    Quads are compared by their hash first.  The rows are dealt out before repeats are merged:
+    a task that reads holds none of them, however many quads its part of a file gives, and
+    a hot quad is dealt to one task for each task that reads it.
+    """
+    rows = df.select(*QUAD_COLUMNS).withColumns({"hash__": F.xxhash64(*QUAD_KEY), "task__": F.spark_partition_id()})
+    rows = _merged(rows.repartition("hash__", "task__"), ("task__",))
+    return _merged(rows, ()).select(*QUAD_COLUMNS)
+
+
+def merged_sets(df: DataFrame) -> DataFrame:
+    """One row per quad of several sets: a quad has few rows, so each is sent to its task at once."""
+    rows = df.select(*QUAD_COLUMNS).withColumn("hash__", F.xxhash64(*QUAD_KEY))
+    return _merged(rows.repartition("hash__"), ()).select(*QUAD_COLUMNS)
+
+
+def _merged(rows: DataFrame, more: tuple[str, ...]) -> DataFrame:
     rest = [F.min(c).alias(c) for c in QUAD_COLUMNS if c not in QUAD_KEY]
-    return df.groupBy(*QUAD_KEY).agg(*rest).select(*QUAD_COLUMNS)
+    return rows.groupBy("hash__", *more, *QUAD_KEY).agg(*rest)
 
 
 def without(base: DataFrame, gone: DataFrame, key=QUAD_KEY) -> DataFrame:

@@ -59,11 +59,13 @@ from quadloom.operators import permissions as access
 from quadloom.operators.forms import instantiate
 from quadloom.operators.membership import MEMBER, members_of
 from quadloom.operators.solutions import Solutions
-from quadloom.operators.updates import Store, distinct_quads, in_contexts, matches
+from quadloom.operators.updates import Store, distinct_quads, in_contexts, matches, merged_sets
 from quadloom.sources.stored import StoredQuads
 
 ADD, DOC, DEL, CLEAR, DROP, GRAPH = "add", "doc", "del", "clear", "drop", "graph"
 COPIES = ("s", "o")
+# The rows of a folder are dealt to this many shares at first; small ones share a task and a file.
+SHARES = 32
 _ROW_SCHEMA = f"{QUAD_SCHEMA}, seq long, batch string, op string, ph string"
 _FOLDER = re.compile(r"/batch=([^/]+)/op=([^/]+)/")
 
@@ -140,7 +142,7 @@ class SnapshotStore:
         ops = _ops(rows)
         live = self._live(rows, ADD, set(ops), slot, names)
         if ops.count(ADD) > 1:
-            return distinct_quads(live)
+            return merged_sets(live)
         return live.select(*QUAD_COLUMNS)
 
     def _live(self, rows: DataFrame, op: str, ops: set[str], slot: str = "p", names: Iterable[str] | None = None) -> DataFrame:
@@ -234,18 +236,20 @@ class SnapshotStore:
         op: str = CLEAR,
         grants: Iterable[tuple] | None = None,
         docs: DataFrame | None = None,
+        parts: int | None = None,
     ) -> int:
         """Clear graphs, remove keys, then add, as one folder.  Returns its ``seq``.
 
         ``adds`` must be a set; ``docs`` says which documents give its quads (quad key,
         doc_id).  A column ``seq`` of ``adds``, ``dels`` or ``docs`` counts instead of the time.  ``clear`` holds names of graphs (column ``g``);
         ``op`` says what happens to them.  ``batch`` names the folder, a new one by
-        default.  ``grants`` are (role, capability) for the graphs of ``adds``, by
+        default; with ``parts`` there are that many, each with a share of the quads'
+        hash, written by one job and replacing what they held.  ``grants`` are (role, capability) for the graphs of ``adds``, by
         default those of the store.
         """
         self._check(adds, dels, clear)
         seq = next_seq()
-        parts = []
+        found = []
         kinds = ((ADD, adds, QUAD_COLUMNS), (DOC, docs, MEMBER), (DEL, dels, QUAD_KEY), (op, clear, ("g",)))
         for name, df, columns in kinds:
             if df is None:
@@ -254,8 +258,8 @@ class SnapshotStore:
             rows = df.select(*columns, own.alias("seq"))
             if name != ADD:
                 rows = rows.groupBy(*columns).agg(F.max("seq").alias("seq"))
-            parts.append(rows.withColumn("op", F.lit(name)))
-        if not parts:
+            found.append(rows.withColumn("op", F.lit(name)))
+        if not found:
             return seq
         batch = batch or uuid.uuid4().hex
         given = self.grants if grants is None else list(grants)
@@ -263,29 +267,46 @@ class SnapshotStore:
             self.grant(access.grant(access.permissions(self.spark), adds, given), batch)
         if adds is not None and self.catalogued:
             adds.select("p", "g").distinct().write.mode("overwrite").parquet(f"{self.path}-predicates/batch={batch}")
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
         for copy in (*self.copies, None):
             some = rows if copy is None else rows.where(F.col("op") != DOC)
-            self._write_rows(some, copy or "p", f"{self._place(copy)}/batch={batch}")
+            self._write_rows(some, copy or "p", self._place(copy), batch, parts)
         return seq
 
     @staticmethod
-    def _write_rows(rows: DataFrame, slot: str, target: str) -> None:
+    def _write_rows(rows: DataFrame, slot: str, place: str, batch: str, parts: int | None) -> None:
         digits = F.coalesce(F.substring(F.md5(F.col(slot)), 1, 2), F.lit("-")) if slot in rows.columns else F.lit("-")
-        # rebalance: few files per folder, and a hot key is split over tasks
-        rows = rows.withColumn("ph", digits).hint("rebalance", "op", "ph")
-        order = [c for c in ("op", "ph", slot, "s", "p") if c in rows.columns]
-        rows.sortWithinPartitions(*dict.fromkeys(order)).write.mode("overwrite").partitionBy("op", "ph").parquet(target)
+        # rebalance: few files per folder, and a hot key is split over tasks; shares, because what one task has read can't be split
+        key = [c for c in QUAD_KEY if c in rows.columns]
+        rows = rows.withColumns({"ph": digits, "share__": F.pmod(F.xxhash64(*key, F.lit(SHARES)), F.lit(SHARES))})
+        folders = ["op", "ph"]
+        if parts is not None:
+            rows = rows.withColumn("batch", F.concat(F.lit(f"{batch}-"), F.pmod(F.xxhash64(*key), F.lit(parts)).cast("string")))
+            # a part is small and stays in one task
+            rows, folders = rows.drop("share__").hint("rebalance", "batch"), ["batch", *folders]
+        else:
+            rows = rows.hint("rebalance", "op", "ph", "share__").drop("share__")
+        order = [c for c in (*folders, slot, "s", "p") if c in rows.columns]
+        writer = rows.sortWithinPartitions(*dict.fromkeys(order)).write.mode("overwrite").partitionBy(*folders)
+        if parts is None:
+            writer.parquet(f"{place}/batch={batch}")
+        else:
+            writer.option("partitionOverwriteMode", "dynamic").parquet(place)
 
     def _graphs(self, names: Iterable[str]) -> DataFrame:
         return self.spark.createDataFrame([(g,) for g in sorted(set(names))], "g string")
 
     def add(
-        self, new: DataFrame, contexts: Iterable = (), batch: str | None = None, grants: Iterable[tuple] | None = None
+        self,
+        new: DataFrame,
+        contexts: Iterable = (),
+        batch: str | None = None,
+        grants: Iterable[tuple] | None = None,
+        parts: int | None = None,
     ) -> int:
         """Set union; writes nothing but the new rows and reads no stored ones."""
         new = in_contexts(new, contexts)
-        return self.write(adds=distinct_quads(new), docs=members_of(new), batch=batch, grants=grants)
+        return self.write(adds=distinct_quads(new), docs=members_of(new), batch=batch, grants=grants, parts=parts)
 
     def remove_statements(self, gone: DataFrame, contexts: Iterable = ()) -> int:
         """Remove given quads from their own graph or from ``contexts``."""

@@ -8,7 +8,8 @@ doesn't grow with the store; what batches repeat is merged when it is read.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -55,8 +56,8 @@ def insert_stream(
     """Add a stream of quads to a store (set union)."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        for part, name in _parts(df, stream_batch(checkpoint, batch_id), options.max_rows):
-            store.add(part, batch=name)
+        with _parts(df, options.max_rows) as (rows, parts):
+            store.add(rows, batch=stream_batch(checkpoint, batch_id), parts=parts)
 
     return _start(stream, batch, checkpoint, options)
 
@@ -73,33 +74,32 @@ def change_stream(
     """
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        for part, name in _parts(df, stream_batch(checkpoint, batch_id), options.max_rows):
+        with _parts(df, options.max_rows) as (part, parts):
             at = F.struct("seq", "op")
             final = part.groupBy(*QUAD_KEY).agg(F.max(at).alias("last"), F.max_by("doc_id", at).alias("doc_id"))
             final = final.select(*QUAD_KEY, "doc_id", "last.seq", "last.op")
             adds = with_values(final.where(F.col("op") == INSERT), "seq")
             dels = part.where(F.col("op") == DELETE).select(*QUAD_KEY, "seq")
             docs = part.where((F.col("op") == INSERT) & F.col("doc_id").isNotNull()).select(*MEMBER, "seq")
-            store.write(adds=adds, dels=dels, docs=docs, batch=name)
+            store.write(adds=adds, dels=dels, docs=docs, batch=stream_batch(checkpoint, batch_id), parts=parts)
 
     return _start(stream, batch, checkpoint, options)
 
 
-def _parts(df: DataFrame, name: str, max_rows: int | None):
-    """A batch, or parts of about ``max_rows`` rows each, with the folder that each is written to.
+@contextmanager
+def _parts(df: DataFrame, max_rows: int | None) -> Iterator[tuple[DataFrame, int | None]]:
+    """A batch, and how many parts of about ``max_rows`` rows it has; each is written to a folder of its own.
 
     Parts are shares of the quads' hash, so a quad is in one part only, and a batch that
-    is delivered again has the same parts.
+    is delivered again has the same parts.  One job writes all of them: a batch is read once,
+    however many parts it has.
     """
     if max_rows is None:
-        yield df, name
+        yield df, None
         return
     held = df.persist()
     try:
-        parts = max(1, -(-held.count() // max_rows))
-        for k in range(parts):
-            share = F.pmod(F.xxhash64(*QUAD_KEY), F.lit(parts)) == k
-            yield (held if parts == 1 else held.where(share)), f"{name}-{k}"
+        yield held, max(1, -(-held.count() // max_rows))
     finally:
         held.unpersist()
 
