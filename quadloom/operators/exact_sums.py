@@ -1,8 +1,9 @@
 """Sums and averages of integers and decimals of any length.
 
 A number is cut into limbs of nine digits.  Limbs of one place add up as ordinary partial
-aggregates; what is left per group is one row per place, and the carries run through
-those in one expression.  Nothing is bounded but the places of the longest number.
+aggregates: those of usual numbers (``WHOLE`` and ``FRACTION`` limbs) as columns of one row, those of longer
+ones as a row per place.  The carries run through the sums of a group in one expression.
+Nothing is bounded but the places of the longest number.
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ BASE = 10**DIGITS
 # Limbs behind the point of an average.
 AVERAGE_LIMBS = 2
 _WIDE = "decimal(38,0)"
+# Limbs before and behind the point of numbers that need no row per limb.
+WHOLE, FRACTION = 5, 2
+# Limbs are added in two halves, so that no sum of 64 bits can pass them.
+HALF = 10**5
 
 
 def limbs(parts: Column) -> Column:
@@ -50,13 +55,30 @@ def exact_sums(sol: Solutions, by: Iterable[str], name: str) -> DataFrame:
     exact = number.isNotNull() & dt.isin(*V.EXACT_TYPES)
     given = sol.df.select(
         *by,
-        F.when(exact, limbs(exact_parts(text, dt))).alias("limbs__"),
+        F.when(exact, exact_parts(text, dt)).alias("parts__"),
         number.alias("number__"),
         text.isNotNull().alias("bound__"),
         exact.alias("exact__"),
         (number.isNotNull() & dt.isin(*V.INTEGER_TYPES)).alias("whole__"),
     )
-    rows = given.select(*by, "number__", "bound__", "exact__", "whole__", F.posexplode_outer("limbs__").alias("at__", "limb__"))
+    size = F.col("parts__.size")
+    before, behind = (F.length(size[c]) for c in ("whole", "fraction"))
+    short = (before <= WHOLE * DIGITS) & (behind <= FRACTION * DIGITS)
+    given = given.select(
+        *by, "number__", "bound__", "exact__", "whole__",
+        F.when(~short, limbs(F.col("parts__"))).alias("limbs__"),
+        F.when(short, F.concat(F.lpad(size["whole"], WHOLE * DIGITS, "0"), F.rpad(size["fraction"], FRACTION * DIGITS, "0"))).alias("digits__"),
+        F.when(F.col("parts__.negative"), F.lit(-1).cast("long")).otherwise(F.lit(1).cast("long")).alias("sign__"),
+        F.when(short, F.ceil(before / DIGITS).cast("int")).alias("before__"),
+        F.when(short, F.ceil(behind / DIGITS).cast("int")).alias("behind__"),
+    )
+    places = range(-FRACTION, WHOLE)
+    fixed = {k: f"place{k + FRACTION}__" for k in places}
+    given = given.withColumns(
+        {c: F.col("sign__") * F.substring("digits__", (WHOLE - 1 - k) * DIGITS + 1, DIGITS).cast("long") for k, c in fixed.items()}
+    )
+    own = ["before__", "behind__", *fixed.values()]
+    rows = given.select(*by, "number__", "bound__", "exact__", "whole__", *own, F.posexplode_outer("limbs__").alias("at__", "limb__"))
     first = F.coalesce(F.col("at__"), F.lit(0)) == 0
     counts = {
         "n": F.count_if(first & F.col("bound__")),
@@ -66,15 +88,21 @@ def exact_sums(sol: Solutions, by: Iterable[str], name: str) -> DataFrame:
         "double__": F.sum(F.when(first, F.col("number__"))),
     }
     placed = rows.groupBy(*by, F.col("limb__.place").alias("place__")).agg(
-        F.sum(F.col("limb__.limb").cast("decimal(20,0)")).cast(_WIDE).alias("total__"), *[c.alias(k) for k, c in counts.items()]
+        _added(F.col("limb__.limb")).alias("total__"),
+        *[c.alias(k) for k, c in counts.items()],
+        *[F.max(c).alias(c) for c in ("before__", "behind__")],
+        *[_added(F.col(c)).alias(c) for c in fixed.values()],
     )
     held = F.collect_list(F.when(F.col("place__").isNotNull(), F.struct("place__", "total__"))).alias("held__")
-    found = placed.groupBy(*by).agg(held, *[F.sum(k).alias(k) for k in counts]) if by else placed.agg(held, *[F.sum(k).alias(k) for k in counts])
+    sums = [F.sum(k).alias(k) for k in (*counts, *fixed.values())]
+    found = placed.groupBy(*by).agg(held, *sums, *[F.max(c).alias(c) for c in ("before__", "behind__")])
     found = found.withColumns({k: F.coalesce(k, F.lit(0)) for k in counts if k != "double__"})
-    found = found.withColumn("low__", F.least(F.lit(0), F.array_min(F.transform("held__", lambda x: x["place__"]))))
-    found = found.withColumn("high__", F.greatest(F.lit(0), F.array_max(F.transform("held__", lambda x: x["place__"]))))
-    dense = f"transform(sequence(low__, high__), p -> coalesce(try_element_at(map_from_entries(held__), p), cast(0 as {_WIDE})))"
-    found = found.withColumn("dense__", F.expr(dense))
+    found = found.withColumn("low__", F.least(F.lit(0), -F.col("behind__"), F.array_min(F.transform("held__", lambda x: x["place__"]))))
+    found = found.withColumn("high__", F.greatest(F.lit(0), F.col("before__") - 1, F.array_max(F.transform("held__", lambda x: x["place__"]))))
+    found = found.withColumn("fixed__", F.array(*[F.coalesce(F.col(c).cast(_WIDE), F.lit(0).cast(_WIDE)) for c in fixed.values()]))
+    of_rows = f"coalesce(try_element_at(map_from_entries(held__), p), cast(0 as {_WIDE}))"
+    of_columns = f"coalesce(get(fixed__, p + {FRACTION}), cast(0 as {_WIDE}))"
+    found = found.withColumn("dense__", F.expr(f"transform(sequence(low__, high__), p -> cast({of_rows} + {of_columns} as {_WIDE}))"))
     found = found.withColumn("negative__", F.expr(f"({_carried('dense__')}).carry < 0"))
     found = found.withColumn("dense__", F.expr("if(negative__, transform(dense__, x -> -x), dense__)"))
     found = found.withColumn("up__", F.expr(_carried("dense__")))
@@ -96,6 +124,13 @@ def exact_sums(sol: Solutions, by: Iterable[str], name: str) -> DataFrame:
     )
 
 
+def _added(limb: Column) -> Column:
+    """The sum of limbs, in halves of 64 bits."""
+    rest = limb % HALF
+    high, low = F.sum(F.call_function("div", limb - rest, F.lit(HALF))), F.sum(rest)
+    return (high.cast("decimal(28,0)") * HALF + low).cast(_WIDE)
+
+
 def _carried(column: str) -> str:
     """Limbs from the lowest place on with the carries done: (carry, out); the carry is negative as the number is."""
     x = f"cast(acc.carry + x as {_WIDE})"
