@@ -78,6 +78,8 @@ def rules_of(rulesets: Iterable[str | None], defaults: Iterable[str | None] = ()
 # predicate's facts dealt to SPLIT tasks.
 SENT = 100_000
 SPLIT = 32
+# Rules that give more than this from one fact have their results merged in a fixed number of tasks.
+WIDE = 8
 
 
 @dataclass(frozen=True)
@@ -99,6 +101,8 @@ class Declarations:
     recursive: bool  # can new facts lead to more?
     again: bool  # can rules give declarations, or start from them?
     gives_type: bool  # can a property rule give a class to something?
+    hot: bool  # can one fact follow from many others, as the class of an object does?
+    wide: bool  # can one fact give many, so that tasks cut by the size of what was read would get too many?
     sent: bool  # are the rules small enough to be sent to all tasks?
     sources: list[int]  # shares of the predicates a rule starts from
     targets: list[int]  # shares of the predicates a rule can give
@@ -268,13 +272,17 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
     given = _expanded(given.withColumn("out", F.lit(FORWARD)), members, by, sent=False)
     roles = [
         property_rules.select(F.lit("source").alias("role"), F.col("name").alias("p"), F.size("outs").alias("n")),
+        property_rules.where(F.exists("outs", lambda x: x["out"].isin(SUBJECT, OBJECT_POS))).select(F.lit("typing"), F.col("name"), F.lit(0)),
         compiled.where(F.col("kind") == CLASS).select(F.lit("class"), F.lit(V.RDF_TYPE), F.size("outs")),
         given.select(F.lit("target"), F.col("name"), F.lit(0)),
         has_value.select(F.lit("loop"), F.col("p"), F.lit(1)),
         all_values.select(F.lit("loop"), F.col("p"), F.lit(1)),
     ]
+    if members is not None:
+        roles.append(members.select(F.lit("group"), F.col("rep"), F.size("names")))
     named = reduce(DataFrame.union, roles).where("p is not null")
     is_declaring = F.col("p").isin(*DECLARING)
+    hot = F.col("role").isin("typing", "loop")
     loop = (F.col("role") == "loop") | ((F.col("role") == "source") & (F.col("p") == V.RDF_TYPE))
     # one row of bounded size
     row = named.agg(
@@ -284,7 +292,10 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
         F.coalesce(F.bool_or(F.col("role") == "loop"), F.lit(False)).alias("restrictions"),
         F.coalesce(F.bool_or(is_declaring), F.lit(False)).alias("again"),
         F.coalesce(F.bool_or((F.col("role") == "target") & (F.col("p") == V.RDF_TYPE)), F.lit(False)).alias("gives_type"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.bool_or(hot), F.lit(False)).alias("hot"),
+        F.coalesce(F.sum(F.when(F.col("role") != "group", F.col("n"))), F.lit(0)).alias("n"),
+        F.coalesce(F.max(F.when(F.col("role") != "group", F.col("n"))), F.lit(0)).alias("most"),
+        F.coalesce(F.max(F.when(F.col("role") == "group", F.col("n"))), F.lit(1)).alias("names"),
         *[F.array_sort(F.array(*[share(F.lit(p)) for p in fixed])).alias(name)
           for name, fixed in (("type_", [V.RDF_TYPE]), ("fixed", [V.RDF_TYPE, *DECLARING]))],
     ).first()
@@ -292,7 +303,7 @@ def close_declarations(facts: DataFrame, rules: frozenset[str], by: tuple[str, .
     targets = sorted({*row["targets"], *row["fixed"]})
     return Declarations(
         by, compiled, members, has_value, all_values, triples,
-        row["recursive"], row["again"], row["gives_type"], row["n"] <= SENT, sources, targets,
+        row["recursive"], row["again"], row["gives_type"], row["hot"], row["most"] * row["names"] > WIDE, row["n"] <= SENT, sources, targets,
     )
 
 
@@ -410,14 +421,27 @@ def _implied(facts: DataFrame, known: DataFrame, d: Declarations) -> DataFrame:
     return reduce(DataFrame.union, [x.select(*cols) for x in out])
 
 
-def _new_facts(derived: DataFrame, known: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """Derived facts that are not known, each once, with one shuffle."""
+def _new_facts(derived: DataFrame, known: DataFrame, d: Declarations) -> DataFrame:
+    """Derived facts that are not known, each once.
+
+    The facts are dealt out by their hash before repeats are merged: a task that reads and expands
+    holds none of them, however many follow from its part of a file.  Where one fact can follow from
+    many others, it is dealt to one task for each task that finds it first.  Where one fact gives
+    many, which compress well, the number of tasks is fixed and not cut down to their compressed size.
+    """
+    key = [*d.by, *TRIPLE_KEY]
+
+    def merged(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.groupBy("hash__", *more, *key).agg(*[F.max(c).alias(c) for c in ("old", "o_num", "o_ts")])
+
     tagged = derived.withColumn("old", F.lit(0)).union(known.withColumn("old", F.lit(1)))
-    key = [*by, *TRIPLE_KEY]
-    merged = tagged.groupBy(*key).agg(
-        F.max("old").alias("old"), F.max("o_num").alias("o_num"), F.max("o_ts").alias("o_ts")
-    )
-    return merged.where("old = 0").select(*by, *FACT)
+    rows = tagged.withColumn("hash__", F.xxhash64(*key))
+    number = [int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))] if d.wide else []
+    if d.hot:
+        rows = rows.withColumn("task__", F.spark_partition_id()).repartition(*number, "hash__", "task__")
+        rows = merged(rows, "task__")
+    rows = rows.repartition(*number, "hash__")
+    return merged(rows).where("old = 0").select(*d.by, *FACT)
 
 
 def infer(
@@ -465,15 +489,15 @@ def infer_with(known: DataFrame, d: Declarations) -> DataFrame:
     fire = _with_predicates(known, d.sources)
     held = _with_predicates(known, d.targets)
     if not d.recursive:
-        return _new_facts(_implied(fire, fire, d).union(triples), held, by)
+        return _new_facts(_implied(fire, fire, d).union(triples), held, d)
     root = scratch_path(spark, "infer")
     found = [f"{root}/round-0"]
-    delta = materialize(_new_facts(_implied(fire, fire, d).union(triples), held, by), found[0])
+    delta = materialize(_new_facts(_implied(fire, fire, d).union(triples), held, d), found[0])
     while not delta.isEmpty():
         inferred = spark.read.schema(delta.schema).parquet(*found)
         derived = _implied(_with_predicates(delta, d.sources), fire.union(inferred), d)
         path = f"{root}/round-{len(found)}"
-        delta = materialize(_new_facts(derived, held.union(inferred), by), path)
+        delta = materialize(_new_facts(derived, held.union(inferred), d), path)
         found.append(path)
     return spark.read.schema(delta.schema).parquet(*found)
 

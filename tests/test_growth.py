@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom import vocab as V
-from quadloom.functions.quad_columns import with_values
+from quadloom.functions.quad_columns import statements, with_values
+from quadloom.operators import inference as I
 from quadloom.operators.exact_sums import exact_sums
 from quadloom.operators.solutions import Solutions
 from quadloom.operators.updates import distinct_quads
@@ -63,3 +64,30 @@ def test_few_keys_are_dealt_to_a_fixed_number_of_tasks(spark):
     rows = lambda df: sorted(map(tuple, df.collect()))
     assert rows(dealt) == rows(left.join(right).df.select("k", "a", "b"))
     assert "REPARTITION_BY_NUM" in _plan(dealt)
+
+
+def test_inferred_facts_are_merged_behind_an_exchange(spark):
+    """A task that expands facts by the rules holds none of what follows; a fact that many give is merged per task first."""
+    facts = statements(spark, [("urn:a", "urn:p", "urn:b"), ("urn:a", "urn:q", "urn:b"), ("urn:c", "urn:p", "urn:b")])
+    plain = [("urn:p", V.EQUIVALENT_PROPERTY, "urn:q"), ("urn:q", V.EQUIVALENT_PROPERTY, "urn:r")]
+    for rules, hot in ((plain, False), ([*plain, ("urn:r", V.RANGE, "urn:C")], True)):
+        known = facts.union(statements(spark, rules)).select(*I.FACT)
+        d = I.close_declarations(known, I.rules_of(["RDFS_PLUS"]))
+        assert d.hot == hot
+        new = I.infer_with(known, d)
+        want = {("urn:a", "urn:r", "urn:b"), ("urn:c", "urn:q", "urn:b"), ("urn:c", "urn:r", "urn:b")} | ({("urn:b", V.RDF_TYPE, "urn:C")} if hot else set())
+        got = [(r["s"], r["p"], r["o"]) for r in new.where(~F.col("p").isin(*I.DECLARING)).collect()]
+        assert set(got) == want and len(got) == len(want)
+        lines = _plan(new).split("\n")
+        expanded = min(k for k, line in enumerate(lines) if "Generate inline" in line)
+        above = [line for line in lines[:expanded] if "Exchange" in line or "Aggregate" in line]
+        assert "Exchange" in above[-1] and "hash__" in above[-1]  # nothing is merged where facts are expanded
+        assert sum("Exchange" in line for line in above) == (2 if hot else 1)
+        assert not d.wide and "REPARTITION_BY_NUM" not in _plan(new)
+    names = [f"urn:p{k}" for k in range(I.WIDE + 1)]
+    wide = [(a, V.EQUIVALENT_PROPERTY, b) for a, b in zip(names, names[1:])]
+    known = statements(spark, [*wide, ("urn:a", "urn:p0", "urn:b")]).select(*I.FACT)
+    d = I.close_declarations(known, I.rules_of(["RDFS_PLUS"]))
+    new = I.infer_with(known, d)
+    assert d.wide and "REPARTITION_BY_NUM" in _plan(new)
+    assert sorted(r["p"] for r in new.where("s = 'urn:a'").collect()) == names[1:]
