@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadloom.operators.constraints import words
+from quadloom.session import materialize, scratch_path
 
 # A list of at most this many documents is sent to all tasks.
 BROADCAST_DOCS = 500_000
@@ -43,9 +44,25 @@ def words_of(text: Column | str) -> Column:
 
 
 def postings_of(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(word, doc_id) of some documents, each once."""
-    pairs = documents.select(F.explode(words_of(text)).alias("word"), F.col(key).cast("string").alias("doc_id"))
-    return pairs.where("doc_id is not null").distinct()
+    """(word, doc_id) of some documents, each once.
+
+    A row gives each of its words once, so only documents of several rows have pairs to merge;
+    their keys are found first, without the texts.
+    """
+    docs = documents.select(F.col(text).alias("text"), F.col(key).cast("string").alias("doc_id")).where("doc_id is not null")
+
+    def pairs(rows: DataFrame) -> DataFrame:
+        return rows.select(F.explode(words_of("text")).alias("word"), "doc_id")
+
+    several = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("several_id"))
+    several = materialize(several, scratch_path(docs.sparkSession, "several"))
+    n = several.count()
+    if n > BROADCAST_DOCS:
+        return pairs(docs).distinct()
+    if not n:
+        return pairs(docs)
+    several, same = F.broadcast(several), F.col("doc_id") == F.col("several_id")
+    return pairs(docs.join(several, same, "left_anti")).union(pairs(docs.join(several, same, "left_semi")).distinct())
 
 
 @dataclass(frozen=True)

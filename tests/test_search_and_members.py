@@ -75,6 +75,20 @@ def test_index_grows_and_is_replaced(spark, documents):
     assert ids(index.search("alpha")) == [] and ids(index.search("gamma")) == ["6"]
 
 
+def test_only_documents_of_several_rows_are_merged(spark, monkeypatch):
+    import quadloom.sources.textindex as module
+
+    once = spark.createDataFrame([("1", "a b a"), ("2", "b"), (None, "c"), ("3", None)], "doc_id string, text string")
+    more = once.union(spark.createDataFrame([("2", "B d"), ("4", "e"), ("4", "e")], once.schema))
+    held = lambda df: sorted((r["word"], r["doc_id"]) for r in df.collect())
+    assert "Exchange" not in plan_of(module.postings_of(once))  # nothing is shuffled to merge pairs
+    assert held(module.postings_of(once)) == [("a", "1"), ("b", "1"), ("b", "2")]
+    want = [("a", "1"), ("b", "1"), ("b", "2"), ("d", "2"), ("e", "4")]
+    for most in (module.BROADCAST_DOCS, 1):
+        monkeypatch.setattr(module, "BROADCAST_DOCS", most)
+        assert held(module.postings_of(more)) == want
+
+
 def test_a_search_opens_the_folders_of_its_words_and_no_text(index):
     plan = plan_of(index.search("alpha gamma"))
     for word in ("alpha", "gamma"):
