@@ -78,8 +78,12 @@ def rules_of(rulesets: Iterable[str | None], defaults: Iterable[str | None] = ()
 # predicate's facts dealt to SPLIT tasks.
 SENT = 100_000
 SPLIT = 32
-# Rules that give more than this from one fact have their results merged in a fixed number of tasks.
+# Rules that give more than this from one fact are applied, and their results merged, in a number
+# of tasks that is counted beforehand, so that each has results of about MERGED bytes.
 WIDE = 8
+MERGED = 64 << 20
+# Bytes of a fact in memory, besides those of its strings.
+ROW = 128
 
 
 @dataclass(frozen=True)
@@ -421,22 +425,37 @@ def _implied(facts: DataFrame, known: DataFrame, d: Declarations) -> DataFrame:
     return reduce(DataFrame.union, [x.select(*cols) for x in out])
 
 
-def _new_facts(derived: DataFrame, known: DataFrame, d: Declarations) -> DataFrame:
-    """Derived facts that are not known, each once.
+def _new_facts(facts: DataFrame, known: DataFrame, held: DataFrame, d: Declarations, more: DataFrame | None = None) -> DataFrame:
+    """What follows from ``facts`` together with ``known``, and ``more``, each once and without what is ``held``.
 
-    The facts are dealt out by their hash before repeats are merged: a task that reads and expands
-    holds none of them, however many follow from its part of a file.  Where one fact can follow from
+    The results are dealt out by their hash before repeats are merged: a task that reads and expands
+    merges none of them, however many follow from its part of a file.  Where one fact can follow from
     many others, it is dealt to one task for each task that finds it first.  Where one fact gives
-    many, which compress well, the number of tasks is fixed and not cut down to their compressed size.
+    many, which compress well, the number of tasks follows from the bytes of all results and is not
+    cut down to their compressed size.  The facts are dealt to as many tasks, and their copies merged,
+    before they are expanded: a task that writes to many partitions holds what it writes.
     """
-    key = [*d.by, *TRIPLE_KEY]
-
-    def merged(rows: DataFrame, *more: str) -> DataFrame:
-        return rows.groupBy("hash__", *more, *key).agg(*[F.max(c).alias(c) for c in ("old", "o_num", "o_ts")])
-
-    tagged = derived.withColumn("old", F.lit(0)).union(known.withColumn("old", F.lit(1)))
-    rows = tagged.withColumn("hash__", F.xxhash64(*key))
-    number = [int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))] if d.wide else []
+    key, number = [*d.by, *TRIPLE_KEY], []
+
+    def results(facts: DataFrame) -> DataFrame:
+        derived = _implied(facts, known, d)
+        derived = derived if more is None else derived.union(more)
+        return derived.withColumn("old", F.lit(0)).union(held.withColumn("old", F.lit(1)))
+
+    def dealt(number: int) -> DataFrame:
+        rows = facts.repartition(number, *key).groupBy(*key).agg(*[F.max(c).alias(c) for c in ("o_num", "o_ts")])
+        return rows.select(*d.by, *FACT)
+
+    def merged(rows: DataFrame, *also: str) -> DataFrame:
+        return rows.groupBy("hash__", *also, *key).agg(*[F.max(c).alias(c) for c in ("old", "o_num", "o_ts")])
+
+    if d.wide:
+        least = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        lengths = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in key]
+        size = results(dealt(least)).agg(F.sum(reduce(lambda x, y: x + y, lengths) + ROW)).first()[0] or 0
+        number = [max(least, -(-size // MERGED))]
+        facts = dealt(*number)
+    rows = results(facts).withColumn("hash__", F.xxhash64(*key))
     if d.hot:
         rows = rows.withColumn("task__", F.spark_partition_id()).repartition(*number, "hash__", "task__")
         rows = merged(rows, "task__")
@@ -489,15 +508,14 @@ def infer_with(known: DataFrame, d: Declarations) -> DataFrame:
     fire = _with_predicates(known, d.sources)
     held = _with_predicates(known, d.targets)
     if not d.recursive:
-        return _new_facts(_implied(fire, fire, d).union(triples), held, d)
+        return _new_facts(fire, fire, held, d, triples)
     root = scratch_path(spark, "infer")
     found = [f"{root}/round-0"]
-    delta = materialize(_new_facts(_implied(fire, fire, d).union(triples), held, d), found[0])
+    delta = materialize(_new_facts(fire, fire, held, d, triples), found[0])
     while not delta.isEmpty():
         inferred = spark.read.schema(delta.schema).parquet(*found)
-        derived = _implied(_with_predicates(delta, d.sources), fire.union(inferred), d)
         path = f"{root}/round-{len(found)}"
-        delta = materialize(_new_facts(derived, held.union(inferred), d), path)
+        delta = materialize(_new_facts(_with_predicates(delta, d.sources), fire.union(inferred), held.union(inferred), d), path)
         found.append(path)
     return spark.read.schema(delta.schema).parquet(*found)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quadloom import vocab as V
@@ -91,3 +93,24 @@ def test_inferred_facts_are_merged_behind_an_exchange(spark):
     new = I.infer_with(known, d)
     assert d.wide and "REPARTITION_BY_NUM" in _plan(new)
     assert sorted(r["p"] for r in new.where("s = 'urn:a'").collect()) == names[1:]
+
+
+def test_many_inferred_facts_get_tasks_by_their_bytes(spark, monkeypatch):
+    """Where one fact gives many, more results are merged by more tasks, and facts are dealt out before they are expanded."""
+    monkeypatch.setattr(I, "MERGED", 20_000, raising=False)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = [f"urn:p{k}" for k in range(I.WIDE + 4)]
+    links = [(a, V.EQUIVALENT_PROPERTY, b) for a, b in zip(names, names[1:])]
+    numbers = []
+    for n in (20, 200, 400):
+        stated = [(f"urn:s{k}", "urn:p0", f"urn:o{k % 7}") for k in range(n)]
+        known = statements(spark, [*links, *stated, *stated[:5]]).select(*I.FACT)
+        new = I.infer_with(known, I.close_declarations(known, I.rules_of(["RDFS_PLUS"])))
+        got = [(r["s"], r["p"], r["o"]) for r in new.where(F.col("s").startswith("urn:s")).collect()]
+        assert sorted(got) == sorted((s, p, o) for s, _, o in stated for p in names[1:])
+        plan = _plan(new)
+        lines = plan.split("\n")
+        expanded = min(k for k, line in enumerate(lines) if "Generate inline" in line)
+        assert "REPARTITION_BY_NUM" in next(line for line in lines[expanded:] if "Exchange" in line)
+        numbers.append(max(int(x) for x in re.findall(r"hash__#\S+?, (\d+)\), REPARTITION_BY_NUM", plan)))
+    assert numbers[0] >= least and numbers[1] > 2 * least and 1.5 < numbers[2] / numbers[1] < 2.5
