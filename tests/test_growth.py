@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quadloom import vocab as V
 from quadloom.functions.quad_columns import statements, with_values
 from quadloom.operators import inference as I
+from quadloom.operators import solutions as S
 from quadloom.operators.exact_sums import exact_sums
 from quadloom.operators.solutions import Solutions
 from quadloom.operators.updates import distinct_quads
@@ -68,6 +69,28 @@ def test_few_keys_are_dealt_to_a_fixed_number_of_tasks(spark):
     assert "REPARTITION_BY_NUM" in _plan(dealt)
 
 
+def test_pairs_of_few_keys_come_part_after_part(spark, monkeypatch):
+    """Each right row goes with a bounded part of left ones, so what is written repeats; tasks follow the rows of both sides."""
+    monkeypatch.setattr(S, "SHARED", 16, raising=False)
+    monkeypatch.setattr(S, "DEALT", 20, raising=False)
+    a = spark.range(200).select(F.when(F.col("id") > 0, F.lit("k")).alias("k"), (F.col("id") % 190).cast("string").alias("a"))
+    b = spark.range(31).select(F.when(F.col("id") > 0, F.lit("k")).alias("k"), F.col("id").cast("string").alias("b"))
+    left, right = Solutions(a, ("k", "a")), Solutions(b, ("k", "b"))
+    dealt = left.join(right, shares=2).df.select("k", "a", "b")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got, plan = [tuple(r) for r in dealt.collect()], _plan(dealt)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(got) == sorted(map(tuple, left.join(right).df.select("k", "a", "b").collect())) and len(got) == 199 * 30
+    assert sum(x[2] != y[2] for x, y in zip(got, got[1:])) <= 30 * 14
+    assert {int(x) for x in re.findall(r", (\d+)\), REPARTITION_BY_NUM", plan)} <= {30, 31}
+    # terms, a left side without further variables, and alike rows
+    terms = [Solutions(spark.createDataFrame([("1",), ("1",), ("2",)], "t string"), ()).bind("x", F.col("t"), V.XSD_INTEGER) for _ in "lr"]
+    assert terms[0].join(terms[1], shares=3).df.where("x__num is not null").count() == 5
+
+
 def test_inferred_facts_are_merged_behind_an_exchange(spark):
     """A task that expands facts by the rules holds none of what follows; a fact that many give is merged per task first."""
     facts = statements(spark, [("urn:a", "urn:p", "urn:b"), ("urn:a", "urn:q", "urn:b"), ("urn:c", "urn:p", "urn:b")])
