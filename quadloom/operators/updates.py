@@ -39,6 +39,13 @@ def distinct_quads(df: DataFrame) -> DataFrame:
     return _merged(rows, ()).select(*QUAD_COLUMNS)
 
 
+def hash_repeats(df: DataFrame, parts: int) -> DataFrame:
+    """(hash__): the hashes of quad keys that several rows have; nothing but hashes is shuffled."""
+    hashes = df.select(F.xxhash64(*QUAD_KEY).alias("hash__"))
+    tasks = max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return hashes.repartition(tasks, "hash__").groupBy("hash__").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash__")
+
+
 def merged_sets(df: DataFrame) -> DataFrame:
     """One row per quad of several sets: a quad has few rows, so each is sent to its task at once."""
     rows = df.select(*QUAD_COLUMNS).withColumn("hash__", F.xxhash64(*QUAD_KEY))

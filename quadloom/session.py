@@ -20,6 +20,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # The fallback folder of each local application; the setting itself cannot be changed at run time.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -72,10 +74,37 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _HELD.remove(held)
-        hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
         for path in held:
-            place = hadoop.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+            removed(spark, path)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each job that runs inside go when it ends, not when the driver collects its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate folder that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def renamed(spark: SparkSession, path: str, target: str) -> None:
+    """Give a folder its final name, in place of what has it."""
+    removed(spark, target)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(place, hadoop.Path(target)):
+        raise OSError(f"{path} can't become {target}")
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:

@@ -27,7 +27,9 @@ Further copies of the rows may lie beside the store, in ``<path>-by-s`` and
 ``<path>-by-o``, where H comes from the subject or the object and rows lie sorted by
 it: ``quads`` then opens one folder for a constant subject or object, and for a
 constant predicate one folder of the store itself.  Copies are written before the
-store's own rows.
+store's own rows.  Rows that go to several orders are held in a table first, which is
+removed at the end; each order is written in parts that bound what lies in shuffle
+files, into a folder that readers don't see until it is renamed.
 
 Which graphs have which predicates may be kept in ``<path>-predicates``, written before
 the quads, so a pattern knows where merging graphs can't remove anything.
@@ -59,13 +61,16 @@ from quadloom.operators import permissions as access
 from quadloom.operators.forms import instantiate
 from quadloom.operators.membership import MEMBER, members_of
 from quadloom.operators.solutions import Solutions
-from quadloom.operators.updates import Store, distinct_quads, in_contexts, matches, merged_sets
+from quadloom.operators.updates import Store, distinct_quads, hash_repeats, in_contexts, matches, merged_sets
+from quadloom.session import materialize, released, removed, renamed, scratch_path
 from quadloom.sources.stored import StoredQuads
 
 ADD, DOC, DEL, CLEAR, DROP, GRAPH = "add", "doc", "del", "clear", "drop", "graph"
 COPIES = ("s", "o")
 # The rows of a folder are dealt to this many shares at first; small ones share a task and a file.
 SHARES = 32
+# Rows for several orders that are shuffled at once, and hashes of repeated ones that are sent to all tasks.
+SHUFFLED, REPEATS = 16_000_000, 1_000_000
 _ROW_SCHEMA = f"{QUAD_SCHEMA}, seq long, batch string, op string, ph string"
 _FOLDER = re.compile(r"/batch=([^/]+)/op=([^/]+)/")
 
@@ -237,6 +242,7 @@ class SnapshotStore:
         grants: Iterable[tuple] | None = None,
         docs: DataFrame | None = None,
         parts: int | None = None,
+        steps: int = 1,
     ) -> int:
         """Clear graphs, remove keys, then add, as one folder.  Returns its ``seq``.
 
@@ -244,7 +250,7 @@ class SnapshotStore:
         doc_id).  A column ``seq`` of ``adds``, ``dels`` or ``docs`` counts instead of the time.  ``clear`` holds names of graphs (column ``g``);
         ``op`` says what happens to them.  ``batch`` names the folder, a new one by
         default; with ``parts`` there are that many, each with a share of the quads'
-        hash, written by one job and replacing what they held.  ``grants`` are (role, capability) for the graphs of ``adds``, by
+        hash, written by one job and replacing what they held.  ``steps`` is in how many jobs each order is written.  ``grants`` are (role, capability) for the graphs of ``adds``, by
         default those of the store.
         """
         self._check(adds, dels, clear)
@@ -270,11 +276,11 @@ class SnapshotStore:
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
         for copy in (*self.copies, None):
             some = rows if copy is None else rows.where(F.col("op") != DOC)
-            self._write_rows(some, copy or "p", self._place(copy), batch, parts)
+            self._write_rows(some, copy or "p", self._place(copy), batch, parts, steps)
         return seq
 
     @staticmethod
-    def _write_rows(rows: DataFrame, slot: str, place: str, batch: str, parts: int | None) -> None:
+    def _write_rows(rows: DataFrame, slot: str, place: str, batch: str, parts: int | None, steps: int) -> None:
         digits = F.coalesce(F.substring(F.md5(F.col(slot)), 1, 2), F.lit("-")) if slot in rows.columns else F.lit("-")
         # rebalance: few files per folder, and a hot key is split over tasks; shares, because what one task has read can't be split
         key = [c for c in QUAD_KEY if c in rows.columns]
@@ -283,15 +289,25 @@ class SnapshotStore:
         if parts is not None:
             rows = rows.withColumn("batch", F.concat(F.lit(f"{batch}-"), F.pmod(F.xxhash64(*key), F.lit(parts)).cast("string")))
             # a part is small and stays in one task
-            rows, folders = rows.drop("share__").hint("rebalance", "batch"), ["batch", *folders]
-        else:
-            rows = rows.hint("rebalance", "op", "ph", "share__").drop("share__")
-        order = [c for c in (*folders, slot, "s", "p") if c in rows.columns]
-        writer = rows.sortWithinPartitions(*dict.fromkeys(order)).write.mode("overwrite").partitionBy(*folders)
-        if parts is None:
-            writer.parquet(f"{place}/batch={batch}")
+            folders = ["batch", *folders]
+
+        def write(some: DataFrame, mode: str, target: str) -> None:
+            dealt = some.drop("share__").hint("rebalance", "batch") if parts is not None else some.hint("rebalance", "op", "ph", "share__").drop("share__")
+            order = [c for c in (*folders, slot, "s", "p") if c in dealt.columns]
+            writer = dealt.sortWithinPartitions(*dict.fromkeys(order)).write.mode(mode).partitionBy(*folders)
+            writer = writer.option("compression", "zstd")
+            (writer if parts is None else writer.option("partitionOverwriteMode", "dynamic")).parquet(target)
+
+        if parts is not None:
+            write(rows, "overwrite", place)
+        elif steps == 1:
+            write(rows, "overwrite", f"{place}/batch={batch}")
         else:
-            writer.option("partitionOverwriteMode", "dynamic").parquet(place)
+            # some shares after the others, in a folder that readers pass over
+            hidden, step = f"{place}/_{uuid.uuid4().hex}", F.floor(F.col("share__") * F.lit(steps) / F.lit(SHARES))
+            for k in range(steps):
+                write(rows.where(step == k), "append", hidden)
+            renamed(rows.sparkSession, hidden, f"{place}/batch={batch}")
 
     def _graphs(self, names: Iterable[str]) -> DataFrame:
         return self.spark.createDataFrame([(g,) for g in sorted(set(names))], "g string")
@@ -306,7 +322,35 @@ class SnapshotStore:
     ) -> int:
         """Set union; writes nothing but the new rows and reads no stored ones."""
         new = in_contexts(new, contexts)
-        return self.write(adds=distinct_quads(new), docs=members_of(new), batch=batch, grants=grants, parts=parts)
+        if not self.copies or parts is not None:
+            return self.write(adds=distinct_quads(new), docs=members_of(new), batch=batch, grants=grants, parts=parts)
+        # rows for several orders are made and merged once
+        held = [scratch_path(self.spark, label) for label in ("rows", "hashes", "repeats")]
+        try:
+            with released(self.spark):
+                rows = materialize(new, held[0])
+                n = rows.count()
+                adds = self._merged(rows, n, *held[1:])
+                steps = max(1, min(SHARES, -(-n // SHUFFLED)))
+                return self.write(adds=adds, docs=members_of(rows), batch=batch, grants=grants, steps=steps)
+        finally:
+            for path in held:
+                removed(self.spark, path)
+
+    @staticmethod
+    def _merged(rows: DataFrame, n: int, hashes: str, repeats: str) -> DataFrame:
+        """The set of these ``n`` rows: only those whose hash another one has, too, are compared, where they are few."""
+        found = materialize(hash_repeats(rows, -(-n // SHUFFLED)), hashes)
+        some = found.count()
+        if not some:
+            return rows
+        if some > REPEATS:
+            return materialize(distinct_quads(rows), repeats)
+        hashed = rows.withColumn("own__", F.xxhash64(*QUAD_KEY))
+        found = F.broadcast(found)
+        again = hashed.join(found, F.col("own__") == F.col("hash__"), "left_semi").select(*QUAD_COLUMNS)
+        alone = hashed.join(found, F.col("own__") == F.col("hash__"), "left_anti").select(*QUAD_COLUMNS)
+        return alone.union(materialize(distinct_quads(again), repeats))
 
     def remove_statements(self, gone: DataFrame, contexts: Iterable = ()) -> int:
         """Remove given quads from their own graph or from ``contexts``."""

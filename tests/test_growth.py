@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from quadloom import vocab as V
 from quadloom.functions.quad_columns import statements, with_values
+from quadloom.model import QUAD_KEY
 from quadloom.operators import inference as I
 from quadloom.operators import solutions as S
 from quadloom.operators.exact_sums import exact_sums
 from quadloom.operators.solutions import Solutions
 from quadloom.operators.updates import distinct_quads
+from quadloom.session import _CLEANUP
+from quadloom.sources import snapshots
 from quadloom.sources.snapshots import SnapshotStore
 
 
@@ -46,6 +49,32 @@ def test_parts_of_a_batch_are_one_write(spark, tmp_path):
     assert store.read().count() == 50
 
 
+def test_rows_for_several_orders_are_merged_once(spark, tmp_path, monkeypatch):
+    """Rows that have no equal are not shuffled to be compared; orders are written in steps and seen when they are whole."""
+    monkeypatch.setattr(snapshots, "SHUFFLED", 28, raising=False)
+    whole, compared = snapshots.distinct_quads, []
+    monkeypatch.setattr(snapshots, "distinct_quads", lambda df: compared.append(df.count()) or whole(df))
+    before = spark.conf.get(_CLEANUP, None)
+    held = tmp_path / "held"
+    monkeypatch.setattr(snapshots, "scratch_path", lambda _, label: f"{held}/{label}")
+    one = _quads(spark, 50, "d")  # 50 quads, each once
+    again = one.union(_quads(spark, 3, "c")).union(_quads(spark, 2))
+    for k, (rows, repeats, count) in enumerate([(one, 1000, []), (again, 1000, [8]), (again, 0, [55])]):
+        monkeypatch.setattr(snapshots, "REPEATS", repeats, raising=False)
+        compared.clear()
+        store = SnapshotStore(spark, str(tmp_path / f"store{k}"), copies=("s", "o"))
+        store.add(rows, batch="b")
+        assert compared == count
+        for copy in (None, "s", "o"):
+            got = [tuple(r) for r in store.read(copy=copy).select(*QUAD_KEY).collect()]
+            assert len(got) == len(set(got)) == 50
+            assert [p.name for p in (tmp_path / (f"store{k}" + (f"-by-{copy}" if copy else ""))).iterdir()] == ["batch=b"]
+        assert store.members().count() == (50 if k == 0 else 53)
+        docs = [r["doc_id"] for r in store.read().where("s = 'urn:s1'").collect()]
+        assert docs == ["d" if k == 0 else "c"]
+    assert spark.conf.get(_CLEANUP, None) == before and not list(held.glob("*"))
+
+
 def test_usual_numbers_need_no_row_per_limb(spark):
     numbers = ["-7", "000012345678901234567890123456789012345", "9" * 45, "9" * 46, "-" + "8" * 60, "0", "1" * 19]
     sol = Solutions(spark.createDataFrame([(n,) for n in numbers], "t string"), ()).bind("x", F.col("t"), V.XSD_INTEGER)
